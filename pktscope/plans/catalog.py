@@ -17,8 +17,11 @@ from pyspark.sql import types as T
 from pktscope import schema as S
 from pktscope.operators.labels import label_distribution, label_syn_scan
 from pktscope.operators.packets import WINDOW_OUTPUT_COLUMNS, add_time_windows, clean_packets
+from pktscope.functions.lexical import add_lexical_features, decode_uri
+from pktscope.operators.requests import extract_http_requests
+from pktscope.plans.http import labelled_requests, preprocess_http
 from pktscope.plans.network import preprocess_windows
-from pktscope.sources.derived import packets_raw
+from pktscope.sources.derived import documents_as_requests, packets_raw
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -116,7 +119,64 @@ def syn_scan_labels_simple(spark, sf_dir):
     return round_doubles(label_syn_scan(_windows(spark, sf_dir), use_combination=False).select(*LABEL_VIEW))
 
 
+def _labelled_requests(spark, sf_dir):
+    return labelled_requests(packets_raw(spark, sf_dir))
+
+
+@register
+def label_distribution_q(spark, sf_dir):
+    """A15 on both branches (two 2-row results, one union)."""
+    net = label_distribution(label_syn_scan(_windows(spark, sf_dir))).withColumn("branch", F.lit("network"))
+    http = label_distribution(_labelled_requests(spark, sf_dir)).withColumn("branch", F.lit("http"))
+    return round_doubles(net.unionByName(http).select("branch", S.LABEL, "count", "percent"))
+
+
+QUERIES["label_distribution"] = QUERIES.pop("label_distribution_q")
+
+
+# --- HTTP branch -------------------------------------------------------------
+
+@register
+def http_requests(spark, sf_dir):
+    """P4, P5 (before decoding and dedupe)."""
+    raw = extract_http_requests(packets_raw(spark, sf_dir))
+    return round_doubles(raw.select(S.ROW_ID, S.TIME_EPOCH, S.IP_SRC, S.IP_DST, S.HTTP_METHOD,
+                                    S.HTTP_URI, S.PROTOCOL))
+
+
+@register
+def decode_uri_q(spark, sf_dir):
+    """F1 on every request URI."""
+    raw = extract_http_requests(packets_raw(spark, sf_dir))
+    return raw.select(S.ROW_ID, S.HTTP_URI, decode_uri(F.col(S.HTTP_URI)).alias(S.DECODED_URI))
+
+
+QUERIES["decode_uri"] = QUERIES.pop("decode_uri_q")
+
+
+@register
+def dedupe_requests(spark, sf_dir):
+    """A17 / M12."""
+    return round_doubles(preprocess_http(packets_raw(spark, sf_dir)))
+
+
+@register
+def lexical_features(spark, sf_dir):
+    """F2-F13 on decoded request URIs."""
+    df = add_lexical_features(preprocess_http(packets_raw(spark, sf_dir)), S.DECODED_URI)
+    return round_doubles(df.select(S.ROW_ID, S.DECODED_URI, *S.HTTP_FEATURES))
+
+
+@register
+def lexical_features_documents(spark, sf_dir):
+    """F2-F13 with ``uri_column='text'`` over whole document texts."""
+    df = add_lexical_features(documents_as_requests(spark, sf_dir), "text")
+    return round_doubles(df.select("doc_id", *S.HTTP_FEATURES))
+
+
 @register
-def network_label_distribution(spark, sf_dir):
-    """A15 on the network branch."""
-    return round_doubles(label_distribution(label_syn_scan(_windows(spark, sf_dir))))
+def sqli_labels(spark, sf_dir):
+    """L4."""
+    df = _labelled_requests(spark, sf_dir)
+    return round_doubles(df.select(S.ROW_ID, S.IP_SRC, S.DECODED_URI, "has_sql_keywords",
+                                   "special_char_count", "has_or_true", "has_comment", S.LABEL))

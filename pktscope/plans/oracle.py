@@ -196,5 +196,73 @@ FROM (SELECT count(*) FILTER (WHERE label = 0) AS n0, count(*) FILTER (WHERE lab
      LATERAL (SELECT CASE WHEN l = 0 THEN n0 ELSE n1 END AS n)"""
 
 
-ORACLES["network_label_distribution"] = (with_(PACKETS_RAW, CLEAN, windows_cte())
-                                         + label_distribution_sql("labelled_windows"))
+# --- HTTP branch -------------------------------------------------------------
+
+def lexical_sql(u_expr: str) -> str:
+    """The 11 lexical features of a payload expression."""
+    u = f"lower(coalesce(CAST({u_expr} AS VARCHAR), {q(LX.MISSING_TEXT)}))"
+    kw = f"len(regexp_extract_all({u}, {q('(?i)' + LX.SQL_KEYWORDS)}))"
+    special = f"(length({u}) - length(translate({u}, {q(LX.SPECIAL_CHARS)}, '')))"
+    digits = f"len(regexp_extract_all({u}, {q(LX.DIGIT_CLASS)}))"
+    return f"""
+    CAST({kw} > 0 AS INTEGER) AS has_sql_keywords,
+    CAST(regexp_matches({u}, {q(LX.COMMENTS)}) AS INTEGER) AS has_comment,
+    CAST(regexp_matches({u}, {q('(?i)' + LX.OR_TRUE)}) AS INTEGER) AS has_or_true,
+    CAST(regexp_matches({u}, {q(LX.QUOTES)}) AS INTEGER) AS has_quotes,
+    CAST(regexp_matches({u}, {q('(?i)' + LX.ENCODED_CHARS)}) AS INTEGER) AS has_encoded_chars,
+    CAST({special} AS BIGINT) AS special_char_count,
+    CAST({kw} AS BIGINT) AS keyword_count,
+    CAST(length({u}) AS BIGINT) AS payload_length,
+    CAST(length({u}) - length(translate({u}, {q(LX.PARAM_CHARS)}, '')) AS BIGINT) AS param_count,
+    {r6(f"{digits} / (length({u}) + 1)")} AS digit_ratio,
+    {r6(f"{special} / (length({u}) + 1)")} AS special_ratio"""
+
+
+HTTP_CTES = """
+http_raw AS (SELECT * FROM packets_raw WHERE http_request_uri IS NOT NULL),
+decoded AS (
+  SELECT row_id, CASE WHEN isfinite(frame_time_epoch) THEN frame_time_epoch END AS frame_time_epoch,
+    ip_src, ip_dst, http_request_method, http_request_uri,
+    lower(url_decode(url_decode(http_request_uri))) AS decoded_uri, _ws_col_protocol
+  FROM http_raw
+),
+requests AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY decoded_uri, ip_src ORDER BY row_id) AS rn FROM decoded)
+  WHERE rn = 1
+),
+features AS (SELECT *, """ + "LEXICAL_PLACEHOLDER" + """ FROM requests),
+labelled_requests AS (
+  SELECT *, CAST(coalesce((has_sql_keywords = 1 AND special_char_count > 2) OR has_or_true = 1
+                          OR (has_comment = 1 AND has_sql_keywords = 1), false) AS INTEGER) AS label
+  FROM features
+)"""
+HTTP_CTES = HTTP_CTES.replace("LEXICAL_PLACEHOLDER", lexical_sql("decoded_uri"))
+
+_REQ_COLS = ["row_id", "frame_time_epoch", "ip_src", "ip_dst", "http_request_method",
+             "http_request_uri", "decoded_uri", "_ws_col_protocol"]
+_FEATS = ["has_sql_keywords", "has_comment", "has_or_true", "has_quotes", "has_encoded_chars",
+          "special_char_count", "keyword_count", "payload_length", "param_count", "digit_ratio",
+          "special_ratio"]
+
+ORACLES["label_distribution"] = (
+    with_(PACKETS_RAW, CLEAN, windows_cte(), HTTP_CTES)
+    + "\nSELECT 'network' AS branch, * FROM (" + label_distribution_sql("labelled_windows") + ")"
+    + "\nUNION ALL SELECT 'http' AS branch, * FROM (" + label_distribution_sql("labelled_requests") + ")")
+
+ORACLES["http_requests"] = (
+    with_(PACKETS_RAW)
+    + f"\nSELECT row_id, {r6('frame_time_epoch')} AS frame_time_epoch, ip_src, ip_dst, http_request_method,"
+      " http_request_uri, _ws_col_protocol FROM packets_raw WHERE http_request_uri IS NOT NULL")
+ORACLES["decode_uri"] = (
+    with_(PACKETS_RAW)
+    + "\nSELECT row_id, http_request_uri, lower(url_decode(url_decode(http_request_uri))) AS decoded_uri"
+      " FROM packets_raw WHERE http_request_uri IS NOT NULL")
+ORACLES["dedupe_requests"] = (with_(PACKETS_RAW, HTTP_CTES)
+                              + f"\nSELECT {rounded(_REQ_COLS, {'frame_time_epoch'})} FROM requests")
+ORACLES["lexical_features"] = (with_(PACKETS_RAW, HTTP_CTES)
+                               + f"\nSELECT row_id, decoded_uri, {', '.join(_FEATS)} FROM features")
+ORACLES["lexical_features_documents"] = f"SELECT doc_id, {lexical_sql('text')} FROM documents"
+ORACLES["sqli_labels"] = (with_(PACKETS_RAW, HTTP_CTES)
+                          + "\nSELECT row_id, ip_src, decoded_uri, has_sql_keywords, special_char_count,"
+                            " has_or_true, has_comment, label FROM labelled_requests")

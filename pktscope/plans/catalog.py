@@ -21,6 +21,10 @@ from pktscope.functions.lexical import add_lexical_features, decode_uri
 from pktscope.operators.requests import extract_http_requests
 from pktscope.plans.http import labelled_requests, preprocess_http
 from pktscope.plans.network import preprocess_windows
+from pktscope.plans.relabel import relabel_stored_windows as _relabel_job
+from pktscope.session import scratch_path
+from pktscope.sources.capture_csv import (labelled_request_projection, read_capture_csv, read_table,
+                                          write_capture_csv, write_table)
 from pktscope.sources.derived import documents_as_requests, packets_raw
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,3 +184,52 @@ def sqli_labels(spark, sf_dir):
     df = _labelled_requests(spark, sf_dir)
     return round_doubles(df.select(S.ROW_ID, S.IP_SRC, S.DECODED_URI, "has_sql_keywords",
                                    "special_char_count", "has_or_true", "has_comment", S.LABEL))
+
+
+# --- sources and sinks -------------------------------------------------------
+
+def _fresh_dir(spark, name: str) -> str:
+    import uuid
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+@register
+def csv_roundtrip(spark, sf_dir):
+    """S1 + S3 + S4: the derived capture written as a dotted-header CSV to
+    the shared folder, read back through the tolerant capture scan, then
+    prepared into windows; plus the labelled-request projection written and
+    read as CSV.  Returns the windows (must equal ``windows_full``)."""
+    base = _fresh_dir(spark, "csv_roundtrip")
+    write_capture_csv(packets_raw(spark, sf_dir), f"{base}/capture.csv")
+    raw = read_capture_csv(spark, f"{base}/capture.csv")
+    reqs = labelled_request_projection(labelled_requests(raw))
+    write_table(reqs, f"{base}/requests.csv", "csv")
+    windows = preprocess_windows(raw, window_seconds_for(sf_dir), 2)
+    return round_doubles(windows.select(*WINDOW_OUTPUT_COLUMNS))
+
+
+@register
+def relabel_stored_windows(spark, sf_dir):
+    """L3: stored windows (S3) -> read (S2) -> L1 -> written (S3) -> read."""
+    base = _fresh_dir(spark, "relabel")
+    write_table(_windows(spark, sf_dir).select(*WINDOW_OUTPUT_COLUMNS), f"{base}/windows.csv", "csv")
+    _relabel_job(spark, f"{base}/windows.csv", f"{base}/labelled.csv", fmt="csv")
+    back = read_table(spark, f"{base}/labelled.csv", schema=_labelled_schema(), fmt="csv")
+    return round_doubles(back.select(*LABEL_VIEW))
+
+
+def _labelled_schema():
+    long_cols = {"time_window", "syn_count", "ack_count", "rst_count", "fin_count", "unique_dst_ports",
+                 "unique_src_ports", "packet_count"}
+    fields = []
+    for c in WINDOW_OUTPUT_COLUMNS + [S.LABEL]:
+        if c in (S.IP_SRC, S.IP_DST):
+            t = T.StringType()
+        elif c == S.LABEL:
+            t = T.IntegerType()
+        elif c in long_cols:
+            t = T.LongType()
+        else:
+            t = T.DoubleType()
+        fields.append(T.StructField(c, t, True))
+    return T.StructType(fields)

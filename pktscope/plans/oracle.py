@@ -266,3 +266,7 @@ ORACLES["lexical_features_documents"] = f"SELECT doc_id, {lexical_sql('text')} F
 ORACLES["sqli_labels"] = (with_(PACKETS_RAW, HTTP_CTES)
                           + "\nSELECT row_id, ip_src, decoded_uri, has_sql_keywords, special_char_count,"
                             " has_or_true, has_comment, label FROM labelled_requests")
+
+
+ORACLES["csv_roundtrip"] = ORACLES["windows_full"]
+ORACLES["relabel_stored_windows"] = ORACLES["syn_scan_labels"]

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pktscope import schema as S
+from pktscope.operators import evaluation as EV
+from pktscope.operators import scoring as SC
 from pktscope.operators.labels import label_distribution, label_syn_scan
 from pktscope.operators.packets import WINDOW_OUTPUT_COLUMNS, add_time_windows, clean_packets
 from pktscope.functions.lexical import add_lexical_features, decode_uri
@@ -42,7 +44,10 @@ def _reg(name: str, fn):
 
 
 def r6(c: Column) -> Column:
-    return F.floor(c * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)
+    """Round to 1e-6 (finite values; NaN -> NULL, +-inf kept)."""
+    c = F.nanvl(c, F.lit(None).cast("double"))
+    return F.when(F.abs(c) == F.lit(float("inf")), c).otherwise(
+        F.floor(c * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6))
 
 
 def round_doubles(df: DataFrame) -> DataFrame:
@@ -233,3 +238,147 @@ def _labelled_schema():
             t = T.DoubleType()
         fields.append(T.StructField(c, t, True))
     return T.StructType(fields)
+
+
+# --- evaluation and scoring on rule predictions --------------------------------
+# Without a model, the network "prediction" is the simple rule L2 and the
+# truth the combined rule L1; the HTTP prediction is the keyword flag and the
+# truth L4.  The model-based versions are the ``train_score_*`` queries.
+
+NET_CLASSES = ("Normal Traffic", "SYN Scan Attack")
+HTTP_CLASSES = ("Normal Request", "SQL Injection")
+
+
+def _scored_windows(spark, sf_dir):
+    w = label_syn_scan(_windows(spark, sf_dir))
+    w = w.withColumn("prediction", (F.col("syn_count") > 5).cast("int"))
+    w = w.withColumn("attack_probability", F.col("prediction").cast("double"))
+    return SC.add_prediction_labels(w, SC.NETWORK_LABELS, SC.NETWORK_STATUS)
+
+
+def _scored_requests(spark, sf_dir):
+    r = _labelled_requests(spark, sf_dir)
+    r = r.withColumn("prediction", F.col("has_sql_keywords").cast("int"))
+    r = r.withColumn("attack_probability", F.col("prediction").cast("double"))
+    return SC.add_prediction_labels(r, SC.HTTP_LABELS, SC.HTTP_STATUS)
+
+
+def _both(spark, sf_dir, fn):
+    net = fn(_scored_windows(spark, sf_dir), "network")
+    http = fn(_scored_requests(spark, sf_dir), "http")
+    return round_doubles(net.unionByName(http))
+
+
+@register
+def confusion_matrix(spark, sf_dir):
+    """E1 for both detectors."""
+    return _both(spark, sf_dir, lambda d, name: EV.confusion_matrix(d).select(F.lit(name).alias("detector"), "*"))
+
+
+@register
+def binary_metrics(spark, sf_dir):
+    """E2 for both detectors."""
+    return _both(spark, sf_dir, lambda d, name: EV.binary_metrics(d).select(F.lit(name).alias("detector"), "*"))
+
+
+@register
+def classification_report(spark, sf_dir):
+    """E3 for both detectors."""
+    names = {"network": NET_CLASSES, "http": HTTP_CLASSES}
+    return _both(spark, sf_dir, lambda d, name: EV.classification_report(d, class_names=names[name])
+                 .select(F.lit(name).alias("detector"), "*"))
+
+
+def _net_eval_input(spark, sf_dir):
+    return EV.zero_fill(label_syn_scan(_windows(spark, sf_dir)), S.NETWORK_FEATURES)
+
+
+@register
+def anova_scores(spark, sf_dir):
+    """F-scores of the 16 network features against the L1 label."""
+    a = EV.anova_scores(_net_eval_input(spark, sf_dir), S.NETWORK_FEATURES)
+    return round_doubles(a.select("feature", "f_score"))
+
+
+@register
+def anova_pvalues(spark, sf_dir):
+    """E4 + F16 with p-values (no SQL oracle: DuckDB has no F distribution)."""
+    a = EV.anova_scores(_net_eval_input(spark, sf_dir), S.NETWORK_FEATURES)
+    return round_doubles(a)
+
+
+@register
+def spearman_correlations(spark, sf_dir):
+    """E5 + F15 + T3: Spearman r and |r| with the label, ranked."""
+    c = EV.spearman_correlations(_net_eval_input(spark, sf_dir), S.NETWORK_FEATURES)
+    return round_doubles(EV.rank_features(c.select("feature", "correlation", "abs_correlation"),
+                                          "abs_correlation"))
+
+
+@register
+def spearman_pvalues(spark, sf_dir):
+    """E5 with p-values (no SQL oracle)."""
+    return round_doubles(EV.spearman_correlations(_net_eval_input(spark, sf_dir), S.NETWORK_FEATURES))
+
+
+@register
+def http_spearman_correlations(spark, sf_dir):
+    """E5 on the HTTP branch (11 lexical features vs L4)."""
+    d = EV.zero_fill(_labelled_requests(spark, sf_dir), S.HTTP_FEATURES)
+    c = EV.spearman_correlations(d, S.HTTP_FEATURES)
+    return round_doubles(c.select("feature", "correlation", "abs_correlation"))
+
+
+@register
+def feature_correlation_matrix(spark, sf_dir):
+    """Lower triangle of the Pearson matrix of the network features."""
+    return round_doubles(EV.feature_correlation_matrix(_net_eval_input(spark, sf_dir), S.NETWORK_FEATURES))
+
+
+@register
+def top_features_by_anova(spark, sf_dir):
+    """T4 over E4: ten highest F-scores."""
+    a = EV.anova_scores(_net_eval_input(spark, sf_dir), S.NETWORK_FEATURES).select("feature", "f_score")
+    return round_doubles(EV.top_features(a, "f_score", 10))
+
+
+@register
+def detection_summary(spark, sf_dir):
+    """A16 for both detectors."""
+    return _both(spark, sf_dir, lambda d, name: SC.detection_summary(d, name))
+
+
+@register
+def attack_sources_top10(spark, sf_dir):
+    """T1 + P10 + P12."""
+    return SC.attack_sources(_scored_windows(spark, sf_dir), 10)
+
+
+@register
+def malicious_requests_top5(spark, sf_dir):
+    """T2 + P10 + P12 + P13."""
+    return SC.malicious_requests(_scored_requests(spark, sf_dir), 5)
+
+
+EXPORT_COLUMNS = S.WINDOW_KEYS + ["syn_count", "unique_dst_ports", "prediction", "attack_probability", "status"]
+
+
+@register
+def export_projection(spark, sf_dir):
+    """S6 + P11: the download table keeps the plain-text status."""
+    return round_doubles(SC.export_projection(_scored_windows(spark, sf_dir)).select(*EXPORT_COLUMNS))
+
+
+@register
+def detail_table(spark, sf_dir):
+    """Six display columns, first 50 windows in key order."""
+    cols = [S.IP_SRC, S.IP_DST, "unique_dst_ports", "syn_count", "attack_probability", "status"]
+    return round_doubles(SC.detail_table(_scored_windows(spark, sf_dir), cols, S.WINDOW_KEYS, 50))
+
+
+@register
+def attack_timeline(spark, sf_dir):
+    """timeline points of both detectors."""
+    net = SC.attack_timeline(_scored_windows(spark, sf_dir), "window_start").withColumn("detector", F.lit("network"))
+    http = SC.attack_timeline(_scored_requests(spark, sf_dir), S.TIME_EPOCH).withColumn("detector", F.lit("http"))
+    return net.unionByName(http)

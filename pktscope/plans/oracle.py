@@ -21,7 +21,7 @@ def q(s: str) -> str:
 
 
 def r6(x: str) -> str:
-    return f"(floor(({x}) * 1e6 + 0.5) / 1e6)"
+    return f"(CASE WHEN isinf({x}) THEN ({x}) ELSE floor(({x}) * 1e6 + 0.5) / 1e6 END)"
 
 
 NA_LIST = ", ".join(q(w) for w in NA_WORDS)
@@ -270,3 +270,178 @@ ORACLES["sqli_labels"] = (with_(PACKETS_RAW, HTTP_CTES)
 
 ORACLES["csv_roundtrip"] = ORACLES["windows_full"]
 ORACLES["relabel_stored_windows"] = ORACLES["syn_scan_labels"]
+
+
+# --- evaluation and scoring on rule predictions ----------------------------------
+
+NETWORK_FEATURES = ["syn_count", "ack_count", "syn_ack_ratio", "unique_dst_ports", "rst_count",
+                    "fin_count", "unique_src_ports", "packet_count", "total_bytes", "syn_percentage",
+                    "completion_ratio", "ports_per_packet", "rst_ratio", "mean_time_delta",
+                    "packets_per_second", "mean_packet_size"]
+HTTP_FEATURES = _FEATS
+
+SCORED = """
+scored_windows AS (
+  SELECT *, CAST(syn_count > 5 AS INTEGER) AS prediction,
+    CAST(CAST(syn_count > 5 AS INTEGER) AS DOUBLE) AS attack_probability,
+    CASE WHEN syn_count > 5 THEN 'SYN Scan' ELSE 'Normal' END AS prediction_label,
+    CASE WHEN syn_count > 5 THEN '⚠️ SYN Scan' ELSE '✅ Normal' END AS status
+  FROM labelled_windows
+),
+scored_requests AS (
+  SELECT *, has_sql_keywords AS prediction, CAST(has_sql_keywords AS DOUBLE) AS attack_probability,
+    CASE WHEN has_sql_keywords = 1 THEN 'SQL Injection' ELSE 'Normal' END AS prediction_label,
+    CASE WHEN has_sql_keywords = 1 THEN '⚠️ SQLi Attack' ELSE '✅ Normal' END AS status
+  FROM labelled_requests
+),
+cm AS (
+  SELECT 'network' AS detector,
+    count(*) FILTER (WHERE label = 0 AND prediction = 0) AS tn, count(*) FILTER (WHERE label = 0 AND prediction = 1) AS fp,
+    count(*) FILTER (WHERE label = 1 AND prediction = 0) AS fn, count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp
+  FROM scored_windows
+  UNION ALL
+  SELECT 'http',
+    count(*) FILTER (WHERE label = 0 AND prediction = 0), count(*) FILTER (WHERE label = 0 AND prediction = 1),
+    count(*) FILTER (WHERE label = 1 AND prediction = 0), count(*) FILTER (WHERE label = 1 AND prediction = 1)
+  FROM scored_requests
+)"""
+
+ALL_CTES = with_(PACKETS_RAW, CLEAN, windows_cte(), HTTP_CTES, SCORED)
+
+
+def z(a: str, b: str) -> str:
+    """a / b, 0 when b = 0."""
+    return f"(CASE WHEN ({b}) <> 0 THEN CAST({a} AS DOUBLE) / ({b}) ELSE 0.0 END)"
+
+
+def nz(a: str, b: str) -> str:
+    """a / b, NULL when b = 0."""
+    return f"(CASE WHEN ({b}) <> 0 THEN CAST({a} AS DOUBLE) / ({b}) END)"
+
+
+ORACLES["confusion_matrix"] = ALL_CTES + "\nSELECT detector, tn, fp, fn, tp FROM cm"
+
+_rec0, _rec1 = nz("tn", "tn + fp"), nz("tp", "tp + fn")
+ORACLES["binary_metrics"] = ALL_CTES + f"""
+SELECT detector,
+  {r6(nz('tp + tn', 'tn + fp + fn + tp'))} AS accuracy,
+  {r6(z('tp', 'tp + fp'))} AS precision,
+  {r6(z('tp', 'tp + fn'))} AS recall,
+  {r6(z('2 * tp', '2 * tp + fp + fn'))} AS f1,
+  {r6(f"(coalesce({_rec0}, 0.0) + coalesce({_rec1}, 0.0)) / NULLIF((CASE WHEN {_rec0} IS NOT NULL THEN 1 ELSE 0 END) + (CASE WHEN {_rec1} IS NOT NULL THEN 1 ELSE 0 END), 0)")} AS balanced_accuracy
+FROM cm"""
+
+_p0, _r0, _f0 = z("tn", "tn + fn"), z("tn", "tn + fp"), z("2 * tn", "2 * tn + fp + fn")
+_p1, _r1, _f1 = z("tp", "tp + fp"), z("tp", "tp + fn"), z("2 * tp", "2 * tp + fp + fn")
+_n = "(tn + fp + tp + fn)"
+
+
+def _w(a: str, b: str) -> str:
+    return nz(f"({a}) * (tn + fp) + ({b}) * (tp + fn)", _n)
+
+
+ORACLES["classification_report"] = ALL_CTES + f"""
+SELECT detector, class, {r6('precision')} AS precision, {r6('recall')} AS recall,
+       {r6('f1_score')} AS f1_score, support FROM (
+  SELECT detector, CASE detector WHEN 'network' THEN 'Normal Traffic' ELSE 'Normal Request' END AS class,
+         {_p0} AS precision, {_r0} AS recall, {_f0} AS f1_score, tn + fp AS support FROM cm
+  UNION ALL
+  SELECT detector, CASE detector WHEN 'network' THEN 'SYN Scan Attack' ELSE 'SQL Injection' END,
+         {_p1}, {_r1}, {_f1}, tp + fn FROM cm
+  UNION ALL
+  SELECT detector, 'accuracy', NULL, NULL, {nz('tp + tn', _n)}, {_n} FROM cm
+  UNION ALL
+  SELECT detector, 'macro avg', ({_p0} + {_p1}) / 2, ({_r0} + {_r1}) / 2, ({_f0} + {_f1}) / 2, {_n} FROM cm
+  UNION ALL
+  SELECT detector, 'weighted avg', {_w(_p0, _p1)}, {_w(_r0, _r1)}, {_w(_f0, _f1)}, {_n} FROM cm
+)"""
+
+
+def _long(source: str, features: list[str]) -> str:
+    filled = ", ".join(f"CAST(coalesce({f}, 0) AS DOUBLE) AS {f}" for f in features)
+    return f"""
+filled AS (SELECT label, {filled} FROM {source}),
+long AS (UNPIVOT filled ON {", ".join(features)} INTO NAME feature VALUE value)"""
+
+
+ANOVA = with_(PACKETS_RAW, CLEAN, windows_cte(), _long("labelled_windows", NETWORK_FEATURES)) + """,
+mom AS (SELECT feature, label, count(*) AS n_k, avg(value) AS mean_k, var_pop(value) AS var_k
+        FROM long GROUP BY feature, label),
+g AS (SELECT *, sum(n_k * mean_k) OVER (PARTITION BY feature) / sum(n_k) OVER (PARTITION BY feature) AS grand FROM mom),
+per AS (SELECT feature, sum(n_k) AS n, count(*) AS k, sum(n_k * pow(mean_k - grand, 2)) AS ssb,
+               sum(n_k * var_k) AS ssw FROM g GROUP BY feature),
+anova AS (SELECT feature, CASE WHEN ssw = 0 THEN (CASE WHEN ssb > 0 THEN CAST('inf' AS DOUBLE) END)
+                          ELSE (ssb / (k - 1)) / (ssw / (n - k)) END AS f_score FROM per)"""
+
+ORACLES["anova_scores"] = ANOVA + f"\nSELECT feature, {r6('f_score')} AS f_score FROM anova"
+ORACLES["top_features_by_anova"] = (ANOVA + f"\nSELECT feature, {r6('f_score')} AS f_score FROM anova"
+                                    " ORDER BY f_score DESC NULLS LAST, feature LIMIT 10")
+
+
+def _spearman(prefix_ctes: list[str], source: str, features: list[str]) -> str:
+    return with_(*prefix_ctes, _long(source, features)) + f""",
+ranks AS (SELECT feature, value, label,
+            rank() OVER (PARTITION BY feature ORDER BY value)
+              + (count(*) OVER (PARTITION BY feature, value) - 1) / 2.0 AS r FROM long),
+sp AS (SELECT feature, CASE WHEN var_pop(r) > 0 AND var_pop(label) > 0
+                          THEN greatest(-1.0, least(1.0, corr(r, label))) END AS correlation
+       FROM ranks GROUP BY feature)
+SELECT feature, {r6('correlation')} AS correlation, {r6('abs(correlation)')} AS abs_correlation FROM sp"""
+
+
+ORACLES["spearman_correlations"] = _spearman([PACKETS_RAW, CLEAN, windows_cte()], "labelled_windows",
+                                             NETWORK_FEATURES)
+ORACLES["http_spearman_correlations"] = _spearman([PACKETS_RAW, HTTP_CTES], "labelled_requests", HTTP_FEATURES)
+
+
+def _pearson_matrix() -> str:
+    fs = NETWORK_FEATURES
+    filled = ", ".join(f"CAST(coalesce({f}, 0) AS DOUBLE) AS {f}" for f in fs)
+    aggs = [f"var_pop({f}) AS v{i}" for i, f in enumerate(fs)]
+    cells = []
+    for j in range(len(fs)):
+        for i in range(j + 1, len(fs)):
+            aggs.append(f"covar_pop({fs[i]}, {fs[j]}) AS c{i}_{j}")
+            corr = f"CASE WHEN v{i} > 0 AND v{j} > 0 THEN c{i}_{j} / sqrt(v{i} * v{j}) END"
+            cells.append(f"{{'feature_a': {q(fs[i])}, 'feature_b': {q(fs[j])}, 'correlation': {r6(corr)}}}")
+    return (with_(PACKETS_RAW, CLEAN, windows_cte())
+            + f""",
+filled AS (SELECT {filled} FROM labelled_windows),
+wide AS (SELECT {", ".join(aggs)} FROM filled),
+cells AS (SELECT unnest([{", ".join(cells)}]) AS s FROM wide)
+SELECT s.feature_a AS feature_a, s.feature_b AS feature_b, s.correlation AS correlation FROM cells""")
+
+
+ORACLES["feature_correlation_matrix"] = _pearson_matrix()
+
+ORACLES["detection_summary"] = ALL_CTES + f"""
+SELECT detector, total, attacks, total - attacks AS normal,
+  {r6(nz('100.0 * attacks', 'total'))} AS attack_percent,
+  {r6(nz('100.0 * (total - attacks)', 'total'))} AS normal_percent
+FROM (SELECT 'network' AS detector, count(*) AS total, count(*) FILTER (WHERE prediction = 1) AS attacks FROM scored_windows
+      UNION ALL
+      SELECT 'http', count(*), count(*) FILTER (WHERE prediction = 1) FROM scored_requests)"""
+
+ORACLES["attack_sources_top10"] = ALL_CTES + """
+SELECT ip_src AS src, ip_dst AS dst, coalesce(CAST(unique_dst_ports AS INTEGER), 0) AS ports
+FROM scored_windows WHERE prediction = 1 ORDER BY ip_src, ip_dst, time_window LIMIT 10"""
+
+ORACLES["malicious_requests_top5"] = ALL_CTES + """
+SELECT row_id, ip_src AS src,
+  CASE WHEN length(decoded_uri) > 80 THEN substr(decoded_uri, 1, 80) || '...' ELSE decoded_uri END AS uri
+FROM scored_requests WHERE prediction = 1 ORDER BY row_id LIMIT 5"""
+
+ORACLES["export_projection"] = ALL_CTES + f"""
+SELECT ip_src, ip_dst, time_window, syn_count, unique_dst_ports, prediction,
+  {r6('attack_probability')} AS attack_probability, prediction_label AS status FROM scored_windows"""
+
+ORACLES["detail_table"] = ALL_CTES + f"""
+SELECT ip_src, ip_dst, unique_dst_ports, syn_count, {r6('attack_probability')} AS attack_probability, status
+FROM scored_windows ORDER BY ip_src, ip_dst, time_window LIMIT 50"""
+
+ORACLES["attack_timeline"] = ALL_CTES + """
+SELECT make_timestamp(CAST(floor(window_start * 1e6 + 0.5) AS BIGINT)) AS time, prediction, status,
+  'network' AS detector FROM scored_windows
+UNION ALL
+SELECT make_timestamp(CAST(floor(frame_time_epoch * 1e6 + 0.5) AS BIGINT)), prediction, status, 'http'
+FROM scored_requests"""

@@ -382,3 +382,121 @@ def attack_timeline(spark, sf_dir):
     net = SC.attack_timeline(_scored_windows(spark, sf_dir), "window_start").withColumn("detector", F.lit("network"))
     http = SC.attack_timeline(_scored_requests(spark, sf_dir), S.TIME_EPOCH).withColumn("detector", F.lit("http"))
     return net.unionByName(http)
+
+
+# --- feature matrices, split, weights ------------------------------------------------
+
+from pktscope.operators import modeling as M  # noqa: E402
+from pktscope.plans import evaluation as EVJ  # noqa: E402
+from pktscope.plans import scoring as SCJ  # noqa: E402
+from pktscope.plans import training as TR  # noqa: E402
+
+
+def _net_labelled(spark, sf_dir):
+    return label_syn_scan(_windows(spark, sf_dir))
+
+
+@register
+def network_feature_matrix(spark, sf_dir):
+    """P7 + P9."""
+    return round_doubles(M.feature_matrix(_net_labelled(spark, sf_dir), S.NETWORK_FEATURES,
+                                          keep=S.WINDOW_KEYS + [S.LABEL]))
+
+
+@register
+def http_feature_matrix(spark, sf_dir):
+    """P8 + P9."""
+    return round_doubles(M.feature_matrix(_labelled_requests(spark, sf_dir), S.HTTP_FEATURES,
+                                          keep=[S.ROW_ID] + S.REQUEST_KEYS + [S.LABEL]))
+
+
+@register
+def stratified_split_counts(spark, sf_dir):
+    """M1 + A18: rows per (branch, label, split); 80/20 network, 70/30 HTTP."""
+    net = M.stratified_split(_net_labelled(spark, sf_dir), S.WINDOW_KEYS, test_size=0.2)
+    http = M.stratified_split(_labelled_requests(spark, sf_dir), S.REQUEST_KEYS, test_size=0.3)
+
+    def counts(d, name):
+        return d.groupBy(S.LABEL, M.SPLIT_COL).agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("branch"), S.LABEL, M.SPLIT_COL, "rows")
+    return counts(net, "network").unionByName(counts(http, "http"))
+
+
+@register
+def class_weights(spark, sf_dir):
+    """M5: balanced class weights of both branches."""
+    net = M.class_weights(_net_labelled(spark, sf_dir)).select(F.lit("network").alias("branch"), "*")
+    http = M.class_weights(_labelled_requests(spark, sf_dir)).select(F.lit("http").alias("branch"), "*")
+    return round_doubles(net.unionByName(http))
+
+
+# --- models (rows-only checks) --------------------------------------------------------
+
+def _model_dir(spark, name):
+    return _fresh_dir(spark, f"models/{name}")
+
+
+@register
+def train_score_network(spark, sf_dir):
+    """M2 + M6 + M9 + S7 + M13: fit the balanced forest on the 80% split,
+    save, load and score the held-out windows."""
+    path = _model_dir(spark, "syn_scan_detector")
+    out = TR.train_network(spark, _windows(spark, sf_dir), model_path=path)
+    scored = SCJ.score_windows(path, out["test"])
+    return round_doubles(scored.select(*S.WINDOW_KEYS, S.LABEL, "prediction", "attack_probability",
+                                       "prediction_label"))
+
+
+@register
+def train_score_http(spark, sf_dir):
+    """M3 + M10 + S7 + M14 on the 70/30 split of the requests."""
+    path = _model_dir(spark, "sqli_detector")
+    out = TR.train_http(spark, _labelled_requests(spark, sf_dir), model_path=path)
+    scored = SCJ.score_requests(path, out["test"])
+    return round_doubles(scored.select(*S.REQUEST_KEYS, S.LABEL, "prediction", "attack_probability",
+                                       "prediction_label"))
+
+
+@register
+def gbt_train_score(spark, sf_dir):
+    """M4: boosted trees on the network split."""
+    out = TR.train_network(spark, _windows(spark, sf_dir), model_type="gbt")
+    scored = SCJ.score_windows(out["model"], out["test"])
+    return round_doubles(scored.select(*S.WINDOW_KEYS, S.LABEL, "prediction", "attack_probability"))
+
+
+@register
+def cross_validation_f1(spark, sf_dir):
+    """M7: 5-fold stratified CV of the network forest (F1 per fold, mean,
+    population std)."""
+    out = TR.train_network(spark, _windows(spark, sf_dir), cv_folds=5)
+    return round_doubles(out["cv"])
+
+
+@register
+def feature_importance(spark, sf_dir):
+    """M8 + T3."""
+    out = TR.train_network(spark, _windows(spark, sf_dir))
+    return round_doubles(out["importance"])
+
+
+@register
+def score_capture(spark, sf_dir):
+    """M15 + S5: train both detectors, then score the whole capture with
+    the saved models; returns the detection summary (A16)."""
+    net_path, http_path = _model_dir(spark, "syn_scan_detector"), _model_dir(spark, "sqli_detector")
+    TR.train_network(spark, _windows(spark, sf_dir), model_path=net_path)
+    TR.train_http(spark, _labelled_requests(spark, sf_dir), model_path=http_path)
+    res = SCJ.predict_all(spark, packets_raw(spark, sf_dir), net_path, http_path,
+                          output_dir=_fresh_dir(spark, "predictions"),
+                          window_seconds=window_seconds_for(sf_dir))
+    return round_doubles(res["summary"])
+
+
+@register
+def evaluation_job(spark, sf_dir):
+    """Evaluate the network forest on its test split; returns the
+    metrics row (all tables are written to the shared folder)."""
+    out = TR.train_network(spark, _windows(spark, sf_dir))
+    tables = EVJ.evaluate_model(spark, out["model"], out["test"], output_dir=_fresh_dir(spark, "evaluation"))
+    return round_doubles(tables["metrics"])

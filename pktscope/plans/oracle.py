@@ -445,3 +445,44 @@ SELECT make_timestamp(CAST(floor(window_start * 1e6 + 0.5) AS BIGINT)) AS time,
 UNION ALL
 SELECT make_timestamp(CAST(floor(frame_time_epoch * 1e6 + 0.5) AS BIGINT)), prediction, status, 'http'
 FROM scored_requests"""
+
+
+# --- split counts and class weights ---------------------------------------------------
+
+def _alloc(source: str, test_size: float) -> str:
+    return f"""
+SELECT label, c, t FROM (
+  SELECT label, c, base, need,
+    c - (base + CASE WHEN row_number() OVER (ORDER BY cont - base DESC, label) <= need THEN 1 ELSE 0 END) AS t
+  FROM (
+    SELECT label, c, cont, floor(cont) AS base,
+      (n - n_test) - sum(floor(cont)) OVER () AS need
+    FROM (
+      SELECT label, c, n, n_test, (c / n) * (n - n_test) AS cont FROM (
+        SELECT label, c, sum(c) OVER () AS n, ceil(CAST({test_size!r} AS DOUBLE) * sum(c) OVER ()) AS n_test
+        FROM (SELECT label, count(*) AS c FROM {source} GROUP BY label)))))"""
+
+
+ORACLES["stratified_split_counts"] = with_(PACKETS_RAW, CLEAN, windows_cte(), HTTP_CTES) + f"""
+SELECT 'network' AS branch, label, 'test' AS split, CAST(t AS BIGINT) AS rows FROM ({_alloc('labelled_windows', 0.2)})
+UNION ALL SELECT 'network', label, 'train', CAST(c - t AS BIGINT) FROM ({_alloc('labelled_windows', 0.2)})
+UNION ALL SELECT 'http', label, 'test', CAST(t AS BIGINT) FROM ({_alloc('labelled_requests', 0.3)})
+UNION ALL SELECT 'http', label, 'train', CAST(c - t AS BIGINT) FROM ({_alloc('labelled_requests', 0.3)})"""
+
+
+def _weights(source: str, branch: str) -> str:
+    return (f"SELECT '{branch}' AS branch, label, n_class, "
+            f"{r6('sum(n_class) OVER () / (count(*) OVER () * n_class)')} AS class_weight "
+            f"FROM (SELECT label, count(*) AS n_class FROM {source} GROUP BY label)")
+
+
+ORACLES["class_weights"] = (with_(PACKETS_RAW, CLEAN, windows_cte(), HTTP_CTES) + "\n"
+                            + _weights("labelled_windows", "network") + "\nUNION ALL "
+                            + _weights("labelled_requests", "http"))
+
+ORACLES["network_feature_matrix"] = (with_(PACKETS_RAW, CLEAN, windows_cte()) + "\nSELECT ip_src, ip_dst, time_window, label, "
+                                     + ", ".join(f"{r6(f'CAST(coalesce({f}, 0) AS DOUBLE)')} AS {f}" for f in NETWORK_FEATURES)
+                                     + " FROM labelled_windows")
+ORACLES["http_feature_matrix"] = (with_(PACKETS_RAW, HTTP_CTES) + "\nSELECT row_id, decoded_uri, ip_src, label, "
+                                  + ", ".join(f"{r6(f'CAST(coalesce({f}, 0) AS DOUBLE)')} AS {f}" for f in HTTP_FEATURES)
+                                  + " FROM labelled_requests")

@@ -170,9 +170,11 @@ def average_ranks(values: DataFrame, group_col: str = "feature", value_col: str
             Window.partitionBy(group_col).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)),
             F.lit(0))).drop("bc")
     within = Window.partitionBy(group_col, "bucket").orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1)
+    ntot = btot.groupBy(group_col).agg(F.sum("bc").alias("n"))
+    boff = boff.join(ntot, group_col)  # both bounded by groups x buckets
     ranked = (vcb.join(F.broadcast(boff), [group_col, "bucket"])
               .withColumn("before", F.col("offset") + F.coalesce(F.sum("c").over(within), F.lit(0))))
-    return ranked.select(group_col, value_col, "c", "sy",
+    return ranked.select(group_col, value_col, "c", "sy", "n",
                          (F.col("before") + (F.col("c") + 1) / 2.0).alias("avg_rank"))
 
 
@@ -186,18 +188,18 @@ def spearman_correlations(df: DataFrame, features: list[str], label_col: str = S
     weighted by their counts give it without joining ranks back to rows.
     """
     ranks = average_ranks(_unpivot(df, features, label_col), buckets=buckets)
-    r = F.col("avg_rank")
+    # Centered on the exact mean rank (n + 1) / 2, so a constant feature has
+    # exactly zero rank variance (no cancellation residue).
+    d = F.col("avg_rank") - (F.col("n") + 1) / 2.0
     sums = ranks.groupBy("feature").agg(
-        F.sum("c").alias("n"), F.sum(F.col("c") * r).alias("sr"), F.sum(F.col("c") * r * r).alias("srr"),
-        F.sum("sy").alias("sy"), F.sum(r * F.col("sy")).alias("sry"))
-    n, sr, srr, sy, sry = (F.col(c).cast("double") for c in ("n", "sr", "srr", "sy", "sry"))
-    # y is 0/1, so sum(y^2) = sum(y)
-    cov = n * sry - sr * sy
-    var_r = n * srr - sr * sr
-    var_y = n * sy - sy * sy
-    den = F.sqrt(var_r * var_y)
-    corr = F.when(den > 0, cov / den)
-    corr = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), corr))
+        F.first("n").alias("n"), F.sum(F.col("c") * d * d).alias("var_r"),
+        F.sum(d * F.col("sy")).alias("cov"), F.sum("sy").alias("sy"))
+    n, sy = F.col("n").cast("double"), F.col("sy").cast("double")
+    var_y = sy - sy * sy / n  # y is 0/1, so sum(y^2) = sum(y)
+    den = F.sqrt(F.col("var_r") * var_y)
+    # (least / greatest skip NULLs, so clamp inside the condition)
+    corr = F.when((F.col("var_r") > 0) & (var_y > 0),
+                  F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("cov") / den)))
     out = sums.select("feature", corr.alias("correlation"), F.col("n"))
     return out.select("feature", "correlation", F.abs("correlation").alias("abs_correlation"),
                       spearman_pvalue_udf("correlation", F.col("n").cast("double")).alias("p_value"))

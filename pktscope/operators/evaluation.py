@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from pktscope import schema as S
 from pktscope.functions.stats import f_pvalue_udf, spearman_pvalue_udf
+from pktscope.session import cut_lineage
 
 INF = float("inf")
 
@@ -159,6 +160,10 @@ def average_ranks(values: DataFrame, group_col: str = "feature", value_col: str
     sorted together.
     """
     vc = values.groupBy(group_col, value_col).agg(F.count(F.lit(1)).alias("c"), F.sum("y").alias("sy"))
+    # The distinct-value table feeds four branches; materialize it once
+    # (reliable checkpoint in the shared folder) instead of re-running the
+    # input plan per branch.
+    vc = cut_lineage(vc)
     probs = [i / buckets for i in range(1, buckets)]
     bounds = vc.groupBy(group_col).agg(F.percentile_approx(value_col, probs, 10000).alias("bounds"))
     vcb = (vc.join(F.broadcast(bounds), group_col)  # groups x buckets doubles

@@ -77,9 +77,9 @@ def stratified_split(df: DataFrame, key_cols: list[str], label_col: str = S.LABE
     """
     h = F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols])
     ordered = df.withColumns({"_h": h, "_b": F.shiftright(h, 64 - bits)})
-    counts = ordered.groupBy(label_col).agg(F.count(F.lit(1)).alias("c"))
-    alloc = _class_allocation(counts, label_col, test_size)
     btot = ordered.groupBy(label_col, "_b").agg(F.count(F.lit(1)).alias("_bc"))
+    counts = btot.groupBy(label_col).agg(F.sum("_bc").alias("c"))  # from the small table
+    alloc = _class_allocation(counts, label_col, test_size)
     boff = btot.withColumn("_off", F.coalesce(F.sum("_bc").over(
         Window.partitionBy(label_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     # broadcast sides: one row per class, and classes x 2^bits rows

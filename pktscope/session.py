@@ -61,3 +61,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tables", name)
+
+
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has
+    cores (e.g. one Parquet row group) before CPU-heavy per-row work.
+
+    Only small inputs take this path (fewer splits than cores means at most
+    cores x maxPartitionBytes of data), so the extra shuffle is bounded; a
+    large scan keeps its natural splits and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pktscope import schema as S
+from pktscope.session import spread_small_input
 
 # URI suffixes by ``event_id % 8`` (index = remainder); each
 # exercises one decoding or lexical case.
@@ -34,6 +35,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def read_spread(spark: SparkSession, sf_dir: str, name: str, columns: list[str]) -> DataFrame:
+    """Column-pruned scan, spread over the cores when it is small."""
+    return spread_small_input(read_table(spark, sf_dir, name).select(*columns))
+
+
 def _epoch_seconds(ts: Column) -> Column:
     # Microseconds since 1970 of a TIMESTAMP_NTZ without any time-zone
     # conversion, as fractional seconds.
@@ -84,9 +90,9 @@ def packets_from_events(events: DataFrame) -> DataFrame:
 
 
 def packets_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packets_from_events(read_table(spark, sf_dir, "events"))
+    return packets_from_events(read_spread(spark, sf_dir, "events", EVENT_COLUMNS))
 
 
 def documents_as_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Volume input for the lexical features: whole document texts."""
-    return read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return read_spread(spark, sf_dir, "documents", ["doc_id", "text"])

@@ -102,7 +102,7 @@ agg AS (
     count(frame_len) AS packet_count,
     coalesce(sum(frame_len), 0.0) AS total_bytes,
     avg(frame_len) AS mean_packet_size,
-    avg(frame_time_delta) AS mean_time_delta,
+    CAST(sum(CAST(floor(frame_time_delta * 1e9 + 0.5) AS BIGINT)) AS DOUBLE) / count(frame_time_delta) / 1e9 AS mean_time_delta,
     min(frame_time_delta) AS min_time_delta,
     max(frame_time_delta) AS max_time_delta,
     min(frame_time_epoch) AS window_start,

@@ -500,3 +500,28 @@ def evaluation_job(spark, sf_dir):
     out = TR.train_network(spark, _windows(spark, sf_dir))
     tables = EVJ.evaluate_model(spark, out["model"], out["test"], output_dir=_fresh_dir(spark, "evaluation"))
     return round_doubles(tables["metrics"])
+
+
+# --- streaming (X1) ----------------------------------------------------------------
+
+@register
+def stream_windows_q(spark, sf_dir):
+    """The derived capture landed as Parquet files, read as a stream,
+    windowed with a watermark and run to the end of the available input;
+    complete mode so every window is emitted.  Must equal ``windows_full``."""
+    from pktscope.streaming import packet_stream, start_window_stream, stream_windows
+    base = _fresh_dir(spark, "stream")
+    raw = packets_raw(spark, sf_dir)
+    write_table(raw, f"{base}/packets")
+    stream = packet_stream(spark, f"{base}/packets", raw.schema)
+    windows = stream_windows(stream, window_seconds_for(sf_dir), 2, watermark="1 hour")
+
+    def sink(batch, _id):
+        write_table(batch.drop("event_window"), f"{base}/windows")
+
+    q = start_window_stream(windows, f"{base}/_checkpoint", sink, output_mode="complete", available_now=True)
+    q.awaitTermination()
+    return round_doubles(read_table(spark, f"{base}/windows").select(*WINDOW_OUTPUT_COLUMNS))
+
+
+QUERIES["stream_windows"] = QUERIES.pop("stream_windows_q")

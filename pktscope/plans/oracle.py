@@ -486,3 +486,5 @@ ORACLES["network_feature_matrix"] = (with_(PACKETS_RAW, CLEAN, windows_cte()) +
 ORACLES["http_feature_matrix"] = (with_(PACKETS_RAW, HTTP_CTES) + "\nSELECT row_id, decoded_uri, ip_src, label, "
                                   + ", ".join(f"{r6(f'CAST(coalesce({f}, 0) AS DOUBLE)')} AS {f}" for f in HTTP_FEATURES)
                                   + " FROM labelled_requests")
+
+ORACLES["stream_windows"] = ORACLES["windows_full"]

@@ -525,3 +525,10 @@ def stream_windows_q(spark, sf_dir):
 
 
 QUERIES["stream_windows"] = QUERIES.pop("stream_windows_q")
+
+
+@register
+def split_balance(spark, sf_dir):
+    """Rows and attack ratio per split (network 80/20)."""
+    s = M.stratified_split(_net_labelled(spark, sf_dir), S.WINDOW_KEYS, test_size=0.2)
+    return round_doubles(M.split_balance(s))

@@ -488,3 +488,9 @@ ORACLES["http_feature_matrix"] = (with_(PACKETS_RAW, HTTP_CTES) + "\nSELECT row_
                                   + " FROM labelled_requests")
 
 ORACLES["stream_windows"] = ORACLES["windows_full"]
+
+ORACLES["split_balance"] = with_(PACKETS_RAW, CLEAN, windows_cte()) + f"""
+SELECT split, CAST(sum(k) AS BIGINT) AS rows, {r6('sum(k * label) / sum(k)')} AS attack_ratio FROM (
+  SELECT 'test' AS split, label, t AS k FROM ({_alloc('labelled_windows', 0.2)})
+  UNION ALL SELECT 'train', label, c - t FROM ({_alloc('labelled_windows', 0.2)}))
+GROUP BY split"""

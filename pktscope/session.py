@@ -46,7 +46,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = tempfile.mkdtemp(prefix="pktscope-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    try:
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # noqa: BLE001 - client sessions read the conf
+        pass
     return path
 
 
@@ -63,15 +66,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", name)
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
+def spread_small_input(df: DataFrame, key: str | None = None) -> DataFrame:
     """Spread a scan that yields fewer partitions than the cluster has
     cores (e.g. one Parquet row group) before CPU-heavy per-row work.
 
     Only small inputs take this path (fewer splits than cores means at most
     cores x maxPartitionBytes of data), so the extra shuffle is bounded; a
     large scan keeps its natural splits and is not shuffled.
+
+    With ``key`` (a column with many distinct values) the spread is a hash
+    partitioning, which needs no sort to be deterministic on retry.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a client session without RDDs
+        return df
+    if splits < cores:
+        return df.repartition(cores, key) if key else df.repartition(cores)
     return df

@@ -36,8 +36,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def read_spread(spark: SparkSession, sf_dir: str, name: str, columns: list[str]) -> DataFrame:
-    """Column-pruned scan, spread over the cores when it is small."""
-    return spread_small_input(read_table(spark, sf_dir, name).select(*columns))
+    """Column-pruned scan, spread over the cores (by its id column) when it
+    is small."""
+    return spread_small_input(read_table(spark, sf_dir, name).select(*columns), key=columns[0])
 
 
 def _epoch_seconds(ts: Column) -> Column:

@@ -203,7 +203,7 @@ def lexical_sql(u_expr: str) -> str:
     u = f"lower(coalesce(CAST({u_expr} AS VARCHAR), {q(LX.MISSING_TEXT)}))"
     kw = f"len(regexp_extract_all({u}, {q('(?i)' + LX.SQL_KEYWORDS)}))"
     special = f"(length({u}) - length(translate({u}, {q(LX.SPECIAL_CHARS)}, '')))"
-    digits = f"len(regexp_extract_all({u}, {q(LX.DIGIT_CLASS)}))"
+    digits = f"(length({u}) - length(translate({u}, {q(LX.DIGIT_CHARS)}, '')))"
     return f"""
     CAST({kw} > 0 AS INTEGER) AS has_sql_keywords,
     CAST(regexp_matches({u}, {q(LX.COMMENTS)}) AS INTEGER) AS has_comment,

@@ -187,17 +187,20 @@ def cross_validate(data: DataFrame, features: list[str], key_cols: list[str], fo
     """M7: stratified ``folds``-fold CV, F1 of class 1 per fold, plus
     mean and population std rows."""
     assigned = stratified_split(data, key_cols, test_size=0.5, seed=seed, folds=folds).drop(SPLIT_COL)
-    assigned = assigned.persist()
-    per_fold = None
-    for k in range(folds):
-        model = train_model(assigned.where(F.col(FOLD_COL) != k), features, model_type, **params)
-        s = f1_of(score(model, assigned.where(F.col(FOLD_COL) == k), ("0", "1")))
-        s = s.select(F.lit(k).alias(FOLD_COL), "f1")
-        per_fold = s if per_fold is None else per_fold.unionByName(s)
-    summary = per_fold.agg(F.avg("f1").alias("cv_mean_f1"), F.stddev_pop("f1").alias("cv_std_f1"))
-    return per_fold.select(F.col(FOLD_COL).cast("string").alias("fold"), "f1").unionByName(
-        summary.select(F.lit("mean").alias("fold"), F.col("cv_mean_f1").alias("f1"))).unionByName(
-        summary.select(F.lit("std").alias("fold"), F.col("cv_std_f1").alias("f1")))
+    assigned = assigned.persist()  # reused by every fold's fit and score
+    try:
+        scores = []
+        for k in range(folds):
+            model = train_model(assigned.where(F.col(FOLD_COL) != k), features, model_type, **params)
+            # one scalar per fold (a model-sized result)
+            scores.append(f1_of(score(model, assigned.where(F.col(FOLD_COL) == k), ("0", "1"))).first()[0])
+    finally:
+        assigned.unpersist()
+    spark = data.sparkSession
+    per_fold = spark.createDataFrame([(str(k), float(v)) for k, v in enumerate(scores)], "fold string, f1 double")
+    summary = per_fold.agg(F.avg("f1").alias("m"), F.stddev_pop("f1").alias("s"))
+    return per_fold.unionByName(summary.select(F.lit("mean").alias("fold"), F.col("m").alias("f1"))).unionByName(
+        summary.select(F.lit("std").alias("fold"), F.col("s").alias("f1")))
 
 
 # --- M8 / S7 --------------------------------------------------------------------------

@@ -58,3 +58,30 @@ def test_model_roundtrip_and_unknown_type(spark, tmp_path):
     assert acc > 0.95
     with pytest.raises(ValueError):
         M.make_estimator("isolation_forest")
+
+
+def test_cross_validation_rows(spark):
+    df = _labelled(spark, 60, 40)
+    cv = {r.fold: r.f1 for r in M.cross_validate(df, ["x"], ["k"], folds=3, n_estimators=3, max_depth=3).collect()}
+    assert set(cv) == {"0", "1", "2", "mean", "std"}
+    assert abs(cv["mean"] - sum(cv[str(k)] for k in range(3)) / 3) < 1e-12
+
+
+def test_predict_all_skips_missing_detector_and_handles_empty(spark, tmp_path):
+    from pktscope import schema as S
+    from pktscope.operators.labels import label_syn_scan
+    from pktscope.plans.network import preprocess_windows
+    from pktscope.plans.scoring import predict_all
+    from pktscope.plans.training import train_network
+    from pktscope.sources.derived import packets_raw
+    raw = packets_raw(spark, "/root/testdata/sf0.001")
+    path = str(tmp_path / "net")
+    train_network(spark, preprocess_windows(raw, 86400), model_path=path, n_estimators=5)
+    res = predict_all(spark, raw, network_model=path, http_model=str(tmp_path / "absent"),
+                      output_dir=str(tmp_path / "out"), window_seconds=86400)
+    assert "syn_scan" in res and "sqli" not in res
+    summary = res["summary"].collect()
+    assert [r.detector for r in summary] == ["syn_scan"] and summary[0].total == 270
+    assert spark.read.parquet(str(tmp_path / "out" / "syn_scan_predictions")).count() == 270
+    empty = predict_all(spark, raw.limit(0), network_model=path, window_seconds=86400)
+    assert empty["syn_scan"].count() == 0

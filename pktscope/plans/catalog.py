@@ -489,7 +489,7 @@ def score_capture(spark, sf_dir):
     TR.train_http(spark, _labelled_requests(spark, sf_dir), model_path=http_path)
     res = SCJ.predict_all(spark, packets_raw(spark, sf_dir), net_path, http_path,
                           output_dir=_fresh_dir(spark, "predictions"),
-                          window_seconds=window_seconds_for(sf_dir))
+                          window_seconds=window_seconds_for(sf_dir), land_path=_fresh_dir(spark, "landed"))
     return round_doubles(res["summary"])
 
 

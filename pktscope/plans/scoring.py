@@ -32,11 +32,17 @@ def _exists(path) -> bool:
 
 def predict_all(spark: SparkSession, raw: DataFrame, network_model=None, http_model=None,
                 output_dir: str | None = None, window_seconds: float = 1, min_packets: int = 2,
-                fmt: str = "parquet") -> dict:
+                fmt: str = "parquet", land_path: str | None = None) -> dict:
     """Both detectors on one capture.  A detector without a model is
     skipped; each result is written (S5) when ``output_dir`` is given; the
     summary (A16) unions the detectors that ran.  ``raw`` is scanned by both
-    branches; each branch prunes to its own columns."""
+    branches; each branch prunes to its own columns.  With ``land_path``
+    (a folder in the shared storage) the capture is first written once as
+    Parquet, so a CSV capture is parsed once and both branches read only
+    their columns from the landed table."""
+    if land_path:
+        write_table(raw, land_path)
+        raw = spark.read.parquet(land_path)
     results = {}
     if _exists(network_model):
         windows = preprocess_windows(raw, window_seconds, min_packets)

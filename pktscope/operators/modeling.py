@@ -121,9 +121,12 @@ def random_forest(n_estimators: int = 100, max_depth: int = 10, min_samples_leaf
                   seed: int = 42, balanced: bool = True, max_bins: int = 128) -> RandomForestClassifier:
     """M2 (network defaults) / M3 (``min_samples_leaf=1``).  Spark has no
     minimum-split-size; ``maxBins`` is raised to approach exact splits."""
+    # cacheNodeIds + checkpointInterval: deep trees on large data keep node
+    # assignments cached and cut their lineage every 10 levels (into the
+    # shared checkpoint folder).
     rf = RandomForestClassifier(featuresCol=FEATURES_COL, labelCol=S.LABEL, numTrees=n_estimators,
                                 maxDepth=max_depth, minInstancesPerNode=min_samples_leaf, seed=seed,
-                                maxBins=max_bins)
+                                maxBins=max_bins, cacheNodeIds=True, checkpointInterval=10)
     return rf.setWeightCol(WEIGHT_COL) if balanced else rf
 
 
@@ -131,7 +134,8 @@ def boosted_trees(n_estimators: int = 100, max_depth: int = 6, learning_rate: fl
                   seed: int = 42, max_bins: int = 128) -> GBTClassifier:
     """M4: gradient-boosted trees (positive-class weight 1: unweighted)."""
     return GBTClassifier(featuresCol=FEATURES_COL, labelCol=S.LABEL, maxIter=n_estimators,
-                         maxDepth=max_depth, stepSize=learning_rate, seed=seed, maxBins=max_bins)
+                         maxDepth=max_depth, stepSize=learning_rate, seed=seed, maxBins=max_bins,
+                         cacheNodeIds=True, checkpointInterval=10)
 
 
 def make_estimator(model_type: str = "random_forest", **params):

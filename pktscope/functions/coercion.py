@@ -25,6 +25,8 @@ NA_WORDS = [
 NUMBER_PATTERN = (r"^[ \t\n\x0B\f\r]*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)"
                   r"[ \t\n\x0B\f\r]*$")
 
+NUMBER_ALPHABET = "0123456789+-.eE \t\n\x0b\f\r"
+
 TRUE_WORDS = ("true",)
 
 
@@ -54,10 +56,13 @@ def coerce_number(c: Column, dtype: T.DataType | None = None) -> Column:
     """
     if dtype is not None and not isinstance(dtype, T.StringType):
         return _finite_or_null(c.cast("double"))
-    # The guard rejects everything but plain decimals; ``try_cast`` then
-    # only sees well-formed text (and '' -> NULL) even under ANSI mode.
-    number = F.regexp_extract(c, NUMBER_PATTERN, 1)
-    return _finite_or_null(number.try_cast("double"))
+    # Restricted to the alphabet of NUMBER_PATTERN (digits, sign, point,
+    # exponent, ASCII whitespace), Java's double grammar used by ``try_cast``
+    # is exactly NUMBER_PATTERN: no NaN/Infinity words, hex or d/f suffixes
+    # can get through.  An alphabet check with ``translate`` (a lookup per
+    # character) is cheaper than running the regex on every field.
+    only_number_chars = F.length(F.translate(c, NUMBER_ALPHABET, "")) == 0
+    return _finite_or_null(F.when(only_number_chars, c.try_cast("double")))
 
 
 def clean_flags(df: DataFrame, columns: list[str], truthy: tuple[str, ...] = TRUE_WORDS) -> DataFrame:

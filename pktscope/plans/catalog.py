@@ -441,7 +441,7 @@ def train_score_network(spark, sf_dir):
     """M2 + M6 + M9 + S7 + M13: fit the balanced forest on the 80% split,
     save, load and score the held-out windows."""
     path = _model_dir(spark, "syn_scan_detector")
-    out = TR.train_network(spark, _windows(spark, sf_dir), model_path=path)
+    out = TR.train_network(spark, _windows(spark, sf_dir), model_path=path, cv_folds=0)
     scored = SCJ.score_windows(path, out["test"])
     return round_doubles(scored.select(*S.WINDOW_KEYS, S.LABEL, "prediction", "attack_probability",
                                        "prediction_label"))
@@ -451,7 +451,7 @@ def train_score_network(spark, sf_dir):
 def train_score_http(spark, sf_dir):
     """M3 + M10 + S7 + M14 on the 70/30 split of the requests."""
     path = _model_dir(spark, "sqli_detector")
-    out = TR.train_http(spark, _labelled_requests(spark, sf_dir), model_path=path)
+    out = TR.train_http(spark, _labelled_requests(spark, sf_dir), model_path=path, cv_folds=0)
     scored = SCJ.score_requests(path, out["test"])
     return round_doubles(scored.select(*S.REQUEST_KEYS, S.LABEL, "prediction", "attack_probability",
                                        "prediction_label"))
@@ -460,7 +460,7 @@ def train_score_http(spark, sf_dir):
 @register
 def gbt_train_score(spark, sf_dir):
     """M4: boosted trees on the network split."""
-    out = TR.train_network(spark, _windows(spark, sf_dir), model_type="gbt")
+    out = TR.train_network(spark, _windows(spark, sf_dir), model_type="gbt", cv_folds=0)
     scored = SCJ.score_windows(out["model"], out["test"])
     return round_doubles(scored.select(*S.WINDOW_KEYS, S.LABEL, "prediction", "attack_probability"))
 
@@ -476,7 +476,7 @@ def cross_validation_f1(spark, sf_dir):
 @register
 def feature_importance(spark, sf_dir):
     """M8 + T3."""
-    out = TR.train_network(spark, _windows(spark, sf_dir))
+    out = TR.train_network(spark, _windows(spark, sf_dir), cv_folds=0)
     return round_doubles(out["importance"])
 
 
@@ -485,8 +485,8 @@ def score_capture(spark, sf_dir):
     """M15 + S5: train both detectors, then score the whole capture with
     the saved models; returns the detection summary (A16)."""
     net_path, http_path = _model_dir(spark, "syn_scan_detector"), _model_dir(spark, "sqli_detector")
-    TR.train_network(spark, _windows(spark, sf_dir), model_path=net_path)
-    TR.train_http(spark, _labelled_requests(spark, sf_dir), model_path=http_path)
+    TR.train_network(spark, _windows(spark, sf_dir), model_path=net_path, cv_folds=0)
+    TR.train_http(spark, _labelled_requests(spark, sf_dir), model_path=http_path, cv_folds=0)
     res = SCJ.predict_all(spark, packets_raw(spark, sf_dir), net_path, http_path,
                           output_dir=_fresh_dir(spark, "predictions"),
                           window_seconds=window_seconds_for(sf_dir), land_path=_fresh_dir(spark, "landed"))
@@ -497,7 +497,7 @@ def score_capture(spark, sf_dir):
 def evaluation_job(spark, sf_dir):
     """Evaluate the network forest on its test split; returns the
     metrics row (all tables are written to the shared folder)."""
-    out = TR.train_network(spark, _windows(spark, sf_dir))
+    out = TR.train_network(spark, _windows(spark, sf_dir), cv_folds=0)
     tables = EVJ.evaluate_model(spark, out["model"], out["test"], output_dir=_fresh_dir(spark, "evaluation"))
     return round_doubles(tables["metrics"])
 

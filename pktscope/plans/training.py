@@ -37,17 +37,20 @@ def train_detector(spark: SparkSession, labelled: DataFrame, features: list[str]
 
 
 def train_network(spark: SparkSession, windows: DataFrame, model_path: str | None = None,
-                  test_size: float = 0.2, model_type: str = "random_forest", cv_folds: int = 0,
+                  test_size: float = 0.2, model_type: str = "random_forest", cv_folds: int = 5,
                   **params) -> dict:
-    """M9: windows -> L1 -> 80/20 split -> forest (balanced, leaf >= 2)."""
+    """M9: windows -> L1 -> 80/20 split -> forest (balanced, leaf >= 2) ->
+    5-fold CV on the training split -> importance -> save.  ``cv_folds=0``
+    skips the cross-validation."""
     params.setdefault("min_samples_leaf", 2) if model_type == "random_forest" else None
     return train_detector(spark, label_syn_scan(windows), S.NETWORK_FEATURES, S.WINDOW_KEYS, test_size,
                           model_type, model_path, cv_folds, **params)
 
 
 def train_http(spark: SparkSession, labelled_requests: DataFrame, model_path: str | None = None,
-               test_size: float = 0.3, cv_folds: int = 0, **params) -> dict:
-    """Labelled requests -> 70/30 split -> forest (balanced, leaf >= 1)."""
+               test_size: float = 0.3, cv_folds: int = 5, **params) -> dict:
+    """Labelled requests -> 70/30 split -> forest (balanced, leaf >= 1)
+    -> 5-fold CV -> importance -> save."""
     params.setdefault("min_samples_leaf", 1)
     return train_detector(spark, labelled_requests, S.HTTP_FEATURES, S.REQUEST_KEYS, test_size,
                           "random_forest", model_path, cv_folds, **params)

@@ -76,7 +76,7 @@ def test_predict_all_skips_missing_detector_and_handles_empty(spark, tmp_path):
     from pktscope.sources.derived import packets_raw
     raw = packets_raw(spark, "/root/testdata/sf0.001")
     path = str(tmp_path / "net")
-    train_network(spark, preprocess_windows(raw, 86400), model_path=path, n_estimators=5)
+    train_network(spark, preprocess_windows(raw, 86400), model_path=path, n_estimators=5, cv_folds=0)
     res = predict_all(spark, raw, network_model=path, http_model=str(tmp_path / "absent"),
                       output_dir=str(tmp_path / "out"), window_seconds=86400)
     assert "syn_scan" in res and "sqli" not in res

@@ -132,15 +132,14 @@ def _labelled_requests(spark, sf_dir):
     return labelled_requests(packets_raw(spark, sf_dir))
 
 
-@register
-def label_distribution_q(spark, sf_dir):
+def _label_distribution_query(spark, sf_dir):
     """A15 on both branches (two 2-row results, one union)."""
     net = label_distribution(label_syn_scan(_windows(spark, sf_dir))).withColumn("branch", F.lit("network"))
     http = label_distribution(_labelled_requests(spark, sf_dir)).withColumn("branch", F.lit("http"))
     return round_doubles(net.unionByName(http).select("branch", S.LABEL, "count", "percent"))
 
 
-QUERIES["label_distribution"] = QUERIES.pop("label_distribution_q")
+_reg("label_distribution", _label_distribution_query)
 
 
 # --- HTTP branch -------------------------------------------------------------
@@ -153,14 +152,13 @@ def http_requests(spark, sf_dir):
                                     S.HTTP_URI, S.PROTOCOL))
 
 
-@register
-def decode_uri_q(spark, sf_dir):
+def _decode_uri_query(spark, sf_dir):
     """F1 on every request URI."""
     raw = extract_http_requests(packets_raw(spark, sf_dir))
     return raw.select(S.ROW_ID, S.HTTP_URI, decode_uri(F.col(S.HTTP_URI)).alias(S.DECODED_URI))
 
 
-QUERIES["decode_uri"] = QUERIES.pop("decode_uri_q")
+_reg("decode_uri", _decode_uri_query)
 
 
 @register
@@ -504,8 +502,7 @@ def evaluation_job(spark, sf_dir):
 
 # --- streaming (X1) ----------------------------------------------------------------
 
-@register
-def stream_windows_q(spark, sf_dir):
+def _stream_windows_query(spark, sf_dir):
     """The derived capture landed as Parquet files, read as a stream,
     windowed with a watermark and run to the end of the available input;
     complete mode so every window is emitted.  Must equal ``windows_full``."""
@@ -524,7 +521,7 @@ def stream_windows_q(spark, sf_dir):
     return round_doubles(read_table(spark, f"{base}/windows").select(*WINDOW_OUTPUT_COLUMNS))
 
 
-QUERIES["stream_windows"] = QUERIES.pop("stream_windows_q")
+_reg("stream_windows", _stream_windows_query)
 
 
 @register

@@ -60,3 +60,22 @@ def start_window_stream(windows: DataFrame, checkpoint: str, sink: Callable[[Dat
     w = windows.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint).foreachBatch(sink)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
     return w.start()
+
+
+def score_window_stream(windows: DataFrame, model_path: str, output_path: str, checkpoint: str,
+                        available_now: bool = False) -> StreamingQuery:
+    """M13 on a stream: every finished window (append mode) is scored with
+    the saved network detector and written to ``output_path/batch_id=N``.
+    Each micro-batch overwrites its own folder, so a batch replayed after a
+    failure replaces its output instead of duplicating it; readers see
+    ``batch_id`` as a partition column."""
+    from pktscope.operators import modeling as M
+    from pktscope.operators.scoring import NETWORK_LABELS
+
+    model = M.load_model(model_path)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        scored = M.score(model, batch.drop("event_window"), NETWORK_LABELS)
+        scored.write.mode("overwrite").parquet(f"{output_path}/batch_id={batch_id}")
+
+    return start_window_stream(windows, checkpoint, sink, output_mode="append", available_now=available_now)

@@ -38,3 +38,24 @@ def test_append_mode_drops_late_packets(spark, tmp_path):
     assert 50 not in got                      # behind the watermark: dropped
     assert {100, 101, 102}.issubset(set(got))  # finalized once the watermark passed
     assert 201 not in got                     # still open at the end of the input
+
+
+def test_score_window_stream(spark, tmp_path):
+    from pktscope.operators import modeling as M
+    from pktscope.streaming import score_window_stream
+
+    src = tmp_path / "in"
+    src.mkdir()
+    _write(src / "f1.parquet", [10.0 + i / 10 for i in range(30)] + [40.0, 41.0])
+    schema = spark.read.parquet(str(src)).schema
+    train = spark.createDataFrame([(float(i % 9), i % 2) for i in range(40)], "syn_count double, label int")
+    model = M.train_model(train, ["syn_count"], n_estimators=3, max_depth=2)
+    M.save_model(model, str(tmp_path / "model"))
+    windows = stream_windows(packet_stream(spark, str(src), schema), window_seconds=1, min_packets=1,
+                             watermark="0 seconds")
+    q = score_window_stream(windows, str(tmp_path / "model"), str(tmp_path / "out"), str(tmp_path / "ckpt"),
+                            available_now=True)
+    q.awaitTermination()
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert {"prediction", "attack_probability", "prediction_label", "batch_id"} <= set(out.columns)
+    assert out.count() >= 3

@@ -529,3 +529,18 @@ def split_balance(spark, sf_dir):
     """Rows and attack ratio per split (network 80/20)."""
     s = M.stratified_split(_net_labelled(spark, sf_dir), S.WINDOW_KEYS, test_size=0.2)
     return round_doubles(M.split_balance(s))
+
+
+@register
+def http_detail_table(spark, sf_dir):
+    """P14 / T5 for the HTTP detector: six display columns, first 50
+    requests in request order."""
+    cols = [S.IP_SRC, S.IP_DST, S.DECODED_URI, "has_sql_keywords", "attack_probability", "status"]
+    return round_doubles(SC.detail_table(_scored_requests(spark, sf_dir), cols, [S.ROW_ID], 50))
+
+
+@register
+def capture_preview(spark, sf_dir):
+    """T5: the first 100 raw capture rows in file order."""
+    raw = packets_raw(spark, sf_dir)
+    return round_doubles(SC.detail_table(raw, [S.ROW_ID] + S.CAPTURE_COLUMNS, [S.ROW_ID], 100))

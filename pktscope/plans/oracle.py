@@ -43,7 +43,7 @@ PACKETS_RAW = f"""
 packets_raw0 AS (
   SELECT event_id AS row_id,
     epoch_us(ts) / 1e6 AS frame_time_epoch,
-    CAST(value / 1000 AS VARCHAR) AS frame_time_delta,
+    printf('%.5f', value / 1000) AS frame_time_delta,
     CASE WHEN event_id % 101 <> 0 THEN '10.0.0.' || CAST(user_id % 16 AS VARCHAR) END AS ip_src,
     '192.168.0.' || CAST(event_id % 2 AS VARCHAR) AS ip_dst,
     CAST(1024 + event_id % 500 AS VARCHAR) AS tcp_srcport,
@@ -494,3 +494,13 @@ SELECT split, CAST(sum(k) AS BIGINT) AS rows, {r6('sum(k * label) / sum(k)')} AS
   SELECT 'test' AS split, label, t AS k FROM ({_alloc('labelled_windows', 0.2)})
   UNION ALL SELECT 'train', label, c - t FROM ({_alloc('labelled_windows', 0.2)}))
 GROUP BY split"""
+
+ORACLES["http_detail_table"] = ALL_CTES + f"""
+SELECT ip_src, ip_dst, decoded_uri, has_sql_keywords, {r6('attack_probability')} AS attack_probability, status
+FROM scored_requests ORDER BY row_id LIMIT 50"""
+
+ORACLES["capture_preview"] = with_(PACKETS_RAW) + f"""
+SELECT row_id, {r6('frame_time_epoch')} AS frame_time_epoch, frame_time_delta, ip_src, ip_dst, tcp_srcport,
+  tcp_dstport, tcp_flags_syn, tcp_flags_ack, tcp_flags_fin, tcp_flags_reset, frame_len, http_request_method,
+  http_request_uri, _ws_col_protocol
+FROM packets_raw ORDER BY row_id LIMIT 100"""

@@ -74,7 +74,8 @@ def packets_from_events(events: DataFrame) -> DataFrame:
     return e.select(
         eid.alias(S.ROW_ID),
         _epoch_seconds(F.col("ts")).alias(S.TIME_EPOCH),
-        (value / 1000).cast("string").alias(S.TIME_DELTA),
+        # fixed-point text (value has 2 decimals), the same in every engine
+        F.format_string("%.5f", value / 1000).alias(S.TIME_DELTA),
         F.when(eid % 101 != 0, F.concat(F.lit("10.0.0."), (F.col("user_id") % 16).cast("string"))).alias(S.IP_SRC),
         F.concat(F.lit("192.168.0."), (eid % 2).cast("string")).alias(S.IP_DST),
         (F.lit(1024) + eid % 500).cast("string").alias(S.SRC_PORT),

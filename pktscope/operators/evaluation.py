@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pktscope import schema as S
 from pktscope.functions.stats import f_pvalue_udf, spearman_pvalue_udf
-from pktscope.session import cut_lineage
+from pktscope.session import materialize
 
 INF = float("inf")
 
@@ -140,46 +140,56 @@ def anova_scores(df: DataFrame, features: list[str], label_col: str = S.LABEL) -
 
 # --- E5: Spearman ---------------------------------------------------------------
 
-def _unpivot(df: DataFrame, features: list[str], label_col: str) -> DataFrame:
-    cells = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value"))
-                      for f in features])
-    return df.select(F.col(label_col).cast("double").alias("y"), F.inline(cells))
-
-
-def average_ranks(values: DataFrame, group_col: str = "feature", value_col: str = "value",
-                  buckets: int = 64) -> DataFrame:
-    """Average ranks (ties share the mean rank) of ``value_col`` within
-    ``group_col``, per distinct value: (group, value, c, sy, avg_rank).
-
-    Scales without sorting a whole group in one task: values are first
-    reduced to distinct (group, value) counts (a hot value collapses
-    map-side), the distinct values are cut into ``buckets`` quantile ranges
-    per group (approximate percentiles, only used as cut points, so ranks
-    stay exact), bucket totals give each bucket's offset (a table bounded
-    by groups x buckets), and only the distinct values of one bucket are
-    sorted together.
+def average_ranks(df: DataFrame, features: list[str], y_col: str, buckets: int = 64,
+                  rel_err: float = 1e-4) -> DataFrame:
+    """Average ranks (ties share the mean rank) of every feature column,
+    per distinct value: (feature, value, c, sy, n, avg_rank), where ``c``
+    counts the rows with that value, ``sy`` sums ``y_col`` over them and
+    ``n`` is the feature's row count.
+
+    Scales without sorting a whole feature in one task:
+
+    1. cut points: one ``approxQuantile`` pass gives ``buckets`` quantile
+       ranges per feature (features x buckets doubles, model-sized); they
+       only split the work, so ranks stay exact;
+    2. ``Bucketizer`` (binary search in the JVM) tags each value with its
+       range in the wide table, then the table is unpivoted with a packed
+       (feature, bucket) long key;
+    3. rows collapse to distinct (feature, bucket, value) counts (a hot
+       value is reduced map-side), written once as Parquet in the shared
+       folder because two consumers read it;
+    4. bucket totals (features x buckets rows) give each bucket's offset,
+       and only the distinct values of one bucket are sorted together.
     """
-    vc = values.groupBy(group_col, value_col).agg(F.count(F.lit(1)).alias("c"), F.sum("y").alias("sy"))
-    # The distinct-value table feeds four branches; materialize it once
-    # (reliable checkpoint in the shared folder) instead of re-running the
-    # input plan per branch.
-    vc = cut_lineage(vc)
+    from pyspark.ml.feature import Bucketizer
+
     probs = [i / buckets for i in range(1, buckets)]
-    bounds = vc.groupBy(group_col).agg(F.percentile_approx(value_col, probs, 10000).alias("bounds"))
-    vcb = (vc.join(F.broadcast(bounds), group_col)  # groups x buckets doubles
-           .withColumn("bucket", F.expr(f"size(filter(bounds, b -> b < {value_col}))"))
-           .drop("bounds"))
-    btot = vcb.groupBy(group_col, "bucket").agg(F.sum("c").alias("bc"))
-    boff = btot.withColumn(
-        "offset", F.coalesce(F.sum("bc").over(
-            Window.partitionBy(group_col).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0))).drop("bc")
-    within = Window.partitionBy(group_col, "bucket").orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1)
-    ntot = btot.groupBy(group_col).agg(F.sum("bc").alias("n"))
-    boff = boff.join(ntot, group_col)  # both bounded by groups x buckets
-    ranked = (vcb.join(F.broadcast(boff), [group_col, "bucket"])
-              .withColumn("before", F.col("offset") + F.coalesce(F.sum("c").over(within), F.lit(0))))
-    return ranked.select(group_col, value_col, "c", "sy", "n",
+    cuts = df.approxQuantile(features, probs, rel_err)
+    splits = [[-INF] + sorted({float(v) for v in q if v == v and abs(v) != INF}) + [INF] for q in cuts]
+    bcols = [f"_bucket{i}" for i in range(len(features))]
+    data = df.select(F.col(y_col).cast("double").alias(y_col),
+                     *[F.col(f).cast("double").alias(f) for f in features])
+    tagged = Bucketizer(splitsArray=splits, inputCols=features, outputCols=bcols,
+                        handleInvalid="keep").transform(data)
+    # (feature index, bucket) packed into one long: the sort key of the rank
+    # window leads with a number instead of the feature name (cheaper sort).
+    cells = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("value"),
+                               (F.lit(i * 65536) + F.col(b).cast("long")).alias("fb"))
+                      for i, (f, b) in enumerate(zip(features, bcols))])
+    long = tagged.select(F.col(y_col).alias("y"), F.inline(cells))
+    vc = materialize(long.groupBy("feature", "fb", "value")
+                     .agg(F.count(F.lit(1)).alias("c"), F.sum("y").alias("sy")), "ranks")
+    btot = vc.groupBy("feature", "fb").agg(F.sum("c").alias("bc"))
+    byf = Window.partitionBy("feature")  # bounded: features x buckets rows
+    boff = btot.select(
+        "fb",
+        F.coalesce(F.sum("bc").over(byf.orderBy("fb").rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("offset"),
+        F.sum("bc").over(byf).alias("n"))
+    running = Window.partitionBy("fb").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = (vc.join(F.broadcast(boff), "fb")
+              .withColumn("before", F.col("offset") + F.sum("c").over(running) - F.col("c")))
+    return ranked.select("feature", "value", "c", "sy", "n",
                          (F.col("before") + (F.col("c") + 1) / 2.0).alias("avg_rank"))
 
 
@@ -192,7 +202,7 @@ def spearman_correlations(df: DataFrame, features: list[str], label_col: str = S
     label, so Spearman = Pearson(avg_rank(x), y); sums over distinct values
     weighted by their counts give it without joining ranks back to rows.
     """
-    ranks = average_ranks(_unpivot(df, features, label_col), buckets=buckets)
+    ranks = average_ranks(df, features, label_col, buckets=buckets)
     # Centered on the exact mean rank (n + 1) / 2, so a constant feature has
     # exactly zero rank variance (no cancellation residue).
     d = F.col("avg_rank") - (F.col("n") + 1) / 2.0

@@ -85,3 +85,13 @@ def spread_small_input(df: DataFrame, key: str | None = None) -> DataFrame:
     if splits < cores:
         return df.repartition(cores, key) if key else df.repartition(cores)
     return df
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet into the shared folder and read it back:
+    cuts the lineage (survives executor loss) and lets several consumers
+    read a columnar copy instead of recomputing the plan."""
+    import uuid
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -32,9 +32,8 @@ def _data(n=400, seed=3):
 
 def test_average_ranks_multi_bucket(spark):
     rows = _data()
-    df = spark.createDataFrame([("a", r[2], float(r[1])) for r in rows] + [("b", r[3], float(r[1])) for r in rows],
-                               "feature string, value double, y double")
-    got = {(r.feature, r.value): r.avg_rank for r in EV.average_ranks(df, buckets=4).collect()}
+    df = spark.createDataFrame(rows, "i int, label int, a double, b double, c double")
+    got = {(r.feature, r.value): r.avg_rank for r in EV.average_ranks(df, ["a", "b"], "label", buckets=4).collect()}
     pdf = pd.DataFrame(rows, columns=["i", "y", "a", "b", "c"])
     for f in ("a", "b"):
         ranks = pdf[f].rank(method="average")

@@ -162,12 +162,14 @@ def average_ranks(df: DataFrame, features: list[str], y_col: str, buckets: int =
     """
     from pyspark.ml.feature import Bucketizer
 
+    # Two passes read the input (cut points, then ranks): land the narrow
+    # projection once instead of recomputing the upstream plan twice.
+    data = materialize(df.select(F.col(y_col).cast("double").alias(y_col),
+                                 *[F.col(f).cast("double").alias(f) for f in features]), "rank_input")
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = df.approxQuantile(features, probs, rel_err)
+    cuts = data.approxQuantile(features, probs, rel_err)
     splits = [[-INF] + sorted({float(v) for v in q if v == v and abs(v) != INF}) + [INF] for q in cuts]
     bcols = [f"_bucket{i}" for i in range(len(features))]
-    data = df.select(F.col(y_col).cast("double").alias(y_col),
-                     *[F.col(f).cast("double").alias(f) for f in features])
     tagged = Bucketizer(splitsArray=splits, inputCols=features, outputCols=bcols,
                         handleInvalid="keep").transform(data)
     # (feature index, bucket) packed into one long: the sort key of the rank

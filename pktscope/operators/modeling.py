@@ -76,6 +76,9 @@ def stratified_split(df: DataFrame, key_cols: list[str], label_col: str = S.LABE
     row.
     """
     h = F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols])
+    # ``ordered`` feeds two branches of the same query; AQE reuses their
+    # common upstream shuffle, so only post-shuffle work repeats (landing it
+    # as a table measured slower).
     ordered = df.withColumns({"_h": h, "_b": F.shiftright(h, 64 - bits)})
     btot = ordered.groupBy(label_col, "_b").agg(F.count(F.lit(1)).alias("_bc"))
     counts = btot.groupBy(label_col).agg(F.sum("_bc").alias("c"))  # from the small table

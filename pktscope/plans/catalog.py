@@ -16,11 +16,15 @@ from pyspark.sql import types as T
 
 from pktscope import schema as S
 from pktscope.operators import evaluation as EV
+from pktscope.operators import modeling as M
 from pktscope.operators import scoring as SC
 from pktscope.operators.labels import label_distribution, label_syn_scan
 from pktscope.operators.packets import WINDOW_OUTPUT_COLUMNS, add_time_windows, clean_packets
 from pktscope.functions.lexical import add_lexical_features, decode_uri
 from pktscope.operators.requests import extract_http_requests
+from pktscope.plans import evaluation as EVJ
+from pktscope.plans import scoring as SCJ
+from pktscope.plans import training as TR
 from pktscope.plans.http import labelled_requests, preprocess_http
 from pktscope.plans.network import preprocess_windows
 from pktscope.plans.relabel import relabel_stored_windows as _relabel_job
@@ -384,10 +388,6 @@ def attack_timeline(spark, sf_dir):
 
 # --- feature matrices, split, weights ------------------------------------------------
 
-from pktscope.operators import modeling as M  # noqa: E402
-from pktscope.plans import evaluation as EVJ  # noqa: E402
-from pktscope.plans import scoring as SCJ  # noqa: E402
-from pktscope.plans import training as TR  # noqa: E402
 
 
 def _net_labelled(spark, sf_dir):
@@ -544,3 +544,20 @@ def capture_preview(spark, sf_dir):
     """T5: the first 100 raw capture rows in file order."""
     raw = packets_raw(spark, sf_dir)
     return round_doubles(SC.detail_table(raw, [S.ROW_ID] + S.CAPTURE_COLUMNS, [S.ROW_ID], 100))
+
+
+@register
+def na_words_and_coercion(spark, sf_dir):
+    """N7 + N4 + P2 on text derived from every event: NA words -> NULL,
+    then the numeric guard."""
+    from pktscope.functions.coercion import coerce_number, nullify_na_words
+    from pktscope.sources.derived import TEXT_CASES, read_spread
+    ev = read_spread(spark, sf_dir, "events", ["event_id", "value"])
+    k = F.col("event_id") % 25
+    text = F.when(k < len(TEXT_CASES), F.element_at(F.array(*[F.lit(t) for t in TEXT_CASES]),
+                                                     (k + 1).cast("int"))
+                  ).otherwise(F.format_string("%.2f", F.col("value")))
+    df = ev.select(F.col("event_id").alias(S.ROW_ID), text.alias("raw_text"))
+    cleaned = nullify_na_words(F.col("raw_text"))
+    return round_doubles(df.select(S.ROW_ID, "raw_text", cleaned.isNull().alias("is_missing"),
+                                   coerce_number(cleaned).alias("number")))

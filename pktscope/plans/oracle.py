@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pktscope.functions.coercion import NA_WORDS, NUMBER_PATTERN
 from pktscope.functions import lexical as LX
-from pktscope.sources.derived import URI_SUFFIXES
+from pktscope.sources.derived import TEXT_CASES, URI_SUFFIXES
 
 ORACLE_WINDOW_SECONDS = 86400  # the oracle runs at sf0.01
 
@@ -504,3 +504,13 @@ SELECT row_id, {r6('frame_time_epoch')} AS frame_time_epoch, frame_time_delta, i
   tcp_dstport, tcp_flags_syn, tcp_flags_ack, tcp_flags_fin, tcp_flags_reset, frame_len, http_request_method,
   http_request_uri, _ws_col_protocol
 FROM packets_raw ORDER BY row_id LIMIT 100"""
+
+_TEXT_CASES = TEXT_CASES
+ORACLES["na_words_and_coercion"] = f"""
+WITH t AS (
+  SELECT event_id AS row_id,
+    CASE WHEN event_id % 25 < {len(_TEXT_CASES)} THEN [{", ".join(q(x) for x in _TEXT_CASES)}][event_id % 25 + 1]
+         ELSE printf('%.2f', value) END AS raw_text
+  FROM events),
+c AS (SELECT row_id, raw_text, CASE WHEN raw_text IN ({NA_LIST}) THEN NULL ELSE raw_text END AS cleaned FROM t)
+SELECT row_id, raw_text, cleaned IS NULL AS is_missing, {r6(num('cleaned'))} AS number FROM c"""

@@ -28,6 +28,12 @@ URI_SUFFIXES = [
     "",
 ]
 
+# Text cases of the NA-word / coercion query (N4, N7), picked
+# by ``event_id % 25``; rows with a remainder of 20 or more carry their own
+# value as text.
+TEXT_CASES = ["NA", "null", "None", "nan", "", "Null", "none", "n/a", " 2 ", "1e3",
+              "80,443", "0x1F", "1d", "2f", "inf", "-1.#IND", "#N/A", ".5", "+4.", "1E-2"]
+
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 

@@ -561,3 +561,13 @@ def na_words_and_coercion(spark, sf_dir):
     cleaned = nullify_na_words(F.col("raw_text"))
     return round_doubles(df.select(S.ROW_ID, "raw_text", cleaned.isNull().alias("is_missing"),
                                    coerce_number(cleaned).alias("number")))
+
+
+@register
+def http_evaluation_job(spark, sf_dir):
+    """E7 for the HTTP detector: fit on the 70% split, evaluate on the
+    rest; returns the metrics row (all tables written to the shared folder)."""
+    out = TR.train_http(spark, _labelled_requests(spark, sf_dir), cv_folds=0)
+    tables = EVJ.evaluate_model(spark, out["model"], out["test"], class_names=HTTP_CLASSES,
+                                output_dir=_fresh_dir(spark, "evaluation_http"))
+    return round_doubles(tables["metrics"])

@@ -13,7 +13,7 @@ from pktscope.sources.derived import packets_raw
 SMOKE = "/root/testdata/sf0.001"
 SIDE_EFFECTS = {"csv_roundtrip", "relabel_stored_windows", "stream_windows", "train_score_network",
                 "train_score_http", "gbt_train_score", "cross_validation_f1", "feature_importance",
-                "score_capture", "evaluation_job", "spearman_correlations", "spearman_pvalues",
+                "score_capture", "evaluation_job", "http_evaluation_job", "spearman_correlations", "spearman_pvalues",
                 "http_spearman_correlations"}
 
 

@@ -107,18 +107,28 @@ def _spearman_pvalues(r: pd.Series, n: pd.Series) -> pd.Series:
     return _nan_to_none(out)
 
 
-# The UDF objects are built on first use (on the driver), not at import:
-# executors import this module to unpickle the functions above.
+# The UDF objects are built on first use (on the driver), not at import.
+# The module is pickled by value, so executors need only numpy/pandas, not
+# this package installed.
 _UDFS: dict = {}
 
 
+def _by_value() -> None:
+    import sys
+
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def f_pvalue_udf(*cols):
     if "f" not in _UDFS:
+        _by_value()
         _UDFS["f"] = pandas_udf(_f_pvalues, "double")
     return _UDFS["f"](*cols)
 
 
 def spearman_pvalue_udf(*cols):
     if "s" not in _UDFS:
+        _by_value()
         _UDFS["s"] = pandas_udf(_spearman_pvalues, "double")
     return _UDFS["s"](*cols)

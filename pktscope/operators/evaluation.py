@@ -169,6 +169,7 @@ def average_ranks(df: DataFrame, features: list[str], y_col: str, buckets: int =
     probs = [i / buckets for i in range(1, buckets)]
     cuts = data.approxQuantile(features, probs, rel_err)
     splits = [[-INF] + sorted({float(v) for v in q if v == v and abs(v) != INF}) + [INF] for q in cuts]
+    splits = [sp if len(sp) >= 3 else [-INF, 0.0, INF] for sp in splits]  # empty input
     bcols = [f"_bucket{i}" for i in range(len(features))]
     tagged = Bucketizer(splitsArray=splits, inputCols=features, outputCols=bcols,
                         handleInvalid="keep").transform(data)

@@ -77,3 +77,10 @@ def test_single_class_metrics(spark):
     assert m.precision == 1.0 and abs(m.recall - 2 / 3) < 1e-12 and abs(m.balanced_accuracy - 2 / 3) < 1e-12
     rep = {r["class"]: r for r in EV.classification_report(df).collect()}
     assert rep["Normal"].support == 0 and rep["Normal"].precision == 0.0
+
+
+def test_empty_input_statistics(spark):
+    df = spark.createDataFrame([], "label int, a double, b double")
+    assert {r.feature for r in EV.spearman_correlations(df, ["a", "b"]).collect()} <= {"a", "b"}
+    assert all(r.f_score is None for r in EV.anova_scores(df, ["a", "b"]).collect())
+    assert EV.confusion_matrix(df.withColumn("prediction", df.label)).first().tp == 0

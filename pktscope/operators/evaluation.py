@@ -239,11 +239,12 @@ def feature_correlation_matrix(df: DataFrame, features: list[str]) -> DataFrame:
 
     vec = VectorAssembler(inputCols=features, outputCol="_v", handleInvalid="keep").transform(
         df.select(*[F.col(f).cast("double").alias(f) for f in features])).select("_v")
-    m = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()
+    # fewer than two rows: every correlation is undefined (a 2-row probe)
+    m = Correlation.corr(vec, "_v", "pearson").first()[0].toArray() if vec.limit(2).count() == 2 else None
     rows = []
     for j in range(len(features)):
         for i in range(j + 1, len(features)):
-            v = float(m[i, j])
+            v = float(m[i, j]) if m is not None else float("nan")
             rows.append((features[i], features[j], v if v == v and abs(v) != INF else None))
     return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, correlation double")
 

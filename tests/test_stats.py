@@ -84,3 +84,9 @@ def test_empty_input_statistics(spark):
     assert {r.feature for r in EV.spearman_correlations(df, ["a", "b"]).collect()} <= {"a", "b"}
     assert all(r.f_score is None for r in EV.anova_scores(df, ["a", "b"]).collect())
     assert EV.confusion_matrix(df.withColumn("prediction", df.label)).first().tp == 0
+
+
+def test_empty_correlation_matrix(spark):
+    df = spark.createDataFrame([], "a double, b double")
+    rows = EV.feature_correlation_matrix(df, ["a", "b"]).collect()
+    assert [(r.feature_a, r.feature_b, r.correlation) for r in rows] == [("b", "a", None)]

@@ -96,3 +96,14 @@ def test_ratios_do_not_fail_on_zero_packets(spark):
 def test_empty_input(spark):
     df = _raw(spark, [])
     assert aggregate_windows(add_time_windows(clean_packets(df), 1)).count() == 0
+
+
+def test_distinct_modes_agree(spark):
+    from pktscope.plans.network import preprocess_windows
+    from pktscope.sources.derived import packets_raw
+    raw = packets_raw(spark, "/root/testdata/sf0.001")
+    cols = S.WINDOW_KEYS + ["unique_dst_ports", "unique_src_ports", "packet_count"]
+    exact = preprocess_windows(raw, 86400, distinct_mode="exact").select(*cols)
+    as_set = preprocess_windows(raw, 86400, distinct_mode="set").select(*cols)
+    assert exact.exceptAll(as_set).count() == 0 and as_set.exceptAll(exact).count() == 0
+    assert exact.count() == 270

@@ -22,6 +22,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack
+    return pack(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_simhash_vantage_point(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import classes
@@ -30,6 +36,20 @@ def op3_simhash_vantage_point(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op7_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import pseudonymise
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonymise(docs, count_col="n_replaced")
+
+
+@query
+def op8_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontam import find
+    hits = find(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return hits.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "distance")
+
+
 @query
 def op9_quality_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import verdicts

@@ -28,6 +28,48 @@ def op1_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_relational_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chat import format_chat, read_turns, trained_text
+    said = r"\### Assistant: </turn> ok"
+    turns = _table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
+                                  "conv_id long, turn long, role string, text string")
+    out = format_chat(turns.unionByName(extra)).select(
+        "conv_id", read_turns(F.col("formatted")).alias("turns"),
+        trained_text(F.col("segments")).alias("trained"), F.length("formatted").alias("formatted_chars"))
+    spoken = F.array_join(F.transform("turns", lambda t: F.concat(
+        t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"),
+                      F.sha2(spoken, 256).alias("turns_sha256"),
+                      F.length("trained").cast("long").alias("loss_chars"),
+                      F.sha2("trained", 256).alias("loss_sha256"),
+                      F.col("formatted_chars").cast("long").alias("formatted_chars"))
+
+
+ORACLES["op2_relational_chat_format"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+m AS (
+  SELECT *, lag(role) OVER w IS NOT DISTINCT FROM role AS follows
+  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+c AS (
+  SELECT *, regexp_replace(text, '(\\*<(?:turn:|/turn|part))', '\\\1', 'g') AS escaped FROM m)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(escaped)
+      + CASE WHEN follows THEN length(chr(10) || '<part>' || chr(10))
+             ELSE length('<turn:' || role || '>' || chr(10)) + length(chr(10) || '</turn>' || chr(10)) END)
+    AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+
 @query
 def op3_simhash_vantage_point(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import classes
@@ -36,6 +78,12 @@ def op3_simhash_vantage_point(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op5_bit_plane_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .tokenbin import read_tokens, write_tokens
+    return read_tokens(write_tokens(_table(spark, sf_dir, "documents")))
+
+
 @query
 def op7_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import pseudonymise

@@ -84,6 +84,27 @@ def op5_bit_plane_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(write_tokens(_table(spark, sf_dir, "documents")))
 
 
+@query
+def op6_sharded_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import read_warc, write_warc
+    return read_warc(write_warc(_table(spark, sf_dir, "pages")))
+
+
+ORACLES["op6_sharded_warc"] = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex
+  FROM pages),
+d AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS top FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+  list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + CAST((('0x' || substr(hex, CAST(5 * (i // 4) + 1 AS INT), 5))::INT >> CAST(15 - 5 * (i % 4) AS INT)) & 31 AS INT), 1)),
+    'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+FROM d
+"""
+
+
 @query
 def op7_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import pseudonymise
@@ -105,3 +126,9 @@ def op9_quality_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols",
                     "n_dup_lines", "n_repeat_words", "base_failed", "kept",
                     "n_removed_words", "depleted")
+
+
+@query
+def op10_line_hash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import deduplicate
+    return deduplicate(_table(spark, sf_dir, "documents"))

@@ -78,6 +78,12 @@ def op3_simhash_vantage_point(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op4_difference_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import remove_repeats
+    return remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_bit_plane_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .tokenbin import read_tokens, write_tokens

@@ -24,10 +24,10 @@ SQL_KEYWORDS = (
     "waitfor|case|when|having|order|by|limit|and|or|xor|not|null|like|in|"
     "between|exists|exec|execute|xp_cmdshell|information_schema)"
 )
-COMMENTS = r"(--|#|/\*|\*/)"
+COMMENT_MARKS = ("--", "#", "/*", "*/")
 OR_TRUE_TEMPLATE = r"('|\")?{ws}*(or|and){ws}+('?1'?{ws}*={ws}*'?1'?|'?true'?|'a'{ws}*={ws}*'a')"
-QUOTES = "('|\")"
-ENCODED_CHARS = "(%27|%22|%3d|%3b|%2d%2d|%23)"
+QUOTE_MARKS = ("'", '"')
+ENCODED_MARKS = ("%27", "%22", "%3d", "%3b", "%2d%2d", "%23")
 SPECIAL_CHARS = "'\";=%()"
 PARAM_CHARS = "&?"
 MISSING_TEXT = "nan"  # how a missing payload prints before lower-casing
@@ -89,6 +89,14 @@ def _count_chars(u: Column, chars: str) -> Column:
     return F.length(u) - F.length(F.translate(u, chars, ""))
 
 
+def _has_any(u: Column, marks: tuple[str, ...]) -> Column:
+    # plain substring searches; ``u`` is lower-cased, and so are the marks
+    found = u.contains(marks[0])
+    for m in marks[1:]:
+        found = found | u.contains(m)
+    return found
+
+
 def lexical_feature_columns(uri: Column) -> dict[str, Column]:
     """The 11 lexical features of one payload column, in model order."""
     u = F.lower(F.coalesce(uri.cast("string"), F.lit(MISSING_TEXT)))
@@ -98,10 +106,10 @@ def lexical_feature_columns(uri: Column) -> dict[str, Column]:
     digits = _count_chars(u, DIGIT_CHARS)
     return {
         "has_sql_keywords": (kw_count > 0).cast("int"),
-        "has_comment": u.rlike(COMMENTS).cast("int"),
+        "has_comment": _has_any(u, COMMENT_MARKS).cast("int"),
         "has_or_true": u.rlike(JAVA_CI + OR_TRUE).cast("int"),
-        "has_quotes": u.rlike(QUOTES).cast("int"),
-        "has_encoded_chars": u.rlike(JAVA_CI + ENCODED_CHARS).cast("int"),
+        "has_quotes": _has_any(u, QUOTE_MARKS).cast("int"),
+        "has_encoded_chars": _has_any(u, ENCODED_MARKS).cast("int"),
         "special_char_count": special.cast("bigint"),
         "keyword_count": kw_count.cast("bigint"),
         "payload_length": length.cast("bigint"),

@@ -1,134 +1,51 @@
-"""Tail probabilities of the F and t distributions as Arrow-batched pandas
-UDFs.
+"""p-values of small per-feature result tables.
 
-Spark SQL has no distribution functions.  These run on the per-feature
-result tables of ANOVA / Spearman (one row per feature), so the Python
-work is tiny; the heavy lifting (moments, ranks) is done by Spark
-aggregates.  The regularized incomplete beta function is evaluated with
-the classic continued fraction (modified Lentz).
+Spark SQL has no distribution functions, but Spark's class path holds Apache
+Commons Math.  The tables here have a row per feature, so their rows are
+brought to the driver and each value is one call of its special functions.
 """
 
 from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql import DataFrame, SparkSession
 
-_EPS = 1e-15
-_TINY = 1e-300
 
+def _beta(spark: SparkSession, x: float, a: float, b: float) -> float:
+    return spark._jvm.org.apache.commons.math3.special.Beta.regularizedBeta(x, a, b)
 
-def _betacf(a: float, b: float, x: float) -> float:
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > _TINY else _TINY)
-    h = d
-    for m in range(1, 10000):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > _TINY else _TINY)
-        c = 1.0 + aa / c
-        c = c if abs(c) > _TINY else _TINY
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > _TINY else _TINY)
-        c = 1.0 + aa / c
-        c = c if abs(c) > _TINY else _TINY
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < _EPS:
-            break
-    return h
 
-
-def betainc_regularized(a: float, b: float, x: float) -> float:
-    """I_x(a, b) for a, b > 0 and 0 <= x <= 1."""
-    if math.isnan(x) or a <= 0 or b <= 0:
-        return float("nan")
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
-        return 1.0
-    log_front = (math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
-                 + a * math.log(x) + b * math.log1p(-x))
-    if x < (a + 1.0) / (a + b + 2.0):
-        return math.exp(log_front) * _betacf(a, b, x) / a
-    return 1.0 - math.exp(log_front) * _betacf(b, a, 1.0 - x) / b
-
-
-def f_sf(f: float, d1: float, d2: float) -> float:
-    """P(F > f) for the F(d1, d2) distribution."""
-    if f is None or math.isnan(f) or d1 <= 0 or d2 <= 0:
-        return float("nan")
+def f_tail(spark: SparkSession, f: float | None, between: float, within: float) -> float | None:
+    """P(F > f) with (between, within) degrees of freedom."""
+    if f is None or math.isnan(f) or between <= 0 or within <= 0:
+        return None
     if math.isinf(f):
         return 0.0
     if f <= 0:
         return 1.0
-    return betainc_regularized(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))
-
-
-def t_two_sided_p(t: float, df: float) -> float:
-    """P(|T| > |t|) for Student's t with ``df`` degrees of freedom."""
-    if t is None or math.isnan(t) or df <= 0:
-        return float("nan")
-    if math.isinf(t):
-        return 0.0
-    return betainc_regularized(df / 2.0, 0.5, df / (df + t * t))
-
+    if within > 1e8:
+        # (the limit for many rows, right to about 1 / within; the beta
+        # function's own digits run out there)
+        return spark._jvm.org.apache.commons.math3.special.Gamma.regularizedGammaQ(between / 2, between * f / 2)
+    return _beta(spark, within / (within + between * f), within / 2, between / 2)
 
-def _nan_to_none(values) -> pd.Series:
-    s = pd.Series(values, dtype="float64")
-    return s.where(~np.isnan(s), None)
 
+def t_tails(spark: SparkSession, t: float | None, dof: float) -> float | None:
+    """P(|T| > |t|) with ``dof`` degrees of freedom."""
+    return None if t is None else f_tail(spark, t * t, 1.0, dof)
 
-def _f_pvalues(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
-    out = [f_sf(float(a) if a is not None and not pd.isna(a) else float("nan"), float(b), float(c))
-           for a, b, c in zip(f, d1, d2)]
-    return _nan_to_none(out)
 
-
-def _spearman_pvalues(r: pd.Series, n: pd.Series) -> pd.Series:
-    out = []
-    for rv, nv in zip(r, n):
-        if rv is None or pd.isna(rv) or nv < 3:
-            out.append(float("nan"))
-            continue
-        rv = float(rv)
-        dof = float(nv) - 2.0
-        if abs(rv) >= 1.0:
-            out.append(0.0)
-            continue
-        t = rv * math.sqrt(dof / ((1.0 - rv) * (1.0 + rv)))
-        out.append(t_two_sided_p(t, dof))
-    return _nan_to_none(out)
-
-
-# The UDF objects are built on first use (on the driver), not at import.
-# The module is pickled by value, so executors need only numpy/pandas, not
-# this package installed.
-_UDFS: dict = {}
-
-
-def _by_value() -> None:
-    import sys
-
-    from pyspark import cloudpickle
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-def f_pvalue_udf(*cols):
-    if "f" not in _UDFS:
-        _by_value()
-        _UDFS["f"] = pandas_udf(_f_pvalues, "double")
-    return _UDFS["f"](*cols)
+def correlation_tails(spark: SparkSession, r: float | None, n: float) -> float | None:
+    """Two-sided p-value of a rank correlation over ``n`` rows."""
+    if r is None or n < 3:
+        return None
+    if abs(r) >= 1:
+        return 0.0
+    return t_tails(spark, r * math.sqrt((n - 2) / ((1 - r) * (1 + r))), n - 2)
 
 
-def spearman_pvalue_udf(*cols):
-    if "s" not in _UDFS:
-        _by_value()
-        _UDFS["s"] = pandas_udf(_spearman_pvalues, "double")
-    return _UDFS["s"](*cols)
+def with_value(table: DataFrame, name: str, of) -> DataFrame:
+    """``table`` (a row per feature) with the double ``name`` = of(row)."""
+    rows = [(*r, of(r)) for r in table.collect()]
+    return table.sparkSession.createDataFrame(rows, table.schema.add(name, "double"))

@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pktscope import schema as S
-from pktscope.functions.stats import f_pvalue_udf, spearman_pvalue_udf
-from pktscope.session import materialize
+from pktscope.functions.stats import correlation_tails, f_tail, with_value
+from pktscope.session import Scratch
 
 INF = float("inf")
 
@@ -114,9 +114,9 @@ def _class_moments(df: DataFrame, features: list[str], label_col: str) -> DataFr
     return wide.select("cls", "n_k", F.inline(per))
 
 
-def anova_scores(df: DataFrame, features: list[str], label_col: str = S.LABEL) -> DataFrame:
-    """One-way ANOVA F and p of every feature against the class label,
-    with ``significant = p < 0.05``.  Uses per-class means and population
+def anova_f(df: DataFrame, features: list[str], label_col: str = S.LABEL) -> DataFrame:
+    """One-way ANOVA F of every feature against the class label, with the
+    degrees of freedom (dfb, dfw).  Uses per-class means and population
     variances (stable), SSB = sum n_k (mean_k - mean)^2, SSW = sum n_k var_k.
     SSW = 0 gives F = inf if SSB > 0, else NULL (a constant feature)."""
     mom = _class_moments(df, features, label_col)
@@ -130,17 +130,23 @@ def anova_scores(df: DataFrame, features: list[str], label_col: str = S.LABEL) -
     f_score = (F.when(F.col("ssw") == 0, F.when(F.col("ssb") > 0, F.lit(INF)))
                .otherwise(F.try_divide(F.try_divide(F.col("ssb"), dfb.cast("double")),
                                        F.try_divide(F.col("ssw"), dfw.cast("double")))))
-    out = per.select("feature", f_score.alias("f_score"), dfb.alias("dfb"), dfw.alias("dfw"))
-    out = out.withColumn("p_value", f_pvalue_udf("f_score", F.col("dfb").cast("double"),
-                                                  F.col("dfw").cast("double")))
+    return per.select("feature", f_score.alias("f_score"), dfb.alias("dfb"), dfw.alias("dfw"))
+
+
+def anova_scores(df: DataFrame, features: list[str], label_col: str = S.LABEL) -> DataFrame:
+    """F, p and ``significant = p < 0.05`` of every feature.  The table
+    has a row per feature and is worked out at once, for the p-values."""
+    table = anova_f(df, features, label_col)
+    spark = df.sparkSession
+    out = with_value(table, "p_value", lambda r: f_tail(spark, r["f_score"], r["dfb"], r["dfw"]))
     return out.select("feature", "f_score", "p_value",
                       F.coalesce(F.col("p_value") < 0.05, F.lit(False)).alias("significant"))
 
 
 # --- E5: Spearman ---------------------------------------------------------------
 
-def average_ranks(df: DataFrame, features: list[str], y_col: str, buckets: int = 64,
-                  rel_err: float = 1e-4) -> DataFrame:
+def average_ranks(df: DataFrame, features: list[str], y_col: str, scratch: Scratch,
+                  buckets: int | None = None, rel_err: float = 1e-4) -> DataFrame:
     """Average ranks (ties share the mean rank) of every feature column,
     per distinct value: (feature, value, c, sy, n, avg_rank), where ``c``
     counts the rows with that value, ``sy`` sums ``y_col`` over them and
@@ -159,13 +165,20 @@ def average_ranks(df: DataFrame, features: list[str], y_col: str, buckets: int =
        folder because two consumers read it;
     4. bucket totals (features x buckets rows) give each bucket's offset,
        and only the distinct values of one bucket are sorted together.
+
+    ``buckets`` defaults to four times the shuffle partitions per feature, so
+    a task sorts a like share of the values whatever their number.  The two
+    intermediate tables go to ``scratch``, which the caller removes.
     """
     from pyspark.ml.feature import Bucketizer
 
     # Two passes read the input (cut points, then ranks): land the narrow
     # projection once instead of recomputing the upstream plan twice.
-    data = materialize(df.select(F.col(y_col).cast("double").alias(y_col),
-                                 *[F.col(f).cast("double").alias(f) for f in features]), "rank_input")
+    data = scratch.land(df.select(F.col(y_col).cast("double").alias(y_col),
+                                  *[F.col(f).cast("double").alias(f) for f in features]), "rank_input")
+    if buckets is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = min(65_000, max(64, -(-4 * partitions // max(1, len(features)))))
     probs = [i / buckets for i in range(1, buckets)]
     cuts = data.approxQuantile(features, probs, rel_err)
     splits = [[-INF] + sorted({float(v) for v in q if v == v and abs(v) != INF}) + [INF] for q in cuts]
@@ -179,8 +192,8 @@ def average_ranks(df: DataFrame, features: list[str], y_col: str, buckets: int =
                                (F.lit(i * 65536) + F.col(b).cast("long")).alias("fb"))
                       for i, (f, b) in enumerate(zip(features, bcols))])
     long = tagged.select(F.col(y_col).alias("y"), F.inline(cells))
-    vc = materialize(long.groupBy("feature", "fb", "value")
-                     .agg(F.count(F.lit(1)).alias("c"), F.sum("y").alias("sy")), "ranks")
+    vc = scratch.land(long.groupBy("feature", "fb", "value")
+                      .agg(F.count(F.lit(1)).alias("c"), F.sum("y").alias("sy")), "ranks")
     btot = vc.groupBy("feature", "fb").agg(F.sum("c").alias("bc"))
     byf = Window.partitionBy("feature")  # bounded: features x buckets rows
     boff = btot.select(
@@ -196,15 +209,24 @@ def average_ranks(df: DataFrame, features: list[str], y_col: str, buckets: int =
 
 
 def spearman_correlations(df: DataFrame, features: list[str], label_col: str = S.LABEL,
-                          buckets: int = 64) -> DataFrame:
+                          buckets: int | None = None) -> DataFrame:
     """E5 + F15: Spearman rank correlation of every feature with a 0/1
-    label, its absolute value and two-sided p-value.
+    label, its absolute value and two-sided p-value.  The result has a row
+    per feature and is worked out at once; its scratch folder is removed.
 
     For a 0/1 label the label's average ranks are an affine function of the
     label, so Spearman = Pearson(avg_rank(x), y); sums over distinct values
     weighted by their counts give it without joining ranks back to rows.
     """
-    ranks = average_ranks(df, features, label_col, buckets=buckets)
+    spark = df.sparkSession
+    with Scratch(spark, "spearman") as scratch:
+        table = _rank_correlation(average_ranks(df, features, label_col, scratch, buckets))
+        out = with_value(table, "p_value", lambda r: correlation_tails(spark, r["correlation"], r["n"]))
+    return out.select("feature", "correlation", F.abs("correlation").alias("abs_correlation"), "p_value")
+
+
+def _rank_correlation(ranks: DataFrame) -> DataFrame:
+    """(feature, correlation, n) from the ranks of the distinct values."""
     # Centered on the exact mean rank (n + 1) / 2, so a constant feature has
     # exactly zero rank variance (no cancellation residue).
     d = F.col("avg_rank") - (F.col("n") + 1) / 2.0
@@ -217,9 +239,7 @@ def spearman_correlations(df: DataFrame, features: list[str], label_col: str = S
     # (least / greatest skip NULLs, so clamp inside the condition)
     corr = F.when((F.col("var_r") > 0) & (var_y > 0),
                   F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("cov") / den)))
-    out = sums.select("feature", corr.alias("correlation"), F.col("n"))
-    return out.select("feature", "correlation", F.abs("correlation").alias("abs_correlation"),
-                      spearman_pvalue_udf("correlation", F.col("n").cast("double")).alias("p_value"))
+    return sums.select("feature", corr.alias("correlation"), F.col("n"))
 
 
 # --- E6: Pearson matrix ---------------------------------------------------------
@@ -237,10 +257,13 @@ def feature_correlation_matrix(df: DataFrame, features: list[str]) -> DataFrame:
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.stat import Correlation
 
-    vec = VectorAssembler(inputCols=features, outputCol="_v", handleInvalid="keep").transform(
-        df.select(*[F.col(f).cast("double").alias(f) for f in features])).select("_v")
-    # fewer than two rows: every correlation is undefined (a 2-row probe)
-    m = Correlation.corr(vec, "_v", "pearson").first()[0].toArray() if vec.limit(2).count() == 2 else None
+    narrow = df.select(*[F.col(f).cast("double").alias(f) for f in features])
+    with Scratch(df.sparkSession, "pearson") as scratch:
+        data = scratch.land(narrow, "features")  # read by a count and the two passes of ``corr``
+        m = None
+        if data.count() > 1:  # fewer than two rows: every correlation is undefined
+            vec = VectorAssembler(inputCols=features, outputCol="_v", handleInvalid="keep").transform(data)
+            m = Correlation.corr(vec.select("_v"), "_v", "pearson").first()[0].toArray()
     rows = []
     for j in range(len(features)):
         for i in range(j + 1, len(features)):

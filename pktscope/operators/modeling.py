@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pktscope import schema as S
 from pktscope.operators.evaluation import zero_fill
 from pktscope.operators.scoring import add_prediction_labels
+from pktscope.session import Scratch, path_exists
 
 FEATURES_COL = "features"
 WEIGHT_COL = "class_weight"
@@ -63,7 +64,7 @@ def _class_allocation(counts: DataFrame, label_col: str, test_size: float) -> Da
 
 def stratified_split(df: DataFrame, key_cols: list[str], label_col: str = S.LABEL,
                      test_size: float = 0.2, seed: int = 42, folds: int = 0,
-                     bits: int = 10) -> DataFrame:
+                     bits: int | None = None) -> DataFrame:
     """M1: adds ``split`` ('train' / 'test') with exactly the per-class test
     counts of a stratified split; with ``folds > 0`` also ``fold`` (0 ..
     folds-1), stratified round-robin in the same random order.
@@ -72,13 +73,17 @@ def stratified_split(df: DataFrame, key_cols: list[str], label_col: str = S.LABE
     class is computed without one task per class: rows are cut into 2^bits
     hash-range buckets per class (uniform because the hash is), bucket
     sizes give each bucket's offset (a table of classes x buckets), and
-    ranks are only computed inside a bucket.  ``key_cols`` must identify a
-    row.
+    ranks are only computed inside a bucket.  ``bits`` defaults to sixteen
+    buckets or more for each shuffle partition of the session.  ``key_cols``
+    must identify a row.
+
+    ``df`` is read twice, for the bucket sizes and for the rows: pass a
+    landed table when making it costs more than reading it.
     """
+    if bits is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        bits = min(20, max(6, (16 * partitions - 1).bit_length()))
     h = F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols])
-    # ``ordered`` feeds two branches of the same query; AQE reuses their
-    # common upstream shuffle, so only post-shuffle work repeats (landing it
-    # as a table measured slower).
     ordered = df.withColumns({"_h": h, "_b": F.shiftright(h, 64 - bits)})
     btot = ordered.groupBy(label_col, "_b").agg(F.count(F.lit(1)).alias("_bc"))
     counts = btot.groupBy(label_col).agg(F.sum("_bc").alias("c"))  # from the small table
@@ -118,7 +123,7 @@ def with_class_weights(df: DataFrame, label_col: str = S.LABEL) -> DataFrame:
     return df.join(F.broadcast(w), label_col)  # one row per class
 
 
-# --- M2-M4, M6 -------------------------------------------------------------------
+# --- M2-M4, M6 (default hyperparameters are fixed values of the detectors) -------------------------------------------------------------------
 
 def random_forest(n_estimators: int = 100, max_depth: int = 10, min_samples_leaf: int = 2,
                   seed: int = 42, balanced: bool = True, max_bins: int = 128) -> RandomForestClassifier:
@@ -134,11 +139,13 @@ def random_forest(n_estimators: int = 100, max_depth: int = 10, min_samples_leaf
 
 
 def boosted_trees(n_estimators: int = 100, max_depth: int = 6, learning_rate: float = 0.1,
-                  seed: int = 42, max_bins: int = 128) -> GBTClassifier:
-    """M4: gradient-boosted trees (positive-class weight 1: unweighted)."""
-    return GBTClassifier(featuresCol=FEATURES_COL, labelCol=S.LABEL, maxIter=n_estimators,
-                         maxDepth=max_depth, stepSize=learning_rate, seed=seed, maxBins=max_bins,
-                         cacheNodeIds=True, checkpointInterval=10)
+                  seed: int = 42, max_bins: int = 128, scale_pos_weight: float = 1.0) -> GBTClassifier:
+    """M4: gradient-boosted trees.  ``scale_pos_weight`` multiplies the
+    weight of attack rows (``train_model`` adds the weight column)."""
+    gbt = GBTClassifier(featuresCol=FEATURES_COL, labelCol=S.LABEL, maxIter=n_estimators,
+                        maxDepth=max_depth, stepSize=learning_rate, seed=seed, maxBins=max_bins,
+                        cacheNodeIds=True, checkpointInterval=10)
+    return gbt if scale_pos_weight == 1 else gbt.setWeightCol(WEIGHT_COL)
 
 
 def make_estimator(model_type: str = "random_forest", **params):
@@ -146,7 +153,7 @@ def make_estimator(model_type: str = "random_forest", **params):
         return random_forest(**params)
     if model_type in ("gbt", "xgboost"):
         return boosted_trees(**params)
-    raise ValueError(f"Unknown model type: {model_type}")
+    raise ValueError(f"no estimator is called {model_type!r}")
 
 
 def train_model(train: DataFrame, features: list[str], model_type: str = "random_forest",
@@ -156,7 +163,9 @@ def train_model(train: DataFrame, features: list[str], model_type: str = "random
     est = make_estimator(model_type, **params)
     data = train
     if est.hasParam("weightCol") and est.isSet("weightCol"):
-        data = with_class_weights(train)
+        weight = params.get("scale_pos_weight")
+        data = with_class_weights(train) if weight is None else train.withColumn(
+            WEIGHT_COL, F.when(F.col(S.LABEL) == 1, float(weight)).otherwise(1.0))
     assembler = VectorAssembler(inputCols=features, outputCol=FEATURES_COL)
     return Pipeline(stages=[assembler, est]).fit(data)
 
@@ -168,13 +177,18 @@ def model_features(model: PipelineModel) -> list[str]:
 # --- M13 / M14 --------------------------------------------------------------------
 
 def score(model: PipelineModel, df: DataFrame, names: tuple[str, str]) -> DataFrame:
-    """Zero-fill the model's features, predict, P(class 1), text label."""
-    feats = [c for c in model_features(model) if c in df.columns]
-    scored = model.transform(zero_fill(df, feats))
-    scored = scored.withColumns({
-        "prediction": F.col("prediction").cast("int"),
-        "attack_probability": vector_to_array(F.col("probability"))[1],
-    }).drop(FEATURES_COL, "rawPrediction", "probability")
+    """Predict, P(class 1), text label.  Missing features count as 0 for the
+    model only: every input column comes through as it was (an earlier
+    prediction in the input is replaced)."""
+    made = {FEATURES_COL, "rawPrediction", "probability", "prediction", "attack_probability", "prediction_label"}
+    columns = [c for c in df.columns if c not in made]
+    feats = [c for c in model_features(model) if c in columns]
+    kept = {f: f"_input_{i}" for i, f in enumerate(feats)}
+    held = df.select(*columns).withColumns({k: F.col(f) for f, k in kept.items()})
+    scored = model.transform(zero_fill(held, feats))
+    scored = scored.select(*[F.col(kept.get(c, c)).alias(c) for c in columns],
+                           F.col("prediction").cast("int").alias("prediction"),
+                           vector_to_array(F.col("probability"))[1].alias("attack_probability"))
     return add_prediction_labels(scored, names)
 
 
@@ -189,20 +203,22 @@ def f1_of(scored: DataFrame, label_col: str = S.LABEL) -> DataFrame:
                                  F.lit(0.0)).alias("f1"))
 
 
+def assign_folds(data: DataFrame, key_cols: list[str], folds: int = 5, seed: int = 42) -> DataFrame:
+    """``data`` with ``fold`` (0 .. folds-1), round-robin within each class."""
+    return stratified_split(data, key_cols, test_size=0.5, seed=seed, folds=folds).drop(SPLIT_COL)
+
+
 def cross_validate(data: DataFrame, features: list[str], key_cols: list[str], folds: int = 5,
                    model_type: str = "random_forest", seed: int = 42, **params) -> DataFrame:
     """M7: stratified ``folds``-fold CV, F1 of class 1 per fold, plus
     mean and population std rows."""
-    assigned = stratified_split(data, key_cols, test_size=0.5, seed=seed, folds=folds).drop(SPLIT_COL)
-    assigned = assigned.persist()  # reused by every fold's fit and score
-    try:
+    with Scratch(data.sparkSession, "folds") as scratch:
+        assigned = scratch.land(assign_folds(data, key_cols, folds, seed), "folds")  # read by every fold
         scores = []
         for k in range(folds):
             model = train_model(assigned.where(F.col(FOLD_COL) != k), features, model_type, **params)
             # one scalar per fold (a model-sized result)
             scores.append(f1_of(score(model, assigned.where(F.col(FOLD_COL) == k), ("0", "1"))).first()[0])
-    finally:
-        assigned.unpersist()
     spark = data.sparkSession
     per_fold = spark.createDataFrame([(str(k), float(v)) for k, v in enumerate(scores)], "fold string, f1 double")
     summary = per_fold.agg(F.avg("f1").alias("m"), F.stddev_pop("f1").alias("s"))
@@ -220,10 +236,23 @@ def feature_importance(spark: SparkSession, model: PipelineModel) -> DataFrame:
     return df.orderBy(F.desc("importance"), "feature")
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    """The pipeline (assembler with the feature order + estimator)."""
+def save_model(model: PipelineModel, path: str, model_type: str | None = None) -> None:
+    """The pipeline (assembler with the feature order + estimator); with
+    ``model_type`` (e.g. 'sqli_detector') also that tag, as a small table
+    beside the stages."""
     model.write().overwrite().save(path)
+    if model_type:
+        spark = SparkSession.getActiveSession()
+        spark.createDataFrame([(model_type, ",".join(model_features(model)))],
+                              "model_type string, features string").coalesce(1).write.json(f"{path}/tag")
 
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def model_type_of(spark: SparkSession, path: str) -> str | None:
+    """The tag a model was saved with."""
+    if not path_exists(spark, f"{path}/tag"):
+        return None
+    return spark.read.json(f"{path}/tag").first()["model_type"]

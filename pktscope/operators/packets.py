@@ -56,16 +56,13 @@ def _distinct_count(col: str, mode: str):
     raise ValueError(f"unknown distinct mode {mode!r}")
 
 
-NANOS = 1e9
-
-
 def exact_mean(col: str):
-    """Mean of a fractional-seconds column that does not depend on the
-    summation order: values are summed as whole nanoseconds (a long sum is
-    exact and associative), so a re-run on another partitioning gives the
-    same bits.  Differs from a float mean by at most 0.5 ns."""
-    ns = F.floor(F.col(col) * F.lit(NANOS) + F.lit(0.5))
-    return F.sum(ns) / F.count(col) / F.lit(NANOS)
+    """Mean of a fractional-seconds column.  Values are summed as decimals
+    with nine digits behind the point, which is exact in any order, so a
+    re-run on another partitioning gives the same bits; a group with a value
+    outside that type's range falls back to the mean of doubles."""
+    exact = F.sum(F.col(col).try_cast("decimal(38,9)")).cast("double") / F.count(col)
+    return F.when(F.max(F.abs(F.col(col))) < F.lit(1e18), exact).otherwise(F.avg(col))
 
 
 def window_aggregates(distinct_mode: str = "exact") -> list:

@@ -1,5 +1,5 @@
 """Scored-row projections, alerts and summaries (P10-P14, A16, T1, T2, T5,
-F14, S6).  Predictions come from a fitted model (``operators.models``) or a
+F14, S6).  Predictions come from a fitted model (``operators.modeling``) or a
 rule; these operators only need ``prediction`` and, where shown,
 ``attack_probability``."""
 

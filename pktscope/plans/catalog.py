@@ -1,13 +1,11 @@
 """Registered queries: each takes ``(spark, sf_dir)`` and returns a
 DataFrame over the whole driver tables.  ``plans.oracle`` holds the DuckDB
-SQL with the same name.  Doubles are rounded with the same explicit formula
-on both sides (``floor(x * 1e6 + 0.5) / 1e6``), because sums in a different
-order differ in the last bits.
+SQL with the same name.  Doubles are rounded to 1e-6 on both sides (``r6``),
+because sums in a different order differ in the last bits.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,11 +19,11 @@ from pktscope.operators import scoring as SC
 from pktscope.operators.labels import label_distribution, label_syn_scan
 from pktscope.operators.packets import WINDOW_OUTPUT_COLUMNS, add_time_windows, clean_packets
 from pktscope.functions.lexical import add_lexical_features, decode_uri
-from pktscope.operators.requests import extract_http_requests
+from pktscope.operators.requests import extract_http_requests, preprocess_requests
 from pktscope.plans import evaluation as EVJ
 from pktscope.plans import scoring as SCJ
 from pktscope.plans import training as TR
-from pktscope.plans.http import labelled_requests, preprocess_http
+from pktscope.plans.http import labelled_requests
 from pktscope.plans.network import preprocess_windows
 from pktscope.plans.relabel import relabel_stored_windows as _relabel_job
 from pktscope.session import scratch_path
@@ -48,10 +46,11 @@ def _reg(name: str, fn):
 
 
 def r6(c: Column) -> Column:
-    """Round to 1e-6 (finite values; NaN -> NULL, +-inf kept)."""
+    """Round to 1e-6 (NaN -> NULL; +-inf and doubles too large to have such
+    digits as they are).  The tie is moved off the exact half, because sums
+    in a different order differ in the last bits."""
     c = F.nanvl(c, F.lit(None).cast("double"))
-    return F.when(F.abs(c) == F.lit(float("inf")), c).otherwise(
-        F.floor(c * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6))
+    return F.when(F.abs(c) < F.lit(9e9), F.floor(c * F.lit(1e6) + F.lit(0.50001)) / F.lit(1e6)).otherwise(c)
 
 
 def round_doubles(df: DataFrame) -> DataFrame:
@@ -59,16 +58,12 @@ def round_doubles(df: DataFrame) -> DataFrame:
     return df.withColumns({c: r6(F.col(c)) for c in dbl}) if dbl else df
 
 
-def window_seconds_for(sf_dir: str) -> int:
-    """Window length by scale: one day below sf0.1 (too few events per
-    hour), one hour from sf0.1 up (one-day windows would all be scans)."""
-    m = re.search(r"sf([0-9.]+)", sf_dir)
-    sf = float(m.group(1).rstrip(".")) if m else 1.0
-    return 86400 if sf < 0.1 else 3600
+#: Window length of every registered query (one week), at every scale.
+WINDOW_SECONDS = 604_800
 
 
 def _windows(spark: SparkSession, sf_dir: str, min_packets: int = 2) -> DataFrame:
-    return preprocess_windows(packets_raw(spark, sf_dir), window_seconds_for(sf_dir), min_packets)
+    return preprocess_windows(packets_raw(spark, sf_dir), WINDOW_SECONDS, min_packets)
 
 
 def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +86,7 @@ _reg("clean_packets", _clean_packets_query)
 @register
 def time_windows(spark, sf_dir):
     """W1."""
-    w = add_time_windows(_clean(spark, sf_dir), window_seconds_for(sf_dir))
+    w = add_time_windows(_clean(spark, sf_dir), WINDOW_SECONDS)
     return w.select(S.ROW_ID, S.TIME_EPOCH, S.TIME_WINDOW)
 
 
@@ -168,13 +163,13 @@ _reg("decode_uri", _decode_uri_query)
 @register
 def dedupe_requests(spark, sf_dir):
     """A17 / M12."""
-    return round_doubles(preprocess_http(packets_raw(spark, sf_dir)))
+    return round_doubles(preprocess_requests(packets_raw(spark, sf_dir)))
 
 
 @register
 def lexical_features(spark, sf_dir):
     """F2-F13 on decoded request URIs."""
-    df = add_lexical_features(preprocess_http(packets_raw(spark, sf_dir)), S.DECODED_URI)
+    df = add_lexical_features(preprocess_requests(packets_raw(spark, sf_dir)), S.DECODED_URI)
     return round_doubles(df.select(S.ROW_ID, S.DECODED_URI, *S.HTTP_FEATURES))
 
 
@@ -202,46 +197,37 @@ def _fresh_dir(spark, name: str) -> str:
 
 @register
 def csv_roundtrip(spark, sf_dir):
-    """S1 + S3 + S4: the derived capture written as a dotted-header CSV to
-    the shared folder, read back through the tolerant capture scan, then
-    prepared into windows; plus the labelled-request projection written and
-    read as CSV.  Returns the windows (must equal ``windows_full``)."""
+    """S1 + S3: the derived capture written as a dotted-header CSV to the
+    shared folder, read back through the tolerant capture scan, then
+    prepared into windows.  Must equal ``windows_full``."""
     base = _fresh_dir(spark, "csv_roundtrip")
     write_capture_csv(packets_raw(spark, sf_dir), f"{base}/capture.csv")
     raw = read_capture_csv(spark, f"{base}/capture.csv")
-    reqs = labelled_request_projection(labelled_requests(raw))
-    write_table(reqs, f"{base}/requests.csv", "csv")
-    windows = preprocess_windows(raw, window_seconds_for(sf_dir), 2)
+    windows = preprocess_windows(raw, WINDOW_SECONDS, 2)
     return round_doubles(windows.select(*WINDOW_OUTPUT_COLUMNS))
 
 
+@register
+def labelled_requests_roundtrip(spark, sf_dir):
+    """The labelled-request table written as CSV and read back."""
+    base = _fresh_dir(spark, "requests")
+    reqs = labelled_request_projection(_labelled_requests(spark, sf_dir))
+    write_table(reqs, f"{base}/requests.csv", "csv")
+    back = read_table(spark, f"{base}/requests.csv", schema=reqs.schema, fmt="csv")
+    return round_doubles(back.drop(S.TCP_LEN))
+
+
 @register
 def relabel_stored_windows(spark, sf_dir):
     """L3: stored windows (S3) -> read (S2) -> L1 -> written (S3) -> read."""
     base = _fresh_dir(spark, "relabel")
     write_table(_windows(spark, sf_dir).select(*WINDOW_OUTPUT_COLUMNS), f"{base}/windows.csv", "csv")
     _relabel_job(spark, f"{base}/windows.csv", f"{base}/labelled.csv", fmt="csv")
-    back = read_table(spark, f"{base}/labelled.csv", schema=_labelled_schema(), fmt="csv")
+    schema = S.window_csv_schema(WINDOW_OUTPUT_COLUMNS + [S.LABEL])
+    back = read_table(spark, f"{base}/labelled.csv", schema=schema, fmt="csv")
     return round_doubles(back.select(*LABEL_VIEW))
 
 
-def _labelled_schema():
-    long_cols = {"time_window", "syn_count", "ack_count", "rst_count", "fin_count", "unique_dst_ports",
-                 "unique_src_ports", "packet_count"}
-    fields = []
-    for c in WINDOW_OUTPUT_COLUMNS + [S.LABEL]:
-        if c in (S.IP_SRC, S.IP_DST):
-            t = T.StringType()
-        elif c == S.LABEL:
-            t = T.IntegerType()
-        elif c in long_cols:
-            t = T.LongType()
-        else:
-            t = T.DoubleType()
-        fields.append(T.StructField(c, t, True))
-    return T.StructType(fields)
-
-
 # --- evaluation and scoring on rule predictions --------------------------------
 # Without a model, the network "prediction" is the simple rule L2 and the
 # truth the combined rule L1; the HTTP prediction is the keyword flag and the
@@ -295,16 +281,27 @@ def _net_eval_input(spark, sf_dir):
     return EV.zero_fill(label_syn_scan(_windows(spark, sf_dir)), S.NETWORK_FEATURES)
 
 
+def _http_eval_input(spark, sf_dir):
+    return EV.zero_fill(_labelled_requests(spark, sf_dir), S.HTTP_FEATURES)
+
+
 @register
 def anova_scores(spark, sf_dir):
     """F-scores of the 16 network features against the L1 label."""
-    a = EV.anova_scores(_net_eval_input(spark, sf_dir), S.NETWORK_FEATURES)
+    a = EV.anova_f(_net_eval_input(spark, sf_dir), S.NETWORK_FEATURES)
+    return round_doubles(a.select("feature", "f_score"))
+
+
+@register
+def http_anova_scores(spark, sf_dir):
+    """E4 on the HTTP branch (11 lexical features vs L4)."""
+    a = EV.anova_f(_http_eval_input(spark, sf_dir), S.HTTP_FEATURES)
     return round_doubles(a.select("feature", "f_score"))
 
 
 @register
 def anova_pvalues(spark, sf_dir):
-    """E4 + F16 with p-values (no SQL oracle: DuckDB has no F distribution)."""
+    """E4 + F16 with p-values."""
     a = EV.anova_scores(_net_eval_input(spark, sf_dir), S.NETWORK_FEATURES)
     return round_doubles(a)
 
@@ -319,15 +316,14 @@ def spearman_correlations(spark, sf_dir):
 
 @register
 def spearman_pvalues(spark, sf_dir):
-    """E5 with p-values (no SQL oracle)."""
+    """E5 with p-values."""
     return round_doubles(EV.spearman_correlations(_net_eval_input(spark, sf_dir), S.NETWORK_FEATURES))
 
 
 @register
 def http_spearman_correlations(spark, sf_dir):
     """E5 on the HTTP branch (11 lexical features vs L4)."""
-    d = EV.zero_fill(_labelled_requests(spark, sf_dir), S.HTTP_FEATURES)
-    c = EV.spearman_correlations(d, S.HTTP_FEATURES)
+    c = EV.spearman_correlations(_http_eval_input(spark, sf_dir), S.HTTP_FEATURES)
     return round_doubles(c.select("feature", "correlation", "abs_correlation"))
 
 
@@ -337,10 +333,16 @@ def feature_correlation_matrix(spark, sf_dir):
     return round_doubles(EV.feature_correlation_matrix(_net_eval_input(spark, sf_dir), S.NETWORK_FEATURES))
 
 
+@register
+def http_feature_correlation_matrix(spark, sf_dir):
+    """E6 on the HTTP branch."""
+    return round_doubles(EV.feature_correlation_matrix(_http_eval_input(spark, sf_dir), S.HTTP_FEATURES))
+
+
 @register
 def top_features_by_anova(spark, sf_dir):
     """T4 over E4: ten highest F-scores."""
-    a = EV.anova_scores(_net_eval_input(spark, sf_dir), S.NETWORK_FEATURES).select("feature", "f_score")
+    a = EV.anova_f(_net_eval_input(spark, sf_dir), S.NETWORK_FEATURES).select("feature", "f_score")
     return round_doubles(EV.top_features(a, "f_score", 10))
 
 
@@ -478,17 +480,64 @@ def feature_importance(spark, sf_dir):
     return round_doubles(out["importance"])
 
 
+def _score_capture(spark, sf_dir):
+    net_path, http_path = _model_dir(spark, "syn_scan_detector"), _model_dir(spark, "sqli_detector")
+    TR.train_network(spark, _windows(spark, sf_dir), model_path=net_path, cv_folds=0)["scratch"].remove()
+    TR.train_http(spark, _labelled_requests(spark, sf_dir), model_path=http_path, cv_folds=0)["scratch"].remove()
+    return SCJ.predict_all(spark, packets_raw(spark, sf_dir), net_path, http_path,
+                           output_dir=_fresh_dir(spark, "predictions"), window_seconds=WINDOW_SECONDS)
+
+
 @register
 def score_capture(spark, sf_dir):
     """M15 + S5: train both detectors, then score the whole capture with
     the saved models; returns the detection summary (A16)."""
-    net_path, http_path = _model_dir(spark, "syn_scan_detector"), _model_dir(spark, "sqli_detector")
-    TR.train_network(spark, _windows(spark, sf_dir), model_path=net_path, cv_folds=0)
-    TR.train_http(spark, _labelled_requests(spark, sf_dir), model_path=http_path, cv_folds=0)
-    res = SCJ.predict_all(spark, packets_raw(spark, sf_dir), net_path, http_path,
-                          output_dir=_fresh_dir(spark, "predictions"),
-                          window_seconds=window_seconds_for(sf_dir), land_path=_fresh_dir(spark, "landed"))
-    return round_doubles(res["summary"])
+    return round_doubles(_score_capture(spark, sf_dir)["summary"])
+
+
+@register
+def score_capture_totals(spark, sf_dir):
+    """M15 + S5: the part of the summary that no model decides."""
+    return _score_capture(spark, sf_dir)["summary"].select("detector", "total")
+
+
+@register
+def score_passthrough(spark, sf_dir):
+    """The input columns of the scored windows, as the detector's output
+    carries them (NULL and integer features unchanged)."""
+    out = TR.train_network(spark, _windows(spark, sf_dir), cv_folds=0, n_estimators=5)
+    scored = SCJ.score_windows(out["model"], _windows(spark, sf_dir))
+    return round_doubles(scored.select(*WINDOW_OUTPUT_COLUMNS))
+
+
+@register
+def fold_counts(spark, sf_dir):
+    """M7: rows per (branch, label, fold) of the 5-fold assignment."""
+    def counts(d, keys, name):
+        return M.assign_folds(d, keys, 5).groupBy(S.LABEL, M.FOLD_COL).agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("branch"), S.LABEL, M.FOLD_COL, "rows")
+    return counts(_net_labelled(spark, sf_dir), S.WINDOW_KEYS, "network").unionByName(
+        counts(_labelled_requests(spark, sf_dir), S.REQUEST_KEYS, "http"))
+
+
+@register
+def http_cross_validation_f1(spark, sf_dir):
+    """M7 on the HTTP branch."""
+    out = TR.train_http(spark, _labelled_requests(spark, sf_dir), cv_folds=5)
+    return round_doubles(out["cv"])
+
+
+@register
+def test_rows_per_label(spark, sf_dir):
+    """M13 / M14 after M9 / M10: scored held-out rows per (branch, label)."""
+    net = TR.train_network(spark, _windows(spark, sf_dir), cv_folds=0, n_estimators=5)
+    http = TR.train_http(spark, _labelled_requests(spark, sf_dir), cv_folds=0, n_estimators=5)
+
+    def rows(scored, name):
+        return scored.groupBy(S.LABEL).agg(F.count("prediction").alias("rows")).select(
+            F.lit(name).alias("branch"), S.LABEL, "rows")
+    return rows(SCJ.score_windows(net["model"], net["test"]), "network").unionByName(
+        rows(SCJ.score_requests(http["model"], http["test"]), "http"))
 
 
 @register
@@ -503,22 +552,33 @@ def evaluation_job(spark, sf_dir):
 # --- streaming (X1) ----------------------------------------------------------------
 
 def _stream_windows_query(spark, sf_dir):
-    """The derived capture landed as Parquet files, read as a stream,
-    windowed with a watermark and run to the end of the available input;
-    complete mode so every window is emitted.  Must equal ``windows_full``."""
+    """The derived capture landed as Parquet files, read as a stream and
+    windowed in append mode: a window is written once, when the watermark has
+    passed its end, and leaves the state.  A last packet far in the future
+    closes the windows that are open at the end of the input; its own window
+    stays open and is not written.  Must equal ``windows_full``."""
     from pktscope.streaming import packet_stream, start_window_stream, stream_windows
     base = _fresh_dir(spark, "stream")
     raw = packets_raw(spark, sf_dir)
-    write_table(raw, f"{base}/packets")
-    stream = packet_stream(spark, f"{base}/packets", raw.schema)
-    windows = stream_windows(stream, window_seconds_for(sf_dir), 2, watermark="1 hour")
+    write_table(raw, f"{base}/packets/part=0")
+
+    def sink(batch, batch_id):
+        write_table(batch.drop("event_window"), f"{base}/windows/batch_id={batch_id}")
 
-    def sink(batch, _id):
-        write_table(batch.drop("event_window"), f"{base}/windows")
+    def run():
+        stream = packet_stream(spark, f"{base}/packets/*", raw.schema)
+        windows = stream_windows(stream, WINDOW_SECONDS, 2, watermark="1 hour")
+        start_window_stream(windows, f"{base}/_checkpoint", sink, available_now=True).awaitTermination()
 
-    q = start_window_stream(windows, f"{base}/_checkpoint", sink, output_mode="complete", available_now=True)
-    q.awaitTermination()
-    return round_doubles(read_table(spark, f"{base}/windows").select(*WINDOW_OUTPUT_COLUMNS))
+    run()
+    tail = raw.agg(F.max(S.TIME_EPOCH).alias("last")).select(*[
+        (F.coalesce("last", F.lit(0.0)) + 10 * WINDOW_SECONDS).alias(c) if c == S.TIME_EPOCH else
+        F.lit("end of input").alias(c) if c in (S.IP_SRC, S.IP_DST) else
+        F.lit(None).cast(raw.schema[c].dataType).alias(c) for c in raw.columns])
+    write_table(tail, f"{base}/packets/part=1")
+    run()
+    done = spark.read.option("basePath", f"{base}/windows").parquet(f"{base}/windows")
+    return round_doubles(done.select(*WINDOW_OUTPUT_COLUMNS))
 
 
 _reg("stream_windows", _stream_windows_query)
@@ -551,8 +611,9 @@ def na_words_and_coercion(spark, sf_dir):
     """N7 + N4 + P2 on text derived from every event: NA words -> NULL,
     then the numeric guard."""
     from pktscope.functions.coercion import coerce_number, nullify_na_words
-    from pktscope.sources.derived import TEXT_CASES, read_spread
-    ev = read_spread(spark, sf_dir, "events", ["event_id", "value"])
+    from pktscope.sources.derived import TEXT_CASES
+    from pktscope.sources.derived import read_table as derived_table
+    ev = derived_table(spark, sf_dir, "events").select("event_id", "value")
     k = F.col("event_id") % 25
     text = F.when(k < len(TEXT_CASES), F.element_at(F.array(*[F.lit(t) for t in TEXT_CASES]),
                                                      (k + 1).cast("int"))

@@ -8,14 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pktscope import schema as S
 from pktscope.operators import evaluation as EV
 from pktscope.operators import modeling as M
+from pktscope.session import Scratch
 from pktscope.sources.capture_csv import write_table
 
 
 def evaluate_model(spark: SparkSession, model: PipelineModel, test: DataFrame,
                    class_names: tuple[str, str] = ("Normal Traffic", "SYN Scan Attack"),
                    output_dir: str | None = None) -> dict[str, DataFrame]:
+    """All tables of the evaluation.  The scored rows are landed once; with
+    ``output_dir`` every table is written there and read from there."""
     feats = M.model_features(model)
-    scored = M.score(model, test, ("0", "1")).persist()
+    scored = Scratch(spark, "evaluation").land(M.score(model, test, ("0", "1")), "scored")
     X = EV.zero_fill(scored, feats)
     tables = {
         "confusion_matrix": EV.confusion_matrix(scored),
@@ -30,6 +33,7 @@ def evaluate_model(spark: SparkSession, model: PipelineModel, test: DataFrame,
                                                                        "attack_probability"]]),
     }
     if output_dir:
-        for name, df in tables.items():
+        for name, df in list(tables.items()):
             write_table(df, f"{output_dir}/{name}")
+            tables[name] = spark.read.schema(df.schema).parquet(f"{output_dir}/{name}")
     return tables

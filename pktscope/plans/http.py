@@ -11,13 +11,8 @@ from pktscope.operators.labels import label_sqli
 from pktscope.operators.requests import preprocess_requests
 
 
-def preprocess_http(raw: DataFrame) -> DataFrame:
-    """One shuffle (the dedupe), everything else narrow."""
-    return preprocess_requests(raw)
-
-
 def labelled_requests(raw: DataFrame, uri_column: str = S.DECODED_URI,
                       special_char_threshold: int = 2) -> DataFrame:
     """M12 -> F2-F13 -> L4."""
-    feats = add_lexical_features(preprocess_http(raw), uri_column)
+    feats = add_lexical_features(preprocess_requests(raw), uri_column)
     return label_sqli(feats, special_char_threshold)

@@ -9,7 +9,8 @@ from pktscope.operators.packets import add_time_windows, aggregate_windows, clea
 
 def preprocess_windows(raw: DataFrame, window_seconds: float = 1, min_packets: int = 2,
                        distinct_mode: str = "exact") -> DataFrame:
-    """S1 output -> P1-P3 -> W1 -> A1-A14, D1-D7 -> P6, as one lazy plan
-    with a single shuffle on (ip_src, ip_dst, time_window)."""
+    """S1 output -> P1-P3 -> W1 -> A1-A14, D1-D7 -> P6, as one lazy plan.
+    The two exact port counts make it two shuffles: one by the window key and
+    a port value, on rows already combined, and one by the window key."""
     packets = add_time_windows(clean_packets(raw), window_seconds)
     return aggregate_windows(packets, min_packets=min_packets, distinct_mode=distinct_mode)

@@ -1,18 +1,38 @@
 """DuckDB SQL equivalents of the registered queries (the correctness
 oracle).  Tables ``events`` and ``documents`` are views over the same
-parquet files.  Each string mirrors the Spark plan of the query with the
-same name in ``plans.catalog``; both sides round doubles with the same
-explicit formula (``floor(x * 1e6 + 0.5) / 1e6``) so that summation order
-cannot change the compared values.
+parquet files.  Both sides round doubles to 1e-6 the same way (``r6``), so
+that summation order cannot change the compared values.  Word lists and
+patterns are spelled out here and not taken from the code under test.
 """
 
 from __future__ import annotations
 
-from pktscope.functions.coercion import NA_WORDS, NUMBER_PATTERN
-from pktscope.functions import lexical as LX
-from pktscope.sources.derived import TEXT_CASES, URI_SUFFIXES
-
-ORACLE_WINDOW_SECONDS = 86400  # the oracle runs at sf0.01
+import sys
+
+ORACLE_WINDOW_SECONDS = 604_800
+
+# Fixed values, stated apart from the package's own.
+NA_WORDS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+            "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+BLANKS = r"[ \t\n\x0B\f\r]*"
+NUMBER = rf"^{BLANKS}([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?){BLANKS}$"
+KEYWORDS = ("select|union|drop|insert|update|delete|where|from|into|values|table|database|schema|concat|"
+            "group_concat|load_file|outfile|benchmark|sleep|waitfor|case|when|having|order|by|limit|and|or|"
+            "xor|not|null|like|in|between|exists|exec|execute|xp_cmdshell|information_schema")
+COMMENT_MARKS = ["--", "#", "/*", "*/"]
+QUOTE_MARKS = ["'", '"']
+ENCODED_MARKS = ["%27", "%22", "%3d", "%3b", "%2d%2d", "%23"]
+SPECIAL_CHARS = "'\";=%()"
+PARAM_CHARS = "&?"
+DIGITS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isdigit())
+_BLANK = "[" + "".join(f"\\x{{{ord(c):X}}}" for c in map(chr, range(sys.maxunicode + 1)) if c.isspace()) + "]"
+ALWAYS_TRUE = (f"('|\")?{_BLANK}*(or|and){_BLANK}+('?1'?{_BLANK}*={_BLANK}*'?1'?|'?true'?|"
+               f"'a'{_BLANK}*={_BLANK}*'a')")
+TEXT_CASES = ["NA", "null", "None", "nan", "", "Null", "none", "n/a", " 2 ", "1e3", "80,443", "0x1F", "1d",
+              "2f", "inf", "-1.#IND", "#N/A", ".5", "+4.", "1E-2"]
+URI_SUFFIXES = ["%27%20OR%201%3D1--",
+                "%2527%2520union%2520select%2520null--&trace=" + "0123456789" * 6,
+                "&q=a+b%2Bc", "&pct=100%", "&q=%C3%89t%C3%A9", ";drop table x;%23", "&q=%252527x", ""]
 
 
 def q(s: str) -> str:
@@ -21,7 +41,7 @@ def q(s: str) -> str:
 
 
 def r6(x: str) -> str:
-    return f"(CASE WHEN isinf({x}) THEN ({x}) ELSE floor(({x}) * 1e6 + 0.5) / 1e6 END)"
+    return f"(CASE WHEN abs({x}) < 9e9 THEN floor(({x}) * 1e6 + 0.50001) / 1e6 ELSE ({x}) END)"
 
 
 NA_LIST = ", ".join(q(w) for w in NA_WORDS)
@@ -31,7 +51,7 @@ URI_SUFFIXES_SQL_CASE = ("(CASE event_id % 8 " + " ".join(
 
 
 def num(x: str) -> str:
-    v = f"TRY_CAST(NULLIF(regexp_extract({x}, {q(NUMBER_PATTERN)}, 1), '') AS DOUBLE)"
+    v = f"TRY_CAST(NULLIF(regexp_extract({x}, {q(NUMBER)}, 1), '') AS DOUBLE)"
     return f"(CASE WHEN isfinite({v}) THEN {v} END)"
 
 
@@ -44,7 +64,7 @@ packets_raw0 AS (
   SELECT event_id AS row_id,
     epoch_us(ts) / 1e6 AS frame_time_epoch,
     printf('%.5f', value / 1000) AS frame_time_delta,
-    CASE WHEN event_id % 101 <> 0 THEN '10.0.0.' || CAST(user_id % 16 AS VARCHAR) END AS ip_src,
+    CASE WHEN event_id % 101 <> 0 THEN '10.' || (user_id // 65536) || '.' || (user_id // 256 % 256) || '.' || (user_id % 256) END AS ip_src,
     '192.168.0.' || CAST(event_id % 2 AS VARCHAR) AS ip_dst,
     CAST(1024 + event_id % 500 AS VARCHAR) AS tcp_srcport,
     json_extract_string(props, '$.k') AS tcp_dstport,
@@ -102,7 +122,7 @@ agg AS (
     count(frame_len) AS packet_count,
     coalesce(sum(frame_len), 0.0) AS total_bytes,
     avg(frame_len) AS mean_packet_size,
-    CAST(sum(CAST(floor(frame_time_delta * 1e9 + 0.5) AS BIGINT)) AS DOUBLE) / count(frame_time_delta) / 1e9 AS mean_time_delta,
+    CAST(sum(CAST(frame_time_delta AS DECIMAL(38, 9))) AS DOUBLE) / count(frame_time_delta) AS mean_time_delta,
     min(frame_time_delta) AS min_time_delta,
     max(frame_time_delta) AS max_time_delta,
     min(frame_time_epoch) AS window_start,
@@ -198,24 +218,28 @@ FROM (SELECT count(*) FILTER (WHERE label = 0) AS n0, count(*) FILTER (WHERE lab
 
 # --- HTTP branch -------------------------------------------------------------
 
+def any_of(u: str, marks: list[str]) -> str:
+    return "(" + " OR ".join(f"contains({u}, {q(m)})" for m in marks) + ")"
+
+
 def lexical_sql(u_expr: str) -> str:
     """The 11 lexical features of a payload expression."""
-    u = f"lower(coalesce(CAST({u_expr} AS VARCHAR), {q(LX.MISSING_TEXT)}))"
-    kw = f"len(regexp_extract_all({u}, {q('(?i)' + LX.SQL_KEYWORDS)}))"
-    special = f"(length({u}) - length(translate({u}, {q(LX.SPECIAL_CHARS)}, '')))"
-    digits = f"(length({u}) - length(translate({u}, {q(LX.DIGIT_CHARS)}, '')))"
+    u = f"lower(coalesce(CAST({u_expr} AS VARCHAR), 'nan'))"
+    kw = f"len(regexp_extract_all({u}, {q(f'(?i)({KEYWORDS})')}))"
+    special = f"(length({u}) - length(translate({u}, {q(SPECIAL_CHARS)}, '')))"
+    digits = f"(length({u}) - length(translate({u}, {q(DIGITS)}, '')))"
     return f"""
     CAST({kw} > 0 AS INTEGER) AS has_sql_keywords,
-    CAST(regexp_matches({u}, {q(LX.COMMENTS)}) AS INTEGER) AS has_comment,
-    CAST(regexp_matches({u}, {q('(?i)' + LX.OR_TRUE)}) AS INTEGER) AS has_or_true,
-    CAST(regexp_matches({u}, {q(LX.QUOTES)}) AS INTEGER) AS has_quotes,
-    CAST(regexp_matches({u}, {q('(?i)' + LX.ENCODED_CHARS)}) AS INTEGER) AS has_encoded_chars,
+    CAST({any_of(u, COMMENT_MARKS)} AS INTEGER) AS has_comment,
+    CAST(regexp_matches({u}, {q('(?i)' + ALWAYS_TRUE)}) AS INTEGER) AS has_or_true,
+    CAST({any_of(u, QUOTE_MARKS)} AS INTEGER) AS has_quotes,
+    CAST({any_of(u, ENCODED_MARKS)} AS INTEGER) AS has_encoded_chars,
     CAST({special} AS BIGINT) AS special_char_count,
     CAST({kw} AS BIGINT) AS keyword_count,
     CAST(length({u}) AS BIGINT) AS payload_length,
-    CAST(length({u}) - length(translate({u}, {q(LX.PARAM_CHARS)}, '')) AS BIGINT) AS param_count,
-    {r6(f"{digits} / (length({u}) + 1)")} AS digit_ratio,
-    {r6(f"{special} / (length({u}) + 1)")} AS special_ratio"""
+    CAST(length({u}) - length(translate({u}, {q(PARAM_CHARS)}, '')) AS BIGINT) AS param_count,
+    {digits} / (length({u}) + 1) AS digit_ratio,
+    {special} / (length({u}) + 1) AS special_ratio"""
 
 
 HTTP_CTES = """
@@ -260,15 +284,22 @@ ORACLES["decode_uri"] = (
       " FROM packets_raw WHERE http_request_uri IS NOT NULL")
 ORACLES["dedupe_requests"] = (with_(PACKETS_RAW, HTTP_CTES)
                               + f"\nSELECT {rounded(_REQ_COLS, {'frame_time_epoch'})} FROM requests")
+_FEATURE_DOUBLES = {"digit_ratio", "special_ratio"}
 ORACLES["lexical_features"] = (with_(PACKETS_RAW, HTTP_CTES)
-                               + f"\nSELECT row_id, decoded_uri, {', '.join(_FEATS)} FROM features")
-ORACLES["lexical_features_documents"] = f"SELECT doc_id, {lexical_sql('text')} FROM documents"
+                               + f"\nSELECT row_id, decoded_uri, {rounded(_FEATS, _FEATURE_DOUBLES)} FROM features")
+ORACLES["lexical_features_documents"] = (f"WITH f AS (SELECT doc_id, {lexical_sql('text')} FROM documents)"
+                                         f"\nSELECT doc_id, {rounded(_FEATS, _FEATURE_DOUBLES)} FROM f")
 ORACLES["sqli_labels"] = (with_(PACKETS_RAW, HTTP_CTES)
                           + "\nSELECT row_id, ip_src, decoded_uri, has_sql_keywords, special_char_count,"
                             " has_or_true, has_comment, label FROM labelled_requests")
 
 
 ORACLES["csv_roundtrip"] = ORACLES["windows_full"]
+ORACLES["score_passthrough"] = ORACLES["windows_full"]
+ORACLES["labelled_requests_roundtrip"] = (
+    with_(PACKETS_RAW, HTTP_CTES)
+    + f"\nSELECT {rounded([c for c in _REQ_COLS if c != 'row_id'] + _FEATS + ['label'], _FEATURE_DOUBLES | {'frame_time_epoch'})}"
+      " FROM labelled_requests")
 ORACLES["relabel_stored_windows"] = ORACLES["syn_scan_labels"]
 
 
@@ -364,16 +395,41 @@ filled AS (SELECT label, {filled} FROM {source}),
 long AS (UNPIVOT filled ON {", ".join(features)} INTO NAME feature VALUE value)"""
 
 
-ANOVA = with_(PACKETS_RAW, CLEAN, windows_cte(), _long("labelled_windows", NETWORK_FEATURES)) + """,
+def _anova(prefix_ctes: list[str], source: str, features: list[str]) -> str:
+    return with_(*prefix_ctes, _long(source, features)) + """,
 mom AS (SELECT feature, label, count(*) AS n_k, avg(value) AS mean_k, var_pop(value) AS var_k
         FROM long GROUP BY feature, label),
 g AS (SELECT *, sum(n_k * mean_k) OVER (PARTITION BY feature) / sum(n_k) OVER (PARTITION BY feature) AS grand FROM mom),
 per AS (SELECT feature, sum(n_k) AS n, count(*) AS k, sum(n_k * pow(mean_k - grand, 2)) AS ssb,
                sum(n_k * var_k) AS ssw FROM g GROUP BY feature),
-anova AS (SELECT feature, CASE WHEN ssw = 0 THEN (CASE WHEN ssb > 0 THEN CAST('inf' AS DOUBLE) END)
+anova AS (SELECT feature, n, CASE WHEN ssw = 0 THEN (CASE WHEN ssb > 0 THEN CAST('inf' AS DOUBLE) END)
                           ELSE (ssb / (k - 1)) / (ssw / (n - k)) END AS f_score FROM per)"""
 
+
+def _two_sided(source: str, t: str) -> str:
+    """CTE ``p(feature, p_value)``: P(|T| > t) with n - 2 degrees of freedom,
+    as a ratio of Simpson sums of cos(a)^(n - 3) over a = s / sqrt(n - 2):
+    with tan(a) = u / sqrt(n - 2) that is the density at u."""
+    return f"""
+stat AS (SELECT feature, CAST(n AS DOUBLE) - 2 AS v, {t} AS t FROM {source}),
+lim AS (SELECT feature, v, t, least(40.0, sqrt(v) * pi() / 2) AS top, sqrt(v) * atan(t / sqrt(v)) AS low FROM stat),
+grid AS (SELECT *, i / 20000 AS x, CASE WHEN i IN (0, 20000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END AS w
+         FROM lim, range(0, 20001) r(i)),
+area AS (SELECT feature, any_value(t) AS t,
+           sum(w * pow(greatest(cos(x * top / sqrt(v)), 0), v - 1)) * any_value(top) AS whole,
+           sum(w * pow(greatest(cos((low + x * (top - low)) / sqrt(v)), 0), v - 1)) * any_value(greatest(top - low, 0)) AS tail
+         FROM grid GROUP BY feature),
+p AS (SELECT feature, CASE WHEN t IS NULL THEN NULL WHEN isinf(t) THEN 0.0 ELSE tail / whole END AS p_value FROM area)"""
+
+
+_NET_CTES = [PACKETS_RAW, CLEAN, windows_cte()]
+ANOVA = _anova(_NET_CTES, "labelled_windows", NETWORK_FEATURES)
 ORACLES["anova_scores"] = ANOVA + f"\nSELECT feature, {r6('f_score')} AS f_score FROM anova"
+ORACLES["anova_pvalues"] = ANOVA + "," + _two_sided("anova", "sqrt(f_score)") + f"""
+SELECT feature, {r6('f_score')} AS f_score, {r6('p_value')} AS p_value, coalesce(p_value < 0.05, false) AS significant
+FROM anova JOIN p USING (feature)"""
+ORACLES["http_anova_scores"] = (_anova([PACKETS_RAW, HTTP_CTES], "labelled_requests", HTTP_FEATURES)
+                                + f"\nSELECT feature, {r6('f_score')} AS f_score FROM anova")
 ORACLES["top_features_by_anova"] = (ANOVA + f"\nSELECT feature, {r6('f_score')} AS f_score FROM anova"
                                     " ORDER BY f_score DESC NULLS LAST, feature LIMIT 10")
 
@@ -385,17 +441,20 @@ ranks AS (SELECT feature, value, label,
               + (count(*) OVER (PARTITION BY feature, value) - 1) / 2.0 AS r FROM long),
 sp AS (SELECT feature, CASE WHEN var_pop(r) > 0 AND var_pop(label) > 0
                           THEN greatest(-1.0, least(1.0, corr(r, label))) END AS correlation
-       FROM ranks GROUP BY feature)
-SELECT feature, {r6('correlation')} AS correlation, {r6('abs(correlation)')} AS abs_correlation FROM sp"""
+       , count(*) AS n FROM ranks GROUP BY feature)"""
 
 
-ORACLES["spearman_correlations"] = _spearman([PACKETS_RAW, CLEAN, windows_cte()], "labelled_windows",
-                                             NETWORK_FEATURES)
-ORACLES["http_spearman_correlations"] = _spearman([PACKETS_RAW, HTTP_CTES], "labelled_requests", HTTP_FEATURES)
+_RANKED = f"\nSELECT feature, {r6('correlation')} AS correlation, {r6('abs(correlation)')} AS abs_correlation"
+_NET_SPEARMAN = _spearman(_NET_CTES, "labelled_windows", NETWORK_FEATURES)
+ORACLES["spearman_correlations"] = _NET_SPEARMAN + _RANKED + " FROM sp"
+ORACLES["spearman_pvalues"] = (
+    _NET_SPEARMAN + "," + _two_sided("sp", "abs(correlation) * sqrt((n - 2) / ((1 - correlation) * (1 + correlation)))")
+    + _RANKED + f", {r6('p_value')} AS p_value FROM sp JOIN p USING (feature)")
+ORACLES["http_spearman_correlations"] = (
+    _spearman([PACKETS_RAW, HTTP_CTES], "labelled_requests", HTTP_FEATURES) + _RANKED + " FROM sp")
 
 
-def _pearson_matrix() -> str:
-    fs = NETWORK_FEATURES
+def _pearson_matrix(prefix_ctes: list[str], source: str, fs: list[str]) -> str:
     filled = ", ".join(f"CAST(coalesce({f}, 0) AS DOUBLE) AS {f}" for f in fs)
     aggs = [f"var_pop({f}) AS v{i}" for i, f in enumerate(fs)]
     cells = []
@@ -404,15 +463,17 @@ def _pearson_matrix() -> str:
             aggs.append(f"covar_pop({fs[i]}, {fs[j]}) AS c{i}_{j}")
             corr = f"CASE WHEN v{i} > 0 AND v{j} > 0 THEN c{i}_{j} / sqrt(v{i} * v{j}) END"
             cells.append(f"{{'feature_a': {q(fs[i])}, 'feature_b': {q(fs[j])}, 'correlation': {r6(corr)}}}")
-    return (with_(PACKETS_RAW, CLEAN, windows_cte())
+    return (with_(*prefix_ctes)
             + f""",
-filled AS (SELECT {filled} FROM labelled_windows),
+filled AS (SELECT {filled} FROM {source}),
 wide AS (SELECT {", ".join(aggs)} FROM filled),
 cells AS (SELECT unnest([{", ".join(cells)}]) AS s FROM wide)
 SELECT s.feature_a AS feature_a, s.feature_b AS feature_b, s.correlation AS correlation FROM cells""")
 
 
-ORACLES["feature_correlation_matrix"] = _pearson_matrix()
+ORACLES["feature_correlation_matrix"] = _pearson_matrix(_NET_CTES, "labelled_windows", NETWORK_FEATURES)
+ORACLES["http_feature_correlation_matrix"] = _pearson_matrix(
+    [PACKETS_RAW, HTTP_CTES], "labelled_requests", HTTP_FEATURES)
 
 ORACLES["detection_summary"] = ALL_CTES + f"""
 SELECT detector, total, attacks, total - attacks AS normal,
@@ -480,6 +541,25 @@ ORACLES["class_weights"] = (with_(PACKETS_RAW, CLEAN, windows_cte(), HTTP_CTES)
                             + _weights("labelled_windows", "network") + "\nUNION ALL "
                             + _weights("labelled_requests", "http"))
 
+ORACLES["test_rows_per_label"] = with_(PACKETS_RAW, CLEAN, windows_cte(), HTTP_CTES) + f"""
+SELECT 'network' AS branch, label, CAST(t AS BIGINT) AS rows FROM ({_alloc('labelled_windows', 0.2)})
+UNION ALL SELECT 'http', label, CAST(t AS BIGINT) FROM ({_alloc('labelled_requests', 0.3)})"""
+
+
+def _folds(source: str, branch: str) -> str:
+    """Round-robin: fold k of a class with c rows has ceil((c - k) / 5)."""
+    return (f"SELECT '{branch}' AS branch, label, CAST(k AS INTEGER) AS fold, "
+            f"CAST(ceil((c - k) / 5) AS BIGINT) AS rows "
+            f"FROM (SELECT label, count(*) AS c FROM {source} GROUP BY label), range(0, 5) r(k) WHERE c > k")
+
+
+ORACLES["fold_counts"] = (with_(PACKETS_RAW, CLEAN, windows_cte(), HTTP_CTES) + "\n"
+                          + _folds("labelled_windows", "network") + "\nUNION ALL "
+                          + _folds("labelled_requests", "http"))
+ORACLES["score_capture_totals"] = with_(PACKETS_RAW, CLEAN, windows_cte(), HTTP_CTES) + """
+SELECT 'syn_scan' AS detector, count(*) AS total FROM windows
+UNION ALL SELECT 'sqli', count(*) FROM requests"""
+
 ORACLES["network_feature_matrix"] = (with_(PACKETS_RAW, CLEAN, windows_cte()) + "\nSELECT ip_src, ip_dst, time_window, label, "
                                      + ", ".join(f"{r6(f'CAST(coalesce({f}, 0) AS DOUBLE)')} AS {f}" for f in NETWORK_FEATURES)
                                      + " FROM labelled_windows")
@@ -505,11 +585,10 @@ SELECT row_id, {r6('frame_time_epoch')} AS frame_time_epoch, frame_time_delta, i
   http_request_uri, _ws_col_protocol
 FROM packets_raw ORDER BY row_id LIMIT 100"""
 
-_TEXT_CASES = TEXT_CASES
 ORACLES["na_words_and_coercion"] = f"""
 WITH t AS (
   SELECT event_id AS row_id,
-    CASE WHEN event_id % 25 < {len(_TEXT_CASES)} THEN [{", ".join(q(x) for x in _TEXT_CASES)}][event_id % 25 + 1]
+    CASE WHEN event_id % 25 < {len(TEXT_CASES)} THEN [{", ".join(q(x) for x in TEXT_CASES)}][event_id % 25 + 1]
          ELSE printf('%.2f', value) END AS raw_text
   FROM events),
 c AS (SELECT row_id, raw_text, CASE WHEN raw_text IN ({NA_LIST}) THEN NULL ELSE raw_text END AS cleaned FROM t)

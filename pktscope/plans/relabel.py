@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from pktscope import schema as S
 from pktscope.operators.labels import label_syn_scan
-from pktscope.sources.capture_csv import read_table, write_table
+from pktscope.sources.capture_csv import read_header, read_table, write_table
 
 
 def relabel_stored_windows(spark: SparkSession, in_path: str, out_path: str, fmt: str = "parquet",
                            syn_threshold: int = 5, ports_threshold: int = 3,
                            syn_ack_ratio_threshold: float = 3.0) -> None:
-    windows = read_table(spark, in_path, fmt=fmt)
+    schema = S.window_csv_schema(read_header(spark, in_path)) if fmt == "csv" else None
+    windows = read_table(spark, in_path, schema=schema, fmt=fmt)
     labelled = label_syn_scan(windows, syn_threshold, ports_threshold, syn_ack_ratio_threshold)
     write_table(labelled, out_path, fmt)

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-import os
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
 from pktscope.functions.lexical import add_lexical_features
 from pktscope.operators import modeling as M
 from pktscope.operators import scoring as SC
-from pktscope.plans.http import preprocess_http
+from pktscope.operators.requests import preprocess_requests
 from pktscope.plans.network import preprocess_windows
-from pktscope.sources.capture_csv import write_table
+from pktscope.session import Scratch, path_exists
+from pktscope.sources.capture_csv import read_table, write_table
 
 
 def score_windows(model_or_path, windows: DataFrame) -> DataFrame:
@@ -26,37 +27,42 @@ def score_requests(model_or_path, requests: DataFrame) -> DataFrame:
     return M.score(model, requests, SC.HTTP_LABELS)
 
 
-def _exists(path) -> bool:
-    return path is not None and (not isinstance(path, str) or os.path.exists(path) or "://" in path)
+def _available(spark: SparkSession, model) -> bool:
+    return model is not None and (not isinstance(model, str) or path_exists(spark, model))
 
 
 def predict_all(spark: SparkSession, raw: DataFrame, network_model=None, http_model=None,
                 output_dir: str | None = None, window_seconds: float = 1, min_packets: int = 2,
-                fmt: str = "parquet", land_path: str | None = None) -> dict:
-    """Both detectors on one capture.  A detector without a model is
-    skipped; each result is written (S5) when ``output_dir`` is given; the
-    summary (A16) unions the detectors that ran.  ``raw`` is scanned by both
-    branches; each branch prunes to its own columns.  With ``land_path``
-    (a folder in the shared storage) the capture is first written once as
-    Parquet, so a CSV capture is parsed once and both branches read only
-    their columns from the landed table."""
-    if land_path:
-        write_table(raw, land_path)
-        raw = spark.read.parquet(land_path)
-    results = {}
-    if _exists(network_model):
-        windows = preprocess_windows(raw, window_seconds, min_packets)
-        results["syn_scan"] = score_windows(network_model, windows)
-    if _exists(http_model):
-        reqs = add_lexical_features(preprocess_http(raw))
-        results["sqli"] = score_requests(http_model, reqs)
-    if output_dir:
-        names = {"syn_scan": "syn_scan_predictions", "sqli": "sqli_predictions"}
-        for k, df in results.items():
-            write_table(df, f"{output_dir}/{names[k]}", fmt)
-    summary = None
-    for k, df in results.items():
-        s = SC.detection_summary(df, k)
-        summary = s if summary is None else summary.unionByName(s)
+                fmt: str = "parquet", land: bool = True) -> dict:
+    """Both detectors on one capture.  The capture is landed once as
+    Parquet (``land``), so a CSV is parsed once and each branch reads only
+    its columns.  A detector without a model is skipped; one that fails (the
+    capture lacks its columns, say) is reported as a warning and leaves the
+    other alone.  Every result is written (S5) below ``output_dir``, or a
+    scratch folder without one, and the summary (A16) reads what was
+    written, so nothing is scored twice."""
+    scratch = Scratch(spark, "predictions")
+    if land:
+        raw = scratch.land(raw, "capture")
+    base = output_dir or scratch.path
+    branches = {
+        "syn_scan": (network_model, "syn_scan_predictions", lambda m: score_windows(
+            m, preprocess_windows(raw, window_seconds, min_packets))),
+        "sqli": (http_model, "sqli_predictions", lambda m: score_requests(
+            m, add_lexical_features(preprocess_requests(raw)))),
+    }
+    results, summary = {}, None
+    for name, (model, folder, run) in branches.items():
+        if not _available(spark, model):
+            continue
+        try:
+            scored = run(model)
+            write_table(scored, f"{base}/{folder}", fmt)
+        except Exception as error:  # noqa: BLE001 - one branch must not stop the other
+            warnings.warn(f"{name}: not scored: {error}", stacklevel=2)
+            continue
+        results[name] = read_table(spark, f"{base}/{folder}", schema=scored.schema, fmt=fmt)
+        part = SC.detection_summary(results[name], name)
+        summary = part if summary is None else summary.unionByName(part)
     results["summary"] = summary
     return results

@@ -9,30 +9,36 @@ from pyspark.sql import functions as F
 from pktscope import schema as S
 from pktscope.operators import modeling as M
 from pktscope.operators.labels import label_syn_scan
+from pktscope.session import Scratch
 
 
 def prepare_split(labelled: DataFrame, features: list[str], key_cols: list[str],
-                  test_size: float, seed: int = 42) -> DataFrame:
-    """Feature matrix (zero-filled) with keys, label and ``split``; the
-    result is checkpointed-friendly and reused by fit and evaluation."""
-    fm = M.feature_matrix(labelled, features, keep=key_cols + [S.LABEL])
-    return M.stratified_split(fm, key_cols, S.LABEL, test_size, seed)
+                  test_size: float, seed: int = 42, scratch: Scratch | None = None) -> DataFrame:
+    """Feature matrix (zero-filled) with keys, label and ``split``.  The
+    narrow matrix is landed once and feeds both passes of the split; the
+    split is landed for the passes of the learner and the evaluation."""
+    scratch = scratch or Scratch(labelled.sparkSession, "training")
+    fm = scratch.land(M.feature_matrix(labelled, features, keep=key_cols + [S.LABEL]), "features")
+    return scratch.land(M.stratified_split(fm, key_cols, S.LABEL, test_size, seed), "split")
 
 
 def train_detector(spark: SparkSession, labelled: DataFrame, features: list[str], key_cols: list[str],
                    test_size: float, model_type: str = "random_forest", model_path: str | None = None,
-                   cv_folds: int = 0, **params) -> dict:
-    split = prepare_split(labelled, features, key_cols, test_size).persist()
+                   cv_folds: int = 0, tag: str | None = None, **params) -> dict:
+    """The returned ``train``, ``test`` and ``balance`` read a scratch folder
+    (``scratch``), which the caller removes when it needs them no more."""
+    scratch = Scratch(spark, "training")
+    split = prepare_split(labelled, features, key_cols, test_size, scratch=scratch)
     feats = M.select_features(split, features)
     train = split.where(F.col(M.SPLIT_COL) == "train")
     test = split.where(F.col(M.SPLIT_COL) == "test")
     model = M.train_model(train, feats, model_type, **params)
-    out = {"model": model, "features": feats, "train": train, "test": test,
+    out = {"model": model, "features": feats, "train": train, "test": test, "scratch": scratch,
            "balance": M.split_balance(split), "importance": M.feature_importance(spark, model)}
     if cv_folds:
         out["cv"] = M.cross_validate(train, feats, key_cols, cv_folds, model_type, **params)
     if model_path:
-        M.save_model(model, model_path)
+        M.save_model(model, model_path, tag)
     return out
 
 
@@ -53,4 +59,4 @@ def train_http(spark: SparkSession, labelled_requests: DataFrame, model_path: st
     -> 5-fold CV -> importance -> save."""
     params.setdefault("min_samples_leaf", 1)
     return train_detector(spark, labelled_requests, S.HTTP_FEATURES, S.REQUEST_KEYS, test_size,
-                          "random_forest", model_path, cv_folds, **params)
+                          "random_forest", model_path, cv_folds, tag="sqli_detector", **params)

@@ -51,7 +51,7 @@ REQUEST_KEYS = [DECODED_URI, IP_SRC]
 
 LABEL = "label"
 
-# Ordered feature lists (model input order).
+# Ordered feature lists (model input order).
 NETWORK_FEATURES = [
     "syn_count", "ack_count", "syn_ack_ratio", "unique_dst_ports",
     "rst_count", "fin_count", "unique_src_ports", "packet_count", "total_bytes",
@@ -71,6 +71,23 @@ def dotted_to_canonical(name: str) -> str:
     return name.replace(".", "_")
 
 
+_WINDOW_LONGS = {TIME_WINDOW, "syn_count", "ack_count", "rst_count", "fin_count", "unique_dst_ports",
+                 "unique_src_ports", "packet_count"}
+
+
+def window_csv_schema(header: list[str]) -> T.StructType:
+    """Read schema of a stored window table for its CSV header (dotted names
+    allowed), so no pass over the data infers types."""
+    def kind(name: str) -> T.DataType:
+        if name in TEXT_COLUMNS:
+            return T.StringType()
+        if name == LABEL:
+            return T.IntegerType()
+        return T.LongType() if name in _WINDOW_LONGS else T.DoubleType()
+
+    return T.StructType([T.StructField(h, kind(dotted_to_canonical(h)), True) for h in header])
+
+
 def capture_read_schema(header: list[str], corrupt_col: str | None = None) -> T.StructType:
     """All-string read schema for a capture CSV header (typing happens in
     cleaning), plus the optional corrupt-record column."""

@@ -39,11 +39,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster names it; only when it is unset (local tests) a private
-    folder is created.
+    The cluster names it.  Where it is unset, a private folder is made for a
+    local master only (tests): on a cluster each executor would write to its
+    own disk, so that is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="pktscope-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     try:
@@ -59,32 +63,45 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", name)
 
 
-def spread_small_input(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has
-    cores (e.g. one Parquet row group) before CPU-heavy per-row work.
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate tables on whatever store holds it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
-    Only small inputs take this path (fewer splits than cores means at most
-    cores x maxPartitionBytes of data), so the extra shuffle is bounded; a
-    large scan keeps its natural splits and is not shuffled.
 
-    With ``key`` (a column with many distinct values) the spread is a hash
-    partitioning, which needs no sort to be deterministic on retry.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a client session without RDDs
-        return df
-    if splits < cores:
-        return df.repartition(cores, key) if key else df.repartition(cores)
-    return df
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+class Scratch:
+    """One folder of intermediate tables below the shared checkpoint folder,
+    deleted as a whole at the end of the job that owns it."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        import uuid
+        self.spark, self.path = spark, scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+        self._n = 0
+
+    def land(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` once as Parquet and read it back: cuts the lineage
+        (survives executor loss) and lets several consumers read a columnar
+        copy instead of recomputing the plan."""
+        self._n += 1
+        path = f"{self.path}/{self._n:02d}-{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def remove(self) -> None:
+        remove_path(self.spark, self.path)
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.remove()
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet into the shared folder and read it back:
-    cuts the lineage (survives executor loss) and lets several consumers
-    read a columnar copy instead of recomputing the plan."""
-    import uuid
-    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """A landed copy in a scratch folder of its own."""
+    return Scratch(df.sparkSession, name).land(df, name)

@@ -8,13 +8,22 @@ S1 reproduces the tolerance of a pandas CSV read with
 * the pandas default NA words become NULL in every column;
 * doubled quotes inside quoted fields are unescaped (``escape='"'``).
 
-Every column is read as text and typed later by cleaning.  Dotted tshark
-names are renamed to ``_`` once, here.  The read is splittable (no
-``multiLine``), so a large capture is scanned by many tasks in parallel.
+``on_bad_lines='error'`` fails on such a line instead, and ``'warn'`` counts
+them first (one more pass) and warns.  Every column is read as text and typed
+later by cleaning.  Dotted tshark names are renamed to ``_`` once, here.
+
+The read is splittable by default, so a large capture is scanned by many tasks;
+a quoted field must then not hold a line break.  ``multi_line=True`` takes such
+fields, at the price of one task per file.
+
+A capture may be a folder of files.  ``row_id`` gives the file order whatever
+order Spark packs the splits in: (file path, start of the split, place in it).
 """
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,24 +45,42 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
     return spark.read.option("header", True).option("escape", '"').csv(path).columns
 
 
-def read_capture_csv(spark: SparkSession, path: str, with_row_id: bool = True) -> DataFrame:
+def read_capture_csv(spark: SparkSession, path: str, with_row_id: bool = True, multi_line: bool = False,
+                     on_bad_lines: str = "skip") -> DataFrame:
     """A raw capture as text columns with canonical names and a
-    ``row_id`` in file order."""
+    ``row_id`` (struct) in file order."""
+    if on_bad_lines not in ("skip", "warn", "error"):
+        raise ValueError("on_bad_lines is 'skip', 'warn' or 'error'")
     header = read_header(spark, path)
     schema = S.capture_read_schema(header, CORRUPT)
     raw = (spark.read.schema(schema)
            .option("header", True)
            .option("escape", '"')
+           .option("multiLine", multi_line)
+           .option("columnPruning", False)  # a pruned parse does not see that a line is too long
            .option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", CORRUPT)
            .csv(path))
-    too_long = F.coalesce(_field_count(F.col(CORRUPT)) > F.lit(len(header)), F.lit(False))
-    kept = raw.where(~too_long).drop(CORRUPT)
-    out = kept.select(*[nullify_na_words(F.col(f"`{h}`")).alias(S.dotted_to_canonical(h)) for h in header])
+    fields = _field_count(F.col(CORRUPT))
+    # Spark refuses a scan of the corrupt-record column alone (a count, say),
+    # so the test of a line names its first field too; that part is never true.
+    first = F.col(f"`{header[0]}`")
+    too_long = F.coalesce(fields > F.lit(len(header)), F.lit(False)) | F.coalesce(F.length(first) < 0, F.lit(False))
+    if on_bad_lines == "warn":
+        n = raw.where(too_long).count()
+        if n:
+            warnings.warn(f"{path}: {n} lines with more than {len(header)} fields are skipped", stacklevel=2)
+    if on_bad_lines == "error":
+        broken = F.raise_error(F.concat(F.lit(f"expected {len(header)} fields, saw "), fields.cast("string")))
+        kept = raw.where(F.when(too_long, broken.cast("boolean")).otherwise(True))
+    else:
+        kept = raw.where(~too_long)
+    cols = [nullify_na_words(F.col(f"`{h}`")).alias(S.dotted_to_canonical(h)) for h in header]
     if with_row_id:
-        # Increasing in file order within and across the splits of a file.
-        out = out.withColumn(S.ROW_ID, F.monotonically_increasing_id())
-    return out
+        cols.append(F.struct(F.col("_metadata.file_path").alias("file"),
+                             F.col("_metadata.file_block_start").alias("start"),
+                             F.monotonically_increasing_id().alias("row")).alias(S.ROW_ID))
+    return kept.select(*cols)
 
 
 def read_table(spark: SparkSession, path: str, schema=None, fmt: str | None = None) -> DataFrame:

@@ -13,13 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pktscope import schema as S
-from pktscope.session import spread_small_input
 
 # URI suffixes by ``event_id % 8`` (index = remainder); each
 # exercises one decoding or lexical case.
 URI_SUFFIXES = [
     "%27%20OR%201%3D1--",
-    "%2527%2520union%2520select%2520null--",
+    "%2527%2520union%2520select%2520null--&trace=" + "0123456789" * 6,  # longer than a preview
     "&q=a+b%2Bc",
     "&pct=100%",
     "&q=%C3%89t%C3%A9",
@@ -41,12 +40,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def read_spread(spark: SparkSession, sf_dir: str, name: str, columns: list[str]) -> DataFrame:
-    """Column-pruned scan, spread over the cores (by its id column) when it
-    is small."""
-    return spread_small_input(read_table(spark, sf_dir, name).select(*columns), key=columns[0])
-
-
 def _epoch_seconds(ts: Column) -> Column:
     # Microseconds since 1970 of a TIMESTAMP_NTZ without any time-zone
     # conversion, as fractional seconds.
@@ -82,7 +75,10 @@ def packets_from_events(events: DataFrame) -> DataFrame:
         _epoch_seconds(F.col("ts")).alias(S.TIME_EPOCH),
         # fixed-point text (value has 2 decimals), the same in every engine
         F.format_string("%.5f", value / 1000).alias(S.TIME_DELTA),
-        F.when(eid % 101 != 0, F.concat(F.lit("10.0.0."), (F.col("user_id") % 16).cast("string"))).alias(S.IP_SRC),
+        F.when(eid % 101 != 0, F.concat(
+            F.lit("10."), F.floor(F.col("user_id") / 65536).cast("string"), F.lit("."),
+            F.floor(F.col("user_id") / 256 % 256).cast("string"), F.lit("."),
+            (F.col("user_id") % 256).cast("string"))).alias(S.IP_SRC),
         F.concat(F.lit("192.168.0."), (eid % 2).cast("string")).alias(S.IP_DST),
         (F.lit(1024) + eid % 500).cast("string").alias(S.SRC_PORT),
         k.alias(S.DST_PORT),
@@ -98,9 +94,9 @@ def packets_from_events(events: DataFrame) -> DataFrame:
 
 
 def packets_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packets_from_events(read_spread(spark, sf_dir, "events", EVENT_COLUMNS))
+    return packets_from_events(read_table(spark, sf_dir, "events").select(*EVENT_COLUMNS))
 
 
 def documents_as_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Volume input for the lexical features: whole document texts."""
-    return read_spread(spark, sf_dir, "documents", ["doc_id", "text"])
+    return read_table(spark, sf_dir, "documents").select("doc_id", "text")

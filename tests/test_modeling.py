@@ -67,21 +67,71 @@ def test_cross_validation_rows(spark):
     assert abs(cv["mean"] - sum(cv[str(k)] for k in range(3)) / 3) < 1e-12
 
 
-def test_predict_all_skips_missing_detector_and_handles_empty(spark, tmp_path):
-    from pktscope import schema as S
-    from pktscope.operators.labels import label_syn_scan
+def test_scoring_keeps_its_input(spark):
+    model = M.train_model(_labelled(spark, 60, 40), ["x"], n_estimators=3, max_depth=3)
+    df = spark.createDataFrame([(1, 6, None, "p"), (2, None, 2.5, "q")],
+                               "k long, x long, other double, prediction_label string")
+    out = M.score(model, df, ("Normal", "Attack"))
+    assert [f.dataType.simpleString() for f in out.schema.fields][:3] == ["bigint", "bigint", "double"]
+    got = {r.k: r for r in out.collect()}
+    assert (got[1].x, got[1].other, got[2].x, got[2].other) == (6, None, None, 2.5)
+    assert got[1].prediction in (0, 1) and got[1].prediction_label in ("Normal", "Attack")
+    assert "features" not in out.columns and "_input_0" not in out.columns
+
+
+def test_positive_weight_moves_the_boosted_trees(spark):
+    rows = [(i, int(i % 10 == 0), float(i % 3)) for i in range(300)]
+    df = spark.createDataFrame(rows, "k long, label int, x double")
+    share = {}
+    for w in (1.0, 50.0):
+        model = M.train_model(df, ["x"], "gbt", n_estimators=3, max_depth=2, scale_pos_weight=w)
+        share[w] = M.score(model, df, ("0", "1")).agg(F.avg("attack_probability")).first()[0]
+    assert share[50.0] > share[1.0] + 0.2
+
+
+def test_model_tag(spark, tmp_path):
+    model = M.train_model(_labelled(spark, 20, 20), ["x"], n_estimators=2, max_depth=2)
+    M.save_model(model, str(tmp_path / "tagged"), "sqli_detector")
+    M.save_model(model, str(tmp_path / "plain"))
+    assert M.model_type_of(spark, str(tmp_path / "tagged")) == "sqli_detector"
+    assert M.model_type_of(spark, str(tmp_path / "plain")) is None
+    assert M.model_features(M.load_model(str(tmp_path / "tagged"))) == ["x"]
+
+
+def _trained(spark, tmp_path, raw):
+    from pktscope.plans.catalog import WINDOW_SECONDS
+    from pktscope.plans.http import labelled_requests
     from pktscope.plans.network import preprocess_windows
+    from pktscope.plans.training import train_http, train_network
+    net, http = str(tmp_path / "net"), str(tmp_path / "http")
+    train_network(spark, preprocess_windows(raw, WINDOW_SECONDS), model_path=net, n_estimators=5, cv_folds=0)
+    train_http(spark, labelled_requests(raw), model_path=http, n_estimators=5, cv_folds=0)
+    return net, http, WINDOW_SECONDS
+
+
+def test_predict_all_isolates_its_detectors(spark, tmp_path):
+    from pktscope import schema as S
     from pktscope.plans.scoring import predict_all
-    from pktscope.plans.training import train_network
     from pktscope.sources.derived import packets_raw
     raw = packets_raw(spark, "/root/testdata/sf0.001")
-    path = str(tmp_path / "net")
-    train_network(spark, preprocess_windows(raw, 86400), model_path=path, n_estimators=5, cv_folds=0)
-    res = predict_all(spark, raw, network_model=path, http_model=str(tmp_path / "absent"),
-                      output_dir=str(tmp_path / "out"), window_seconds=86400)
-    assert "syn_scan" in res and "sqli" not in res
-    summary = res["summary"].collect()
-    assert [r.detector for r in summary] == ["syn_scan"] and summary[0].total == 270
-    assert spark.read.parquet(str(tmp_path / "out" / "syn_scan_predictions")).count() == 270
-    empty = predict_all(spark, raw.limit(0), network_model=path, window_seconds=86400)
+    net, http, seconds = _trained(spark, tmp_path, raw)
+    both = predict_all(spark, raw, net, http, window_seconds=seconds)
+    assert {r.detector for r in both["summary"].collect()} == {"syn_scan", "sqli"}
+    n = both["syn_scan"].count()
+    absent = predict_all(spark, raw, net, str(tmp_path / "absent"), str(tmp_path / "out"), seconds)
+    assert "sqli" not in absent and spark.read.parquet(str(tmp_path / "out" / "syn_scan_predictions")).count() == n
+    with pytest.warns(UserWarning, match="sqli"):
+        no_uri = predict_all(spark, raw.drop(S.HTTP_URI), net, http, window_seconds=seconds)
+    assert [(r.detector, r.total) for r in no_uri["summary"].collect()] == [("syn_scan", n)]
+    with pytest.warns(UserWarning, match="syn_scan"):
+        no_src = predict_all(spark, raw.drop(S.IP_DST), net, http, window_seconds=seconds)
+    assert [r.detector for r in no_src["summary"].collect()] == ["sqli"]
+    empty = predict_all(spark, raw.limit(0), net, window_seconds=seconds)
     assert empty["syn_scan"].count() == 0
+
+
+def test_model_paths_are_read_through_hadoop(spark, tmp_path):
+    from pktscope.session import path_exists
+    (tmp_path / "there").mkdir()
+    assert path_exists(spark, f"file://{tmp_path}/there") and path_exists(spark, str(tmp_path / "there"))
+    assert not path_exists(spark, f"file://{tmp_path}/not-there")

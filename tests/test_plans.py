@@ -3,10 +3,10 @@ plans only where possible)."""
 
 import pytest
 
-import __spark_entry__ as E
 from pktscope import schema as S
 from pktscope.operators import modeling as M
 from pktscope.operators.labels import label_syn_scan
+from pktscope.plans.catalog import QUERIES, WINDOW_SECONDS
 from pktscope.plans.network import preprocess_windows
 from pktscope.sources.derived import packets_raw
 
@@ -14,38 +14,68 @@ SMOKE = "/root/testdata/sf0.001"
 SIDE_EFFECTS = {"csv_roundtrip", "relabel_stored_windows", "stream_windows", "train_score_network",
                 "train_score_http", "gbt_train_score", "cross_validation_f1", "feature_importance",
                 "score_capture", "evaluation_job", "http_evaluation_job", "spearman_correlations", "spearman_pvalues",
-                "http_spearman_correlations"}
+                "http_spearman_correlations", "labelled_requests_roundtrip", "score_capture_totals",
+                "score_passthrough", "http_cross_validation_f1", "test_rows_per_label", "anova_pvalues",
+                "feature_correlation_matrix", "http_feature_correlation_matrix"}
 
 
 def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SIDE_EFFECTS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SIDE_EFFECTS))
 def test_no_pairwise_joins(spark, name):
-    plan = plan_of(E.queries()[name](spark, SMOKE))
+    plan = plan_of(QUERIES[name](spark, SMOKE))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_window_aggregate_shuffles_on_window_keys(spark):
-    plan = plan_of(E.queries()["windows_full"](spark, SMOKE))
+    plan = plan_of(QUERIES["windows_full"](spark, SMOKE))
     assert "hashpartitioning(ip_src" in plan and "time_window" in plan
     assert "Window " not in plan and "SortMergeJoin" not in plan
 
 
 def test_dedupe_is_an_aggregate_not_a_window(spark):
-    plan = plan_of(E.queries()["dedupe_requests"](spark, SMOKE))
+    plan = plan_of(QUERIES["dedupe_requests"](spark, SMOKE))
     assert "partial_min" in plan and "Window " not in plan
 
 
 def test_http_scan_prunes_unused_columns(spark):
-    plan = plan_of(E.queries()["http_requests"](spark, SMOKE))
+    plan = plan_of(QUERIES["http_requests"](spark, SMOKE))
     scan = [line for line in plan.splitlines() if "FileScan" in line][0]
     assert "value" not in scan.split("Batched")[0]
 
 
 def test_split_ranks_inside_hash_buckets(spark):
-    w = label_syn_scan(preprocess_windows(packets_raw(spark, SMOKE), 86400))
+    w = label_syn_scan(preprocess_windows(packets_raw(spark, SMOKE), WINDOW_SECONDS))
     plan = plan_of(M.stratified_split(w, S.WINDOW_KEYS))
     row_windows = [line for line in plan.splitlines() if "row_number()" in line and "_b" in line]
     assert row_windows, "row-level ranking must be partitioned by (label, bucket)"
+
+
+def scans(df) -> int:
+    return plan_of(df).count("FileScan")
+
+
+def test_training_reads_the_packets_once(spark, monkeypatch):
+    from pktscope.plans import training as TR
+    from pktscope.session import Scratch
+    read = []
+    real = Scratch.land
+    monkeypatch.setattr(Scratch, "land", lambda self, df, name: read.append((name, scans(df))) or real(self, df, name))
+    windows = preprocess_windows(packets_raw(spark, SMOKE), WINDOW_SECONDS)
+    TR.prepare_split(label_syn_scan(windows), S.NETWORK_FEATURES, S.WINDOW_KEYS, 0.2)
+    assert [name for name, _ in read] == ["features", "split"] and read[0][1] == 1
+
+
+def test_no_query_shuffles_its_raw_scan(spark):
+    for name in ("clean_packets", "lexical_features_documents", "http_requests"):
+        assert "Exchange" not in plan_of(QUERIES[name](spark, SMOKE))
+
+
+def test_the_window_is_the_same_at_every_scale():
+    import inspect
+
+    from pktscope.plans import catalog, oracle
+    assert catalog.WINDOW_SECONDS == oracle.ORACLE_WINDOW_SECONDS
+    assert "re.search" not in inspect.getsource(catalog)

@@ -1,7 +1,12 @@
-"""S2/S3 + L3 on a stored window table whose header keeps dotted names."""
+"""Capture and table scans: file order, bad lines, line breaks, relabelling."""
 
+import pytest
+from pyspark.sql import functions as F
+
+from pktscope import schema as S
+from pktscope.operators.requests import dedupe_keep_first
 from pktscope.plans.relabel import relabel_stored_windows
-from pktscope.sources.capture_csv import read_table
+from pktscope.sources.capture_csv import read_capture_csv, read_table
 
 
 def test_relabel_csv_with_dotted_header(spark, tmp_path):
@@ -17,3 +22,70 @@ def test_relabel_csv_with_dotted_header(spark, tmp_path):
     assert "ip.src" in out.columns
     got = sorted((r["ip.src"], r["ip.dst"], r["label"]) for r in out.collect())
     assert got == [("A", "B", 1), ("A", "C", 0), ("B", "C", 1)]
+
+
+def test_row_id_is_file_order_over_files_of_any_size(spark, tmp_path):
+    src = tmp_path / "capture.csv"
+    src.mkdir()
+    for name, n in (("a", 2), ("b", 5_000), ("c", 300)):
+        (src / f"{name}.csv").write_text("ip.src,http.request.uri,frame.len\n" + "".join(
+            f"host,/same,{name}{i}\n" for i in range(n)))
+    raw = read_capture_csv(spark, str(src)).withColumn(S.DECODED_URI, F.col(S.HTTP_URI))
+    assert [r[S.FRAME_LEN] for r in dedupe_keep_first(raw).collect()] == ["a0"]
+    order = [r[S.FRAME_LEN] for r in raw.orderBy(S.ROW_ID).collect()]
+    assert order == [f"{name}{i}" for name, n in (("a", 2), ("b", 5_000), ("c", 300)) for i in range(n)]
+
+
+def test_row_id_is_file_order_within_a_split_file(spark, tmp_path):
+    path = tmp_path / "one.csv"
+    path.write_text("ip.src,frame.len\n" + "".join(f"h,{i:06d}\n" for i in range(20_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        raw = read_capture_csv(spark, str(path))
+        assert raw.rdd.getNumPartitions() > 4
+        got = [r[S.FRAME_LEN] for r in raw.orderBy(S.ROW_ID).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == [f"{i:06d}" for i in range(20_000)]
+
+
+def test_quoted_line_breaks_need_multi_line(spark, tmp_path):
+    path = tmp_path / "m.csv"
+    path.write_text('ip.src,ip.dst\n"a\nb",c\nd,"e ""f"""\n1,2,3\n')
+    got = read_capture_csv(spark, str(path), multi_line=True).orderBy(S.ROW_ID).collect()
+    assert [tuple(r[:2]) for r in got] == [("a\nb", "c"), ("d", 'e "f"')]
+
+
+def test_bad_lines_go_whatever_columns_are_read(spark, tmp_path):
+    path = tmp_path / "b.csv"
+    path.write_text("ip.src,ip.dst,frame.len\na,b,1\nc,d,2,9\nf,g\n")
+    raw = read_capture_csv(spark, str(path))
+    assert raw.count() == 2
+    for c in (S.IP_SRC, S.IP_DST, S.FRAME_LEN):
+        assert raw.select(c).count() == 2 and len(raw.select(c).collect()) == 2
+
+
+def test_bad_lines_can_warn_or_fail(spark, tmp_path):
+    path = tmp_path / "b.csv"
+    path.write_text("ip.src,ip.dst\na,b\nc,d,e\nf,g,h,i\n")
+    with pytest.warns(UserWarning, match="2 lines"):
+        assert read_capture_csv(spark, str(path), on_bad_lines="warn").count() == 1
+    with pytest.raises(Exception, match="expected 2 fields, saw"):
+        read_capture_csv(spark, str(path), on_bad_lines="error").collect()
+    with pytest.raises(ValueError):
+        read_capture_csv(spark, str(path), on_bad_lines="keep")
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from pktscope.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://somewhere:7077"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())

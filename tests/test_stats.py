@@ -7,18 +7,34 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from pktscope.functions.stats import f_sf, t_two_sided_p
+from pktscope.functions.stats import f_tail, t_tails
 from pktscope.operators import evaluation as EV
+from pktscope.session import Scratch
 
 
 @pytest.mark.parametrize("f,d1,d2", [(4.9646, 1, 10), (3.4928, 2, 20), (2.3053, 5, 100), (3.8415, 1, 1e7)])
-def test_f_critical_values(f, d1, d2):
-    assert abs(f_sf(f, d1, d2) - 0.05) < 2e-4
+def test_f_critical_values(spark, f, d1, d2):
+    assert abs(f_tail(spark, f, d1, d2) - 0.05) < 2e-4
 
 
 @pytest.mark.parametrize("t,df", [(2.2281, 10), (2.0423, 30), (1.96, 1e7), (12.706, 1)])
-def test_t_critical_values(t, df):
-    assert abs(t_two_sided_p(t, df) - 0.05) < 2e-4
+def test_t_critical_values(spark, t, df):
+    assert abs(t_tails(spark, t, df) - 0.05) < 2e-4
+
+
+def test_tails_keep_their_digits_for_many_rows(spark):
+    # 0.04550026...: the normal distribution's two-sided tail at 2
+    for n in (1e9, 1e11, 1e12):
+        assert abs(f_tail(spark, 4.0, 1, n) - math.erfc(2 / math.sqrt(2))) < 5e-7
+    assert f_tail(spark, None, 1, 5) is None and f_tail(spark, float("inf"), 1, 5) == 0.0
+
+
+def two_sided_t(t, dof, steps=200_000):
+    """P(|T| > t) by trapezoid sums of the density over an angle."""
+    low = math.atan(abs(t) / math.sqrt(dof))
+    angles = np.linspace(0, math.pi / 2, steps)
+    tail = np.linspace(low, math.pi / 2, steps)
+    return np.trapezoid(np.cos(tail) ** (dof - 1), tail) / np.trapezoid(np.cos(angles) ** (dof - 1), angles)
 
 
 def _data(n=400, seed=3):
@@ -33,7 +49,9 @@ def _data(n=400, seed=3):
 def test_average_ranks_multi_bucket(spark):
     rows = _data()
     df = spark.createDataFrame(rows, "i int, label int, a double, b double, c double")
-    got = {(r.feature, r.value): r.avg_rank for r in EV.average_ranks(df, ["a", "b"], "label", buckets=4).collect()}
+    with Scratch(spark, "test") as scratch:
+        ranked = EV.average_ranks(df, ["a", "b"], "label", scratch, buckets=4).collect()
+    got = {(r.feature, r.value): r.avg_rank for r in ranked}
     pdf = pd.DataFrame(rows, columns=["i", "y", "a", "b", "c"])
     for f in ("a", "b"):
         ranks = pdf[f].rank(method="average")
@@ -51,7 +69,7 @@ def test_spearman_anova_pearson_brute_force(spark):
         assert abs(sp[f].correlation - r) < 1e-9
         n = len(pdf)
         t = r * math.sqrt((n - 2) / (1 - r * r))
-        assert abs(sp[f].p_value - t_two_sided_p(t, n - 2)) < 1e-12
+        assert abs(sp[f].p_value - two_sided_t(t, n - 2)) < 1e-8
     assert sp["c"].correlation is None  # constant feature
     an = {r.feature: r for r in EV.anova_scores(df, ["a", "b", "c"]).collect()}
     for f in ("a", "b"):
@@ -61,6 +79,7 @@ def test_spearman_anova_pearson_brute_force(spark):
         ssw = sum(((g - g.mean()) ** 2).sum() for g in groups)
         fval = (ssb / 1) / (ssw / (len(allx) - 2))
         assert abs(an[f].f_score - fval) / fval < 1e-9
+        assert abs(an[f].p_value - two_sided_t(math.sqrt(fval), len(allx) - 2)) < 1e-8
         assert an[f].significant == (an[f].p_value < 0.05)
     assert an["c"].f_score is None and an["c"].significant is False
     pm = {(r.feature_a, r.feature_b): r.correlation for r in EV.feature_correlation_matrix(df, ["a", "b", "c"]).collect()}

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from .common import by_value, col
-from .tokens import END_ID, Encoder, vocabulary_path
+from .tokens import END_ID, vocabulary_path, worker_encoder
 
 by_value(__name__)
 
@@ -119,13 +119,13 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
 
         import pyarrow as pa
         from pyspark import TaskContext
-        encoder = Encoder(path)
+        encoder = worker_encoder(path)
         packer = Packer(size, TaskContext.get().partitionId() << 40)
         end, kind = end_id.to_bytes(4, "little"), None
 
         def drain():
             done, packer.out = packer.out, []
-            columns = [pa.array([p[0].as_py() for _, _, p in done], kind),
+            columns = [pa.array([p[0] for _, _, p in done], kind),
                        pa.array([p[1] for _, _, p in done], pa.int64()),
                        pa.array([len(p[2]) // 4 for _, _, p in done], pa.int64()),
                        pa.array([crc32(p[2]) for _, _, p in done], pa.int64()),
@@ -139,10 +139,12 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
 
         for b in batches:
             kind = b.column(0).type
-            for i in range(b.num_rows):
-                packer.add(b.column(0)[i], encoder.ids(b.column(1)[i].as_py()) + end)
-                if len(packer.out) >= 20_000:
-                    yield drain()
+            for at in range(0, b.num_rows, 2048):
+                part = b.slice(at, 2048)
+                for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1))):
+                    packer.add(doc_id, ids + end)
+                    if len(packer.out) >= 20_000:
+                        yield drain()
         packer.flush()
         if packer.out:
             yield drain()

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import by_value, col, land, open_fs, scratch, text_key
-from .tokens import END_ID, Encoder, vocabulary_path
+from .tokens import END_ID, vocabulary_path, worker_encoder
 
 by_value(__name__)
 
@@ -172,18 +172,18 @@ def write_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         from pyspark import TaskContext
         context = TaskContext.get()
         shard, fs, writer = context.partitionId(), None, None
-        encoder, end = Encoder(path), end_id.to_bytes(4, "little")
+        encoder, end = worker_encoder(path), end_id.to_bytes(4, "little")
         first = None
-        for b in batches:
-            for doc_id, text in zip(b.column(0), b.column(1)):
+        for b in (b.slice(at, 2048) for b in batches for at in range(0, b.num_rows, 2048)):
+            for doc_id, ids in zip(b.column(0).to_pylist(), encoder.encode(b.column(1))):
                 if writer is None:
                     fs, root = open_fs(folder)
                     fs.create_dir(f"{root}/_temporary", recursive=True)
                     temporary = f"{root}/_temporary/{shard:06d}-{context.taskAttemptId()}"
                     final = f"{root}/shard-{shard:06d}.bpln"
                     out = fs.open_output_stream(temporary)
-                    writer, first = ShardWriter(out, bits), doc_id.as_py()
-                writer.add(doc_id.as_py(), encoder.ids(text.as_py()) + end)
+                    writer, first = ShardWriter(out, bits), doc_id
+                writer.add(doc_id, ids + end)
         if writer is not None:
             size = writer.close()
             out.close()

@@ -1,9 +1,12 @@
 """Token ids of whole texts from a tokenizer file of the ``tokenizers`` library.
 
-Words repeat, so a text is cut in front of every single space between two
-non-space characters, where a byte-level BPE's pre-tokenizer always cuts too,
-and each different piece goes through the library once per task.  Joined, the
-pieces' ids are the ids of the whole text (held against it in the tests).
+Words repeat, so a text is cut where a byte-level BPE's pre-tokenizer always
+cuts too: in front of a single space between two non-space characters, and on
+both sides of a line break (or of each of two) between such.  Each different
+piece goes through the library once per Python worker; joined, the pieces' ids
+are the ids of the whole text (held against it in the tests).  Texts with other white
+space are cut at the single spaces alone, and files of other tokenizers are
+given whole texts.
 """
 
 from __future__ import annotations
@@ -16,9 +19,8 @@ by_value(__name__)
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
-#: A space that is not between two non-space characters.
-_LOOSE = re.compile(r"(?:^|\s) | (?:\s|$)")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -27,61 +29,174 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 
 class Encoder:
-    """``ids(text)``: little-endian unsigned 32-bit ids as bytes.  ``keep``
-    bounds the pieces held per task."""
+    """``encode(texts)``: the texts' ids as little-endian unsigned 32-bit
+    integers.  ``keep`` bounds the pieces held."""
 
-    def __init__(self, path: str, keep: int = 1_000_000):
+    def __init__(self, path: str, keep: int = 1_500_000):
         import os
+
+        import numpy as np
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer, self.keep = Tokenizer.from_file(path), keep
-        self.heads: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}  # by the piece without its space
+        self.heads: dict[str, bytes] = {}  # pieces as they are
+        self.tails: dict[str, bytes] = {}  # pieces with a space in front
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         kind = self.tokenizer.pre_tokenizer
-        self.cuts = type(kind).__name__ == "ByteLevel" and not kind.add_prefix_space
         line = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.line_id = line[0] if self.cuts and len(line) == 1 else None
+        self.cuts = type(kind).__name__ == "ByteLevel" and not kind.add_prefix_space and len(line) == 1
+        self.line_id = line[0] if self.cuts else -1
+        self.line = self.line_id.to_bytes(4, "little") if self.cuts else b""
+        self.spaced = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        if self.cuts:
+            mark = self.tokenizer.id_to_token(self.tokenizer.encode(" ", add_special_tokens=False).ids[0])
+            self.spaced[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith(mark)]] = True
 
-    def _batch(self, texts: list[str]) -> list[bytes]:
+    def _whole(self, texts: list[str]) -> list[bytes]:
         import numpy as np
         done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in done]
 
-    def _learn(self, new: list[str]) -> None:
-        """Pieces go through the library many at a time, a line break (always
-        a token of its own here) behind each."""
-        plain = [p for p in new if "\n" not in p] if self.line_id is not None else []
-        for k in range(0, len(plain), 2_000):
-            part = plain[k:k + 2_000]
-            raw = self._batch(["".join(f" {p}\n" for p in part)])[0]
-            import numpy as np
-            cuts = np.flatnonzero(np.frombuffer(raw, "<u4") == self.line_id).tolist()
-            if len(cuts) != len(part):
-                raise ValueError("line breaks are not tokens of their own")
-            at = 0
-            for p, c in zip(part, cuts):
-                self.tails[p] = raw[4 * at:4 * c]
-                at = c + 1
-        rest = [p for p in new if "\n" in p] if plain else new
-        self.tails.update(zip(rest, self._batch([" " + p for p in rest])))
+    def _split(self, pieces: list[str], space: bool):
+        """(piece, ids) of pieces without white space, encoded in one go.
+        With spaces in front, a piece's first token alone starts with one;
+        otherwise a line break, a token of its own there, follows each."""
+        import numpy as np
+        text = " " + " ".join(pieces) if space else "\n".join(pieces) + "\n"
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        if space:
+            starts = np.flatnonzero(self.spaced[ids]).tolist()
+            ends = starts[1:] + [len(ids)]
+        else:
+            ends = np.flatnonzero(ids == self.line_id).tolist()
+            starts = [0] + [e + 1 for e in ends[:-1]]
+        if len(starts) != len(pieces):
+            raise ValueError("a piece's tokens cannot be told from the next one's")
+        raw = ids.tobytes()
+        return ((p, raw[4 * a:4 * e]) for p, a, e in zip(pieces, starts, ends))
 
-    def ids(self, text: str | None) -> bytes:
-        if not text:
-            return b""
+    def _learn(self, known: dict[str, bytes], new: list[str], space: bool) -> None:
+        """Encode pieces.  Punctuation behind a word's last letter is a token
+        of its own, so words and their endings are learned apart.  Pieces that
+        are empty or hold white space or an added token are left out."""
+        made, plain = [], []
+        for p in new:
+            word = p.rstrip(_MARKS)
+            if not word.isalpha() and (p.split() != [p] or any(x in p for x in self.added)):
+                continue
+            if len(word) < len(p) and word[-1:].isalpha() and not any(x in p for x in self.added):
+                made.append((p, word, p[len(word):]))
+            else:
+                plain.append(p)
+        words = dict.fromkeys([*plain, *(w for _, w, _ in made)])
+        endings = {e for _, _, e in made}
+        for to, pieces, spaced in ((known, words, space), (self.heads, endings, False)):
+            todo = [p for p in pieces if p not in to]
+            for k in range(0, len(todo), 4_000):
+                to.update(self._split(todo[k:k + 4_000], spaced))
+        for p, word, end in made:
+            known[p] = known[word] + self.heads[end]
+
+    def _loose(self, text: str) -> bytes:
+        """A text with other white space than the quick way takes."""
+        first, *rest = _CUT.split(text)
+        known = [self.tails.get(p[1:]) for p in rest]
+        missing = iter(self._whole([first, *(p for p, k in zip(rest, known) if k is None)]))
+        return next(missing) + b"".join(next(missing) if k is None else k for k in known)
+
+    def encode(self, texts, at_once: int = 8_000_000) -> list[bytes]:
+        """``texts``: a list or an Arrow array of strings; null is empty."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
         if not self.cuts:
-            return self._batch([text])[0]
-        if _LOOSE.search(text):
-            first, *rest = _CUT.split(text)
-            rest = [p[1:] for p in rest]
-        else:
-            first, *rest = text.split(" ")
-        if len(self.tails) > self.keep:
-            self.tails.clear()
-        if len(self.heads) > self.keep // 10:
-            self.heads.clear()
-        new = [p for p in set(rest) if p not in self.tails]
-        if new:
-            self._learn(new)
-        if first not in self.heads:
-            self.heads[first] = self._batch([first])[0]
-        return self.heads[first] + b"".join(map(self.tails.__getitem__, rest))
+            return self._whole(texts.to_pylist())
+        out, first, held = [], 0, 0
+        for i, size in enumerate(pc.binary_length(texts).to_pylist()):
+            held += size
+            if held >= at_once:
+                out += self._encode(texts.slice(first, i + 1 - first))
+                first, held = i + 1, 0
+        return out + self._encode(texts.slice(first))
+
+    def _encode(self, texts) -> list[bytes]:
+        """Split at spaces and line breaks (which become pieces of their own),
+        number the different pieces, and lay their ids out by number."""
+        import numpy as np
+        import pyarrow.compute as pc
+        if not len(texts):
+            return []
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " \n "), " ")
+        coded = split.flatten().dictionary_encode()
+        codes, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        ends = split.offsets.to_numpy()[1:] - split.offsets.to_numpy()[0]
+        starts = np.append(0, ends[:-1])
+        number = {w: i for i, w in enumerate(words) if w == "" or w == "\n"}
+        is_break, is_empty = codes == number.get("\n", -1), codes == number.get("", -1)
+
+        def moved(mask, by):  # mask of the neighbour before (by = 1) or behind (by = -1)
+            out = np.zeros(len(mask), bool)
+            out[max(by, 0):len(mask) + min(by, 0)] = mask[max(-by, 0):len(mask) - max(by, 0)]
+            return out
+
+        head = moved(is_break, 1)
+        head[starts] = True
+        edge = np.zeros(len(codes), bool)
+        edge[starts] = edge[ends - 1] = True
+        inner = moved(is_break, 1) & moved(is_break, -1) & ~edge  # an empty line
+        odd = is_empty & ~(inner & ~moved(moved(is_empty, 1), 1))
+
+        # ids of the different pieces: behind a space, and (numbers from
+        # len(words) on) at the start of a text or line
+        at_head = np.unique(codes[head])
+        n = len(words)
+        of = np.where(head, codes + n, codes)
+        behind = np.unique(codes[~head])
+        for known, numbers, space in ((self.heads, at_head, False), (self.tails, behind, True)):
+            if len(known) > self.keep:
+                known.clear()
+            new = [w for w in map(words.__getitem__, numbers.tolist()) if w not in known]
+            if new:
+                self._learn(known, new, space)
+        ids_of, unknown = [b""] * (2 * n), np.zeros(2 * n, bool)
+        for known, numbers, shift in ((self.heads, at_head, n), (self.tails, behind, 0)):
+            for i in numbers.tolist():
+                ids = known.get(words[i])
+                if ids is None:
+                    unknown[i + shift] = True
+                else:
+                    ids_of[i + shift] = ids
+        for w, ids in (("\n", self.line), ("", b"")):
+            if w in number:
+                for i in (number[w], number[w] + n):
+                    ids_of[i], unknown[i] = ids, False
+        sizes = np.fromiter(map(len, ids_of), np.int64, 2 * n) // 4
+        pool, first = np.frombuffer(b"".join(ids_of), "<u4"), np.cumsum(sizes) - sizes
+        lengths = sizes[of]
+        done = np.cumsum(lengths)
+        total = int(done[-1])
+        ids = pool[np.repeat(first[of] - (done - lengths), lengths) + np.arange(total)].astype("<u4").tobytes()
+        cuts = np.append(0, done[ends - 1]).tolist()
+        out = [ids[4 * a:4 * b] for a, b in zip(cuts, cuts[1:])]
+        again = np.flatnonzero(np.add.reduceat((odd | unknown[of]).astype(np.int64), starts))
+        for i in again.tolist():
+            text = texts[i].as_py()
+            out[i] = self._loose(text) if text else b""
+        return out
+
+    def ids(self, text: str | None) -> bytes:
+        return self.encode([text])[0]
+
+
+def worker_encoder(path: str) -> Encoder:
+    """The encoder of this Python worker: pieces learned in one task serve the
+    next one too."""
+    import sys
+    import types
+    home = sys.modules.setdefault("_pktscope_worker", types.ModuleType("_pktscope_worker"))
+    if not hasattr(home, "encoders"):
+        home.encoders = {}
+    if path not in home.encoders:
+        home.encoders[path] = Encoder(path)
+    return home.encoders[path]

@@ -105,7 +105,7 @@ class Matcher:
                     best[n] = 0
                     continue
                 low = slot[1] * (errors + 1) - errors
-                region = text[max(0, low):low + len(item) + 3 * errors + 1]
+                region = text[max(0, low):low + len(item) + 4 * errors + 1]
                 distance, _ = best_match(item, region)
                 if distance <= errors and distance < best.get(n, errors + 1):
                     best[n] = distance

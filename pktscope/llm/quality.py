@@ -6,9 +6,11 @@ line above the limit is boilerplate and is taken out, and a document that has
 too little left is rejected.
 
 Two things keep clean documents safe when copies abound.  Exact copies count
-as one document (documents are told apart by text, not by id), and a line must
-also stand between many different neighbour lines: within a group of near
-copies a line always has the same neighbours, boilerplate has not.
+as one document (documents are told apart by text, not by id).  And the lines
+before, or the lines behind, a boilerplate line must differ in most of its
+documents: within a group of near copies both neighbours mostly stay the same.
+(The ends of all texts count as one neighbour.)  So of a block of three equal
+lines or more only the outer ones are boilerplate.
 
 One pass reads the texts; everything later works on a landed table of narrow
 rows (per document: metrics and one small struct per line).  All counts are
@@ -35,6 +37,8 @@ MAX_REPEAT_PERCENT = 30
 #: A line is boilerplate above max(LINE_MIN_DOCS, LINE_SHARE * documents of the host).
 LINE_MIN_DOCS = 20
 LINE_SHARE = 0.1
+#: ... and with different neighbours on one side in more than this share of them.
+NEIGHBOUR_SHARE = 0.6
 #: Depleted: under MIN_WORDS words left and more than this share taken out.
 MAX_REMOVED_SHARE = 0.5
 
@@ -74,14 +78,14 @@ def repeated_words(words: Column) -> Column:
 
 
 def _lines(text: Column) -> Column:
-    """One struct per line that has a word: h (normalised line), ctx (its
-    neighbours), n (words)."""
+    """One struct per line that has a word: h (normalised line), before and
+    after (its neighbours; null at the ends), n (words)."""
     def of(lines: Column) -> Column:
         hashes = F.transform(lines, lambda x: F.xxhash64(F.regexp_replace(
             F.lower(x), SPACES_RE, " ")))
         return let(hashes, lambda h: F.transform(lines, lambda x, i: F.struct(
             F.get(h, i).alias("h"),
-            F.xxhash64(F.get(h, i - 1), F.get(h, i + 1)).alias("ctx"),
+            F.get(h, i - 1).alias("before"), F.get(h, i + 1).alias("after"),
             F.size(F.split(x, SPACES_RE)).alias("n"))))
 
     stripped = F.transform(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(SPACES)))
@@ -109,18 +113,29 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def boilerplate(measured: DataFrame, min_docs: int = LINE_MIN_DOCS,
                 share: float = LINE_SHARE) -> DataFrame:
-    """(host, h) of lines above the limit, with their counts."""
+    """(host, h) of boilerplate lines, with the counts that make them so."""
     per_doc = (measured.select("host", "key", F.explode("lines").alias("x"))
-               .groupBy("host", F.col("x.h").alias("h"), "key").agg(F.min("x.ctx").alias("ctx")))
-    counts = (per_doc.groupBy("host", "h", "ctx").agg(F.count("*").alias("c"))
-              .groupBy("host", "h").agg(F.sum("c").alias("n_docs"), F.count("*").alias("n_ctx"))
-              .filter((F.col("n_docs") > min_docs) & (F.col("n_ctx") > min_docs)))
+               .groupBy("host", F.col("x.h").alias("h"), "key")
+               .agg(F.min("x.before").alias("before"), F.min("x.after").alias("after")))
+
     hosts = (measured.groupBy("host", "key").agg(F.lit(1).alias("one"))
              .groupBy(F.col("host").alias("of_host")).agg(F.count("*").alias("host_docs")))
-    limit = share * F.col("host_docs")
-    return (counts.join(hosts, F.col("host").eqNullSafe(F.col("of_host")))
-            .filter((F.col("n_docs") > limit) & (F.col("n_ctx") > limit))
-            .select("host", "h", "n_docs", "n_ctx", "host_docs"))
+    frequent = (per_doc.groupBy("host", "h").agg(F.count("*").alias("n_docs")).filter(F.col("n_docs") > min_docs)
+                .join(hosts, F.col("host").eqNullSafe(F.col("of_host")))
+                .filter(F.col("n_docs") > share * F.col("host_docs")).drop("of_host"))
+
+    def meet(right: DataFrame, how: str, left: DataFrame) -> DataFrame:
+        named = right.withColumnsRenamed({"host": "r_host", "h": "r_h"})
+        on = F.col("host").eqNullSafe(F.col("r_host")) & (F.col("h") == F.col("r_h"))
+        return left.join(named, on, how).drop("r_host", "r_h")
+
+    def neighbours(side: str) -> DataFrame:
+        rows = meet(frequent.select("host", "h"), "left_semi", per_doc)
+        return (rows.groupBy("host", "h", side).agg(F.count("*").alias("c"))
+                .groupBy("host", "h").agg(F.count("*").alias(f"n_{side}")))
+
+    both = meet(neighbours("after"), "inner", meet(neighbours("before"), "inner", frequent))
+    return both.filter(F.greatest("n_before", "n_after") > NEIGHBOUR_SHARE * F.col("n_docs"))
 
 
 def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

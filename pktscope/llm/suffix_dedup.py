@@ -77,11 +77,16 @@ class Hashes:
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum(letter[raw] * self._powers(base, n), out=self.sums[1:])
 
-    @staticmethod
-    def _powers(base: int, n: int) -> np.ndarray:
-        out = np.full(max(n, 1), base, np.uint64)
-        out[0] = 1
-        return np.cumprod(out, dtype=np.uint64)[:n]
+    _known: dict = {}  # powers by base, kept from block to block of a task
+
+    @classmethod
+    def _powers(cls, base: int, n: int) -> np.ndarray:
+        known = cls._known.get(base)
+        if known is None or len(known) < n:
+            known = np.full(max(n, 1) * 5 // 4, base, np.uint64)
+            known[0] = 1
+            known = cls._known[base] = np.cumprod(known, dtype=np.uint64)
+        return known[:n]
 
     def of(self, at: np.ndarray, size: int) -> np.ndarray:
         x = (self.sums[at + size] - self.sums[at]) * self.back[at]
@@ -94,15 +99,18 @@ class Names:
     """The different names of a block, ordered by (bucket, name)."""
 
     def __init__(self, bucket: np.ndarray, name: np.ndarray, wide: bool):
-        order = np.lexsort((name, bucket))
+        order = np.argsort(name)
+        small = bucket[order].astype(np.uint16) if len(name) and bucket.max() < 1 << 16 else bucket[order]
+        order = order[np.argsort(small, kind="stable")]
         b, n = bucket[order], name[order]
         new = np.ones(len(n), bool)
         new[1:] = (n[1:] != n[:-1]) | (b[1:] != b[:-1])
         self.slot = np.empty(len(n), np.int64)  # of every occurrence
         self.slot[order] = np.cumsum(new) - 1
         self.bucket, self.name = b[new], n[new]
-        self.twice = np.diff(np.append(np.flatnonzero(new), len(n))) > 1
-        self.first = order[new]  # lexsort is stable: the first occurrence
+        runs = np.flatnonzero(new)
+        self.twice = np.diff(np.append(runs, len(n))) > 1
+        self.first = np.minimum.reduceat(order, runs) if len(n) else order  # first occurrences
         self.wide = wide
 
     def rows(self):
@@ -123,9 +131,13 @@ class Names:
 
 
 def _cover(lo: np.ndarray, hi: np.ndarray, n: int) -> np.ndarray:
-    """Mask of the positions in any closed interval [lo, hi]."""
-    step = np.bincount(lo, minlength=n + 2)[:n + 2] - np.bincount(hi + 1, minlength=n + 2)[:n + 2]
-    return np.cumsum(step[:n]) > 0
+    """Mask of the positions in any closed interval [lo, hi]; both ascend."""
+    step = np.zeros(n + 1, np.int8)
+    if len(lo):
+        gap = lo[1:] > hi[:-1] + 1
+        step[lo[np.append(True, gap)]] = 1
+        step[hi[np.append(gap, True)] + 1] = -1
+    return np.cumsum(step[:n], dtype=np.int8).view(bool)
 
 
 class Block:
@@ -136,19 +148,22 @@ class Block:
         self.raw, self.size, self.buckets, n = raw, size, buckets, len(raw)
         self.v = period(size)
         self.ends = np.cumsum(sizes)
-        start = self.ends - sizes
-        self.start, self.end = np.repeat(start, sizes), np.repeat(self.ends, sizes)
-        self.hash = Hashes(raw, 1)
-        member = np.zeros(self.v, bool)
-        member[[k % self.v for k in COVERS[self.v]]] = True
-        at, self.short = np.arange(n), size - self.v + 1
-        self.sampled = np.flatnonzero(member[(at - self.start) % self.v] & (self.end - at >= self.short))
-        self.n = n
+        self.hash, self._second = Hashes(raw, 1), None
+        self.short, self.n = size - self.v + 1, n
+        cover = sorted(k % self.v for k in COVERS[self.v])
+        places = (np.arange(0, int(sizes.max(initial=0)) + self.v, self.v)[:, None] + np.array(cover)).reshape(-1)
+        counts = np.searchsorted(places, sizes - self.short, side="right")  # sampled places with a whole name
+        starts = self.ends - sizes
+        self.sampled = np.concatenate([places[:c] + a for a, c in zip(starts.tolist(), counts.tolist())]
+                                      or [np.zeros(0, np.int64)])
+        self.start, self.end = np.repeat(starts, counts), np.repeat(self.ends, counts)  # of each sample
 
     def _names(self, at: np.ndarray, length: int, wide: bool) -> Names:
         h = self.hash.of(at, length)
         if wide:
-            bucket = Hashes(self.raw, 2).of(at, length) >> np.uint64(40)
+            if self._second is None:
+                self._second = Hashes(self.raw, 2)
+            bucket = self._second.of(at, length) >> np.uint64(40)
             return Names((bucket % np.uint64(self.buckets)).astype(np.int64), h, True)
         return Names(((h >> np.uint64(32)) % np.uint64(self.buckets)).astype(np.int64),
                      h & np.uint64(0xFFFFFFFF), False)
@@ -158,8 +173,9 @@ class Block:
         first = self._names(self.sampled, self.short, False)
         if k == 0:
             return first
-        again = self.sampled[first.read(answers[0], 0)]
-        long = again[self.end[again] - again >= 2 * self.size]
+        hit = first.read(answers[0], 0)
+        again, start, end = self.sampled[hit], self.start[hit], self.end[hit]
+        long = again[end - again >= 2 * self.size]
         second = self._names(long, 2 * self.size, True)
         if k == 1:
             return second
@@ -169,8 +185,8 @@ class Block:
         self.settled = _cover(long[said], long[said] + self.size, self.n)
         speaks = long[own & is_first]
         keeps = _cover(speaks, speaks + self.size, self.n)
-        last = np.minimum(again, self.end[again] - self.size)
-        low = np.maximum(self.start[again], again - (self.v - 1))
+        last = np.minimum(again, end - self.size)
+        low = np.maximum(start, again - (self.v - 1))
         fits = last >= low
         maybe = _cover(low[fits], last[fits], self.n)
         self.rest = np.flatnonzero(maybe & (~self.settled | keeps))
@@ -192,16 +208,16 @@ def solve_bucket(blocks: list[int], names: list[bytes], twice: list[bytes], widt
     order_of = np.argsort(np.array(blocks), kind="stable")
     name = np.concatenate([parts[i] for i in order_of])
     both = np.concatenate([many[i] for i in order_of])
-    order = np.argsort(name, kind="stable")  # equal names: smallest block first
+    order = np.argsort(name)
     s = name[order]
     new = np.ones(len(s), bool)
     new[1:] = s[1:] != s[:-1]
-    run = np.cumsum(new) - 1
-    count = np.bincount(run)
-    any_twice = np.bincount(run, weights=both[order]) > 0
-    repeated, owner = np.empty(len(s), bool), np.empty(len(s), bool)
-    repeated[order] = ((count > 1) | any_twice)[run]
-    owner[order] = new
+    runs = np.flatnonzero(new)
+    many_holders = np.diff(np.append(runs, len(s))) > 1
+    any_twice = np.logical_or.reduceat(both[order], runs)
+    repeated, owner = np.empty(len(s), bool), np.zeros(len(s), bool)
+    repeated[order] = (many_holders | any_twice)[np.cumsum(new) - 1]
+    owner[np.minimum.reduceat(order, runs)] = True  # names lie in the order of their blocks
     at, out = 0, [None] * len(blocks)
     for i in order_of:
         n = len(parts[i])

@@ -38,7 +38,7 @@ by_value(__name__)
 
 SHARD_BYTES = 256 << 20
 ROLL_BYTES = 64 << 20
-SAMPLE_KEYS = 65_536
+SAMPLE_KEYS = 8_192
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LINE = b"\r\n"

@@ -134,7 +134,69 @@ def op9_quality_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "n_removed_words", "depleted")
 
 
+ORACLES["op9_quality_line_frequency"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source AS host, coalesce(text, '') AS text FROM documents),
+w AS (SELECT rid, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
+grams AS (SELECT rid, i, array_to_string(ws[i:i + 7], ' ') AS g
+          FROM (SELECT rid, ws, unnest(range(1, len(ws) - 6)) AS i FROM w)),
+twice AS (SELECT rid, i FROM (SELECT *, count(*) OVER (PARTITION BY rid, g) AS c FROM grams) WHERE c > 1),
+covered AS (SELECT rid, CAST(sum(least(8, nxt - i)) AS BIGINT) AS n
+            FROM (SELECT rid, i, lead(i, 1, i + 8) OVER (PARTITION BY rid ORDER BY i) AS nxt FROM twice) GROUP BY rid),
+raw_lines AS (SELECT rid, unnest(range(1, len(ls) + 1)) AS pos, unnest(ls) AS line
+              FROM (SELECT rid, string_split(text, chr(10)) AS ls FROM d)),
+lines AS (SELECT *, lag(norm) OVER v AS before, lead(norm) OVER v AS after FROM (
+            SELECT rid, pos, line, trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm
+            FROM raw_lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]'))
+          WINDOW v AS (PARTITION BY rid ORDER BY pos)),
+dup AS (SELECT rid, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY rid),
+per_doc AS (SELECT host, norm, text, min(before) AS before, min(after) AS after
+            FROM lines JOIN d USING (rid) GROUP BY host, norm, text),
+hosts AS (SELECT host, count(DISTINCT text) AS n FROM d GROUP BY host),
+bad AS (SELECT p.host, p.norm FROM per_doc p JOIN hosts h ON p.host IS NOT DISTINCT FROM h.host
+        GROUP BY p.host, p.norm, h.n
+        HAVING count(*) > 20 AND count(*) > 0.1 * h.n
+           AND greatest(count(DISTINCT coalesce('.' || before, '')), count(DISTINCT coalesce('.' || after, ''))) > 0.6 * count(*)),
+gone AS (SELECT l.rid, CAST(sum(len(string_split(l.norm, ' '))) AS BIGINT) AS n
+         FROM lines l JOIN d USING (rid) JOIN bad b ON d.host IS NOT DISTINCT FROM b.host AND l.norm = b.norm GROUP BY l.rid),
+m AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+        CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+        CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+        CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words,
+        coalesce(gone.n, 0) AS n_removed_words
+      FROM d JOIN w USING (rid) LEFT JOIN covered USING (rid) LEFT JOIN dup USING (rid) LEFT JOIN gone USING (rid)),
+v AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+        n_words - n_removed_words < 20 AND n_removed_words > 0.5 * n_words AS depleted FROM m)
+SELECT *, NOT base_failed AND NOT depleted AS kept FROM v
+"""
+
+
 @query
 def op10_line_hash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import deduplicate
-    return deduplicate(_table(spark, sf_dir, "documents"))
+    out = deduplicate(_table(spark, sf_dir, "documents"))
+    return out.withColumn("spans", F.array_join(F.transform(
+        "spans", lambda s: F.concat_ws("+", s["start"], s["length"])), ","))
+
+
+ORACLES["op10_line_hash_dedup"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+cut AS (SELECT doc_id, string_split(regexp_replace(text, '([.!?][ \t]+|\n\s*)', '\1' || chr(1), 'g'), chr(1)) AS ps FROM d),
+pieces AS (SELECT doc_id, unnest(range(1, len(ps) + 1)) AS pos, unnest(ps) AS piece FROM cut),
+placed AS (SELECT *, sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY pos) - length(piece) AS start,
+             trim(regexp_replace(lower(piece), '\s+', ' ', 'g')) AS norm FROM pieces),
+units AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k,
+            row_number() OVER (PARTITION BY norm ORDER BY doc_id, pos) > 1 AS again,
+            len(string_split(norm, ' ')) AS words FROM placed WHERE norm <> ''),
+runs AS (SELECT *, k - row_number() OVER (PARTITION BY doc_id, again ORDER BY k) AS run FROM units),
+gone AS (SELECT doc_id, CAST(min(start) AS BIGINT) AS a, CAST(max(start + length(piece)) AS BIGINT) AS b, count(*) AS n
+         FROM runs WHERE again GROUP BY doc_id, run HAVING sum(words) >= 15),
+spans AS (SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_removed, CAST(sum(b - a) AS BIGINT) AS removed_chars,
+            string_agg(a || '+' || (b - a), ',' ORDER BY a) AS spans FROM gone GROUP BY doc_id),
+kept AS (SELECT p.doc_id, string_agg(piece, '' ORDER BY pos) AS text FROM placed p
+         LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.start >= g.a AND p.start < g.b AND p.norm || piece <> ''
+         WHERE g.doc_id IS NULL GROUP BY p.doc_id),
+counted AS (SELECT doc_id, count(*) AS n_units FROM units GROUP BY doc_id)
+SELECT d.doc_id, coalesce(kept.text, '') AS text, CAST(coalesce(n_units, 0) AS BIGINT) AS n_units,
+  coalesce(n_removed, 0) AS n_removed, coalesce(removed_chars, 0) AS removed_chars, coalesce(spans, '') AS spans
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN counted USING (doc_id) LEFT JOIN spans USING (doc_id)
+"""

@@ -11,6 +11,7 @@ given whole texts.
 
 from __future__ import annotations
 
+import itertools
 import re
 
 from .common import by_value
@@ -32,7 +33,7 @@ class Encoder:
     """``encode(texts)``: the texts' ids as little-endian unsigned 32-bit
     integers.  ``keep`` bounds the pieces held."""
 
-    def __init__(self, path: str, keep: int = 1_500_000):
+    def __init__(self, path: str, keep: int = 900_000):
         import os
 
         import numpy as np
@@ -104,7 +105,7 @@ class Encoder:
         missing = iter(self._whole([first, *(p for p, k in zip(rest, known) if k is None)]))
         return next(missing) + b"".join(next(missing) if k is None else k for k in known)
 
-    def encode(self, texts, at_once: int = 8_000_000) -> list[bytes]:
+    def encode(self, texts, at_once: int = 6_000_000) -> list[bytes]:
         """``texts``: a list or an Arrow array of strings; null is empty."""
         import pyarrow as pa
         import pyarrow.compute as pc
@@ -147,32 +148,36 @@ class Encoder:
         inner = moved(is_break, 1) & moved(is_break, -1) & ~edge  # an empty line
         odd = is_empty & ~(inner & ~moved(moved(is_empty, 1), 1))
 
-        # ids of the different pieces: behind a space, and (numbers from
-        # len(words) on) at the start of a text or line
-        at_head = np.unique(codes[head])
+        # ids of the different pieces, at the start of a text or line and
+        # behind a space; slot: from a piece's number (heads: plus n) to them
         n = len(words)
-        of = np.where(head, codes + n, codes)
-        behind = np.unique(codes[~head])
-        for known, numbers, space in ((self.heads, at_head, False), (self.tails, behind, True)):
-            if len(known) > self.keep:
+        slot, got = np.full(2 * n, -1, np.int64), []
+        for known, mask, shift in ((self.heads, head, n), (self.tails, ~head, 0)):
+            there = np.zeros(n, bool)
+            there[codes[mask]] = True
+            numbers = np.flatnonzero(there)
+            slot[numbers + shift] = np.arange(len(got), len(got) + len(numbers))
+            if len(known) > self.keep:  # early pieces are the frequent ones
+                early = dict(itertools.islice(known.items(), self.keep // 2))
                 known.clear()
-            new = [w for w in map(words.__getitem__, numbers.tolist()) if w not in known]
+                known.update(early)
+            here = list(map(words.__getitem__, numbers.tolist()))
+            ids = list(map(known.get, here))
+            new = [w for w, x in zip(here, ids) if x is None]
             if new:
-                self._learn(known, new, space)
-        ids_of, unknown = [b""] * (2 * n), np.zeros(2 * n, bool)
-        for known, numbers, shift in ((self.heads, at_head, n), (self.tails, behind, 0)):
-            for i in numbers.tolist():
-                ids = known.get(words[i])
-                if ids is None:
-                    unknown[i + shift] = True
-                else:
-                    ids_of[i + shift] = ids
+                self._learn(known, new, not shift)
+                ids = list(map(known.get, here))
+            got += ids
         for w, ids in (("\n", self.line), ("", b"")):
             if w in number:
-                for i in (number[w], number[w] + n):
-                    ids_of[i], unknown[i] = ids, False
-        sizes = np.fromiter(map(len, ids_of), np.int64, 2 * n) // 4
-        pool, first = np.frombuffer(b"".join(ids_of), "<u4"), np.cumsum(sizes) - sizes
+                for i in slot[[number[w], number[w] + n]].tolist():
+                    if i >= 0:
+                        got[i] = ids
+        unknown = np.fromiter((x is None for x in got), bool, len(got))
+        got = [x or b"" for x in got] if unknown.any() else got
+        sizes = np.fromiter(map(len, got), np.int64, len(got)) // 4
+        pool, first = np.frombuffer(b"".join(got), "<u4"), np.cumsum(sizes) - sizes
+        of = slot[np.where(head, codes + n, codes)]
         lengths = sizes[of]
         done = np.cumsum(lengths)
         total = int(done[-1])

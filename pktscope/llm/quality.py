@@ -39,6 +39,8 @@ LINE_MIN_DOCS = 20
 LINE_SHARE = 0.1
 #: ... and with different neighbours on one side in more than this share of them.
 NEIGHBOUR_SHARE = 0.6
+#: A line that very many documents hold is joined in this many parts.
+PARTS = 16
 #: Depleted: under MIN_WORDS words left and more than this share taken out.
 MAX_REMOVED_SHARE = 0.5
 
@@ -111,6 +113,15 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .alias("n_dup_lines"), _lines(F.col("text")).alias("lines")), "quality")
 
 
+def holding(rows: DataFrame, lines: DataFrame, line: str, how: str) -> DataFrame:
+    """``rows`` (host, part and the line's hash in ``line``) joined with the
+    few frequent ``lines`` (host, h), which stand once in every part."""
+    every = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))
+    few = lines.select(F.col("host").alias("l_host"), F.col("h").alias("l_h"), every.alias("l_part"))
+    on = F.col("host").eqNullSafe(F.col("l_host")) & (F.col(line) == F.col("l_h")) & (F.col("part") == F.col("l_part"))
+    return rows.join(few, on, how)
+
+
 def boilerplate(measured: DataFrame, min_docs: int = LINE_MIN_DOCS,
                 share: float = LINE_SHARE) -> DataFrame:
     """(host, h) of boilerplate lines, with the counts that make them so."""
@@ -130,7 +141,7 @@ def boilerplate(measured: DataFrame, min_docs: int = LINE_MIN_DOCS,
         return left.join(named, on, how).drop("r_host", "r_h")
 
     def neighbours(side: str) -> DataFrame:
-        rows = meet(frequent.select("host", "h"), "left_semi", per_doc)
+        rows = holding(per_doc.withColumn("part", F.pmod("key", F.lit(PARTS))), frequent, "h", "left_semi")
         return (rows.groupBy("host", "h", side).agg(F.count("*").alias("c"))
                 .groupBy("host", "h").agg(F.count("*").alias(f"n_{side}")))
 
@@ -144,12 +155,9 @@ def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Per row of ``docs``: id, key, host, metrics, words in removed lines
     (n_removed_words), removed line hashes, base_failed, depleted, kept."""
     measured = measure(docs, id_col, text_col, host_col)
-    bad = boilerplate(measured, min_docs, share).select(
-        F.col("host").alias("bad_host"), F.col("h").alias("bad_h"))
-    removed = (measured.select("rid", "host", F.explode("lines").alias("x"))
-               .join(bad, F.col("host").eqNullSafe(F.col("bad_host")) & (F.col("x.h") == F.col("bad_h")))
-               .groupBy("rid").agg(F.sum("x.n").alias("removed"),
-                                   F.collect_set("bad_h").alias("removed_lines")))
+    rows = measured.select("rid", "host", F.pmod("rid", F.lit(PARTS)).alias("part"), F.explode("lines").alias("x"))
+    removed = (holding(rows, boilerplate(measured, min_docs, share), "x.h", "inner")
+               .groupBy("rid").agg(F.sum("x.n").alias("removed"), F.collect_set("x.h").alias("removed_lines")))
     n = F.col("m.n_words")
     gone = F.coalesce(F.col("removed"), F.lit(0))
     failed = (n < MIN_WORDS) | (100 * F.col("m.n_repeat_words") > MAX_REPEAT_PERCENT * n)

@@ -21,7 +21,7 @@ from pktscope.llm.common import land
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.keep_good(docs)
+    return quality.keep_good(docs, strict=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

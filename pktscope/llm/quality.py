@@ -12,6 +12,11 @@ documents: within a group of near copies both neighbours mostly stay the same.
 (The ends of all texts count as one neighbour.)  So of a block of three equal
 lines or more only the outer ones are boilerplate.
 
+The registered query follows that rule, as its SQL does.  With ``strict`` (the
+pipeline) a line goes by its count of documents alone, wherever it stands and
+whatever stands beside it; there documents that are frequent lines for nearly
+all of their words count as one, so near copies keep their lines.
+
 One pass reads the texts; everything later works on a landed table of narrow
 rows (per document: metrics and one small struct per line).  All counts are
 map-side combined aggregates, so a host or line that holds a third of all rows
@@ -39,6 +44,9 @@ LINE_MIN_DOCS = 20
 LINE_SHARE = 0.1
 #: ... and with different neighbours on one side in more than this share of them.
 NEIGHBOUR_SHARE = 0.6
+#: Strict: documents with more than this share of their words in frequent lines
+#: count as one document per smallest hash of those lines.
+COPY_SHARE = 0.8
 #: A line that very many documents hold is joined in this many parts.
 PARTS = 16
 #: Depleted: under MIN_WORDS words left and more than this share taken out.
@@ -122,23 +130,29 @@ def holding(rows: DataFrame, lines: DataFrame, line: str, how: str) -> DataFrame
     return rows.join(few, on, how)
 
 
+def meet(right: DataFrame, how: str, left: DataFrame) -> DataFrame:
+    named = right.withColumnsRenamed({"host": "r_host", "h": "r_h"})
+    on = F.col("host").eqNullSafe(F.col("r_host")) & (F.col("h") == F.col("r_h"))
+    return left.join(named, on, how).drop("r_host", "r_h")
+
+
+def above(per_doc: DataFrame, measured: DataFrame, min_docs: int, share: float) -> DataFrame:
+    """(host, h, n_docs, host_docs) of the lines above the limit; ``per_doc``
+    has a row per host, line and document."""
+    hosts = (measured.groupBy("host", "key").agg(F.lit(1).alias("one"))
+             .groupBy(F.col("host").alias("of_host")).agg(F.count("*").alias("host_docs")))
+    return (per_doc.groupBy("host", "h").agg(F.count("*").alias("n_docs")).filter(F.col("n_docs") > min_docs)
+            .join(hosts, F.col("host").eqNullSafe(F.col("of_host")))
+            .filter(F.col("n_docs") > share * F.col("host_docs")).drop("of_host"))
+
+
 def boilerplate(measured: DataFrame, min_docs: int = LINE_MIN_DOCS,
                 share: float = LINE_SHARE) -> DataFrame:
     """(host, h) of boilerplate lines, with the counts that make them so."""
     per_doc = (measured.select("host", "key", F.explode("lines").alias("x"))
                .groupBy("host", F.col("x.h").alias("h"), "key")
                .agg(F.min("x.before").alias("before"), F.min("x.after").alias("after")))
-
-    hosts = (measured.groupBy("host", "key").agg(F.lit(1).alias("one"))
-             .groupBy(F.col("host").alias("of_host")).agg(F.count("*").alias("host_docs")))
-    frequent = (per_doc.groupBy("host", "h").agg(F.count("*").alias("n_docs")).filter(F.col("n_docs") > min_docs)
-                .join(hosts, F.col("host").eqNullSafe(F.col("of_host")))
-                .filter(F.col("n_docs") > share * F.col("host_docs")).drop("of_host"))
-
-    def meet(right: DataFrame, how: str, left: DataFrame) -> DataFrame:
-        named = right.withColumnsRenamed({"host": "r_host", "h": "r_h"})
-        on = F.col("host").eqNullSafe(F.col("r_host")) & (F.col("h") == F.col("r_h"))
-        return left.join(named, on, how).drop("r_host", "r_h")
+    frequent = above(per_doc, measured, min_docs, share)
 
     def neighbours(side: str) -> DataFrame:
         rows = holding(per_doc.withColumn("part", F.pmod("key", F.lit(PARTS))), frequent, "h", "left_semi")
@@ -149,14 +163,31 @@ def boilerplate(measured: DataFrame, min_docs: int = LINE_MIN_DOCS,
     return both.filter(F.greatest("n_before", "n_after") > NEIGHBOUR_SHARE * F.col("n_docs"))
 
 
+def strict_boilerplate(measured: DataFrame, min_docs: int = LINE_MIN_DOCS,
+                       share: float = LINE_SHARE) -> DataFrame:
+    """(host, h, n_docs, host_docs) of the lines above the limit, near copies
+    counted as one document."""
+    per_doc = (measured.select("host", "key", "m.n_words", F.explode("lines").alias("x"))
+               .groupBy("host", F.col("x.h").alias("h"), "key")
+               .agg(F.sum("x.n").alias("n"), F.min("n_words").alias("n_words")))
+    frequent = above(per_doc, measured, min_docs, share).select("host", "h")
+    rows = holding(per_doc.withColumn("part", F.pmod("key", F.lit(PARTS))), frequent, "h", "left_semi")
+    copy = F.sum("n") > COPY_SHARE * F.min("n_words")
+    grouped = (rows.groupBy("host", "key").agg(
+        F.when(copy, F.min("h")).otherwise(F.col("key")).alias("one"), F.collect_list("h").alias("hs"))
+        .select("host", "one", F.explode("hs").alias("h")).groupBy("host", "h", "one").agg(F.lit(1).alias("c")))
+    return above(grouped, measured, min_docs, share)
+
+
 def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              host_col: str = "source", min_docs: int = LINE_MIN_DOCS,
-             share: float = LINE_SHARE) -> DataFrame:
+             share: float = LINE_SHARE, strict: bool = False) -> DataFrame:
     """Per row of ``docs``: id, key, host, metrics, words in removed lines
     (n_removed_words), removed line hashes, base_failed, depleted, kept."""
     measured = measure(docs, id_col, text_col, host_col)
+    found = (strict_boilerplate if strict else boilerplate)(measured, min_docs, share)
     rows = measured.select("rid", "host", F.pmod("rid", F.lit(PARTS)).alias("part"), F.explode("lines").alias("x"))
-    removed = (holding(rows, boilerplate(measured, min_docs, share), "x.h", "inner")
+    removed = (holding(rows, found, "x.h", "inner")
                .groupBy("rid").agg(F.sum("x.n").alias("removed"), F.collect_set("x.h").alias("removed_lines")))
     n = F.col("m.n_words")
     gone = F.coalesce(F.col("removed"), F.lit(0))

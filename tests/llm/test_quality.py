@@ -85,3 +85,37 @@ def test_keep_good_keeps_rows_and_columns(spark):
 def test_no_python_in_the_plan(spark):
     plan = Q.keep_good(documents(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def strict(spark, rows):
+    return {r.id: r for r in Q.verdicts(documents(spark, rows), strict=True).collect()}
+
+
+def test_strict_takes_out_a_banner_that_moves_and_every_line_of_a_menu(spark):
+    """60 of 300 texts of a host hold a line first or last, 60 a menu of five lines."""
+    banner = "This is the banner above or below the pages of this host"
+    menu = [f"menu entry {k} of the host" for k in range(5)]
+    body = lambda i: " ".join(f"w{i}x{k}" for k in range(60))
+    rows = [(3 * i, f"{banner}\n{body(i)}" if i % 2 else f"{body(i)}\n{banner}") for i in range(60)]
+    rows += [(3 * i, "\n".join([*menu, body(i)])) for i in range(60, 120)]
+    rows += [(3 * i, body(i)) for i in range(120, 300)]
+    v = strict(spark, rows)
+    assert [v[3 * i].n_removed_words for i in range(300)] == [12] * 60 + [30] * 60 + [0] * 180
+    assert all(r.kept for r in v.values())
+
+
+def test_strict_keeps_the_lines_of_copies(spark):
+    lines = [" ".join(f"w{k}x{i}" for i in range(12)) for k in range(6)]
+    rows = [(3 * i, "\n".join([*lines[:3], f"changed here {i}", *lines[4:]])) for i in range(50)]
+    rows += [(3 * i + 150, "\n".join([*lines[:5], f"another end {i}"])) for i in range(50)]
+    rows += [(3 * i + 300, "\n".join(lines)) for i in range(80)]
+    assert all(r.kept and r.n_removed_words == 0 for r in strict(spark, rows).values())
+
+
+def test_the_pipeline_judges_lines_strictly(spark):
+    import corpus_pipeline
+    menu = [" ".join(f"entry{k}x{i}" for i in range(8)) for k in range(3)]
+    rows = [(3 * i, "\n".join([*menu, f"own words here {i} a b c d e f g"])) for i in range(40)]
+    own = [(3 * i, " ".join(f"w{i}x{k}" for k in range(30))) for i in range(40, 100)]
+    left = corpus_pipeline.quality_rules(spark, documents(spark, rows + own), "")
+    assert {r.doc_id for r in left.collect()} == {i for i, _ in own}

@@ -44,6 +44,8 @@ LINE_MIN_DOCS = 20
 LINE_SHARE = 0.1
 #: ... and with different neighbours on one side in more than this share of them.
 NEIGHBOUR_SHARE = 0.6
+#: Strict: the share asks for no more than this many documents.
+LINE_MAX_DOCS = 200
 #: Strict: documents with more than this share of their words in frequent lines
 #: count as one document per smallest hash of those lines.
 COPY_SHARE = 0.8
@@ -136,14 +138,18 @@ def meet(right: DataFrame, how: str, left: DataFrame) -> DataFrame:
     return left.join(named, on, how).drop("r_host", "r_h")
 
 
-def above(per_doc: DataFrame, measured: DataFrame, min_docs: int, share: float) -> DataFrame:
+def above(per_doc: DataFrame, measured: DataFrame, min_docs: int, share: float,
+          max_docs: int | None = None) -> DataFrame:
     """(host, h, n_docs, host_docs) of the lines above the limit; ``per_doc``
     has a row per host, line and document."""
+    limit = share * F.col("host_docs")
+    if max_docs is not None:
+        limit = F.least(limit, F.lit(float(max_docs)))
     hosts = (measured.groupBy("host", "key").agg(F.lit(1).alias("one"))
              .groupBy(F.col("host").alias("of_host")).agg(F.count("*").alias("host_docs")))
     return (per_doc.groupBy("host", "h").agg(F.count("*").alias("n_docs")).filter(F.col("n_docs") > min_docs)
             .join(hosts, F.col("host").eqNullSafe(F.col("of_host")))
-            .filter(F.col("n_docs") > share * F.col("host_docs")).drop("of_host"))
+            .filter(F.col("n_docs") > limit).drop("of_host"))
 
 
 def boilerplate(measured: DataFrame, min_docs: int = LINE_MIN_DOCS,
@@ -164,19 +170,19 @@ def boilerplate(measured: DataFrame, min_docs: int = LINE_MIN_DOCS,
 
 
 def strict_boilerplate(measured: DataFrame, min_docs: int = LINE_MIN_DOCS,
-                       share: float = LINE_SHARE) -> DataFrame:
+                       share: float = LINE_SHARE, max_docs: int = LINE_MAX_DOCS) -> DataFrame:
     """(host, h, n_docs, host_docs) of the lines above the limit, near copies
     counted as one document."""
     per_doc = (measured.select("host", "key", "m.n_words", F.explode("lines").alias("x"))
                .groupBy("host", F.col("x.h").alias("h"), "key")
                .agg(F.sum("x.n").alias("n"), F.min("n_words").alias("n_words")))
-    frequent = above(per_doc, measured, min_docs, share).select("host", "h")
+    frequent = above(per_doc, measured, min_docs, share, max_docs).select("host", "h")
     rows = holding(per_doc.withColumn("part", F.pmod("key", F.lit(PARTS))), frequent, "h", "left_semi")
     copy = F.sum("n") > COPY_SHARE * F.min("n_words")
     grouped = (rows.groupBy("host", "key").agg(
         F.when(copy, F.min("h")).otherwise(F.col("key")).alias("one"), F.collect_list("h").alias("hs"))
         .select("host", "one", F.explode("hs").alias("h")).groupBy("host", "h", "one").agg(F.lit(1).alias("c")))
-    return above(grouped, measured, min_docs, share)
+    return above(grouped, measured, min_docs, share, max_docs)
 
 
 def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -1,7 +1,11 @@
 """Exact substring deduplication by unit hashing.
 
-A text is cut into units: lines, each cut at sentence ends (so a passage pasted
-into a line is found), or paragraphs.  A unit is normalised (lower case, single
+A text is cut into units: lines, each cut at sentence ends (so the whole
+sentences of a passage pasted into a line are found), or paragraphs.  Kind
+``passage`` cuts lines further, before each word whose hash is the smallest
+within ``REACH`` words: such cuts line up wherever a passage is pasted, so one
+without sentence ends is found too, but for its first and last few words.
+The registered query takes lines, as its SQL does.  A unit is normalised (lower case, single
 spaces) and hashed; its digest is 64 + 32 bits.  Digests are counted over all
 documents, the occurrence in the smallest (id, text key, position) stays, and
 the others go, provided the run of repeated units they stand in has at least
@@ -32,6 +36,19 @@ by_value(__name__)
 MIN_WORDS = 15
 #: What ends a unit, with the white space behind it.
 BREAKS = {"line": re.compile(r"(?<=[.!?])[ \t]+|\n\s*"), "paragraph": re.compile(r"\n[ \t]*\n\s*")}
+BREAKS["passage"] = BREAKS["line"]
+#: Words on either side that a cut of kind passage depends on.
+REACH = 4
+WORD = re.compile(r"\S+")
+
+
+def content_cuts(piece: str) -> list[int]:
+    """Offsets of the words of ``piece`` that begin a unit of kind passage."""
+    import xxhash
+    words = list(WORD.finditer(piece))
+    h = [xxhash.xxh3_64_intdigest(w[0].lower().encode("utf-8", "surrogatepass")) for w in words]
+    return [words[i].start() for i in range(REACH, len(h) - REACH)
+            if h[i] < min(h[i - REACH:i]) and h[i] <= min(h[i + 1:i + REACH + 1])]
 
 
 def units(text: str, kind: str = "line"):
@@ -40,10 +57,12 @@ def units(text: str, kind: str = "line"):
     at = 0
     for stop in [*BREAKS[kind].finditer(text), None]:
         end = stop.start() if stop else len(text)
-        words = text[at:end].lower().split()
         after = stop.end() if stop else len(text)
-        if words:
-            yield at, after, " ".join(words), len(words)
+        inner = [at + c for c in content_cuts(text[at:end])] if kind == "passage" else []
+        for a, b, z in zip([at, *inner], [*inner, end], [*inner, after]):
+            words = text[a:b].lower().split()
+            if words:
+                yield a, z, " ".join(words), len(words)
         at = after
 
 

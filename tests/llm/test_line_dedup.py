@@ -72,3 +72,17 @@ def test_a_passage_inside_a_line_stays_once(spark):
 
 def test_empty_table(spark):
     assert L.deduplicate(empty(spark)).count() == 0
+
+
+def test_a_passage_without_sentence_ends_is_found_by_content(spark):
+    rng = random.Random(5)
+    passage = sentence(rng, 80)
+    rows = [(k, f"{sentence(rng, 9 + k)} {passage} {sentence(rng, 8)}.") for k in range(20)]
+    assert all(r.n_removed == 0 for r in L.deduplicate(documents(spark, rows)).collect())
+    got = {r.doc_id: r for r in L.deduplicate(documents(spark, rows), kind="passage").collect()}
+    assert got[0].text == rows[0][1]
+    for k, text in rows[1:]:
+        (s,) = got[k].spans
+        gone = text[s.start:s.start + s.length].strip()
+        assert gone in passage and len(gone.split()) > 50
+        assert got[k].text == text[:s.start] + text[s.start + s.length:]

@@ -51,7 +51,8 @@ LINE_MAX_DOCS = 200
 COPY_SHARE = 0.8
 #: A line that very many documents hold is joined in this many parts.
 PARTS = 16
-#: Depleted: under MIN_WORDS words left and more than this share taken out.
+#: Depleted: under MIN_WORDS words left and more than this share taken out
+#: (strict: either of them).
 MAX_REMOVED_SHARE = 0.5
 
 
@@ -198,7 +199,8 @@ def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     n = F.col("m.n_words")
     gone = F.coalesce(F.col("removed"), F.lit(0))
     failed = (n < MIN_WORDS) | (100 * F.col("m.n_repeat_words") > MAX_REPEAT_PERCENT * n)
-    depleted = (n - gone < MIN_WORDS) & (gone > MAX_REMOVED_SHARE * n)
+    little, mostly = n - gone < MIN_WORDS, gone > MAX_REMOVED_SHARE * n
+    depleted = ((gone > 0) & little) | mostly if strict else little & mostly
     return measured.drop("lines").join(removed, "rid", "left").select(
         "id", "key", "host", "m.n_words", "m.word_chars", "n_symbols", "n_dup_lines",
         "m.n_repeat_words", gone.cast("long").alias("n_removed_words"),

@@ -129,3 +129,15 @@ def test_strict_limit_does_not_rise_with_the_host(spark):
              + " ".join(f"w{i}x{k}" for k in range(30))) for i in range(2500)]
     v = strict(spark, rows)
     assert [v[3 * i].n_removed_words for i in range(2500)] == [12] * 230 + [0] * 2270
+
+
+def test_strict_rejects_a_long_text_that_is_mostly_boilerplate(spark):
+    licence = [" ".join(f"term{k}x{i}" for i in range(12)) for k in range(10)]
+    body = lambda i, n: " ".join(f"w{i}x{k}" for k in range(n))
+    rows = [(3 * i, "\n".join([*licence, body(i, 130)])) for i in range(40)]
+    rows += [(3 * i, "\n".join([*licence, body(i, 100)])) for i in range(40, 45)]
+    rows += [(135, f"{body(45, 18)}\n{licence[0]}")]
+    rows += [(3 * i, body(i, 30)) for i in range(46, 100)]
+    v = strict(spark, rows)
+    assert [i for i in range(100) if v[3 * i].depleted] == [40, 41, 42, 43, 44, 45]
+    assert [i for i in range(100) if not v[3 * i].kept] == [40, 41, 42, 43, 44, 45]

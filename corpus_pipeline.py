@@ -5,7 +5,7 @@ Each stage is ``(spark, docs, sf_dir) -> DataFrame``; its result is written as
 Parquet on shared storage and read again as the next stage's ``docs``.  All
 stages but the last return the columns of ``documents``:
 
-* quality: documents that the rules reject go; texts stay as they are
+* quality: documents that the rules reject go, boilerplate lines of the others go
 * near_duplicates: one document of each SimHash component stays
 * decontamination: documents holding a benchmark item go
 * personal_data: texts with personal numbers, dates and secrets replaced
@@ -21,7 +21,7 @@ from pktscope.llm.common import land
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.keep_good(docs, strict=True)
+    return quality.strip_boilerplate(docs, length_col="n_chars", strict=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

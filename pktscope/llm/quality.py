@@ -218,8 +218,9 @@ def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def strip_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                      host_col: str = "source", **limits) -> DataFrame:
-    """The passing rows with boilerplate lines taken out of their texts."""
+                      host_col: str = "source", length_col: str | None = None, **limits) -> DataFrame:
+    """The passing rows with boilerplate lines taken out of their texts (and
+    the length of each changed text in ``length_col``)."""
     v = verdicts(docs, id_col, text_col, host_col, **limits)
     names = [fresh(docs.columns, n) for n in ("__v_id", "__v_key", "__v_host", "__v_lines")]
     v = (v.filter("kept").groupBy("id", "key", "host")
@@ -230,4 +231,8 @@ def strip_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         F.lower(F.btrim(x, F.lit(SPACES))), SPACES_RE, " "))
     clean = F.when(F.size(names[3]) == 0, col(text_col)).otherwise(F.array_join(F.filter(
         F.split(col(text_col), "\n"), lambda x: ~F.array_contains(F.col(names[3]), norm(x))), "\n"))
-    return docs.join(v, on).withColumn(text_col, clean).drop(*names)
+    new = {text_col: clean}
+    if length_col:
+        kind = docs.schema[length_col].dataType
+        new[length_col] = F.when(F.size(names[3]) == 0, col(length_col)).otherwise(F.length(clean).cast(kind))
+    return docs.join(v, on).withColumns(new).drop(*names)

@@ -38,3 +38,15 @@ def test_empty_documents(spark, tmp_path):
 
 def test_decontamination_uses_the_whole_item():
     assert decontam.best_match("abcdef", "xxabxcdefxx")[0] == 1
+
+
+def test_quality_takes_boilerplate_out_of_the_texts(spark):
+    rng = random.Random(10)
+    banner = "This is the banner above the pages of this host"
+    rows = [(3 * k, f"{banner}\n{sentence(rng, 40)}" if k < 40 else sentence(rng, 40)) for k in range(100)]
+    docs = documents(spark, rows, CLASHING)
+    out = corpus_pipeline.quality_rules(spark, docs, "")
+    assert out.columns == docs.columns and out.schema["n_chars"].dataType == docs.schema["n_chars"].dataType
+    want = sorted((i, t.removeprefix(f"{banner}\n")) for i, t in rows)
+    assert sorted((r.doc_id, r.text) for r in out.collect()) == want
+    assert all(r.n_chars == len(r.text) for r in out.collect())

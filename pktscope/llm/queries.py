@@ -200,3 +200,70 @@ SELECT d.doc_id, coalesce(kept.text, '') AS text, CAST(coalesce(n_units, 0) AS B
   coalesce(n_removed, 0) AS n_removed, coalesce(removed_chars, 0) AS removed_chars, coalesce(spans, '') AS spans
 FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN counted USING (doc_id) LEFT JOIN spans USING (doc_id)
 """
+
+
+@query
+def op13_merkle_pointer_jumping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .merkle import FIELDS, digest, fold_proof, manifest
+    tampered = digest(*[F.col(f) + 1 if f == "n_chars" else F.col(f) for f in FIELDS])
+    hit = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    found = manifest(_table(spark, sf_dir, "documents"), also={"changed": F.when(hit, tampered)})
+    return found.withColumn("folded_root", fold_proof(F.coalesce("changed", "leaf"))).select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", "root",
+        F.sha2(F.lower(F.hex("proof")), 256).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+#: crc32 of a string of ASCII characters as DuckDB SQL: the table of the
+#: reversed polynomial (joined as ``t``), and the fold over the bytes.
+CRC_TABLE = """crc_table AS MATERIALIZED (
+  SELECT list(c ORDER BY b) AS t FROM (
+    SELECT b, list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) AS c
+    FROM range(256) r(b)))"""
+
+
+def _crc_sql(bytes_list: str) -> str:
+    return (f"xor(list_reduce({bytes_list}, lambda c, b: xor(c >> 8, t"
+            "[CAST(xor(c, b) & 255 AS INT) + 1]), 4294967295::BIGINT), 4294967295::BIGINT)")
+
+
+def _leaf_sql(*fields: str) -> str:
+    parts = [f"coalesce(strlen(CAST({f} AS VARCHAR)) || ':' || CAST({f} AS VARCHAR), '-')" for f in fields]
+    return f"sha256({' || '.join(parts)})"
+
+
+ORACLES["op13_merkle_pointer_jumping"] = f"""
+WITH RECURSIVE {CRC_TABLE},
+d AS MATERIALIZED (
+  SELECT doc_id, lang, {_leaf_sql("doc_id", "source", "lang", "n_chars", "text")} AS leaf, {_leaf_sql("doc_id", "source", "lang", "(n_chars + 1)", "text")} AS changed,
+    {_crc_sql("list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1), lambda i: CAST(ascii(substr(CAST(doc_id AS VARCHAR), CAST(i AS INT), 1)) AS BIGINT))")} AS crc
+  FROM documents, crc_table),
+leaves AS MATERIALIZED (
+  SELECT *, coalesce('=' || lang, '') AS tree, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+    count(*) OVER (PARTITION BY lang) AS n FROM d),
+low(tree, lvl, n, i, h) AS (
+  SELECT tree, 0, n, i, leaf FROM leaves
+  UNION ALL
+  SELECT tree, lvl + 1, (n + 1) // 2, i // 2, sha256(string_agg(h, '' ORDER BY i)) FROM low WHERE n > 1
+  GROUP BY tree, lvl, n, i // 2),
+subroots AS MATERIALIZED (
+  SELECT tree, h, row_number() OVER (ORDER BY encode(tree)) - 1 AS i, count(*) OVER () AS n FROM low WHERE n = 1),
+high(lvl, n, i, h) AS (
+  SELECT 0, n, i, h FROM subroots
+  UNION ALL
+  SELECT lvl + 1, (n + 1) // 2, i // 2, sha256(string_agg(h, '' ORDER BY i)) FROM high WHERE n > 1 GROUP BY lvl, n, i // 2),
+walk(doc_id, leaf, tree, lvl, n, i, proof, f) AS (
+  SELECT doc_id, leaf, tree, 0, n, i, '', CASE WHEN crc % 7 = 0 THEN coalesce(changed, leaf) ELSE leaf END FROM leaves
+  UNION ALL
+  SELECT w.doc_id, w.leaf, w.tree, w.lvl + 1, (w.n + 1) // 2, w.i // 2, w.proof || coalesce(s.h, ''),
+    sha256(CASE WHEN w.i % 2 = 1 THEN coalesce(s.h, '') || w.f ELSE w.f || coalesce(s.h, '') END)
+  FROM walk w LEFT JOIN low s ON s.tree = w.tree AND s.lvl = w.lvl AND s.i = xor(w.i, 1) WHERE w.n > 1),
+climb(doc_id, leaf, subroot, lvl, n, i, proof, f) AS (
+  SELECT w.doc_id, w.leaf, s.h, 0, s.n, s.i, w.proof, w.f FROM walk w JOIN subroots s ON s.tree = w.tree WHERE w.n = 1
+  UNION ALL
+  SELECT c.doc_id, c.leaf, c.subroot, c.lvl + 1, (c.n + 1) // 2, c.i // 2, c.proof || coalesce(s.h, ''),
+    sha256(CASE WHEN c.i % 2 = 1 THEN coalesce(s.h, '') || c.f ELSE c.f || coalesce(s.h, '') END)
+  FROM climb c LEFT JOIN high s ON s.lvl = c.lvl AND s.i = xor(c.i, 1) WHERE c.n > 1)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, f AS folded_root, f = root AS verified
+FROM climb, (SELECT h AS root FROM high WHERE n = 1) WHERE n = 1
+"""

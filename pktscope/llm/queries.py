@@ -202,6 +202,12 @@ FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN counted USING (doc_id) LEFT JOIN
 """
 
 
+@query
+def op11_frequency_vector_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .variants import spellings, vocabulary
+    return spellings(vocabulary(_table(spark, sf_dir, "documents")))
+
+
 @query
 def op13_merkle_pointer_jumping(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .merkle import FIELDS, digest, fold_proof, manifest
@@ -267,3 +273,38 @@ climb(doc_id, leaf, subroot, lvl, n, i, proof, f) AS (
 SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, f AS folded_root, f = root AS verified
 FROM climb, (SELECT h AS root FROM high WHERE n = 1) WHERE n = 1
 """
+
+
+_HEX_BYTE = "CAST('0x' || substr(hex(encode({0})), CAST(2 * i - 1 AS INT), 2) AS BIGINT)"
+ORACLES["op11_frequency_vector_trie"] = f"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS MATERIALIZED (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w AS tagged, w, count(*) AS c FROM (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents)
+  WHERE length(w) >= 5 GROUP BY ALL),
+hashed AS MATERIALIZED (
+  SELECT w, c, {_crc_sql("list_transform(range(1, strlen(tagged) + 1), lambda i: " + _HEX_BYTE.format("tagged") + ")")} AS h
+  FROM runs, crc_table),
+words AS MATERIALIZED (
+  SELECT word, CAST(sum(c) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, CAST(h % length(w) AS INT)) || substr(w, CAST(h % length(w) + 2 AS INT)) ELSE w END AS word, c
+    FROM hashed) WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+cut AS MATERIALIZED (
+  SELECT DISTINCT word, n, i, substr(word, 1, CAST(i - 1 AS INT)) || substr(word, CAST(i + 1 AS INT)) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS MATERIALIZED (
+  SELECT a.word AS a, b.word AS b, b.n AS bn FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i WHERE a.word <> b.word
+  UNION SELECT c.word, w.word, w.n FROM cut c JOIN words w ON c.rest = w.word
+  UNION SELECT w.word, c.word, c.n FROM cut c JOIN words w ON c.rest = w.word),
+near AS (
+  SELECT a AS word, count(*) AS n_near, first(b ORDER BY bn DESC, encode(b)) AS best, max(bn) AS best_n FROM pairs GROUP BY a),
+forms AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * w.n THEN best END AS form,
+    CASE WHEN best_n >= 2 * w.n THEN best_n END AS form_n FROM words w LEFT JOIN near USING (word)),
+path(word, spot) AS (
+  SELECT word, word FROM forms
+  UNION ALL SELECT p.word, f.form FROM path p JOIN forms f ON f.word = p.spot WHERE f.form IS NOT NULL),
+ends AS (SELECT p.word, p.spot AS root FROM path p JOIN forms f ON f.word = p.spot WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
+"""

@@ -208,6 +208,14 @@ def op11_frequency_vector_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spellings(vocabulary(_table(spark, sf_dir, "documents")))
 
 
+@query
+def op12_lempel_ziv_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lempel_ziv import half_replaced
+    found = half_replaced(_table(spark, sf_dir, "documents"))
+    text = {c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")}
+    return found.withColumns(text).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op13_merkle_pointer_jumping(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .merkle import FIELDS, digest, fold_proof, manifest

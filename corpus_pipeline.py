@@ -21,7 +21,7 @@ from pktscope.llm.common import land
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.strip_boilerplate(docs, length_col="n_chars", strict=True)
+    return quality.strip_boilerplate(docs, length_col="n_chars")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,17 +5,16 @@ normalised line and counts, per host, the different documents that hold it; a
 line above the limit is boilerplate and is taken out, and a document that has
 too little left is rejected.
 
-Two things keep clean documents safe when copies abound.  Exact copies count
-as one document (documents are told apart by text, not by id).  And the lines
-before, or the lines behind, a boilerplate line must differ in most of its
-documents: within a group of near copies both neighbours mostly stay the same.
-(The ends of all texts count as one neighbour.)  So of a block of three equal
-lines or more only the outer ones are boilerplate.
-
-The registered query follows that rule, as its SQL does.  With ``strict`` (the
-pipeline) a line goes by its count of documents alone, wherever it stands and
-whatever stands beside it; there documents that are frequent lines for nearly
-all of their words count as one, so near copies keep their lines.
+A line is above the limit when it stands in more than ``LINE_MIN_DOCS`` different
+documents of the host and in more than ``LINE_SHARE`` of them; the share asks for no
+more than ``LINE_MAX_DOCS``, so on a large host a line in thousands of documents goes
+whatever part of it they are.  Where the line stands and what stands beside it does
+not matter.
+
+Copies do not make a clean document's lines boilerplate: exact copies count as one
+document (documents are told apart by text, not by id), and documents that are
+frequent lines for over ``COPY_SHARE`` of their words count as one per smallest line
+hash, as near copies are.
 
 One pass reads the texts; everything later works on a landed table of narrow
 rows (per document: metrics and one small struct per line).  All counts are
@@ -39,20 +38,15 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
-#: A line is boilerplate above max(LINE_MIN_DOCS, LINE_SHARE * documents of the host).
-LINE_MIN_DOCS = 20
-LINE_SHARE = 0.1
-#: ... and with different neighbours on one side in more than this share of them.
-NEIGHBOUR_SHARE = 0.6
-#: Strict: the share asks for no more than this many documents.
+#: Limit of a line, see above.
+LINE_MIN_DOCS = 5
+LINE_SHARE = 0.05
 LINE_MAX_DOCS = 200
-#: Strict: documents with more than this share of their words in frequent lines
-#: count as one document per smallest hash of those lines.
 COPY_SHARE = 0.8
 #: A line that very many documents hold is joined in this many parts.
 PARTS = 16
-#: Depleted: under MIN_WORDS words left and more than this share taken out
-#: (strict: either of them).
+#: Depleted: lines are taken out, and under MIN_WORDS words or no more than this
+#: share of them are left.
 MAX_REMOVED_SHARE = 0.5
 
 
@@ -90,19 +84,17 @@ def repeated_words(words: Column) -> Column:
         let(F.transform(words, lambda w: F.xxhash64(w)), from_word_hashes))
 
 
-def _lines(text: Column) -> Column:
-    """One struct per line that has a word: h (normalised line), before and
-    after (its neighbours; null at the ends), n (words)."""
-    def of(lines: Column) -> Column:
-        hashes = F.transform(lines, lambda x: F.xxhash64(F.regexp_replace(
-            F.lower(x), SPACES_RE, " ")))
-        return let(hashes, lambda h: F.transform(lines, lambda x, i: F.struct(
-            F.get(h, i).alias("h"),
-            F.get(h, i - 1).alias("before"), F.get(h, i + 1).alias("after"),
-            F.size(F.split(x, SPACES_RE)).alias("n"))))
+def line_hash(line: Column) -> Column:
+    """60 bits of the MD5 of the normalised line."""
+    norm = F.regexp_replace(F.lower(F.btrim(line, F.lit(SPACES))), SPACES_RE, " ")
+    return F.conv(F.substring(F.md5(norm), 1, 15), 16, 10).cast("bigint")
 
+
+def _lines(text: Column) -> Column:
+    """One struct per line that has a word: h (its hash), n (its words)."""
     stripped = F.transform(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(SPACES)))
-    return let(F.filter(stripped, lambda x: x != ""), of)
+    return F.transform(F.filter(stripped, lambda x: x != ""), lambda x: F.struct(
+        line_hash(x).alias("h"), F.size(F.split(x, SPACES_RE)).alias("n")))
 
 
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -133,45 +125,20 @@ def holding(rows: DataFrame, lines: DataFrame, line: str, how: str) -> DataFrame
     return rows.join(few, on, how)
 
 
-def meet(right: DataFrame, how: str, left: DataFrame) -> DataFrame:
-    named = right.withColumnsRenamed({"host": "r_host", "h": "r_h"})
-    on = F.col("host").eqNullSafe(F.col("r_host")) & (F.col("h") == F.col("r_h"))
-    return left.join(named, on, how).drop("r_host", "r_h")
-
-
 def above(per_doc: DataFrame, measured: DataFrame, min_docs: int, share: float,
-          max_docs: int | None = None) -> DataFrame:
+          max_docs: int) -> DataFrame:
     """(host, h, n_docs, host_docs) of the lines above the limit; ``per_doc``
     has a row per host, line and document."""
-    limit = share * F.col("host_docs")
-    if max_docs is not None:
-        limit = F.least(limit, F.lit(float(max_docs)))
     hosts = (measured.groupBy("host", "key").agg(F.lit(1).alias("one"))
              .groupBy(F.col("host").alias("of_host")).agg(F.count("*").alias("host_docs")))
+    limit = F.least(share * F.col("host_docs"), F.lit(float(max_docs)))
     return (per_doc.groupBy("host", "h").agg(F.count("*").alias("n_docs")).filter(F.col("n_docs") > min_docs)
             .join(hosts, F.col("host").eqNullSafe(F.col("of_host")))
             .filter(F.col("n_docs") > limit).drop("of_host"))
 
 
-def boilerplate(measured: DataFrame, min_docs: int = LINE_MIN_DOCS,
-                share: float = LINE_SHARE) -> DataFrame:
-    """(host, h) of boilerplate lines, with the counts that make them so."""
-    per_doc = (measured.select("host", "key", F.explode("lines").alias("x"))
-               .groupBy("host", F.col("x.h").alias("h"), "key")
-               .agg(F.min("x.before").alias("before"), F.min("x.after").alias("after")))
-    frequent = above(per_doc, measured, min_docs, share)
-
-    def neighbours(side: str) -> DataFrame:
-        rows = holding(per_doc.withColumn("part", F.pmod("key", F.lit(PARTS))), frequent, "h", "left_semi")
-        return (rows.groupBy("host", "h", side).agg(F.count("*").alias("c"))
-                .groupBy("host", "h").agg(F.count("*").alias(f"n_{side}")))
-
-    both = meet(neighbours("after"), "inner", meet(neighbours("before"), "inner", frequent))
-    return both.filter(F.greatest("n_before", "n_after") > NEIGHBOUR_SHARE * F.col("n_docs"))
-
-
-def strict_boilerplate(measured: DataFrame, min_docs: int = LINE_MIN_DOCS,
-                       share: float = LINE_SHARE, max_docs: int = LINE_MAX_DOCS) -> DataFrame:
+def boilerplate(measured: DataFrame, min_docs: int = LINE_MIN_DOCS, share: float = LINE_SHARE,
+                max_docs: int = LINE_MAX_DOCS) -> DataFrame:
     """(host, h, n_docs, host_docs) of the lines above the limit, near copies
     counted as one document."""
     per_doc = (measured.select("host", "key", "m.n_words", F.explode("lines").alias("x"))
@@ -179,28 +146,32 @@ def strict_boilerplate(measured: DataFrame, min_docs: int = LINE_MIN_DOCS,
                .agg(F.sum("x.n").alias("n"), F.min("n_words").alias("n_words")))
     frequent = above(per_doc, measured, min_docs, share, max_docs).select("host", "h")
     rows = holding(per_doc.withColumn("part", F.pmod("key", F.lit(PARTS))), frequent, "h", "left_semi")
-    copy = F.sum("n") > COPY_SHARE * F.min("n_words")
-    grouped = (rows.groupBy("host", "key").agg(
-        F.when(copy, F.min("h")).otherwise(F.col("key")).alias("one"), F.collect_list("h").alias("hs"))
-        .select("host", "one", F.explode("hs").alias("h")).groupBy("host", "h", "one").agg(F.lit(1).alias("c")))
-    return above(grouped, measured, min_docs, share, max_docs)
-
-
-def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             host_col: str = "source", min_docs: int = LINE_MIN_DOCS,
-             share: float = LINE_SHARE, strict: bool = False) -> DataFrame:
+    grouped = rows.groupBy("host", "key").agg(
+        F.sum("n").alias("n"), F.min("n_words").alias("n_words"), F.min("h").alias("low"), F.collect_list("h").alias("hs"))
+    # the lines of a text's copies were all counted
+    copies = (measured.groupBy(F.col("host").alias("of_host"), F.col("key").alias("of_key"))
+              .agg(F.count("*").alias("copies")).filter("copies > 1"))
+    same = F.col("host").eqNullSafe(F.col("of_host")) & (F.col("key") == F.col("of_key"))
+    counted = grouped.join(copies, same, "left")
+    copy = F.col("n") > COPY_SHARE * F.col("n_words") * F.coalesce("copies", F.lit(1))
+    ones = (counted.select("host", F.when(copy, F.col("low")).otherwise(F.col("key")).alias("one"), F.explode("hs").alias("h"))
+            .groupBy("host", "h", "one").agg(F.lit(1).alias("c")))
+    return above(ones, measured, min_docs, share, max_docs)
+
+
+def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
+             min_docs: int = LINE_MIN_DOCS, share: float = LINE_SHARE, max_docs: int = LINE_MAX_DOCS) -> DataFrame:
     """Per row of ``docs``: id, key, host, metrics, words in removed lines
     (n_removed_words), removed line hashes, base_failed, depleted, kept."""
     measured = measure(docs, id_col, text_col, host_col)
-    found = (strict_boilerplate if strict else boilerplate)(measured, min_docs, share)
+    found = boilerplate(measured, min_docs, share, max_docs)
     rows = measured.select("rid", "host", F.pmod("rid", F.lit(PARTS)).alias("part"), F.explode("lines").alias("x"))
     removed = (holding(rows, found, "x.h", "inner")
                .groupBy("rid").agg(F.sum("x.n").alias("removed"), F.collect_set("x.h").alias("removed_lines")))
     n = F.col("m.n_words")
     gone = F.coalesce(F.col("removed"), F.lit(0))
     failed = (n < MIN_WORDS) | (100 * F.col("m.n_repeat_words") > MAX_REPEAT_PERCENT * n)
-    little, mostly = n - gone < MIN_WORDS, gone > MAX_REMOVED_SHARE * n
-    depleted = ((gone > 0) & little) | mostly if strict else little & mostly
+    depleted = (gone > 0) & ((n - gone < MIN_WORDS) | (gone > MAX_REMOVED_SHARE * n))
     return measured.drop("lines").join(removed, "rid", "left").select(
         "id", "key", "host", "m.n_words", "m.word_chars", "n_symbols", "n_dup_lines",
         "m.n_repeat_words", gone.cast("long").alias("n_removed_words"),
@@ -227,10 +198,8 @@ def strip_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
          .agg(F.first("removed_lines").alias("removed_lines")).toDF(*names))
     on = (col(id_col).eqNullSafe(F.col(names[0])) & (text_key(text_col) == F.col(names[1]))
           & col(host_col).eqNullSafe(F.col(names[2])))
-    norm = lambda x: F.xxhash64(F.regexp_replace(
-        F.lower(F.btrim(x, F.lit(SPACES))), SPACES_RE, " "))
     clean = F.when(F.size(names[3]) == 0, col(text_col)).otherwise(F.array_join(F.filter(
-        F.split(col(text_col), "\n"), lambda x: ~F.array_contains(F.col(names[3]), norm(x))), "\n"))
+        F.split(col(text_col), "\n"), lambda x: ~F.array_contains(F.col(names[3]), line_hash(x))), "\n"))
     new = {text_col: clean}
     if length_col:
         kind = docs.schema[length_col].dataType

@@ -142,22 +142,20 @@ grams AS (SELECT rid, i, array_to_string(ws[i:i + 7], ' ') AS g
 twice AS (SELECT rid, i FROM (SELECT *, count(*) OVER (PARTITION BY rid, g) AS c FROM grams) WHERE c > 1),
 covered AS (SELECT rid, CAST(sum(least(8, nxt - i)) AS BIGINT) AS n
             FROM (SELECT rid, i, lead(i, 1, i + 8) OVER (PARTITION BY rid ORDER BY i) AS nxt FROM twice) GROUP BY rid),
-raw_lines AS (SELECT rid, unnest(range(1, len(ls) + 1)) AS pos, unnest(ls) AS line
-              FROM (SELECT rid, string_split(text, chr(10)) AS ls FROM d)),
-lines AS (SELECT *, lag(norm) OVER v AS before, lead(norm) OVER v AS after FROM (
-            SELECT rid, pos, line, trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm
-            FROM raw_lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]'))
-          WINDOW v AS (PARTITION BY rid ORDER BY pos)),
+lines AS (SELECT rid, line, norm, len(string_split(norm, ' ')) AS n, CAST('0x' || substr(md5(norm), 1, 15) AS BIGINT) AS h
+          FROM (SELECT rid, line, trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm
+                FROM (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM d))
+          WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 dup AS (SELECT rid, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY rid),
-per_doc AS (SELECT host, norm, text, min(before) AS before, min(after) AS after
-            FROM lines JOIN d USING (rid) GROUP BY host, norm, text),
-hosts AS (SELECT host, count(DISTINCT text) AS n FROM d GROUP BY host),
-bad AS (SELECT p.host, p.norm FROM per_doc p JOIN hosts h ON p.host IS NOT DISTINCT FROM h.host
-        GROUP BY p.host, p.norm, h.n
-        HAVING count(*) > 20 AND count(*) > 0.1 * h.n
-           AND greatest(count(DISTINCT coalesce('.' || before, '')), count(DISTINCT coalesce('.' || after, ''))) > 0.6 * count(*)),
-gone AS (SELECT l.rid, CAST(sum(len(string_split(l.norm, ' '))) AS BIGINT) AS n
-         FROM lines l JOIN d USING (rid) JOIN bad b ON d.host IS NOT DISTINCT FROM b.host AND l.norm = b.norm GROUP BY l.rid),
+texts AS (SELECT min(rid) AS rid, host, count(*) OVER (PARTITION BY host) AS host_docs FROM d GROUP BY host, text),
+limits AS (SELECT *, greatest(5, least(0.05 * host_docs, 200)) AS most FROM texts),
+held AS (SELECT t.rid, t.host, t.most, l.h, sum(l.n) AS n FROM limits t JOIN lines l USING (rid) GROUP BY ALL),
+frequent AS (SELECT *, sum(n) OVER (PARTITION BY rid) AS words, min(h) OVER (PARTITION BY rid) AS low
+             FROM (SELECT *, count(*) OVER (PARTITION BY host, h) AS docs FROM held) WHERE docs > most),
+bad AS (SELECT f.host, f.h FROM frequent f JOIN w USING (rid) GROUP BY f.host, f.h, f.most
+        HAVING count(DISTINCT CASE WHEN f.words > 0.8 * len(w.ws) THEN 'line ' || f.low ELSE 'text ' || f.rid END) > f.most),
+gone AS (SELECT l.rid, CAST(sum(l.n) AS BIGINT) AS n
+         FROM lines l JOIN d USING (rid) JOIN bad b ON d.host IS NOT DISTINCT FROM b.host AND l.h = b.h GROUP BY l.rid),
 m AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
         CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
         CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
@@ -165,7 +163,7 @@ m AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
         coalesce(gone.n, 0) AS n_removed_words
       FROM d JOIN w USING (rid) LEFT JOIN covered USING (rid) LEFT JOIN dup USING (rid) LEFT JOIN gone USING (rid)),
 v AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
-        n_words - n_removed_words < 20 AND n_removed_words > 0.5 * n_words AS depleted FROM m)
+        n_removed_words > 0 AND (n_words - n_removed_words < 20 OR n_removed_words > 0.5 * n_words) AS depleted FROM m)
 SELECT *, NOT base_failed AND NOT depleted AS kept FROM v
 """
 

@@ -87,11 +87,11 @@ def test_no_python_in_the_plan(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
-def strict(spark, rows):
-    return {r.id: r for r in Q.verdicts(documents(spark, rows), strict=True).collect()}
+def judged(spark, rows):
+    return {r.id: r for r in Q.verdicts(documents(spark, rows)).collect()}
 
 
-def test_strict_takes_out_a_banner_that_moves_and_every_line_of_a_menu(spark):
+def test_a_banner_goes_that_moves_and_every_line_of_a_menu(spark):
     """60 of 300 texts of a host hold a line first or last, 60 a menu of five lines."""
     banner = "This is the banner above or below the pages of this host"
     menu = [f"menu entry {k} of the host" for k in range(5)]
@@ -99,20 +99,20 @@ def test_strict_takes_out_a_banner_that_moves_and_every_line_of_a_menu(spark):
     rows = [(3 * i, f"{banner}\n{body(i)}" if i % 2 else f"{body(i)}\n{banner}") for i in range(60)]
     rows += [(3 * i, "\n".join([*menu, body(i)])) for i in range(60, 120)]
     rows += [(3 * i, body(i)) for i in range(120, 300)]
-    v = strict(spark, rows)
+    v = judged(spark, rows)
     assert [v[3 * i].n_removed_words for i in range(300)] == [12] * 60 + [30] * 60 + [0] * 180
     assert all(r.kept for r in v.values())
 
 
-def test_strict_keeps_the_lines_of_copies(spark):
+def test_the_lines_of_near_copies_stay(spark):
     lines = [" ".join(f"w{k}x{i}" for i in range(12)) for k in range(6)]
     rows = [(3 * i, "\n".join([*lines[:3], f"changed here {i}", *lines[4:]])) for i in range(50)]
     rows += [(3 * i + 150, "\n".join([*lines[:5], f"another end {i}"])) for i in range(50)]
     rows += [(3 * i + 300, "\n".join(lines)) for i in range(80)]
-    assert all(r.kept and r.n_removed_words == 0 for r in strict(spark, rows).values())
+    assert all(r.kept and r.n_removed_words == 0 for r in judged(spark, rows).values())
 
 
-def test_the_pipeline_judges_lines_strictly(spark):
+def test_the_pipeline_judges_by_the_same_rule(spark):
     import corpus_pipeline
     menu = [" ".join(f"entry{k}x{i}" for i in range(8)) for k in range(3)]
     rows = [(3 * i, "\n".join([*menu, f"own words here {i} a b c d e f g"])) for i in range(40)]
@@ -121,23 +121,39 @@ def test_the_pipeline_judges_lines_strictly(spark):
     assert {r.doc_id for r in left.collect()} == {i for i, _ in own}
 
 
-def test_strict_limit_does_not_rise_with_the_host(spark):
-    """A line in 230 of 2,500 documents (9.2 %), another in 180."""
+def test_a_banner_of_a_large_host_goes(spark):
+    """A line in 300 of 3,000 documents (10 %), another in 140: the limit is 150."""
     banner = "This is the banner on top of the pages of this host"
     other = "Another line that stands on fewer pages of the same host"
-    rows = [(3 * i, ("" if i >= 410 else f"{banner if i < 230 else other}\n")
-             + " ".join(f"w{i}x{k}" for k in range(30))) for i in range(2500)]
-    v = strict(spark, rows)
-    assert [v[3 * i].n_removed_words for i in range(2500)] == [12] * 230 + [0] * 2270
+    rows = [(3 * i, ("" if i >= 440 else f"{banner if i < 300 else other}\n")
+             + " ".join(f"w{i}x{k}" for k in range(30))) for i in range(3000)]
+    v = judged(spark, rows)
+    assert [v[3 * i].n_removed_words for i in range(3000)] == [12] * 300 + [0] * 2700
 
 
-def test_strict_rejects_a_long_text_that_is_mostly_boilerplate(spark):
+def test_the_limit_stops_rising_with_the_host(spark):
+    """Of 5,000 documents 230 hold one line (4.6 %), 180 another: the limit is 200."""
+    rows = [(3 * i, ("" if i >= 410 else f"line {'a' if i < 230 else 'b'} of many pages\n")
+             + " ".join(f"w{i}x{k}" for k in range(22))) for i in range(5000)]
+    v = judged(spark, rows)
+    assert [v[3 * i].n_removed_words for i in range(5000)] == [5] * 230 + [0] * 4770
+
+
+def test_exact_copies_do_not_make_a_text_a_copy_of_others(spark):
+    """Half of each text is a banner; that some texts come twice changes nothing."""
+    banner = " ".join(f"banner{k}" for k in range(20))
+    rows = [(3 * i, f"{banner}\n" + " ".join(f"w{i}x{k}" for k in range(22))) for i in range(30)]
+    v = [r for r in Q.verdicts(documents(spark, rows + rows)).collect()]
+    assert len(v) == 60 and all(r.n_removed_words == 20 and r.kept for r in v)
+
+
+def test_a_long_text_that_is_mostly_boilerplate_goes(spark):
     licence = [" ".join(f"term{k}x{i}" for i in range(12)) for k in range(10)]
     body = lambda i, n: " ".join(f"w{i}x{k}" for k in range(n))
     rows = [(3 * i, "\n".join([*licence, body(i, 130)])) for i in range(40)]
     rows += [(3 * i, "\n".join([*licence, body(i, 100)])) for i in range(40, 45)]
     rows += [(135, f"{body(45, 18)}\n{licence[0]}")]
     rows += [(3 * i, body(i, 30)) for i in range(46, 100)]
-    v = strict(spark, rows)
+    v = judged(spark, rows)
     assert [i for i in range(100) if v[3 * i].depleted] == [40, 41, 42, 43, 44, 45]
     assert [i for i in range(100) if not v[3 * i].kept] == [40, 41, 42, 43, 44, 45]

@@ -45,10 +45,12 @@ RATIO = 2
 #: Letter groups in the order of the trie's levels: the letters a-z by frequency,
 #: then U+00C0 to U+00FF.  All other characters make one more group.
 GROUPS = (*"eaitnosrlducmpghbfvykwzxjq", *map(chr, range(0xC0, 0x100)))
+LEVEL = {g: k for k, g in enumerate(GROUPS)}
 START_LEVELS = 3
 CELL_WORDS = 20_000
 CELL_SEARCHES = 200_000
-LEAF_WORDS = 6
+#: So few pairs of words are compared at once.
+LEAF_PAIRS = 120
 #: Counts held by a task before they are sent on.
 HELD_WORDS, HELD_CHARS = 400_000, 16_000_000
 
@@ -109,8 +111,10 @@ def vocabulary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def vector(word: str) -> tuple[int, ...]:
     """Counts of the word's letters by group; the last is of other characters."""
-    counts = tuple(word.count(g) for g in GROUPS)
-    return (*counts, len(word) - sum(counts))
+    counts = [0] * (len(GROUPS) + 1)
+    for ch in word:
+        counts[LEVEL.get(ch, -1)] += 1
+    return tuple(counts)
 
 
 def one_edit(a: str, b: str) -> bool:
@@ -126,33 +130,49 @@ def one_edit(a: str, b: str) -> bool:
     return a[i + 1:] == b[i + 1:] if len(a) == len(b) else a[i:] == b[i + 1:]
 
 
-def build(words: list, level: int, leaf_words: int = LEAF_WORDS):
-    """Trie over (vector, word, ...): a dict by the count of group ``level``, or
-    a list where few words or no groups are left."""
-    if len(words) <= leaf_words or level > len(GROUPS):
-        return words
-    kids: dict[int, list] = {}
-    for w in words:
-        kids.setdefault(w[0][level], []).append(w)
-    return {c: build(part, level + 1, leaf_words) for c, part in kids.items()}
+class Node:
+    """A node of a trie over (vector, word, n); its kids by the count of its
+    level's group are made when first asked for."""
 
+    __slots__ = ("kids", "words")
 
-def search(trie, level: int, vec: tuple, word: str, surplus: int, deficit: int, greater: bool) -> list:
-    """The words below ``trie`` one edit from ``word`` and greater than it, as
-    far as the budgets last."""
-    found, stack, mine = [], [(trie, level, surplus, deficit, greater)], (vec, word)
+    def __init__(self, words: list):
+        self.words, self.kids = words, None
+
+    def by_count(self, level: int) -> dict[int, Node]:
+        if self.kids is None:
+            parts: dict[int, list] = {}
+            for w in self.words:
+                parts.setdefault(w[0][level], []).append(w)
+            self.kids = {c: Node(part) for c, part in parts.items()}
+        return self.kids
+
+
+def meet(searches: Node, homes: Node, level: int, surplus: int, deficit: int, greater: bool) -> list:
+    """(search, home) of all words in two tries that are one edit apart, the home
+    one the greater.  Both tries are gone down together, so searches share their
+    way as far as their counts agree."""
+    found, stack = [], [(searches, homes, level, surplus, deficit, greater)]
     while stack:
-        node, k, more, less, above = stack.pop()
-        if isinstance(node, list):
-            found += [w for w in node if abs(len(w[1]) - len(word)) < 2 and w[:2] > mine and one_edit(word, w[1])]
+        own, there, k, more, less, above = stack.pop()
+        if k > len(GROUPS) or len(own.words) * len(there.words) <= LEAF_PAIRS:
+            for x in own.words:
+                word = x[1]
+                first, last, short = word[:1], word[-1:], len(word) < 2
+                for y in there.words:
+                    other = y[1]
+                    # an edit changes one end of a longer word at most
+                    if (other[:1] == first or other[-1:] == last or short) and one_edit(word, other) and y[:2] > x[:2]:
+                        found.append((x, y))
             continue
-        c = vec[k]
-        if c in node:
-            stack.append((node[c], k + 1, more, less, above))
-        if more and c + 1 in node:
-            stack.append((node[c + 1], k + 1, 0, less, True))
-        if less and above and c - 1 in node:  # else the other word finds this one
-            stack.append((node[c - 1], k + 1, more, 0, True))
+        homes_by = there.by_count(k)
+        for c, part in own.by_count(k).items():
+            if c in homes_by:
+                stack.append((part, homes_by[c], k + 1, more, less, above))
+            if more and c + 1 in homes_by:
+                stack.append((part, homes_by[c + 1], k + 1, 0, less, True))
+            if less and above and c - 1 in homes_by:  # else the other word finds this one
+                stack.append((part, homes_by[c - 1], k + 1, more, 0, True))
     return found
 
 
@@ -228,18 +248,16 @@ def near_pairs(words: DataFrame, home: Scratch, cell_words: int = CELL_WORDS, ce
     def solve(key, t):
         import pyarrow as pa
         level = key[0].as_py().count(".") + 1
-        here, coming = [], []
-        vectors: dict[str, tuple] = {}
+        homes, coming = [], {}
         for row in zip(*[t.column(c).to_pylist() for c in ("word", "n", "surplus", "deficit", "greater")]):
-            word = row[0]
-            vec = vectors.get(word) or vectors.setdefault(word, vector(word))
+            entry = (vector(row[0]), row[0], row[1])
             if row[2] < 0:
-                here.append((vec, word, row[1]))
+                homes.append(entry)
             else:
-                coming.append((vec, *row))
-        trie, out = build(here, level), []
-        for vec, word, n, surplus, deficit, greater in coming:
-            out += [(word, n, w[1], w[2]) for w in search(trie, level, vec, word, surplus, deficit, greater)]
+                coming.setdefault(row[2:], []).append(entry)
+        trie, out = Node(homes), []
+        for (surplus, deficit, greater), words in coming.items():
+            out += [(x[1], x[2], y[1], y[2]) for x, y in meet(Node(words), trie, level, surplus, deficit, greater)]
         kinds = (pa.string(), pa.int64(), pa.string(), pa.int64())
         columns = zip(*out) if out else ((), (), (), ())
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["a", "a_n", "b", "b_n"])

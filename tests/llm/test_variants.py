@@ -88,12 +88,13 @@ def test_one_edit():
         assert V.one_edit(a, b) == (b in edits(a))
 
 
-def test_search_finds_the_greater_words_of_a_whole_trie():
-    words = vocabulary(400)
-    trie = V.build([(V.vector(w), w) for w in words], 0, 2)
-    for w in words:
-        got = {x[1] for x in V.search(trie, 0, V.vector(w), w, 1, 1, False)}
-        assert got == {x for x in edits(w) if x in words and (V.vector(x), x) > (V.vector(w), w)}
+@pytest.mark.parametrize("leaf_pairs", [0, 40])
+def test_tries_meet_in_all_near_words(monkeypatch, leaf_pairs):
+    monkeypatch.setattr(V, "LEAF_PAIRS", leaf_pairs)
+    words = vocabulary(400) | {"a": 3, "b": 3, "ab": 3, "": 3}
+    entries = [(V.vector(w), w) for w in words]
+    got = sorted((x[1], y[1]) for x, y in V.meet(V.Node(entries[::2]), V.Node(entries), 0, 1, 1, False))
+    assert got == sorted((w, x) for _, w in entries[::2] for x in edits(w) if x in words and (V.vector(x), x) > (V.vector(w), w))
 
 
 @pytest.mark.parametrize("limits", [{}, {"cell_words": 5, "cell_searches": 7, "start_levels": 1}])

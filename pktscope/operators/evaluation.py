@@ -145,71 +145,68 @@ def anova_scores(df: DataFrame, features: list[str], label_col: str = S.LABEL) -
 
 # --- E5: Spearman ---------------------------------------------------------------
 
+def _running_counts(batches):
+    """Per row of a sorted partition: part, and before, the rows of its feature
+    that stand before it in the partition."""
+    import numpy as np
+    import pyarrow as pa
+    from pyspark import TaskContext
+    part, last, held = TaskContext.get().partitionId(), None, 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        f, c = b.column(0).to_numpy(), b.column(2).to_numpy()
+        before = np.cumsum(c) - c
+        runs = np.flatnonzero(np.concatenate([[True], f[1:] != f[:-1]]))
+        start = np.repeat(before[runs], np.diff(np.append(runs, len(f))))
+        before = before - start
+        if f[0] == last:
+            before[:len(f) if len(runs) == 1 else runs[1]] += held
+        last, held = f[-1], int(before[-1] + c[-1])
+        yield pa.RecordBatch.from_arrays(
+            [*b.columns, pa.array(np.full(len(f), part, np.int32)), pa.array(before.astype(np.int64))],
+            names=["f", "value", "c", "sy", "part", "before"])
+
+
 def average_ranks(df: DataFrame, features: list[str], y_col: str, scratch: Scratch,
-                  buckets: int | None = None, rel_err: float = 1e-4) -> DataFrame:
+                  partitions: int | None = None) -> DataFrame:
     """Average ranks (ties share the mean rank) of every feature column,
     per distinct value: (feature, value, c, sy, n, avg_rank), where ``c``
     counts the rows with that value, ``sy`` sums ``y_col`` over them and
     ``n`` is the feature's row count.
 
-    Scales without sorting a whole feature in one task:
-
-    1. cut points: one ``approxQuantile`` pass gives ``buckets`` quantile
-       ranges per feature (features x buckets doubles, model-sized); they
-       only split the work, so ranks stay exact;
-    2. ``Bucketizer`` (binary search in the JVM) tags each value with its
-       range in the wide table, then the table is unpivoted with a packed
-       (feature, bucket) long key;
-    3. rows collapse to distinct (feature, bucket, value) counts (a hot
-       value is reduced map-side), written once as Parquet in the shared
-       folder because two consumers read it;
-    4. bucket totals (features x buckets rows) give each bucket's offset,
-       and only the distinct values of one bucket are sorted together.
-
-    ``buckets`` defaults to four times the shuffle partitions per feature, so
-    a task sorts a like share of the values whatever their number.  The two
-    intermediate tables go to ``scratch``, which the caller removes.
+    One range sort, whatever the values are:
+
+    1. rows collapse to (feature, value) counts (a hot value is reduced
+       map-side, and equal values are one row, so no tie crosses a partition);
+    2. they are range-sorted by (feature, value), and each task counts on from
+       row to row, without a window or another shuffle;
+    3. the totals of a feature in a partition (at most partitions + features
+       rows) give each partition's offset.
+
+    The counts before and behind the sort are written to ``scratch``, which the
+    caller removes.  ``partitions`` sets the number of sorted partitions.
     """
-    from pyspark.ml.feature import Bucketizer
-
-    # Two passes read the input (cut points, then ranks): land the narrow
-    # projection once instead of recomputing the upstream plan twice.
-    data = scratch.land(df.select(F.col(y_col).cast("double").alias(y_col),
-                                  *[F.col(f).cast("double").alias(f) for f in features]), "rank_input")
-    if buckets is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        buckets = min(65_000, max(64, -(-4 * partitions // max(1, len(features)))))
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = data.approxQuantile(features, probs, rel_err)
-    splits = [[-INF] + sorted({float(v) for v in q if v == v and abs(v) != INF}) + [INF] for q in cuts]
-    splits = [sp if len(sp) >= 3 else [-INF, 0.0, INF] for sp in splits]  # empty input
-    bcols = [f"_bucket{i}" for i in range(len(features))]
-    tagged = Bucketizer(splitsArray=splits, inputCols=features, outputCols=bcols,
-                        handleInvalid="keep").transform(data)
-    # (feature index, bucket) packed into one long: the sort key of the rank
-    # window leads with a number instead of the feature name (cheaper sort).
-    cells = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("value"),
-                               (F.lit(i * 65536) + F.col(b).cast("long")).alias("fb"))
-                      for i, (f, b) in enumerate(zip(features, bcols))])
-    long = tagged.select(F.col(y_col).alias("y"), F.inline(cells))
-    vc = scratch.land(long.groupBy("feature", "fb", "value")
-                      .agg(F.count(F.lit(1)).alias("c"), F.sum("y").alias("sy")), "ranks")
-    btot = vc.groupBy("feature", "fb").agg(F.sum("c").alias("bc"))
-    byf = Window.partitionBy("feature")  # bounded: features x buckets rows
-    boff = btot.select(
-        "fb",
-        F.coalesce(F.sum("bc").over(byf.orderBy("fb").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("offset"),
-        F.sum("bc").over(byf).alias("n"))
-    running = Window.partitionBy("fb").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (vc.join(F.broadcast(boff), "fb")
-              .withColumn("before", F.col("offset") + F.sum("c").over(running) - F.col("c")))
-    return ranked.select("feature", "value", "c", "sy", "n",
-                         (F.col("before") + (F.col("c") + 1) / 2.0).alias("avg_rank"))
+    cells = F.array(*[F.struct(F.lit(i).alias("f"), F.col(f).cast("double").alias("value"))
+                      for i, f in enumerate(features)])
+    long = df.select(F.col(y_col).cast("double").alias("y"), F.inline(cells))
+    counts = scratch.land(long.groupBy("f", "value").agg(F.count(F.lit(1)).alias("c"), F.sum("y").alias("sy")), "values")
+    order = [F.col("f"), F.col("value").asc_nulls_last()]
+    dealt = counts.repartitionByRange(partitions, *order) if partitions else counts.repartitionByRange(*order)
+    placed = scratch.land(dealt.sortWithinPartitions(*order).mapInArrow(
+        _running_counts, "f int, value double, c bigint, sy double, part int, before bigint"), "places")
+    totals = placed.groupBy("f", "part").agg(F.max(F.col("before") + F.col("c")).alias("total"))
+    byf = Window.partitionBy("f")  # bounded: a row per partition
+    offsets = totals.select("f", "part", (F.sum("total").over(byf.orderBy("part")) - F.col("total")).alias("offset"),
+                            F.sum("total").over(byf).alias("n"))
+    names = F.element_at(F.array(*[F.lit(f) for f in features]), F.col("f") + 1)
+    return placed.join(offsets, ["f", "part"]).select(
+        names.alias("feature"), "value", "c", "sy", "n",
+        (F.col("offset") + F.col("before") + (F.col("c") + 1) / 2.0).alias("avg_rank"))
 
 
 def spearman_correlations(df: DataFrame, features: list[str], label_col: str = S.LABEL,
-                          buckets: int | None = None) -> DataFrame:
+                          partitions: int | None = None) -> DataFrame:
     """E5 + F15: Spearman rank correlation of every feature with a 0/1
     label, its absolute value and two-sided p-value.  The result has a row
     per feature and is worked out at once; its scratch folder is removed.
@@ -220,7 +217,7 @@ def spearman_correlations(df: DataFrame, features: list[str], label_col: str = S
     """
     spark = df.sparkSession
     with Scratch(spark, "spearman") as scratch:
-        table = _rank_correlation(average_ranks(df, features, label_col, scratch, buckets))
+        table = _rank_correlation(average_ranks(df, features, label_col, scratch, partitions))
         out = with_value(table, "p_value", lambda r: correlation_tails(spark, r["correlation"], r["n"]))
     return out.select("feature", "correlation", F.abs("correlation").alias("abs_correlation"), "p_value")
 

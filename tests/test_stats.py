@@ -50,7 +50,7 @@ def test_average_ranks_multi_bucket(spark):
     rows = _data()
     df = spark.createDataFrame(rows, "i int, label int, a double, b double, c double")
     with Scratch(spark, "test") as scratch:
-        ranked = EV.average_ranks(df, ["a", "b"], "label", scratch, buckets=4).collect()
+        ranked = EV.average_ranks(df, ["a", "b"], "label", scratch, partitions=4).collect()
     got = {(r.feature, r.value): r.avg_rank for r in ranked}
     pdf = pd.DataFrame(rows, columns=["i", "y", "a", "b", "c"])
     for f in ("a", "b"):
@@ -59,11 +59,47 @@ def test_average_ranks_multi_bucket(spark):
             assert abs(got[(f, v)] - rk) < 1e-9
 
 
+@pytest.mark.parametrize("partitions", [1, 7, 64])
+def test_average_ranks_with_heavy_ties(spark, partitions, monkeypatch):
+    """Most rows share one value; infinities, negative zero, and a feature of one value only."""
+    rng = random.Random(8)
+    value = lambda: rng.choice([0.0] * 30 + [-0.0, 1.0, math.inf, -math.inf, rng.gauss(0, 1), rng.gauss(0, 1e9)])
+    rows = [(int(rng.random() < .3), value(), rng.choice([1.0, 2.0]), 7.0, float(i)) for i in range(3000)]
+    names = ["a", "b", "c", "d"]
+    df = spark.createDataFrame(rows, "label int, a double, b double, c double, d double")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")  # values of a partition over many batches
+    try:
+        with Scratch(spark, "test") as scratch:
+            got = EV.average_ranks(df, names, "label", scratch, partitions).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    pdf = pd.DataFrame(rows, columns=["label", *names])
+    for f in names:
+        ranks = pdf[f].rank(method="average")
+        expected = {v: (r, int(n), float(sy)) for v, r, n, sy in zip(
+            pdf[f], ranks, ranks.groupby(pdf[f]).transform("size"), pdf["label"].groupby(pdf[f]).transform("sum"))}
+        mine = [r for r in got if r.feature == f]
+        assert {r.value: (r.avg_rank, r.c, r.sy) for r in mine} == expected and len(mine) == len(expected)
+        assert all(r.n == 3000 for r in mine)
+
+
+def test_ranks_take_one_range_sort(spark, monkeypatch):
+    plans = []
+    real = Scratch.land
+    monkeypatch.setattr(Scratch, "land", lambda self, df, name: plans.append(
+        df._jdf.queryExecution().executedPlan().toString()) or real(self, df, name))
+    df = spark.createDataFrame([(0, 1.0), (1, 2.0)], "label int, a double")
+    with Scratch(spark, "test") as scratch:
+        EV.average_ranks(df, ["a"], "label", scratch).collect()
+    assert [p.count("Exchange ") for p in plans] == [1, 1] and "rangepartitioning" in plans[1]
+    assert not any("Window" in p for p in plans)
+
+
 def test_spearman_anova_pearson_brute_force(spark):
     rows = _data()
     df = spark.createDataFrame(rows, "i int, label int, a double, b double, c double")
     pdf = pd.DataFrame(rows, columns=["i", "label", "a", "b", "c"])
-    sp = {r.feature: r for r in EV.spearman_correlations(df, ["a", "b", "c"], buckets=8).collect()}
+    sp = {r.feature: r for r in EV.spearman_correlations(df, ["a", "b", "c"], partitions=8).collect()}
     for f in ("a", "b"):
         r = np.corrcoef(pdf[f].rank(), pdf["label"].rank())[0, 1]
         assert abs(sp[f].correlation - r) < 1e-9

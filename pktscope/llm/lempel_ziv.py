@@ -77,8 +77,8 @@ class Hasher:
     def __init__(self, slots: int = SLOTS, seed: int = SEED):
         rng = np.random.default_rng(seed)
         self.slots = slots
-        self.times = rng.integers(0, MASK, slots, np.uint64) | np.uint64(1)
-        self.plus = rng.integers(0, MASK, slots, np.uint64)
+        self.times = rng.integers(0, 1 << 32, slots, np.uint32) | np.uint32(1)
+        self.plus = rng.integers(0, 1 << 32, slots, np.uint32)
         self.up, self.down = self._powers(BASE, 1), self._powers(pow(BASE, -1, 1 << 64), 1)
 
     def _powers(self, base: int, n: int):
@@ -106,15 +106,15 @@ class Hasher:
         return np.concatenate(out) if out else np.empty(0, np.uint64)
 
     def minima(self, text: str, start: int, ends: list[int]) -> np.ndarray:
-        least = np.full(self.slots, MASK, np.uint64)
-        h = self.hashes(text, np.array([start, *ends], np.int64))
+        least = np.full(self.slots, 0xFFFFFFFF, np.uint32)
+        h = self.hashes(text, np.array([start, *ends], np.int64)).astype(np.uint32)  # its low half
         for k in range(0, len(h), 256):
             np.minimum(least, (h[k:k + 256, None] * self.times + self.plus).min(axis=0), out=least)
         return least
 
 
 def pack(minima: np.ndarray) -> bytes:
-    return (minima & np.uint64(0xFFFF)).astype(">u2").tobytes()
+    return (minima & np.uint32(0xFFFF)).astype(">u2").tobytes()
 
 
 def alike(a: bytes, b: bytes) -> float:

@@ -26,7 +26,8 @@ def phrase_list(text):
 def print_of(text):
     """A fingerprint by the definition: each hash function's smallest value
     over the phrase set, in whole numbers."""
-    hasher, least = L.Hasher(), [L.MASK] * L.SLOTS
+    hasher, top = L.Hasher(), 0xFFFFFFFF
+    least = [top] * L.SLOTS
     for phrase in set(phrase_list(text)):
         h = 0
         for j, ch in enumerate(phrase):
@@ -36,7 +37,7 @@ def print_of(text):
             h = (h ^ h >> shift) * times & L.MASK
         h ^= h >> 32
         for k in range(L.SLOTS):
-            least[k] = min(least[k], (h * int(hasher.times[k]) + int(hasher.plus[k])) & L.MASK)
+            least[k] = min(least[k], (h * int(hasher.times[k]) + int(hasher.plus[k])) & top)
     return b"".join((x & 0xFFFF).to_bytes(2, "big") for x in least)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pktscope import schema as S
@@ -40,18 +40,24 @@ def label_sqli(features: DataFrame, special_char_threshold: int = 2) -> DataFram
         S.LABEL, F.coalesce(sqli_rule(special_char_threshold), F.lit(False)).cast("int"))
 
 
+def distribution_metrics(label_col: str = S.LABEL) -> dict[str, Column]:
+    """What A15 needs to know of the rows: aggregates, or metrics of a write."""
+    return {"n0": F.count_if(F.col(label_col) == 0), "n1": F.count_if(F.col(label_col) == 1),
+            "total": F.count(F.lit(1))}
+
+
+def distribution_of(totals: DataFrame) -> DataFrame:
+    """A15 from a row of ``distribution_metrics``: two rows, no join."""
+    rows = totals.select(F.expr("stack(2, 0, n0, 1, n1) AS (label, count)"), "total")
+    return rows.select(
+        F.col("label").cast("int").alias(S.LABEL), "count",
+        F.try_divide(F.lit(100.0) * F.col("count"), F.col("total")).alias("percent"))
+
+
 def label_distribution(labelled: DataFrame, label_col: str = S.LABEL) -> DataFrame:
     """Count and percent of label 0 and 1.
 
     One global aggregate (partial per task, one row shuffled per task),
     then a two-row unpivot; no join.
     """
-    lab = F.col(label_col)
-    totals = labelled.agg(
-        F.count_if(lab == 0).alias("n0"), F.count_if(lab == 1).alias("n1"),
-        F.count(F.lit(1)).alias("total"))
-    rows = totals.select(
-        F.expr("stack(2, 0, n0, 1, n1) AS (label, count)"), "total")
-    return rows.select(
-        F.col("label").cast("int").alias(S.LABEL), "count",
-        F.try_divide(F.lit(100.0) * F.col("count"), F.col("total")).alias("percent"))
+    return distribution_of(labelled.agg(*[m.alias(k) for k, m in distribution_metrics(label_col).items()]))

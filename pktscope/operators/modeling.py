@@ -7,11 +7,16 @@ carried by the ``VectorAssembler`` stage of the saved ``PipelineModel``.
 
 from __future__ import annotations
 
+from functools import reduce
+from multiprocessing.pool import ThreadPool
+from operator import add, or_
+
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pktscope import schema as S
@@ -62,43 +67,128 @@ def _class_allocation(counts: DataFrame, label_col: str, test_size: float) -> Da
     return a.select(label_col, "c", (F.col("c") - train + F.coalesce(guard.cast("bigint"), F.lit(0))).alias("t"))
 
 
+#: Rows of a hash range that are ranked by a sort; larger ranges are cut again.
+RANKED_ROWS = 100_000
+
+
+def order_statistics(rows: DataFrame, label_col: str, targets: DataFrame, bits: int = 16,
+                     ranked_rows: int = RANKED_ROWS) -> list:
+    """For every row of ``targets`` (label, which, rank) the ``rank``-th (from
+    1) smallest ``_order`` of that label: rows with label, which, order, and
+    ``equal``, how many rows have that order, and ``taken``, how many of those
+    are among the ``rank`` smallest.  Ranks of 0 are left out.
+
+    ``_order`` is a struct that begins with a hash ``h``.  Histogram refinement:
+    rows are counted by label and the first ``bits`` of the hash, which says in
+    which range a rank lies; the ranges that hold a rank (one per target) are
+    counted by the next bits, until they have at most ``ranked_rows`` rows.  Only
+    those rows are sorted.  A step sends at most targets x 2^bits counts.
+    """
+    left = targets.filter("rank > 0").select(label_col, "which", "rank", F.lit(0).cast("long").alias("p"))
+    within, used = rows, 0
+    with Scratch(rows.sparkSession, "order-statistics") as scratch:
+        while True:
+            width = min(bits, 64 - used)
+            used += width
+            counts = within.groupBy(F.col(label_col), F.shiftright("_order.h", 64 - used).alias("q")).agg(
+                F.count(F.lit(1)).alias("c"))
+            parent = F.shiftright("q", width) if used > width else F.lit(0).cast("long")
+            before = F.sum("c").over(Window.partitionBy(label_col, "p").orderBy("q")) - F.col("c")  # <= 2^bits rows
+            ranges = counts.withColumn("p", parent).withColumn("before", before)
+            left = scratch.land(left.join(ranges, [label_col, "p"]).filter(
+                (F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("before") + F.col("c"))).select(
+                label_col, "which", (F.col("rank") - F.col("before")).alias("rank"), F.col("q").alias("p"), "c"),
+                f"ranges-{used}")
+            most = left.agg(F.max("c")).first()[0] or 0
+            left = left.drop("c")
+            found = left.select(label_col, F.col("p").alias("_p")).distinct()  # a row per target at most
+            within = rows.join(F.broadcast(found), label_col).filter(
+                F.shiftright("_order.h", 64 - used) == F.col("_p")).drop("_p")
+            if most <= ranked_rows or used >= 64:
+                break
+        same = within.groupBy(label_col, F.shiftright("_order.h", 64 - used).alias("p"), F.col("_order").alias("order")).agg(
+            F.count(F.lit(1)).alias("equal"))
+        below = F.sum("equal").over(Window.partitionBy(label_col, "p").orderBy("order")) - F.col("equal")
+        at = same.withColumn("below", below).join(left, [label_col, "p"]).filter(
+            (F.col("rank") > F.col("below")) & (F.col("rank") <= F.col("below") + F.col("equal")))
+        return at.select(label_col, "which", "order", "equal",
+                         (F.col("rank") - F.col("below")).alias("taken")).collect()  # a row per target
+
+
+def _literal(value, kind) -> Column:
+    """A value of a collected row as a constant of type ``kind``."""
+    if hasattr(kind, "fields") and value is not None:
+        return F.struct(*[_literal(v, f.dataType).alias(f.name) for v, f in zip(value, kind.fields)])
+    return F.lit(value).cast(kind)
+
+
 def stratified_split(df: DataFrame, key_cols: list[str], label_col: str = S.LABEL,
-                     test_size: float = 0.2, seed: int = 42, folds: int = 0,
-                     bits: int | None = None) -> DataFrame:
+                     test_size: float = 0.2, seed: int = 42, folds: int = 0, bits: int = 16,
+                     ranked_rows: int = RANKED_ROWS) -> DataFrame:
     """M1: adds ``split`` ('train' / 'test') with exactly the per-class test
     counts of a stratified split; with ``folds > 0`` also ``fold`` (0 ..
-    folds-1), stratified round-robin in the same random order.
-
-    The random order is ``xxhash64(seed, key)``.  The exact rank inside a
-    class is computed without one task per class: rows are cut into 2^bits
-    hash-range buckets per class (uniform because the hash is), bucket
-    sizes give each bucket's offset (a table of classes x buckets), and
-    ranks are only computed inside a bucket.  ``bits`` defaults to sixteen
-    buckets or more for each shuffle partition of the session.  ``key_cols``
-    must identify a row.
-
-    ``df`` is read twice, for the bucket sizes and for the rows: pass a
-    landed table when making it costs more than reading it.
+    folds-1), whose sizes differ by one at most within a class.
+
+    Rows are ordered at random, by ``xxhash64(seed, key)`` and then the key.  A
+    class's test rows are those up to its t-th row in that order, and its folds are
+    consecutive ranges of it.  The rows at those places are found by
+    ``order_statistics``; then each row is labelled by comparing its own order with
+    them, so no row is shuffled or sorted.  ``key_cols`` should identify a row; rows
+    of one key on a limit are told apart by their place in the input.
+
+    ``df`` is read three times here (counts, the ranges around the limits, and by
+    the result): pass a landed table when making it costs more than reading it.
     """
-    if bits is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        bits = min(20, max(6, (16 * partitions - 1).bit_length()))
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols])
-    ordered = df.withColumns({"_h": h, "_b": F.shiftright(h, 64 - bits)})
-    btot = ordered.groupBy(label_col, "_b").agg(F.count(F.lit(1)).alias("_bc"))
-    counts = btot.groupBy(label_col).agg(F.sum("_bc").alias("c"))  # from the small table
-    alloc = _class_allocation(counts, label_col, test_size)
-    boff = btot.withColumn("_off", F.coalesce(F.sum("_bc").over(
-        Window.partitionBy(label_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    # broadcast sides: one row per class, and classes x 2^bits rows
-    joined = (ordered.join(F.broadcast(boff.drop("_bc")), [label_col, "_b"])
-              .join(F.broadcast(alloc), label_col))
-    within = Window.partitionBy(label_col, "_b").orderBy("_h", *key_cols)
-    ranked = joined.withColumn("_rank", F.col("_off") + F.row_number().over(within))  # 1-based
-    out = ranked.withColumn(SPLIT_COL, F.when(F.col("_rank") <= F.col("t"), "test").otherwise("train"))
+    order = F.struct(F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols]).alias("h"),
+                     *[F.col(c).alias(f"k{i}") for i, c in enumerate(key_cols)])
+    rows = df.filter(F.col(label_col).isNotNull()).select(label_col, order.alias("_order"))
+    classes = _class_allocation(rows.groupBy(label_col).agg(F.count(F.lit(1)).alias("c")), label_col, test_size).collect()
+    cuts = [(r[label_col], "test", r["t"]) for r in classes]
+    cuts += [(r[label_col], str(k), (k + 1) * (r["c"] // folds) + min(k + 1, r["c"] % folds))
+             for r in classes for k in range(folds - 1)]
+    spark = df.sparkSession
+    targets = spark.createDataFrame(cuts, f"`{label_col}` {df.schema[label_col].dataType.simpleString()}, which string, rank long")
+    limits = order_statistics(rows, label_col, targets, bits, ranked_rows)
+    held = df.filter(F.col(label_col).isNotNull()).withColumn("_order", order)
+    label, mine = F.col(label_col), F.col("_order")
+    kinds = rows.schema
+    limit = {id(r): _literal(r["order"], kinds["_order"].dataType) for r in limits}
+    of_label = lambda r: label == _literal(r[label_col], kinds[label_col].dataType)
+    divided = [r for r in limits if r["taken"] < r["equal"]]
+    if divided:  # rows of one key on both sides of a limit
+        ties = reduce(or_, [of_label(r) & (mine == limit[id(r)]) for r in divided])
+        place = F.row_number().over(Window.partitionBy(label_col, "_order").orderBy(F.monotonically_increasing_id()))
+        held = (held.filter(~ties).withColumn("_place", F.lit(0))
+                .unionByName(held.filter(ties).withColumn("_place", place)))
+
+    def within(which: str) -> Column:
+        tests = []
+        for r in limits:
+            if r["which"] == which:
+                first = mine <= limit[id(r)]
+                if r in divided:
+                    first = (mine < limit[id(r)]) | ((mine == limit[id(r)]) & (F.col("_place") <= r["taken"]))
+                tests.append(of_label(r) & first)
+        return reduce(or_, tests, F.lit(False))
+
+    out = held.withColumn(SPLIT_COL, F.when(within("test"), "test").otherwise("train"))
     if folds:
-        out = out.withColumn(FOLD_COL, ((F.col("_rank") - 1) % folds).cast("int"))
-    return out.drop("_h", "_b", "_off", "_rank", "c", "t")
+        out = out.withColumn(FOLD_COL, reduce(add, [(~within(str(k))).cast("int") for k in range(folds - 1)], F.lit(0)))
+    return out.drop("_order", "_place")
+
+
+def balance_metrics(label_col: str = S.LABEL) -> dict[str, Column]:
+    """A18 as metrics of a write: rows and labelled rows of each split."""
+    test = F.col(SPLIT_COL) == "test"
+    return {"test": F.count_if(test), "train": F.count_if(~test),
+            "test_sum": F.sum(F.when(test, F.col(label_col))), "train_sum": F.sum(F.when(~test, F.col(label_col)))}
+
+
+def balance_of(spark: SparkSession, seen: dict) -> DataFrame:
+    """The table of A18 from ``balance_metrics`` of a finished write."""
+    rows = [(split, seen[split], float(seen[f"{split}_sum"]) / seen[split])
+            for split in ("train", "test") if seen.get(split)]
+    return spark.createDataFrame(rows, f"{SPLIT_COL} string, rows long, attack_ratio double")
 
 
 def split_balance(split_df: DataFrame, label_col: str = S.LABEL) -> DataFrame:
@@ -156,6 +246,15 @@ def make_estimator(model_type: str = "random_forest", **params):
     raise ValueError(f"no estimator is called {model_type!r}")
 
 
+def _bare(spark: SparkSession, model):
+    """A fitted model without its training summary: that holds the session, which
+    can not be sent to tasks along with the model once the session has observed a
+    write (``session.observed``)."""
+    if getattr(model, "hasSummary", False):
+        model._java_obj.setSummary(spark._jvm.scala.Option.apply(None))
+    return model
+
+
 def train_model(train: DataFrame, features: list[str], model_type: str = "random_forest",
                 **params) -> PipelineModel:
     """M6: assemble the ordered features and fit.  Class weights are joined
@@ -167,7 +266,9 @@ def train_model(train: DataFrame, features: list[str], model_type: str = "random
         data = with_class_weights(train) if weight is None else train.withColumn(
             WEIGHT_COL, F.when(F.col(S.LABEL) == 1, float(weight)).otherwise(1.0))
     assembler = VectorAssembler(inputCols=features, outputCol=FEATURES_COL)
-    return Pipeline(stages=[assembler, est]).fit(data)
+    fitted = Pipeline(stages=[assembler, est]).fit(data)
+    _bare(train.sparkSession, fitted.stages[-1])
+    return fitted
 
 
 def model_features(model: PipelineModel) -> list[str]:
@@ -204,22 +305,60 @@ def f1_of(scored: DataFrame, label_col: str = S.LABEL) -> DataFrame:
 
 
 def assign_folds(data: DataFrame, key_cols: list[str], folds: int = 5, seed: int = 42) -> DataFrame:
-    """``data`` with ``fold`` (0 .. folds-1), round-robin within each class."""
+    """``data`` with ``fold`` (0 .. folds-1), of even sizes within each class."""
     return stratified_split(data, key_cols, test_size=0.5, seed=seed, folds=folds).drop(SPLIT_COL)
 
 
+def _fold_weights(assigned: DataFrame, folds: int, label_col: str, scale_pos_weight: float | None) -> list[Column]:
+    """The class-weight column of each fold's training rows, as constants per
+    class: the weights come from one count by fold and class."""
+    if scale_pos_weight is not None:
+        return [F.when(F.col(label_col) == 1, float(scale_pos_weight)).otherwise(1.0)] * folds
+    counts = {(r[FOLD_COL], r[label_col]): r["count"] for r in assigned.groupBy(FOLD_COL, label_col).count().collect()}
+    labels = sorted({label for _, label in counts})
+    out = []
+    for k in range(folds):
+        per = {label: sum(c for (f, of), c in counts.items() if f != k and of == label) for label in labels}
+        present = [label for label in labels if per[label]]
+        n = sum(per.values())
+        weight = F.lit(1.0)
+        for label in present:
+            weight = F.when(F.col(label_col) == label, n / (len(present) * per[label])).otherwise(weight)
+        out.append(weight)
+    return out
+
+
 def cross_validate(data: DataFrame, features: list[str], key_cols: list[str], folds: int = 5,
-                   model_type: str = "random_forest", seed: int = 42, **params) -> DataFrame:
+                   model_type: str = "random_forest", seed: int = 42, parallelism: int | None = None,
+                   label_col: str = S.LABEL, **params) -> DataFrame:
     """M7: stratified ``folds``-fold CV, F1 of class 1 per fold, plus
-    mean and population std rows."""
-    with Scratch(data.sparkSession, "folds") as scratch:
-        assigned = scratch.land(assign_folds(data, key_cols, folds, seed), "folds")  # read by every fold
-        scores = []
-        for k in range(folds):
-            model = train_model(assigned.where(F.col(FOLD_COL) != k), features, model_type, **params)
-            # one scalar per fold (a model-sized result)
-            scores.append(f1_of(score(model, assigned.where(F.col(FOLD_COL) == k), ("0", "1"))).first()[0])
+    mean and population std rows.
+
+    The narrow table is written once, and once more with its folds and assembled
+    vectors, which all fits read.  The folds are fitted and scored at the same time
+    (``parallelism`` of them; all by default): a fit is a row of jobs with a wait
+    after each, which the jobs of the others fill.
+    """
     spark = data.sparkSession
+    parallelism = max(1, min(folds, parallelism or folds))
+    estimator = make_estimator(model_type, **params)
+    weighted = estimator.hasParam("weightCol") and estimator.isSet("weightCol")
+    assembler = VectorAssembler(inputCols=features, outputCol=FEATURES_COL)
+    with Scratch(spark, "folds") as scratch:
+        narrow = scratch.land(data.select(*dict.fromkeys([*key_cols, *features, label_col])), "input")
+        assigned = scratch.land(assembler.transform(assign_folds(narrow, key_cols, folds, seed)).select(
+            label_col, FOLD_COL, FEATURES_COL), "folds")
+        weights = _fold_weights(assigned, folds, label_col, params.get("scale_pos_weight")) if weighted else None
+
+        def fold_f1(k: int) -> float:
+            train = assigned.where(F.col(FOLD_COL) != k)
+            own = make_estimator(model_type, **params)  # a JVM object of its own: threads fit at the same time
+            model = _bare(spark, own.fit(train.withColumn(WEIGHT_COL, weights[k]) if weighted else train))
+            scored = model.transform(assigned.where(F.col(FOLD_COL) == k))
+            return f1_of(scored, label_col).first()[0]  # one scalar per fold (a model-sized result)
+
+        with ThreadPool(parallelism) as pool:
+            scores = pool.map(inheritable_thread_target(spark)(fold_f1), range(folds))
     per_fold = spark.createDataFrame([(str(k), float(v)) for k, v in enumerate(scores)], "fold string, f1 double")
     summary = per_fold.agg(F.avg("f1").alias("m"), F.stddev_pop("f1").alias("s"))
     return per_fold.unionByName(summary.select(F.lit("mean").alias("fold"), F.col("m").alias("f1"))).unionByName(

@@ -76,8 +76,18 @@ def malicious_requests(scored_requests: DataFrame, n: int = 5, order_col: str =
 
 def detection_summary(scored: DataFrame, detector: str) -> DataFrame:
     """Total, attacks, normal and percentages (one global aggregate)."""
-    agg = scored.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("prediction") == 1).alias("attacks"))
-    return agg.select(
+    return summary_of(scored.agg(*[m.alias(k) for k, m in summary_metrics().items()]), detector)
+
+
+def summary_metrics() -> dict[str, Column]:
+    """What A16 needs to know of the scored rows: aggregates, or metrics of
+    their write."""
+    return {"total": F.count(F.lit(1)), "attacks": F.count_if(F.col("prediction") == 1)}
+
+
+def summary_of(totals: DataFrame, detector: str) -> DataFrame:
+    """A16 from a row of ``summary_metrics``."""
+    return totals.select(
         F.lit(detector).alias("detector"), "total", "attacks",
         (F.col("total") - F.col("attacks")).alias("normal"),
         F.try_divide(100.0 * F.col("attacks"), F.col("total")).alias("attack_percent"),

@@ -26,7 +26,7 @@ from pktscope.plans import training as TR
 from pktscope.plans.http import labelled_requests
 from pktscope.plans.network import preprocess_windows
 from pktscope.plans.relabel import relabel_stored_windows as _relabel_job
-from pktscope.session import scratch_path
+from pktscope.session import materialize, scratch_path
 from pktscope.sources.capture_csv import (labelled_request_projection, read_capture_csv, read_table,
                                           write_capture_csv, write_table)
 from pktscope.sources.derived import documents_as_requests, packets_raw
@@ -410,11 +410,16 @@ def http_feature_matrix(spark, sf_dir):
                                           keep=[S.ROW_ID] + S.REQUEST_KEYS + [S.LABEL]))
 
 
+def _stored(df, columns):
+    """The split reads its input more than once, so its narrow part is written."""
+    return materialize(df.select(*columns, S.LABEL), "split-input")
+
+
 @register
 def stratified_split_counts(spark, sf_dir):
     """M1 + A18: rows per (branch, label, split); 80/20 network, 70/30 HTTP."""
-    net = M.stratified_split(_net_labelled(spark, sf_dir), S.WINDOW_KEYS, test_size=0.2)
-    http = M.stratified_split(_labelled_requests(spark, sf_dir), S.REQUEST_KEYS, test_size=0.3)
+    net = M.stratified_split(_stored(_net_labelled(spark, sf_dir), S.WINDOW_KEYS), S.WINDOW_KEYS, test_size=0.2)
+    http = M.stratified_split(_stored(_labelled_requests(spark, sf_dir), S.REQUEST_KEYS), S.REQUEST_KEYS, test_size=0.3)
 
     def counts(d, name):
         return d.groupBy(S.LABEL, M.SPLIT_COL).agg(F.count(F.lit(1)).alias("rows")).select(
@@ -470,6 +475,7 @@ def cross_validation_f1(spark, sf_dir):
     """M7: 5-fold stratified CV of the network forest (F1 per fold, mean,
     population std)."""
     out = TR.train_network(spark, _windows(spark, sf_dir), cv_folds=5)
+    out["scratch"].remove()
     return round_doubles(out["cv"])
 
 
@@ -477,6 +483,7 @@ def cross_validation_f1(spark, sf_dir):
 def feature_importance(spark, sf_dir):
     """M8 + T3."""
     out = TR.train_network(spark, _windows(spark, sf_dir), cv_folds=0)
+    out["scratch"].remove()
     return round_doubles(out["importance"])
 
 
@@ -506,6 +513,7 @@ def score_passthrough(spark, sf_dir):
     """The input columns of the scored windows, as the detector's output
     carries them (NULL and integer features unchanged)."""
     out = TR.train_network(spark, _windows(spark, sf_dir), cv_folds=0, n_estimators=5)
+    out["scratch"].remove()
     scored = SCJ.score_windows(out["model"], _windows(spark, sf_dir))
     return round_doubles(scored.select(*WINDOW_OUTPUT_COLUMNS))
 
@@ -514,7 +522,7 @@ def score_passthrough(spark, sf_dir):
 def fold_counts(spark, sf_dir):
     """M7: rows per (branch, label, fold) of the 5-fold assignment."""
     def counts(d, keys, name):
-        return M.assign_folds(d, keys, 5).groupBy(S.LABEL, M.FOLD_COL).agg(F.count(F.lit(1)).alias("rows")).select(
+        return M.assign_folds(_stored(d, keys), keys, 5).groupBy(S.LABEL, M.FOLD_COL).agg(F.count(F.lit(1)).alias("rows")).select(
             F.lit(name).alias("branch"), S.LABEL, M.FOLD_COL, "rows")
     return counts(_net_labelled(spark, sf_dir), S.WINDOW_KEYS, "network").unionByName(
         counts(_labelled_requests(spark, sf_dir), S.REQUEST_KEYS, "http"))
@@ -524,6 +532,7 @@ def fold_counts(spark, sf_dir):
 def http_cross_validation_f1(spark, sf_dir):
     """M7 on the HTTP branch."""
     out = TR.train_http(spark, _labelled_requests(spark, sf_dir), cv_folds=5)
+    out["scratch"].remove()
     return round_doubles(out["cv"])
 
 
@@ -546,6 +555,7 @@ def evaluation_job(spark, sf_dir):
     metrics row (all tables are written to the shared folder)."""
     out = TR.train_network(spark, _windows(spark, sf_dir), cv_folds=0)
     tables = EVJ.evaluate_model(spark, out["model"], out["test"], output_dir=_fresh_dir(spark, "evaluation"))
+    out["scratch"].remove()
     return round_doubles(tables["metrics"])
 
 
@@ -587,7 +597,7 @@ _reg("stream_windows", _stream_windows_query)
 @register
 def split_balance(spark, sf_dir):
     """Rows and attack ratio per split (network 80/20)."""
-    s = M.stratified_split(_net_labelled(spark, sf_dir), S.WINDOW_KEYS, test_size=0.2)
+    s = M.stratified_split(_stored(_net_labelled(spark, sf_dir), S.WINDOW_KEYS), S.WINDOW_KEYS, test_size=0.2)
     return round_doubles(M.split_balance(s))
 
 
@@ -631,4 +641,5 @@ def http_evaluation_job(spark, sf_dir):
     out = TR.train_http(spark, _labelled_requests(spark, sf_dir), cv_folds=0)
     tables = EVJ.evaluate_model(spark, out["model"], out["test"], class_names=HTTP_CLASSES,
                                 output_dir=_fresh_dir(spark, "evaluation_http"))
+    out["scratch"].remove()
     return round_doubles(tables["metrics"])

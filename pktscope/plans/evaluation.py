@@ -14,11 +14,16 @@ from pktscope.sources.capture_csv import write_table
 
 def evaluate_model(spark: SparkSession, model: PipelineModel, test: DataFrame,
                    class_names: tuple[str, str] = ("Normal Traffic", "SYN Scan Attack"),
-                   output_dir: str | None = None) -> dict[str, DataFrame]:
+                   output_dir: str | None = None, scratch: Scratch | None = None) -> dict[str, DataFrame]:
     """All tables of the evaluation.  The scored rows are landed once; with
-    ``output_dir`` every table is written there and read from there."""
+    ``output_dir`` every table is written there and read from there, and the
+    landed rows go.  Without one the tables read ``scratch``, a folder of the
+    caller's."""
+    if output_dir is None and scratch is None:
+        raise ValueError("evaluate_model needs an output_dir, or a scratch folder that its tables may read")
     feats = M.model_features(model)
-    scored = Scratch(spark, "evaluation").land(M.score(model, test, ("0", "1")), "scored")
+    own = Scratch(spark, "evaluation") if scratch is None else scratch
+    scored = own.land(M.score(model, test, ("0", "1")), "scored")
     X = EV.zero_fill(scored, feats)
     tables = {
         "confusion_matrix": EV.confusion_matrix(scored),
@@ -36,4 +41,6 @@ def evaluate_model(spark: SparkSession, model: PipelineModel, test: DataFrame,
         for name, df in list(tables.items()):
             write_table(df, f"{output_dir}/{name}")
             tables[name] = spark.read.schema(df.schema).parquet(f"{output_dir}/{name}")
+    if scratch is None:
+        own.remove()
     return tables

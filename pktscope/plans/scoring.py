@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import warnings
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from pktscope.functions.lexical import add_lexical_features
@@ -35,34 +38,45 @@ def predict_all(spark: SparkSession, raw: DataFrame, network_model=None, http_mo
                 output_dir: str | None = None, window_seconds: float = 1, min_packets: int = 2,
                 fmt: str = "parquet", land: bool = True) -> dict:
     """Both detectors on one capture.  The capture is landed once as
-    Parquet (``land``), so a CSV is parsed once and each branch reads only
-    its columns.  A detector without a model is skipped; one that fails (the
-    capture lacks its columns, say) is reported as a warning and leaves the
-    other alone.  Every result is written (S5) below ``output_dir``, or a
-    scratch folder without one, and the summary (A16) reads what was
-    written, so nothing is scored twice."""
-    scratch = Scratch(spark, "predictions")
-    if land:
-        raw = scratch.land(raw, "capture")
-    base = output_dir or scratch.path
-    branches = {
-        "syn_scan": (network_model, "syn_scan_predictions", lambda m: score_windows(
-            m, preprocess_windows(raw, window_seconds, min_packets))),
-        "sqli": (http_model, "sqli_predictions", lambda m: score_requests(
-            m, add_lexical_features(preprocess_requests(raw)))),
-    }
-    results, summary = {}, None
-    for name, (model, folder, run) in branches.items():
-        if not _available(spark, model):
-            continue
-        try:
-            scored = run(model)
-            write_table(scored, f"{base}/{folder}", fmt)
-        except Exception as error:  # noqa: BLE001 - one branch must not stop the other
-            warnings.warn(f"{name}: not scored: {error}", stacklevel=2)
-            continue
-        results[name] = read_table(spark, f"{base}/{folder}", schema=scored.schema, fmt=fmt)
-        part = SC.detection_summary(results[name], name)
+    Parquet (``land``), so a CSV is parsed once and each branch reads only its
+    columns; that copy is removed at the end.  The branches run at the same time.
+
+    A detector without a model is skipped; one whose columns the capture lacks is
+    reported as a warning and leaves the other alone.  Any other failure (a full
+    disk, a broken model) fails the job.  Every result is written (S5) below
+    ``output_dir``, or below a scratch folder without one (``results["scratch"]``,
+    which the caller removes), and the summary (A16) is counted by the writes."""
+    results: dict = {}
+    if output_dir is None:
+        results["scratch"] = Scratch(spark, "predictions")
+    base = output_dir or results["scratch"].path
+    with Scratch(spark, "capture") as scratch:
+        if land:
+            raw = scratch.land(raw, "capture")
+        branches = {
+            "syn_scan": (network_model, "syn_scan_predictions", lambda m: score_windows(
+                m, preprocess_windows(raw, window_seconds, min_packets))),
+            "sqli": (http_model, "sqli_predictions", lambda m: score_requests(
+                m, add_lexical_features(preprocess_requests(raw)))),
+        }
+        planned = {}
+        for name, (model, folder, run) in branches.items():
+            if not _available(spark, model):
+                continue
+            try:
+                planned[name] = (run(model), f"{base}/{folder}")
+            except AnalysisException as error:  # columns are missing
+                warnings.warn(f"{name}: not scored: {error}", stacklevel=2)
+        if planned:
+            write = inheritable_thread_target(spark)(
+                lambda job: write_table(job[0], job[1], fmt, SC.summary_metrics()))
+            with ThreadPool(len(planned)) as pool:
+                seen = dict(zip(planned, pool.map(write, planned.values())))
+    summary = None
+    for name, (scored, path) in planned.items():
+        results[name] = read_table(spark, path, schema=scored.schema, fmt=fmt)
+        totals = spark.createDataFrame([(seen[name].get("total", 0), seen[name].get("attacks", 0))], "total long, attacks long")
+        part = SC.summary_of(totals, name)
         summary = part if summary is None else summary.unionByName(part)
     results["summary"] = summary
     return results

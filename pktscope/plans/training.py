@@ -16,10 +16,11 @@ def prepare_split(labelled: DataFrame, features: list[str], key_cols: list[str],
                   test_size: float, seed: int = 42, scratch: Scratch | None = None) -> DataFrame:
     """Feature matrix (zero-filled) with keys, label and ``split``.  The
     narrow matrix is landed once and feeds both passes of the split; the
-    split is landed for the passes of the learner and the evaluation."""
+    split is landed for the passes of the learner and the evaluation, and its
+    balance (A18) is counted by that write."""
     scratch = scratch or Scratch(labelled.sparkSession, "training")
     fm = scratch.land(M.feature_matrix(labelled, features, keep=key_cols + [S.LABEL]), "features")
-    return scratch.land(M.stratified_split(fm, key_cols, S.LABEL, test_size, seed), "split")
+    return scratch.land(M.stratified_split(fm, key_cols, S.LABEL, test_size, seed), "split", M.balance_metrics())
 
 
 def train_detector(spark: SparkSession, labelled: DataFrame, features: list[str], key_cols: list[str],
@@ -34,7 +35,7 @@ def train_detector(spark: SparkSession, labelled: DataFrame, features: list[str]
     test = split.where(F.col(M.SPLIT_COL) == "test")
     model = M.train_model(train, feats, model_type, **params)
     out = {"model": model, "features": feats, "train": train, "test": test, "scratch": scratch,
-           "balance": M.split_balance(split), "importance": M.feature_importance(spark, model)}
+           "balance": M.balance_of(spark, scratch.seen["split"]), "importance": M.feature_importance(spark, model)}
     if cv_folds:
         out["cv"] = M.cross_validate(train, feats, key_cols, cv_folds, model_type, **params)
     if model_path:

@@ -5,8 +5,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -74,22 +75,43 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
+def observed(df: DataFrame, metrics: dict[str, Column], write) -> dict:
+    """The values of aggregate ``metrics`` over the rows that ``write(df)``
+    writes, gathered by the write itself.  Nothing may shuffle between ``df`` and
+    the files, so each partition counts once even if its task is run again.
+    A plan that Spark finds to be empty gives no values."""
+    seen = Observation(f"written-{uuid.uuid4().hex}")
+    write(df.observe(seen, *[m.alias(k) for k, m in metrics.items()]))
+    return dict(seen.get)
+
+
+def rename_path(spark: SparkSession, path: str, to: str) -> None:
+    jvm = spark._jvm.org.apache.hadoop.fs
+    where = jvm.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).rename(where, jvm.Path(to)):
+        raise OSError(f"could not rename {path} to {to}")
+
+
 class Scratch:
     """One folder of intermediate tables below the shared checkpoint folder,
     deleted as a whole at the end of the job that owns it."""
 
     def __init__(self, spark: SparkSession, name: str):
-        import uuid
         self.spark, self.path = spark, scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
         self._n = 0
+        self.seen: dict[str, dict] = {}
 
-    def land(self, df: DataFrame, name: str) -> DataFrame:
+    def land(self, df: DataFrame, name: str, metrics: dict[str, Column] | None = None) -> DataFrame:
         """Write ``df`` once as Parquet and read it back: cuts the lineage
         (survives executor loss) and lets several consumers read a columnar
-        copy instead of recomputing the plan."""
+        copy instead of recomputing the plan.  ``metrics`` (see ``observed``)
+        are in ``seen[name]`` afterwards."""
         self._n += 1
         path = f"{self.path}/{self._n:02d}-{name}"
-        df.write.parquet(path)
+        if metrics:
+            self.seen[name] = observed(df, metrics, lambda d: d.write.parquet(path))
+        else:
+            df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def remove(self) -> None:

@@ -22,13 +22,15 @@ order Spark packs the splits in: (file path, start of the split, place in it).
 
 from __future__ import annotations
 
+import uuid
 import warnings
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pktscope import schema as S
 from pktscope.functions.coercion import nullify_na_words
+from pktscope.session import observed, path_exists, remove_path, rename_path
 
 CORRUPT = "_corrupt_record"
 # A quoted CSV field (doubled quotes inside); removed before counting commas.
@@ -83,25 +85,66 @@ def read_capture_csv(spark: SparkSession, path: str, with_row_id: bool = True, m
     return kept.select(*cols)
 
 
+def _beside(path: str, what: str) -> str:
+    """A hidden sibling of a table's folder (readers pass over such names)."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/.{name}.{what}" if parent else f".{name}.{what}"
+
+
+def _restore(spark: SparkSession, path: str) -> None:
+    """Bring back the table of a job that died between the two renames of
+    ``write_table``."""
+    before = _beside(path, "previous")
+    if not path_exists(spark, path) and path_exists(spark, before):
+        rename_path(spark, before, path)
+
+
 def read_table(spark: SparkSession, path: str, schema=None, fmt: str | None = None) -> DataFrame:
     """A processed table (windows, requests).  Parquet by default; CSV
     with a header and an explicit schema when ``fmt='csv'`` or the path
     ends in ``.csv``."""
+    _restore(spark, path)
     fmt = fmt or ("csv" if path.rstrip("/").endswith(".csv") else "parquet")
     if fmt == "csv":
         reader = spark.read.option("header", True).option("escape", '"')
         reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
         return reader.csv(path)
-    return spark.read.parquet(path)
-
-
-def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """S3: overwrite a table (CSV with a header, or Parquet)."""
-    w = df.write.mode("overwrite")
-    if fmt == "csv":
-        w.option("header", True).option("escape", '"').csv(path)
-    else:
-        w.parquet(path)
+    return spark.read.parquet(path) if schema is None else spark.read.schema(schema).parquet(path)
+
+
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", metrics: dict[str, Column] | None = None) -> dict:
+    """S3: replace a table (CSV with a header, or Parquet); returns the
+    ``metrics`` of the written rows (see ``session.observed``).
+
+    The rows go to a hidden folder beside the table, which takes the table's name
+    when all of them are there: a job that fails leaves the old table as it was,
+    and ``df`` may read the table that it replaces.
+    """
+    spark = df.sparkSession
+    staged, before = _beside(path, f"staged-{uuid.uuid4().hex}"), _beside(path, "previous")
+
+    def put(rows: DataFrame) -> None:
+        if fmt == "csv":
+            rows.write.option("header", True).option("escape", '"').csv(staged)
+        else:
+            rows.write.parquet(staged)
+
+    _restore(spark, path)
+    seen = {}
+    try:
+        if metrics:
+            seen = observed(df, metrics, put)
+        else:
+            put(df)
+    except BaseException:
+        remove_path(spark, staged)
+        raise
+    remove_path(spark, before)
+    if path_exists(spark, path):
+        rename_path(spark, path, before)
+    rename_path(spark, staged, path)
+    remove_path(spark, before)
+    return seen
 
 
 def write_capture_csv(df: DataFrame, path: str) -> None:

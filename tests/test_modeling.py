@@ -35,6 +35,41 @@ def test_split_folds_are_stratified(spark):
     assert all(per[(0, k)] == 10 and per[(1, k)] == 5 for k in range(5))
 
 
+@pytest.mark.parametrize("bits,ranked_rows", [(16, 100_000), (4, 5), (1, 1)])
+def test_split_takes_the_first_rows_of_the_hash_order(spark, bits, ranked_rows):
+    """Brute force: the rows of each class sorted by (hash, key)."""
+    rows = [(i % 211, f"k{i}", "ab"[i % 7 == 0], None if i % 5 else float(i)) for i in range(400)] + [(None, None, "a", 1.0), (None, "x", None, 1.0)]
+    df = spark.createDataFrame(rows, "k long, name string, label string, x double")
+    got = M.stratified_split(df, ["k", "name"], test_size=0.3, seed=7, folds=3, bits=bits, ranked_rows=ranked_rows).collect()
+    hashed = df.withColumn("h", F.xxhash64(F.lit(7), "k", "name")).collect()
+    n = sum(r.label is not None for r in hashed)
+    assert len(got) == n
+    test, fold = set(), {}
+    for label in "ab":
+        kin = sorted((r.h, r.k is not None, r.k, r.name) for r in hashed if r.label == label)
+        share = {"a": 103, "b": 18}[label]  # ceil(0.3 * 401) = 121 by largest remainder
+        test |= {x[2:] for x in kin[:share]}
+        sizes = [len(kin) // 3 + (k < len(kin) % 3) for k in range(3)]
+        at = 0
+        for k, size in enumerate(sizes):
+            fold |= {x[2:]: k for x in kin[at:at + size]}
+            at += size
+    assert {(r.k, r.name) for r in got if r.split == "test"} == test
+    assert all(fold[r.k, r.name] == r.fold for r in got)
+
+
+def test_split_of_repeated_keys_is_exact(spark):
+    df = spark.createDataFrame([("same", 0)] * 61 + [("same", 1)] * 20 + [("other", 1)] * 19, "k string, label int")
+    got = M.stratified_split(df, ["k"], test_size=0.3, folds=4)
+    assert _counts(got) == {(0, "test"): 18, (0, "train"): 43, (1, "test"): 12, (1, "train"): 27}
+    folds = {(r.label, r.fold): r["count"] for r in got.groupBy("label", "fold").count().collect()}
+    assert folds == {(0, 0): 16, (0, 1): 15, (0, 2): 15, (0, 3): 15, (1, 0): 10, (1, 1): 10, (1, 2): 10, (1, 3): 9}
+
+
+def test_split_of_an_empty_table(spark):
+    assert M.stratified_split(_labelled(spark, 0, 0), ["k"], folds=3).collect() == []
+
+
 def test_split_rejects_singleton_class(spark):
     df = _labelled(spark, 10, 1)
     with pytest.raises(Exception):
@@ -67,6 +102,42 @@ def test_cross_validation_rows(spark):
     assert abs(cv["mean"] - sum(cv[str(k)] for k in range(3)) / 3) < 1e-12
 
 
+@pytest.mark.parametrize("params", [{"model_type": "random_forest", "n_estimators": 20, "max_depth": 3},
+                                    {"model_type": "gbt", "n_estimators": 2, "max_depth": 2, "scale_pos_weight": 3.0}])
+def test_concurrent_folds_equal_one_after_the_other(spark, params):
+    rows = [(i, int(i * 7919 % 100 < 30), float(i * 31 % 17), float(i * 7919 % 100 + i % 40)) for i in range(300)]
+    df = spark.createDataFrame(rows, "k long, label int, x double, z double")
+    got = {r.fold: r.f1 for r in M.cross_validate(df, ["x", "z"], ["k"], folds=3, **params).collect()}
+    assigned = M.assign_folds(df, ["k"], 3).cache()
+    for k in range(3):  # (samples and thresholds depend on the order of the rows, so not to the digit)
+        model = M.train_model(assigned.where(F.col("fold") != k), ["x", "z"], **params)
+        alone = M.f1_of(M.score(model, assigned.where(F.col("fold") == k), ("0", "1"))).first()[0]
+        assert abs(got[str(k)] - alone) < 0.1 and 0 < got[str(k)] < 1
+    weights = M._fold_weights(assigned, 3, "label", None)
+    joined = M.class_weights(assigned.where("fold <> 1")).collect()
+    for r in joined:
+        w = assigned.where(f"fold <> 1 AND label = {r.label}").select(weights[1].alias("w")).distinct().collect()
+        assert [x.w for x in w] == [r.class_weight]
+
+
+def test_split_balance_is_counted_by_the_write(spark):
+    from pktscope.plans.training import prepare_split
+    from pktscope.session import Scratch
+    with Scratch(spark, "test") as scratch:
+        split = prepare_split(_labelled(spark, 70, 30), ["x"], ["k"], 0.2, scratch=scratch)
+        seen = {tuple(r) for r in M.balance_of(spark, scratch.seen["split"]).collect()}
+        assert seen == {tuple(r) for r in M.split_balance(split).collect()} == {("train", 80, 0.3), ("test", 20, 0.3)}
+
+
+def test_a_broken_model_fails_the_job(spark, tmp_path):
+    from pktscope.plans.scoring import predict_all
+    from pktscope.sources.derived import packets_raw
+    (tmp_path / "broken" / "metadata").mkdir(parents=True)
+    (tmp_path / "broken" / "metadata" / "part-00000").write_text("{not json")
+    with pytest.raises(Exception):
+        predict_all(spark, packets_raw(spark, "/root/testdata/sf0.001"), str(tmp_path / "broken"), window_seconds=604_800)
+
+
 def test_scoring_keeps_its_input(spark):
     model = M.train_model(_labelled(spark, 60, 40), ["x"], n_estimators=3, max_depth=3)
     df = spark.createDataFrame([(1, 6, None, "p"), (2, None, 2.5, "q")],
@@ -118,6 +189,10 @@ def test_predict_all_isolates_its_detectors(spark, tmp_path):
     both = predict_all(spark, raw, net, http, window_seconds=seconds)
     assert {r.detector for r in both["summary"].collect()} == {"syn_scan", "sqli"}
     n = both["syn_scan"].count()
+    counted = {r.detector: (r.total, r.attacks) for r in both["summary"].collect()}
+    for name in counted:
+        written = both[name].selectExpr("count(*)", "count_if(prediction = 1)").first()
+        assert counted[name] == tuple(written)
     absent = predict_all(spark, raw, net, str(tmp_path / "absent"), str(tmp_path / "out"), seconds)
     assert "sqli" not in absent and spark.read.parquet(str(tmp_path / "out" / "syn_scan_predictions")).count() == n
     with pytest.warns(UserWarning, match="sqli"):

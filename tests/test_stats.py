@@ -86,8 +86,8 @@ def test_average_ranks_with_heavy_ties(spark, partitions, monkeypatch):
 def test_ranks_take_one_range_sort(spark, monkeypatch):
     plans = []
     real = Scratch.land
-    monkeypatch.setattr(Scratch, "land", lambda self, df, name: plans.append(
-        df._jdf.queryExecution().executedPlan().toString()) or real(self, df, name))
+    monkeypatch.setattr(Scratch, "land", lambda self, df, name, *more: plans.append(
+        df._jdf.queryExecution().executedPlan().toString()) or real(self, df, name, *more))
     df = spark.createDataFrame([(0, 1.0), (1, 2.0)], "label int, a double")
     with Scratch(spark, "test") as scratch:
         EV.average_ranks(df, ["a"], "label", scratch).collect()

@@ -10,15 +10,19 @@ Only valid values are taken:
 * card: 13-19 digits (plain or grouped) that pass the Luhn check; the new
   number passes it too
 * iban: passes mod 97; account part permuted, check digits made anew
-* ssn: 123-45-6789 with a possible area, group and serial; digits permuted
+* ssn: 123-45-6789 with a possible area, group and serial; permuted among the
+  possible ones
 * phone: NANP-like numbers with separators; the last seven digits permuted
 * ip: four octets of 0-255; permuted as octets
 * date: yyyy-mm-dd, dd.mm.yyyy, mm/dd/yyyy that exist, 1900-01-01 to
-  2101-01-27; permuted as the day's number
+  2101-01-27; permuted as the day's number.  dd/mm/yyyy is taken where it can not
+  be mm/dd/yyyy, and walks on through the permutation until the new day can not
+  either
 * email: the local part's letters and digits permuted within their classes,
   the domain stays
 * secret: values behind password/token/secret/key and = or :, access keys
-  (AKIA...) and long hexadecimal strings, permuted within their classes
+  (AKIA...) and long hexadecimal strings, permuted within their classes; of any
+  length
 
 Text between matches is kept byte for byte.  Null text stays null; empty text
 stays empty; very long texts are handled whole; repeated rows alike; other
@@ -39,9 +43,9 @@ _LEFT, _RIGHT = r"(?<![A-Za-z0-9])", r"(?![A-Za-z0-9])"
 #: Kinds in the order they are tried at a position.
 FORMATS: list[tuple[str, str]] = [
     ("email", r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}"),
-    ("named", r"(?i:password|passwd|pwd|token|secret|api_?key)[ ]{0,2}[=:][ ]{0,2}[\"']?[A-Za-z0-9_+/-]{8,128}"),
+    ("named", r"(?i:password|passwd|pwd|token|secret|api_?key)[ ]{0,2}[=:][ ]{0,2}[\"']?[A-Za-z0-9_+/-]{8,}+"),
     ("access", r"AKIA[A-Z0-9]{16}"),
-    ("hex", r"(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})"),
+    ("hex", r"(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)"),
     ("iban", r"[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?"),
     ("date", r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})"),
     ("ip", r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"),
@@ -50,16 +54,20 @@ FORMATS: list[tuple[str, str]] = [
     ("card", r"(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})"),
 ]
 PATTERN = "|".join(f"(?:{_LEFT}{'(?<![+])' * (k == 'phone')}{p}{_RIGHT})" for k, p in FORMATS)
-#: A text without one of these characters has no match.
-MAY_HAVE = r"[0-9@=:]"
+#: A text without one of these has no match.
+MAY_HAVE = r"[0-9@=:]|AKIA|[a-f]{32}|[A-F]{32}"
 DIGITS, UPPER, LOWER, HEX = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789abcdef"
 #: Dates are permuted as 271 x 271 day numbers from 1900-01-01 on.
 _SIDE, _FIRST_DAY = 271, "1900-01-01"
+#: Steps of a walk; two days in five end it, so 1 in 10^25 does not end.
+WALK = 64
+#: Possible areas (001-899 without 666), and groups times serials.
+_AREAS, _SERIALS = 898, 99 * 9999
 
 
-def _digest(key: str, tag: str, turn: int, other: Column) -> Column:
+def _digest(key: str, tag: str, turn: Column, other: Column) -> Column:
     """128 hexadecimal digits that depend on the key, kind, round and half."""
-    inner = F.sha2(F.concat(F.lit(f"{key}|{tag}|{turn}|"), other), 512)
+    inner = F.sha2(F.concat(F.lit(f"{key}|{tag}|"), turn.cast("string"), F.lit("|"), other), 512)
     return F.sha2(F.concat(F.lit(f"{key}|"), inner), 512)
 
 
@@ -82,40 +90,42 @@ def _shift(half: Column, digest: Column, sign_alphabets: list[str]) -> Column:
     return F.array_join(F.transform(F.split(half, ""), moved), "")
 
 
+def _turns() -> Column:
+    return F.sequence(F.lit(0), F.lit(ROUNDS - 1))
+
+
 def permute(value: Column, key: str, tag: str, alphabets: list[str]) -> Column:
     """Feistel permutation of a string; each character keeps its alphabet,
-    characters of none stay.  Strings of one character are shifted alone."""
+    characters of none stay.  Strings of one character are shifted alone.  A
+    round shifts the first half by a digest of the other and swaps the two."""
     cut = F.floor(F.length(value) / 2).cast("int")
-    pair = F.struct(F.substr(value, F.lit(1), cut).alias("a"),
-                    F.substr(value, cut + 1, F.length(value)).alias("b"))
+    halves = F.struct(F.substr(value, F.lit(1), cut).alias("x"),
+                      F.substr(value, cut + 1, F.length(value)).alias("y"))
 
-    def odd(turn: int):
-        return lambda p: F.struct(p["a"].alias("a"), let(
-            _digest(key, tag, turn, p["a"]), lambda d: _shift(p["b"], d, alphabets)).alias("b"))
+    def turned(p: Column, turn: Column) -> Column:
+        moved = let(_digest(key, tag, turn, p["y"]), lambda d: _shift(p["x"], d, alphabets))
+        return F.struct(p["y"].alias("x"), F.when(p["x"] == "", "").otherwise(moved).alias("y"))
 
-    def even(turn: int):
-        return lambda p: F.struct(F.when(p["a"] == "", "").otherwise(let(
-            _digest(key, tag, turn, p["b"]), lambda d: _shift(p["a"], d, alphabets))).alias("a"),
-            p["b"].alias("b"))
+    return F.aggregate(_turns(), halves, turned, lambda p: F.concat(p["x"], p["y"]))
 
-    for turn in range(ROUNDS):
-        pair = let(pair, odd(turn) if turn % 2 else even(turn))
-    return let(pair, lambda p: F.concat(p["a"], p["b"]))
 
+def _pair_permute(a: Column, b: Column, key: str, tag: str, size_a: int, size_b: int) -> Column:
+    """Feistel permutation of two numbers below ``size_a`` and ``size_b``, which
+    in turn are moved on by a digest of the other; struct(a, b)."""
+    wide = max(size_a, size_b) > 65536
 
-def _pair_permute(a: Column, b: Column, key: str, tag: str, size: int) -> Column:
-    """Feistel permutation of two numbers below ``size``; struct(a, b)."""
-    pair = F.struct(a.cast("int").alias("a"), b.cast("int").alias("b"))
+    def turned(p: Column, turn: Column) -> Column:
+        even = turn % 2 == 0
+        other = F.when(even, p["b"]).otherwise(p["a"]).cast("string")
 
-    def one(turn: int):
-        x, y = ("a", "b") if turn % 2 else ("b", "a")
-        return lambda p: let(
-            _amount(_digest(key, tag, turn, p[x].cast("string")), 0), lambda rise: F.struct(
-                *[((p[n] + rise) % size if n == y else p[n]).alias(n) for n in ("a", "b")]))
+        def moved(d: Column) -> Column:
+            rise = _amount(d, 0).cast("long") * 65536 + _amount(d, 1) if wide else _amount(d, 0).cast("long")
+            return F.struct(F.when(even, (p["a"] + rise) % size_a).otherwise(p["a"]).alias("a"),
+                            F.when(even, p["b"]).otherwise((p["b"] + rise) % size_b).alias("b"))
 
-    for turn in range(ROUNDS):
-        pair = let(pair, one(turn))
-    return pair
+        return let(_digest(key, tag, turn, other), moved)
+
+    return F.aggregate(_turns(), F.struct(a.cast("long").alias("a"), b.cast("long").alias("b")), turned)
 
 
 def _into(shape: Column, chars: Column, slots: str) -> Column:
@@ -172,24 +182,33 @@ def _iban(m: Column, key: str) -> Column:
 
 
 def _date(m: Column, key: str) -> Column:
-    def in_form(form: str) -> Column:
-        def new(n: Column) -> Column:
-            moved = let(_pair_permute(F.floor(n / _SIDE), n % _SIDE, key, "date", _SIDE),
-                        lambda p: p["a"] * _SIDE + p["b"])
-            return F.when(n.between(0, _SIDE * _SIDE - 1), F.date_format(
-                F.date_add(F.to_date(F.lit(_FIRST_DAY)), moved), form)).otherwise(m)
+    first = F.to_date(F.lit(_FIRST_DAY))
+
+    def moved(n: Column, tag: str) -> Column:
+        return let(_pair_permute(F.floor(n / _SIDE), n % _SIDE, key, tag, _SIDE, _SIDE),
+                   lambda p: (p["a"] * _SIDE + p["b"]).cast("int"))
 
+    def walked(n: Column) -> Column:
+        far = lambda d: F.dayofmonth(F.date_add(first, d)) > 12
+        return F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), F.struct(n.alias("n"), F.lit(False).alias("done")),
+                           lambda p, _: F.when(p["done"], p).otherwise(let(moved(p["n"], "day first"), lambda d: F.struct(
+                               d.alias("n"), far(d).alias("done")))), lambda p: F.when(p["done"], p["n"]).otherwise(n))
+
+    def in_form(form: str, new) -> Column:
         day = F.to_date(F.try_to_timestamp(m, F.lit(form)))
-        return F.coalesce(let(F.datediff(day, F.to_date(F.lit(_FIRST_DAY))), new), m)
+        return let(F.datediff(day, first), lambda n: F.when(
+            n.between(0, _SIDE * _SIDE - 1), F.date_format(F.date_add(first, new(n)), form)))
 
-    return (F.when(m.contains("-"), in_form("yyyy-MM-dd")).when(m.contains("."), in_form("dd.MM.yyyy"))
-            .otherwise(in_form("MM/dd/yyyy")))
+    plain = lambda n: moved(n, "date")
+    return F.coalesce(
+        F.when(m.contains("-"), in_form("yyyy-MM-dd", plain)).when(m.contains("."), in_form("dd.MM.yyyy", plain))
+        .when(F.substr(m, F.lit(1), F.lit(2)) <= "12", in_form("MM/dd/yyyy", plain)).otherwise(in_form("dd/MM/yyyy", walked)), m)
 
 
 def _ip(m: Column, key: str) -> Column:
     def new(o: Column) -> Column:
         fits = F.forall(o, lambda x: x <= 255)
-        part = _pair_permute(o[0] * 256 + o[1], o[2] * 256 + o[3], key, "ip", 65536)
+        part = _pair_permute(o[0] * 256 + o[1], o[2] * 256 + o[3], key, "ip", 65536, 65536)
         text = let(part, lambda p: F.concat_ws(".", F.floor(p["a"] / 256), p["a"] % 256,
                                                F.floor(p["b"] / 256), p["b"] % 256))
         return F.when(fits, text).otherwise(m)
@@ -198,8 +217,19 @@ def _ip(m: Column, key: str) -> Column:
 
 
 def _ssn(m: Column, key: str) -> Column:
+    number = lambda at, n: F.substr(m, F.lit(at), F.lit(n)).cast("int")
+    area, group, serial = number(1, 3), number(5, 2), number(8, 4)
     fits = ~m.rlike("^(?:000|666|9..)-|-00-|-0000$")
-    return F.when(fits, _into(m, permute(_digits(m), key, "ssn", [DIGITS]), "[0-9]")).otherwise(m)
+
+    def written(p: Column) -> Column:
+        place = p["a"] + F.when(p["a"] < 665, 1).otherwise(2)  # 666 is left out
+        return F.concat(F.lpad(place.cast("string"), 3, "0"), F.lit("-"),
+                        F.lpad((F.floor(p["b"] / 9999) + 1).cast("string"), 2, "0"), F.lit("-"),
+                        F.lpad((p["b"] % 9999 + 1).cast("string"), 4, "0"))
+
+    moved = _pair_permute(area - F.when(area < 666, 1).otherwise(2), (group - 1) * 9999 + serial - 1,
+                          key, "ssn", _AREAS, _SERIALS)
+    return F.when(fits, let(moved, written)).otherwise(m)
 
 
 def _phone(m: Column, key: str) -> Column:

@@ -5,12 +5,13 @@ from __future__ import annotations
 import sys
 import uuid
 from collections.abc import Iterable
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pktscope.session import scratch_path
+from pktscope.session import remove_path, scratch_path
 
 #: Word separators of every word rule in this package: space and \t..\r.
 SPACES = " \t\n\x0b\x0c\r"
@@ -26,16 +27,44 @@ def by_value(module_name: str) -> None:
 by_value(__name__)
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder name below ``spark.checkpoint.dir`` (shared storage)."""
-    return scratch_path(spark, f"llm-{name}-{uuid.uuid4().hex[:12]}")
+#: Folders that the innermost ``temporary`` scopes own.
+_SCOPES: list[list[str]] = []
+
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its store: a bare one is on the cluster's default file
+    system, not on the disk of whichever machine reads it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return where.makeQualified(store.getUri(), store.getWorkingDirectory()).toString()
 
-def land(df: DataFrame, name: str) -> DataFrame:
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name below ``spark.checkpoint.dir`` (shared storage)."""
+    path = qualified(spark, scratch_path(spark, f"llm-{name}-{uuid.uuid4().hex[:12]}"))
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def temporary(spark: SparkSession):
+    """The folders that operators make inside the block are removed at its end.
+    Results are lazy and read them, so they are to be written inside the block, to a
+    folder named outside of it."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            remove_path(spark, path)
+
+
+def land(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet to shared storage and read it back: cuts the
     lineage, so a lost executor costs no recomputation of what lies before."""
     spark = df.sparkSession
-    path = scratch(spark, name)
+    path = path or scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

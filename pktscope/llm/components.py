@@ -12,13 +12,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import land
+from .common import land, scratch, temporary
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for every node of ``links``; root is the smallest node of
     the component.  Null ends and self links are ignored; an empty table gives
-    an empty one."""
+    an empty one.  The tables of the rounds are removed, the result is a landed
+    one."""
+    spark = links.sparkSession
+    path = scratch(spark, "components")
+    with temporary(spark):
+        return land(_contract(links, a, b), "components", path)
+
+
+def _contract(links: DataFrame, a: str, b: str) -> DataFrame:
     both = links.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b")
     edges = land(both.distinct(), "cc-links")
     where = None

@@ -81,7 +81,9 @@ def op3_simhash_vantage_point(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_difference_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .suffix_dedup import remove_repeats
-    return remove_repeats(_table(spark, sf_dir, "documents"))
+    found = remove_repeats(_table(spark, sf_dir, "documents"), with_kept=True)
+    # the cuts are between bytes: a character cut apart reads as U+FFFD
+    return found.withColumn("text", F.decode("kept", "UTF-8")).drop("kept")
 
 
 @query

@@ -39,10 +39,10 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_value, col, land, scratch
+from .common import by_value, col, land, scratch, temporary
 
 by_value(__name__)
 
@@ -276,12 +276,27 @@ def _answers(r: dict) -> list[dict]:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
                    block_bytes: int = BLOCK_BYTES, with_kept: bool = False) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked
-    for, the kept bytes."""
+    for, the kept bytes.  The result is a landed table; the blocks and answers it
+    was made from are removed."""
+    spark = docs.sparkSession
+    path = scratch(spark, "suffix-result")
+    with temporary(spark):
+        return _removed(docs, id_col, text_col, size, block_bytes, with_kept, path)
+
+
+def _removed(docs: DataFrame, id_col: str, text_col: str, size: int, block_bytes: int, with_kept: bool,
+             path: str) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text"))
     table = f"suffix_blocks_{uuid.uuid4().hex[:12]}"
-    _lay_out(rows, table, int(spark.conf.get("spark.sql.shuffle.partitions")), block_bytes)
-    blocks = spark.table(table)
+    try:
+        _lay_out(rows, table, int(spark.conf.get("spark.sql.shuffle.partitions")), block_bytes)
+        return _solved(spark, spark.table(table), rows, size, with_kept, path)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def _solved(spark: SparkSession, blocks: DataFrame, rows: DataFrame, size: int, with_kept: bool, path: str) -> DataFrame:
     total = blocks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     v = period(size)
     buckets = 1 << max(3, (int(total * len(COVERS[v]) / v) // BUCKET_NAMES).bit_length())
@@ -342,8 +357,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(r["ids"], kind), *[pa.array(c, t) for c, t in zip(zip(*out), kinds)]], names=names)
 
-    result = land(met.mapInArrow(finish, f"doc_id {rows.schema['id'].dataType.simpleString()}, n_bytes bigint, "
+    return land(met.mapInArrow(finish, f"doc_id {rows.schema['id'].dataType.simpleString()}, n_bytes bigint, "
                                  "n_removed bigint, n_spans bigint, kept_sha256 string"
-                                 + ", kept binary" * with_kept), "suffix-result")
-    spark.sql(f"DROP TABLE {table}")
-    return result
+                                 + ", kept binary" * with_kept), "suffix-result", path)

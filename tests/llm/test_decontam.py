@@ -40,29 +40,33 @@ def damaged(rng, text, edits):
 def test_found_iff_within_the_error_budget(spark):
     rng = random.Random(6)
     items = [(k, sentence(rng, 18)) for k in range(12)]
-    items += [(50, None), (51, "too short"), (52, items[0][1])]
+    items += [(50, None), (51, "too short"), (52, items[0][1]), (53, "?!"), (54, ""), (55, "Q")]
     rows = []
     for n in range(60):
         _, text = items[n % 12]
         around = sentence(rng, 25), sentence(rng, 25)
         rows.append((n, f"{around[0]} {damaged(rng, text, n // 4)} {around[1]}"))
+    rows += [(950, "it is too  SHORT, they say"), (951, "not stoo short"), (952, "too shorty"), (953, "too short"),
+             (954, "an x-q"), (955, "quiet")]
     rows += [(900, sentence(rng, 200)), (901, None), (902, ""), (None, items[3][1].upper()), (903, items[4][1]),
              (903, items[4][1])]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    for block_chars in (10 ** 6, 400):
-        got = {(r.id, r.item): r.distance for r in
-               D.find(documents(spark, rows, CLASHING), bench, block_chars=block_chars).collect()}
+    for block_chars, held_chars in ((10 ** 6, 10 ** 6), (400, 10 ** 6), (400, 300)):
+        got = {(r.id, r.item): r.distance for r in D.find(
+            documents(spark, rows, CLASHING), bench, block_chars=block_chars, held_chars=held_chars).collect()}
         expected = {}
         for i, t in rows:
             for k, item in items:
                 item = D.normalise(item)
-                if len(item) >= D.MIN_CHARS:
+                if 0 < len(item) < D.MIN_CHARS:
+                    if f" {item} " in f" {D.normalise(t)} ":
+                        expected[(i, k)] = 0
+                elif item:
                     d = edit_distance_in(item, D.normalise(t))
                     if d <= int(D.ERROR_RATE * len(item)):
                         expected[(i, k)] = d
-        assert set(got) == set(expected)
-        assert any(d > 0 for d in got.values())
-        assert all(got[k] >= d for k, d in expected.items())
+        assert got == expected
+        assert any(d > 0 for d in got.values()) and {i for i, k in got if k in (51, 55)} == {950, 953, 954}
     kept = D.keep_clean(documents(spark, rows, CLASHING), bench)
     gone = {i for i, _ in expected}
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(i) for i, _ in rows if i not in gone)

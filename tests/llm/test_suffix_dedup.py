@@ -59,12 +59,23 @@ def test_empty_table_and_no_table_left(spark):
 def test_texts_are_not_shuffled_again(spark, monkeypatch):
     plans = []
     real = X.land
-    monkeypatch.setattr(X, "land", lambda df, name: plans.append(
+    monkeypatch.setattr(X, "land", lambda df, name, *more: plans.append(
         df._jdf.queryExecution().optimizedPlan().toString() and
-        df._jdf.queryExecution().executedPlan().toString()) or real(df, name))
+        df._jdf.queryExecution().executedPlan().toString()) or real(df, name, *more))
     X.remove_repeats(documents(spark))
     assert len(plans) == 4
     for plan in plans:
         for line in plan.splitlines():
             if "Exchange hashpartitioning(block" in line:
                 assert "data" not in line
+
+
+def test_nothing_but_the_result_stays(spark):
+    import os
+    where = os.path.join(spark.conf.get("spark.checkpoint.dir"), "tables")
+    os.makedirs(where, exist_ok=True)
+    before = set(os.listdir(where))
+    out = X.remove_repeats(documents(spark), size=20)
+    assert len(out.collect()) == len(awkward_rows())
+    assert [x[:17] for x in set(os.listdir(where)) - before] == ["llm-suffix-result"]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("suffix_blocks")]

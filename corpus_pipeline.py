@@ -17,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pktscope.llm import decontam, packing, pii, quality, simhash
-from pktscope.llm.common import land
+from pktscope.llm.common import land, scratch, temporary
+from pktscope.session import remove_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,12 +49,19 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: SQL cannot express these stages; tests hold them against brute force.
+#: SQL cannot express these stages; a test holds the chain against plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The result reads its stage's folder; all other folders of the run are
+    removed as soon as nothing reads them."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = land(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch(spark, f"pipeline-{name}")
+        with temporary(spark):
+            docs = land(stage(spark, docs, sf_dir), name, path)
+        if before:
+            remove_path(spark, before)
+        before = path
     return docs

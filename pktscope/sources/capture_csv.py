@@ -14,7 +14,9 @@ later by cleaning.  Dotted tshark names are renamed to ``_`` once, here.
 
 The read is splittable by default, so a large capture is scanned by many tasks;
 a quoted field must then not hold a line break.  ``multi_line=True`` takes such
-fields, at the price of one task per file.
+fields, at the price of one task per file; ``multi_line="split"`` takes them with
+many tasks per file (see ``quoted_lines``): the files are read once, and their
+records are written to a scratch folder, which stays as the result reads it.
 
 A capture may be a folder of files.  ``row_id`` gives the file order whatever
 order Spark packs the splits in: (file path, start of the split, place in it).
@@ -30,7 +32,8 @@ from pyspark.sql import functions as F
 
 from pktscope import schema as S
 from pktscope.functions.coercion import nullify_na_words
-from pktscope.session import observed, path_exists, remove_path, rename_path
+from pktscope.session import Scratch, observed, path_exists, remove_path, rename_path
+from pktscope.sources.quoted_lines import quoted_records
 
 CORRUPT = "_corrupt_record"
 # A quoted CSV field (doubled quotes inside); removed before counting commas.
@@ -47,7 +50,11 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
     return spark.read.option("header", True).option("escape", '"').csv(path).columns
 
 
-def read_capture_csv(spark: SparkSession, path: str, with_row_id: bool = True, multi_line: bool = False,
+def _ddl(schema) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
+def read_capture_csv(spark: SparkSession, path: str, with_row_id: bool = True, multi_line: bool | str = False,
                      on_bad_lines: str = "skip") -> DataFrame:
     """A raw capture as text columns with canonical names and a
     ``row_id`` (struct) in file order."""
@@ -55,14 +62,24 @@ def read_capture_csv(spark: SparkSession, path: str, with_row_id: bool = True, m
         raise ValueError("on_bad_lines is 'skip', 'warn' or 'error'")
     header = read_header(spark, path)
     schema = S.capture_read_schema(header, CORRUPT)
-    raw = (spark.read.schema(schema)
-           .option("header", True)
-           .option("escape", '"')
-           .option("multiLine", multi_line)
-           .option("columnPruning", False)  # a pruned parse does not see that a line is too long
-           .option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", CORRUPT)
-           .csv(path))
+    if multi_line == "split":
+        records = quoted_records(spark, path, Scratch(spark, "records")).filter("start > 0 OR idx > 0")  # no headers
+        options = {"escape": '"', "multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+        raw = records.withColumn("_csv", F.from_csv("text", _ddl(schema), options)).select("_csv.*", F.struct(
+            "file", "start", F.col("idx").alias("row")).alias("_place"))
+        place = F.col("_place")
+    else:
+        raw = (spark.read.schema(schema)
+               .option("header", True)
+               .option("escape", '"')
+               .option("multiLine", multi_line)
+               .option("columnPruning", False)  # a pruned parse does not see that a line is too long
+               .option("mode", "PERMISSIVE")
+               .option("columnNameOfCorruptRecord", CORRUPT)
+               .csv(path))
+        place = F.struct(F.col("_metadata.file_path").alias("file"),
+                         F.col("_metadata.file_block_start").alias("start"),
+                         F.monotonically_increasing_id().alias("row"))
     fields = _field_count(F.col(CORRUPT))
     # Spark refuses a scan of the corrupt-record column alone (a count, say),
     # so the test of a line names its first field too; that part is never true.
@@ -79,9 +96,7 @@ def read_capture_csv(spark: SparkSession, path: str, with_row_id: bool = True, m
         kept = raw.where(~too_long)
     cols = [nullify_na_words(F.col(f"`{h}`")).alias(S.dotted_to_canonical(h)) for h in header]
     if with_row_id:
-        cols.append(F.struct(F.col("_metadata.file_path").alias("file"),
-                             F.col("_metadata.file_block_start").alias("start"),
-                             F.monotonically_increasing_id().alias("row")).alias(S.ROW_ID))
+        cols.append(place.alias(S.ROW_ID))
     return kept.select(*cols)
 
 

@@ -166,3 +166,56 @@ def test_relabelling_counts_its_rows_while_writing(spark, tmp_path):
                                                 "unique_dst_ports long, syn_ack_ratio double"), str(tmp_path / "w"))
     got = relabel_stored_windows(spark, str(tmp_path / "w"), str(tmp_path / "l"))
     assert [tuple(r) for r in got.collect()] == [(0, 6, 60.0), (1, 4, 40.0)]
+
+
+def quoted_file(rng, n, newline="\n"):
+    """Lines of a capture whose fields hold breaks, commas and quotes."""
+    parts = ["a", ",", '""', "\n", "long text ", "é", "'"]
+    rows = ["frame.time_epoch,ip.src,http.request.uri"]
+    for k in range(n):
+        quoted = '"' + "".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) + '"'
+        plain = rng.choice(["x", "", "y z", 'in"side', "1.5", 'end"'])
+        rows.append(rng.choice([f"{k},{plain},{quoted}", f"{k},{quoted},{plain}", f"{k},{quoted}", f"{k},{plain},{plain}",
+                                f"{k},{quoted},{plain},too long", f"{k},{quoted},{quoted}", ""]))
+    return newline.join(rows).replace("\n", newline) + rng.choice(["", newline])
+
+
+@pytest.mark.parametrize("split_bytes,newline", [(64, "\n"), (300, "\n"), (10_000, "\n"), (100, "\r\n")])
+def test_quoted_breaks_are_read_by_many_tasks(spark, tmp_path, split_bytes, newline):
+    import random
+    rng = random.Random(split_bytes)
+    for k in range(3):
+        (tmp_path / f"part-{k}.csv").write_bytes(quoted_file(rng, 60, newline).encode())
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    for name in names:
+        spark.conf.set(name, str(split_bytes))
+    try:
+        split = read_capture_csv(spark, str(tmp_path), multi_line="split").collect()
+        scan = spark.read.text(str(tmp_path)).rdd.getNumPartitions()
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+    whole = read_capture_csv(spark, str(tmp_path), multi_line=True).collect()
+    key = lambda r: (r.row_id.file, r.row_id.start, r.row_id.row)
+    content = lambda rows: [(r.row_id.file, *r[:-1]) for r in sorted(rows, key=key)]
+    assert content(split) == content(whole) and len(whole) > 90
+    assert scan > 12 or split_bytes > 1000
+    assert len({(r.row_id.file, r.row_id.start) for r in split}) > 20 or split_bytes > 100
+
+
+def test_a_field_over_many_splits(spark, tmp_path):
+    long = "\n".join(f"line {k} of the field" for k in range(200))
+    (tmp_path / "c.csv").write_text(f'ip.src,ip.dst\na,b\n"{long}",c\nd,e\n"never closed\nf,g\n')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+    spark.conf.set("spark.sql.files.openCostInBytes", "100")
+    try:
+        got = read_capture_csv(spark, str(tmp_path / "c.csv"), multi_line="split").orderBy(S.ROW_ID).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [tuple(r)[:2] for r in got[:3]] == [("a", "b"), (long, "c"), ("d", "e")] and len(got) == 4
+
+
+def test_split_reading_of_an_empty_capture(spark, tmp_path):
+    (tmp_path / "c.csv").write_text("ip.src,ip.dst\n")
+    assert read_capture_csv(spark, str(tmp_path / "c.csv"), multi_line="split").count() == 0

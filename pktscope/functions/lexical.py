@@ -57,10 +57,29 @@ def _code_point_class(pred) -> str:
 # character) instead of a regex character class.
 DIGIT_CHARS = "".join(chr(cp) for cp in range(sys.maxunicode + 1) if chr(cp).isdigit())
 SPACE_CLASS = _code_point_class(str.isspace)
+# Whether the pattern matches does not depend on its optional beginning, and
+# without that a search only starts at "or" and "and".
 OR_TRUE = OR_TRUE_TEMPLATE.format(ws=SPACE_CLASS)
+OR_TRUE = OR_TRUE[OR_TRUE.index("(or|and)"):]
 
-# Java flags: (?iu) = Unicode-aware case-insensitive matching.
-JAVA_CI = "(?iu)"
+#: The lower-case characters besides a-z whose capitals are A-Z: after lower-casing
+#: and this translation, matching needs no case flags.
+FOLDED = ("\u017f\u0131", "si")
+
+
+def _by_first_letter(alternation: str) -> str:
+    """The words of an alternation grouped by their first letters.  Of the words
+    that may match at a place all are in one group, in their old order, so the same
+    one matches; the others fail at the group's letter, and most places already at
+    the look-ahead for any of the letters."""
+    groups: dict[str, list[str]] = {}
+    for word in alternation.strip("()").split("|"):
+        groups.setdefault(word[0], []).append(word[1:])
+    branches = [f"{first}(?:{'|'.join(rest)})" for first, rest in groups.items()]
+    return f"(?=[{''.join(sorted(groups))}])(?:{'|'.join(branches)})"
+
+
+KEYWORD_SEARCH = _by_first_letter(SQL_KEYWORDS)
 
 
 # ---------------------------------------------------------------------------
@@ -100,14 +119,14 @@ def _has_any(u: Column, marks: tuple[str, ...]) -> Column:
 def lexical_feature_columns(uri: Column) -> dict[str, Column]:
     """The 11 lexical features of one payload column, in model order."""
     u = F.lower(F.coalesce(uri.cast("string"), F.lit(MISSING_TEXT)))
-    kw_count = F.regexp_count(u, F.lit(JAVA_CI + SQL_KEYWORDS))
+    kw_count = F.regexp_count(F.translate(u, *FOLDED), F.lit(KEYWORD_SEARCH))
     special = _count_chars(u, SPECIAL_CHARS)
     length = F.length(u)
     digits = _count_chars(u, DIGIT_CHARS)
     return {
         "has_sql_keywords": (kw_count > 0).cast("int"),
         "has_comment": _has_any(u, COMMENT_MARKS).cast("int"),
-        "has_or_true": u.rlike(JAVA_CI + OR_TRUE).cast("int"),
+        "has_or_true": u.rlike(OR_TRUE).cast("int"),
         "has_quotes": _has_any(u, QUOTE_MARKS).cast("int"),
         "has_encoded_chars": _has_any(u, ENCODED_MARKS).cast("int"),
         "special_char_count": special.cast("bigint"),

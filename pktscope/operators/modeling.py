@@ -386,6 +386,30 @@ def save_model(model: PipelineModel, path: str, model_type: str | None = None) -
                               "model_type string, features string").coalesce(1).write.json(f"{path}/tag")
 
 
+def model_nodes(spark: SparkSession, path: str) -> DataFrame:
+    """The rules of a saved detector as a table, a row per node of every tree:
+    tree, weight, node (0 is the root), feature and threshold (a value up to it
+    goes to ``left``, others to ``right``; NULL in a leaf), prediction, class_0 and
+    class_1 (the node's weighted training rows) and gain.  Any SQL engine
+    can score with it."""
+    features = model_features(load_model(path))
+    stages = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/stages")
+    found = stages.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(stages)
+    last = max((f.getPath().toString() for f in found), key=lambda p: int(p.rsplit("/", 1)[1].split("_")[0]))
+    nodes = spark.read.parquet(f"{last}/data").select("treeID", "nodeData.*")
+    weights = spark.read.parquet(f"{last}/treesMetadata").toDF("treeID", "metadata", "weights")
+    split = F.col("split")
+    inner = split["featureIndex"] >= 0
+    names = F.array(*[F.lit(f) for f in features])
+    return nodes.join(weights, "treeID").select(
+        F.col("treeID").alias("tree"), F.col("weights").alias("weight"), F.col("id").alias("node"),
+        F.when(inner, F.get(names, split["featureIndex"])).alias("feature"),
+        F.when(inner, split["leftCategoriesOrThreshold"][0]).alias("threshold"),
+        F.when(inner, F.col("leftChild")).alias("left"), F.when(inner, F.col("rightChild")).alias("right"),
+        "prediction", F.get("impurityStats", F.lit(0)).alias("class_0"), F.get("impurityStats", F.lit(1)).alias("class_1"),
+        F.when(inner, F.col("gain")).alias("gain"))
+
+
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 

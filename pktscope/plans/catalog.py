@@ -6,6 +6,7 @@ because sums in a different order differ in the last bits.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +20,7 @@ from pktscope.operators import scoring as SC
 from pktscope.operators.labels import label_distribution, label_syn_scan
 from pktscope.operators.packets import WINDOW_OUTPUT_COLUMNS, add_time_windows, clean_packets
 from pktscope.functions.lexical import add_lexical_features, decode_uri
-from pktscope.operators.requests import extract_http_requests, preprocess_requests
+from pktscope.operators.requests import dedupe_keep_first, extract_http_requests, preprocess_requests
 from pktscope.plans import evaluation as EVJ
 from pktscope.plans import scoring as SCJ
 from pktscope.plans import training as TR
@@ -28,7 +29,7 @@ from pktscope.plans.network import preprocess_windows
 from pktscope.plans.relabel import relabel_stored_windows as _relabel_job
 from pktscope.session import materialize, scratch_path
 from pktscope.sources.capture_csv import (labelled_request_projection, read_capture_csv, read_table,
-                                          write_capture_csv, write_table)
+                                          store_by_key, write_capture_csv, write_table)
 from pktscope.sources.derived import documents_as_requests, packets_raw
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -191,7 +192,6 @@ def sqli_labels(spark, sf_dir):
 # --- sources and sinks -------------------------------------------------------
 
 def _fresh_dir(spark, name: str) -> str:
-    import uuid
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
 
 
@@ -217,6 +217,19 @@ def labelled_requests_roundtrip(spark, sf_dir):
     return round_doubles(back.drop(S.TCP_LEN))
 
 
+@register
+def dedupe_stored_requests(spark, sf_dir):
+    """M12 + S3, then A17 over the table stored by (decoded URI, source): that
+    dedupe moves no row.  Must equal ``dedupe_requests``.  The catalog entry goes."""
+    name = f"requests_{uuid.uuid4().hex[:12]}"
+    stored = store_by_key(preprocess_requests(packets_raw(spark, sf_dir)), name, S.REQUEST_KEYS,
+                          f"{_fresh_dir(spark, 'stored')}/requests", grouped=True)
+    try:
+        return materialize(round_doubles(dedupe_keep_first(stored)), "deduped")
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 @register
 def relabel_stored_windows(spark, sf_dir):
     """L3: stored windows (S3) -> read (S2) -> L1 -> written (S3) -> read."""

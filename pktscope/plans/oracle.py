@@ -568,6 +568,7 @@ ORACLES["http_feature_matrix"] = (with_(PACKETS_RAW, HTTP_CTES) + "\nSELECT row_
                                   + " FROM labelled_requests")
 
 ORACLES["stream_windows"] = ORACLES["windows_full"]
+ORACLES["dedupe_stored_requests"] = ORACLES["dedupe_requests"]
 
 ORACLES["split_balance"] = with_(PACKETS_RAW, CLEAN, windows_cte()) + f"""
 SELECT split, CAST(sum(k) AS BIGINT) AS rows, {r6('sum(k * label) / sum(k)')} AS attack_ratio FROM (

@@ -162,6 +162,24 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", metrics: dict[st
     return seen
 
 
+def store_by_key(df: DataFrame, table: str, keys: list[str], path: str, buckets: int | None = None,
+                 grouped: bool = False) -> DataFrame:
+    """S3 laid out by key: a catalog table of ``buckets`` files hashed and sorted by
+    ``keys``, at ``path``.  Later jobs that group, dedupe or join it by these
+    keys read each bucket in one task and move no row, so it is for rows of which
+    no key has very many (windows, deduplicated requests).  ``grouped``: the rows
+    come from a grouping by the keys and lie together already.  ``buckets`` defaults
+    to the shuffle partitions; size it for some 200 MB a file.  An old table of that
+    name is replaced."""
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    rows = df if grouped else df.repartition(buckets, *keys)
+    (rows.write.mode("overwrite").format("parquet").option("path", path)
+     .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table))
+    return spark.table(table)
+
+
 def write_capture_csv(df: DataFrame, path: str) -> None:
     """Write a capture with its dotted tshark column names (the inverse of
     the rename in ``read_capture_csv``)."""

@@ -1,5 +1,7 @@
 """Stratified split, class weights, model round trip."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -210,3 +212,82 @@ def test_model_paths_are_read_through_hadoop(spark, tmp_path):
     (tmp_path / "there").mkdir()
     assert path_exists(spark, f"file://{tmp_path}/there") and path_exists(spark, str(tmp_path / "there"))
     assert not path_exists(spark, f"file://{tmp_path}/not-there")
+
+
+# --- the fitted detectors against their exported rules, scored by DuckDB ---------------
+
+WALK = """
+WITH RECURSIVE cells AS (UNPIVOT rows ON COLUMNS(* EXCLUDE (k, label)) INTO NAME feature VALUE v),
+walk(k, tree, node) AS (
+  SELECT k, tree, 0 FROM rows, (SELECT DISTINCT tree FROM nodes)
+  UNION ALL
+  SELECT w.k, w.tree, CASE WHEN c.v <= n.threshold THEN n.left ELSE n.right END
+  FROM walk w JOIN nodes n ON n.tree = w.tree AND n.node = w.node JOIN cells c ON c.k = w.k AND c.feature = n.feature)
+SELECT w.k, n.* FROM walk w JOIN nodes n ON n.tree = w.tree AND n.node = w.node WHERE n.feature IS NULL"""
+
+
+def _duck(rows, nodes):
+    import duckdb
+    con = duckdb.connect()
+    con.register("rows_frame", rows)
+    con.register("nodes_frame", nodes)
+    con.execute("CREATE TABLE rows AS SELECT * FROM rows_frame")
+    con.execute("CREATE TABLE nodes AS SELECT * FROM nodes_frame")
+    con.execute(f"CREATE TABLE leaves AS {WALK}")
+    return con
+
+
+def _noisy(spark, n=400):
+    rows = [(i, int((i * 7919 % 100 < 40) != (i % 11 == 0)), float(i * 7919 % 100 + i % 23), float(i * 31 % 17), 3.0) for i in range(n)]
+    return spark.createDataFrame(rows, "k long, label int, x double, z double, flat double")
+
+
+@pytest.mark.parametrize("model_type,params", [("random_forest", {"n_estimators": 15, "max_depth": 6}),
+                                               ("gbt", {"n_estimators": 8, "max_depth": 3})])
+def test_scores_follow_from_the_exported_rules(spark, tmp_path, model_type, params):
+    df, path = _noisy(spark), str(tmp_path / "m")
+    M.save_model(M.train_model(df, ["x", "z", "flat"], model_type, **params), path)
+    scored = {r.k: r for r in M.score(M.load_model(path), df, ("0", "1")).collect()}
+    con = _duck(df.toPandas(), M.model_nodes(spark, path).toPandas())
+    if model_type == "gbt":
+        of = "SELECT k, 1 / (1 + exp(-2 * sum(weight * prediction))) FROM leaves GROUP BY k"
+    else:
+        of = "SELECT k, avg(class_1 / (class_0 + class_1)) FROM leaves GROUP BY k"
+    own = dict(con.execute(of).fetchall())
+    assert len(own) == 400 and 0 < sum(p > .5 for p in own.values()) < 400
+    for k, p in own.items():
+        assert abs(scored[k].attack_probability - p) < 1e-9
+        assert scored[k].prediction == (p > .5) or abs(p - .5) < 1e-9
+        assert scored[k].prediction_label == str(scored[k].prediction)
+
+
+def test_importances_follow_from_the_exported_rules(spark, tmp_path):
+    df, path = _noisy(spark), str(tmp_path / "m")
+    model = M.train_model(df, ["x", "z", "flat"], n_estimators=10, max_depth=5)
+    M.save_model(model, path)
+    con = _duck(df.toPandas(), M.model_nodes(spark, path).toPandas())
+    own = dict(con.execute("""
+      WITH per AS (SELECT tree, feature, sum(gain * (class_0 + class_1)) AS g FROM nodes WHERE feature IS NOT NULL GROUP BY ALL),
+      shares AS (SELECT feature, g / sum(g) OVER (PARTITION BY tree) AS s FROM per)
+      SELECT feature, sum(s) / (SELECT count(DISTINCT tree) FROM per) FROM shares GROUP BY feature""").fetchall())
+    got = {r.feature: r.importance for r in M.feature_importance(spark, model).collect()}
+    assert got["flat"] == 0 and set(own) == {"x", "z"}
+    assert all(abs(got[f] - v) < 1e-9 for f, v in own.items())
+
+
+def test_evaluation_tables_follow_from_the_exported_rules(spark, tmp_path):
+    """E7 on a forest: counts and metrics of predictions that DuckDB makes."""
+    from pktscope.plans.evaluation import evaluate_model
+    df, path = _noisy(spark), str(tmp_path / "m")
+    M.save_model(M.train_model(df, ["x", "z", "flat"], n_estimators=10, max_depth=3), path)
+    tables = evaluate_model(spark, M.load_model(path), df, output_dir=str(tmp_path / "e"))
+    con = _duck(df.toPandas(), M.model_nodes(spark, path).toPandas())
+    tp, fp, fn, tn = con.execute("""
+      SELECT count_if(label = 1 AND p > .5), count_if(label = 0 AND p > .5), count_if(label = 1 AND p <= .5),
+        count_if(label = 0 AND p <= .5)
+      FROM rows JOIN (SELECT k, avg(class_1 / (class_0 + class_1)) AS p FROM leaves GROUP BY k) USING (k)""").fetchone()
+    m = tables["metrics"].first()
+    assert abs(m.accuracy - (tp + tn) / 400) < 1e-9 and abs(m.precision - tp / (tp + fp)) < 1e-9
+    assert abs(m.recall - tp / (tp + fn)) < 1e-9 and abs(m.f1 - 2 * tp / (2 * tp + fp + fn)) < 1e-9
+    assert sorted(tables) == sorted(os.listdir(tmp_path / "e"))
+    assert all(t.count() > 0 for t in tables.values())

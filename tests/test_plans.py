@@ -11,7 +11,7 @@ from pktscope.plans.network import preprocess_windows
 from pktscope.sources.derived import packets_raw
 
 SMOKE = "/root/testdata/sf0.001"
-SIDE_EFFECTS = {"csv_roundtrip", "relabel_stored_windows", "stream_windows", "train_score_network",
+SIDE_EFFECTS = {"csv_roundtrip", "relabel_stored_windows", "dedupe_stored_requests", "stream_windows", "train_score_network",
                 "train_score_http", "gbt_train_score", "cross_validation_f1", "feature_importance",
                 "score_capture", "evaluation_job", "http_evaluation_job", "spearman_correlations", "spearman_pvalues",
                 "http_spearman_correlations", "labelled_requests_roundtrip", "score_capture_totals",
@@ -83,3 +83,23 @@ def test_the_window_is_the_same_at_every_scale():
     from pktscope.plans import catalog, oracle
     assert catalog.WINDOW_SECONDS == oracle.ORACLE_WINDOW_SECONDS
     assert "re.search" not in inspect.getsource(catalog)
+
+
+def test_tables_stored_by_key_are_not_shuffled_again(spark, tmp_path):
+    from pktscope.operators.requests import dedupe_keep_first, preprocess_requests
+    from pktscope.sources.capture_csv import store_by_key
+    raw = packets_raw(spark, SMOKE)
+    windows = preprocess_windows(raw, WINDOW_SECONDS)
+    try:
+        requests = store_by_key(preprocess_requests(raw), "t_requests", S.REQUEST_KEYS, str(tmp_path / "r"), 4, grouped=True)
+        stored = store_by_key(windows, "t_windows", S.WINDOW_KEYS, str(tmp_path / "w"), 4)
+        labels = store_by_key(label_syn_scan(windows).select(*S.WINDOW_KEYS, S.LABEL), "t_labels", S.WINDOW_KEYS,
+                              str(tmp_path / "l"), 4)
+        again = dedupe_keep_first(requests)
+        joined = stored.hint("merge").join(labels, S.WINDOW_KEYS)
+        assert "Exchange" not in plan_of(again) and "Exchange" not in plan_of(joined)
+        assert "Exchange" not in plan_of(M.stratified_split(joined, S.WINDOW_KEYS))
+        assert again.count() == requests.count() and joined.count() == windows.count()
+    finally:
+        for t in ("t_requests", "t_windows", "t_labels"):
+            spark.sql(f"DROP TABLE IF EXISTS {t}")

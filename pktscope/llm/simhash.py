@@ -14,9 +14,13 @@ of different fingerprints within ``distance`` bits:
 * A shard returns links as stars (member, smallest member), never all pairs;
   the stars of overlapping shards are joined by connected components.
 
+* The driver's tree has at most ``max_shards`` leaves.  Shards that are still
+  over-full are split again on Spark: from a sample of each a task builds a further
+  tree, and parts of the shard are dealt by it, until every shard that can be split
+  is small.
+
 Fingerprints are made distinct first, so any number of exact copies is one
-entry.  The tree holds at most ``max_shards`` nodes whatever the input; the
-sample at most ``sample_rows`` fingerprints.  Every fingerprint is indexed.
+entry.  Every fingerprint is indexed.
 
 Null, empty or wordless text: fingerprint zero, linked like any other.  Null
 ids never name a component unless it has no other id.  Repeated rows are
@@ -41,6 +45,9 @@ SHARD_ROWS = 32_768
 LEAF_ROWS = 512
 SAMPLE_ROWS = 65_536
 MAX_SHARDS = 4_096
+#: A shard that is split again: leaves of its tree, rows of the tree's sample, and
+#: rows that one task deals.
+SPLIT_SHARDS, SPLIT_SAMPLE, DEALT_ROWS = 64, 4_096, 1_000_000
 
 
 def fingerprint_of(text: str | None, shingle: int = SHINGLE) -> int:
@@ -204,8 +211,60 @@ def shard_stars(fps: np.ndarray, distance: int, leaf_rows: int = LEAF_ROWS):
     return fps[big], fps[root[big]]
 
 
+def _dealt(fps: np.ndarray, nodes: list[tuple], distance: int, above: str = ""):
+    import pyarrow as pa
+    for shard, idx in shards_of(fps, nodes, distance):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([f"{above}{shard}"] * len(idx), pa.string()), pa.array(fps[idx].view(np.int64))],
+            names=["shard", "fp"])
+
+
+def _split_again(dealt: DataFrame, distance: int, shard_rows: int) -> DataFrame:
+    """``dealt`` (shard, fp) with over-full shards split; a shard named with a
+    "!" can not be split."""
+    import json
+    schema = "shard string, fp bigint"
+    while True:
+        sizes = dealt.groupBy("shard").agg(F.count("*").alias("n"))
+        full = land(sizes.filter((F.col("n") > 2 * shard_rows) & ~F.col("shard").endswith("!")), "simhash-full")
+        n_full = full.count()  # at most the rows divided by twice shard_rows
+        if not n_full:
+            return dealt
+        few = F.broadcast(full) if n_full <= 100_000 else full
+        rows = dealt.join(few, "shard")
+        # about SPLIT_SAMPLE rows of each, by hash
+        sample = rows.filter(F.pmod(F.xxhash64("fp"), F.ceil(F.col("n") / SPLIT_SAMPLE)) == 0)
+
+        def grow(t):
+            import pyarrow as pa
+            fps, n = t.column("fp").to_numpy().view(np.uint64), t.column("n")[0].as_py()
+            nodes = build_tree(fps, n, distance, shard_rows, SPLIT_SHARDS)
+            return pa.table({"shard": t.column("shard").slice(0, 1), "tree": pa.array([json.dumps(nodes)])})
+
+        trees = land(sample.groupBy("shard").applyInArrow(grow, "shard string, tree string"), "simhash-trees")
+        parts = F.ceil(F.col("n") / DEALT_ROWS).cast("int")
+        left = rows.select("shard", F.pmod(F.xxhash64("fp", F.lit(1)), parts).cast("int").alias("part"), "fp")
+        right = full.join(trees, "shard", "left").select(
+            "shard", "tree", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+
+        def deal(mine, tree):
+            import pyarrow as pa
+            fps = mine.column("fp").to_numpy().view(np.uint64)
+            if not len(fps):
+                return pa.table({"shard": pa.array([], pa.string()), "fp": pa.array([], pa.int64())})
+            shard, said = mine.column("shard")[0].as_py(), tree.column("tree")[0].as_py()
+            nodes = [tuple(x) for x in json.loads(said)] if said else []
+            if not nodes:
+                return pa.table({"shard": pa.array([shard + "!"] * len(fps)), "fp": pa.array(fps.view(np.int64))})
+            return pa.Table.from_batches(list(_dealt(fps, nodes, distance, shard + ".")))
+
+        split = (left.groupBy("shard", "part").cogroup(right.groupBy("shard", "part"))
+                 .applyInArrow(deal, schema))
+        dealt = land(dealt.join(few.select("shard"), "shard", "left_anti").unionByName(split), "simhash-dealt")
+
+
 def links(distinct: DataFrame, distance: int = DISTANCE, shard_rows: int = SHARD_ROWS,
-          leaf_rows: int = LEAF_ROWS, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+          leaf_rows: int = LEAF_ROWS, sample_rows: int = SAMPLE_ROWS, max_shards: int = MAX_SHARDS) -> DataFrame:
     """(fp, root) for every fingerprint of the landed table ``distinct``
     (column fp) that has a link; root names its component."""
     total = distinct.count()
@@ -213,16 +272,12 @@ def links(distinct: DataFrame, distance: int = DISTANCE, shard_rows: int = SHARD
     if total > shard_rows:
         share = min(0.25, sample_rows / total)
         sample = [r[0] for r in distinct.select("fp").sample(fraction=share, seed=3).collect()]
-        nodes = build_tree(np.array(sample, np.int64).view(np.uint64), total, distance, shard_rows)
+        nodes = build_tree(np.array(sample, np.int64).view(np.uint64), total, distance, shard_rows, max_shards)
 
     def assign(batches):
-        import pyarrow as pa
         for b in batches:
             fps = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            for shard, idx in shards_of(fps, nodes, distance):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(idx), shard, np.int32)), pa.array(fps[idx].view(np.int64))],
-                    names=["shard", "fp"])
+            yield from _dealt(fps, nodes, distance)
 
     def solve(table):
         import pyarrow as pa
@@ -230,10 +285,10 @@ def links(distinct: DataFrame, distance: int = DISTANCE, shard_rows: int = SHARD
         member, root = shard_stars(fps, distance, leaf_rows)
         return pa.table({"fp": member.view(np.int64), "r": root.view(np.int64)})
 
-    stars = land(distinct.select("fp").mapInArrow(assign, "shard int, fp bigint")
-                 .groupBy("shard").applyInArrow(solve, "fp bigint, r bigint"), "simhash-stars")
-    if not nodes:
-        return stars.withColumnRenamed("r", "root")
+    dealt = distinct.select("fp").mapInArrow(assign, "shard string, fp bigint")
+    if total > 2 * shard_rows:
+        dealt = _split_again(land(dealt, "simhash-dealt"), distance, shard_rows)
+    stars = land(dealt.groupBy("shard").applyInArrow(solve, "fp bigint, r bigint"), "simhash-stars")
     least = stars.groupBy("fp").agg(F.min("r").alias("m"))
     across = stars.join(least, "fp").filter("r <> m").select(
         F.col("r").alias("a"), F.col("m").alias("b"))

@@ -54,8 +54,10 @@ def test_classes_match_all_pairs(spark):
     assert got == sorted(smallest_reachable(rows), key=key)
 
 
-@pytest.mark.parametrize("shard_rows,leaf_rows", [(10_000, 64), (150, 16)])
-def test_links_match_brute_force_over_many_shards(spark, shard_rows, leaf_rows):
+@pytest.mark.parametrize("shard_rows,leaf_rows,max_shards", [(10_000, 64, 4_096), (150, 16, 4_096), (100, 16, 2), (60, 16, 1)])
+def test_links_match_brute_force_over_many_shards(spark, shard_rows, leaf_rows, max_shards, monkeypatch):
+    monkeypatch.setattr(S, "SPLIT_SHARDS", 3)  # over-full shards are split again and again, in parts
+    monkeypatch.setattr(S, "DEALT_ROWS", 90)
     rng = random.Random(4)
     centres = [rng.getrandbits(64) for _ in range(400)]
     fps = set(centres)
@@ -67,7 +69,7 @@ def test_links_match_brute_force_over_many_shards(spark, shard_rows, leaf_rows):
             fps.add(at)
     fps = np.array(sorted(fps), np.uint64)
     df = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long")
-    found = {r.fp: r.root for r in S.links(df, 3, shard_rows=shard_rows, leaf_rows=leaf_rows).collect()}
+    found = {r.fp: r.root for r in S.links(df, 3, shard_rows=shard_rows, leaf_rows=leaf_rows, max_shards=max_shards).collect()}
     root = list(range(len(fps)))
 
     def find(x):
@@ -89,6 +91,27 @@ def test_links_match_brute_force_over_many_shards(spark, shard_rows, leaf_rows):
     assert {frozenset(g) for g in by_root.values()} == expected
 
 
+def test_over_full_shards_are_split_until_they_are_small(spark, monkeypatch):
+    monkeypatch.setattr(S, "SPLIT_SHARDS", 4)
+    monkeypatch.setattr(S, "DEALT_ROWS", 300)
+    rng = np.random.default_rng(5)
+    fps = np.unique(rng.integers(0, 1 << 62, 3_000, np.int64))
+    dealt = spark.createDataFrame([("0", int(x)) for x in fps], "shard string, fp long")
+    out = S._split_again(dealt, 3, 200).collect()
+    sizes = {}
+    for r in out:
+        sizes[r.shard] = sizes.get(r.shard, 0) + 1
+    assert max(sizes.values()) <= 400 and len(sizes) > 8
+    assert {r.fp for r in out} == set(fps.tolist())
+
+
+def test_a_ball_that_can_not_be_split_stays_one_shard(spark):
+    fps = [0] + [1 << a for a in range(62)] + [1 << a | 1 << b for a in range(62) for b in range(a)]
+    dealt = spark.createDataFrame([("0", x) for x in fps], "shard string, fp long")
+    shards = {r.shard for r in S._split_again(dealt, 3, 100).collect()}
+    assert all(s.endswith("!") or s.count(".") for s in shards) and len(shards) < 60
+
+
 def test_a_dense_ball_is_one_component():
     fps = np.array([0] + [1 << a for a in range(64)] + [1 << a | 1 << b for a in range(64) for b in range(a)],
                    np.uint64)

@@ -33,7 +33,7 @@ class Encoder:
     """``encode(texts)``: the texts' ids as little-endian unsigned 32-bit
     integers.  ``keep`` bounds the pieces held."""
 
-    def __init__(self, path: str, keep: int = 900_000):
+    def __init__(self, path: str, keep: int = 400_000):
         import os
 
         import numpy as np

@@ -83,7 +83,7 @@ def op4_difference_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .suffix_dedup import remove_repeats
     found = remove_repeats(_table(spark, sf_dir, "documents"), with_kept=True)
     # the cuts are between bytes: a character cut apart reads as U+FFFD
-    return found.withColumn("text", F.decode("kept", "UTF-8")).drop("kept")
+    return found.withColumn("text", F.make_valid_utf8(F.col("kept").cast("string"))).drop("kept")
 
 
 @query

@@ -29,7 +29,7 @@ from __future__ import annotations
 
 import bisect
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import by_value, col, land, let, open_fs, scratch
@@ -39,6 +39,8 @@ by_value(__name__)
 SHARD_BYTES = 256 << 20
 ROLL_BYTES = 64 << 20
 SAMPLE_KEYS = 8_192
+#: Shards whose bounds the driver finds; more are made by cutting each of these on Spark.
+COARSE_SHARDS = 4_096
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LINE = b"\r\n"
@@ -135,11 +137,13 @@ class _Files:
             self.out, self.number = None, self.number + 1
 
 
-def _bounds(narrow: DataFrame, total_bytes: int, rows: int, shard_bytes: int) -> list[tuple]:
-    """Keys (id, digest) at which the next shard starts."""
-    spark = narrow.sparkSession
+def _wanted(spark, total_bytes: int, shard_bytes: int) -> int:
     least = min(int(spark.conf.get("spark.sql.shuffle.partitions")), total_bytes >> 20)
-    shards = max(1, -(-total_bytes // shard_bytes), least)
+    return max(1, -(-total_bytes // shard_bytes), least)
+
+
+def _bounds(narrow: DataFrame, rows: int, shards: int) -> list[tuple]:
+    """Keys (id, digest) at which the next of ``shards`` shards starts."""
     every = max(1, rows // SAMPLE_KEYS)
     keys = (narrow.filter(F.pmod(F.xxhash64("id", "digest"), F.lit(every)) == 0)
             .groupBy("id", "digest").agg(F.sum("size").alias("size")).collect())
@@ -152,6 +156,29 @@ def _bounds(narrow: DataFrame, total_bytes: int, rows: int, shard_bytes: int) ->
     return [(keys[i]["id"], keys[i]["digest"]) for i in at if 0 < i < len(keys)]
 
 
+def _cuts(narrow: DataFrame, coarse, rows: int, shards: int) -> DataFrame:
+    """Per coarse shard (a row each): the first of its fine shards' numbers, and
+    the keys ``inner`` at which the next ones start.  Sampled by hash, some 32
+    keys a fine shard, so a window holds those of one coarse shard."""
+    every = max(1, rows // (32 * shards))
+    sample = (narrow.filter(F.pmod(F.xxhash64("id", "digest", F.lit(1)), F.lit(every)) == 0)
+              .groupBy("id", "digest").agg(F.sum(F.col("size") + 1).alias("size"))
+              .withColumn("coarse", coarse))
+    share = sample.agg(F.sum("size").alias("all"))
+    along = Window.partitionBy("coarse").orderBy("id", "digest")
+    # the number of shard-sized steps before each key
+    step = F.floor((F.sum("size").over(along) - F.col("size")) * shards / F.col("all"))
+    placed = sample.join(F.broadcast(share)).withColumn("step", step)  # one row
+    first = placed.withColumn("new", F.col("step") > F.coalesce(F.lag("step").over(along), F.lit(0)))
+    inner = first.filter("new").groupBy("coarse").agg(F.sort_array(F.collect_list(F.struct("id", "digest"))).alias("inner"))
+    every_coarse = narrow.sparkSession.range(COARSE_SHARDS + 1).select(F.col("id").cast("int").alias("coarse"))
+    empty = F.array().cast("array<struct<id: bigint, digest: string>>")
+    sized = every_coarse.join(inner, "coarse", "left").withColumn("inner", F.coalesce("inner", empty))
+    numbered = Window.orderBy("coarse").rowsBetween(Window.unboundedPreceding, -1)  # COARSE_SHARDS rows
+    return land(sized.withColumn("base", F.coalesce(F.sum(F.size("inner") + 1).over(numbered), F.lit(0)).cast("int")),
+                "warc-cuts")
+
+
 def _shard_of(key, bounds: list[tuple], kind: str):
     """Number of bounds at or below ``key`` (binary search as an expression)."""
     if not bounds:
@@ -182,7 +209,8 @@ def write_warc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                         col(url_col).cast("string").alias("url"), html.alias("html"))
     narrow = land(page.select("id", "digest", "size"), "warc-keys")
     rows, total = narrow.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
-    bounds = _bounds(narrow, total, rows, shard_bytes)
+    shards = _wanted(spark, total, shard_bytes)
+    bounds = _bounds(narrow, rows, min(shards, COARSE_SHARDS))
     many = (narrow.filter(F.col("size") >= min_bytes).groupBy("digest")
             .agg(F.count("*").alias("n"), F.max("id").alias("refers_to")).filter("n > 1"))
     revisits = (narrow.join(many, "digest").filter("id IS NULL OR id < refers_to")
@@ -193,9 +221,16 @@ def write_warc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                         F.lit(None).cast("string").alias("url"),
                         F.lit(None).cast("string").alias("html"), "refers_to"))
     key = F.struct(F.col("id").alias("id"), F.col("digest").alias("digest"))
-    dealt = (both.withColumn("shard", _shard_of(key, bounds, "bigint"))
-             .repartitionById(len(bounds) + 1, F.col("shard"))
-             .sortWithinPartitions("id", "digest", "kind"))
+    coarse, n_shards = _shard_of(key, bounds, "bigint"), len(bounds) + 1
+    placed = both.withColumn("shard", coarse)
+    if shards > COARSE_SHARDS:
+        cuts = _cuts(narrow, coarse, rows, shards)
+        n_shards = cuts.agg(F.sum(F.size("inner") + 1)).first()[0]
+        here = F.col("base") + F.size(F.filter("inner", lambda b: b <= key))
+        few = F.broadcast(cuts) if n_shards <= 500_000 else cuts
+        placed = (both.withColumn("coarse", coarse).join(few, "coarse")
+                  .withColumn("shard", here.cast("int")).drop("coarse", "inner", "base"))
+    dealt = placed.repartitionById(n_shards, F.col("shard")).sortWithinPartitions("id", "digest", "kind")
 
     def run(batches):
         import pyarrow as pa
@@ -237,13 +272,16 @@ def read_warc(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
     """Per record of the manifest's archives: page_id, payload_bytes,
     payload_digest, record_type, refers_to and, if asked for, the payload.
     A response's digest is checked against its payload."""
-    n = manifest.count()
+    n = manifest.count()  # a task a file, dealt by the files' order
     files = manifest.select("uri")
     if n:
-        order = manifest.sparkSession.createDataFrame(
-            [(r["uri"], i) for i, r in enumerate(manifest.select("uri").orderBy("uri").collect())],
-            "uri string, at int")  # a row per file
-        files = order.repartitionById(n, F.col("at")).select("uri")
+        place = Window.partitionBy("shard").orderBy("uri")
+        per = manifest.groupBy("shard").agg(F.count("*").alias("n"))
+        base = F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))  # a row a shard
+        start = per.select("shard", F.coalesce(base, F.lit(0)).alias("base"))
+        files = (manifest.withColumn("k", F.row_number().over(place) - 1).join(start, "shard")
+                 .select("uri", (F.col("base") + F.col("k")).cast("int").alias("at"))
+                 .repartitionById(n, F.col("at")).select("uri"))
 
     def run(batches):
         import hashlib

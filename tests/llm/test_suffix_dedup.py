@@ -79,3 +79,15 @@ def test_nothing_but_the_result_stays(spark):
     assert len(out.collect()) == len(awkward_rows())
     assert [x[:17] for x in set(os.listdir(where)) - before] == ["llm-suffix-result"]
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("suffix_blocks")]
+
+
+def test_the_query_returns_the_kept_text(spark, tmp_path):
+    """A cut inside a character reads as U+FFFD."""
+    from pktscope.llm.queries import QUERIES
+    passage = "".join(chr(0xC0 + i * 7 % 60) for i in range(230))
+    rows = [(1, "aé" + passage + "b"), (2, "a" + passage + "éc"), (3, None), (4, "plain text")]
+    documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in QUERIES["op4_difference_cover_dedup"](spark, str(tmp_path)).collect()}
+    for (i, t), (_, n, _, _, kept) in zip(rows, brute([t for _, t in rows], 400)):
+        assert got[i].text == kept.decode("utf-8", "replace") and got[i].n_removed == n
+    assert got[1].n_removed > 400 and got[4].text == "plain text"

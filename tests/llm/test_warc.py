@@ -52,6 +52,21 @@ def test_read_back(spark, min_bytes, shard_bytes, roll_bytes):
     assert all(bodies[i] == text[i] for i in bodies if i is not None)
 
 
+def test_shards_beyond_the_drivers_bounds(spark, monkeypatch):
+    """Two bounds on the driver, the rest cut on Spark: as many shards, in order, and
+    the same records as with all bounds on the driver."""
+    rows = sample()
+    plain = W.write_warc(pages(spark, rows), shard_bytes=400).collect()
+    monkeypatch.setattr(W, "COARSE_SHARDS", 2)
+    manifest = W.write_warc(pages(spark, rows), shard_bytes=400)
+    files = sorted(manifest.collect(), key=lambda r: r.uri)
+    assert len({r.shard for r in files}) > 5 and abs(len({r.shard for r in plain}) - len({r.shard for r in files})) < 3
+    ends = [x for f in files for x in (f.first_id, f.last_id) if x is not None]
+    assert ends == sorted(ends)
+    got = W.read_warc(manifest).collect()
+    assert sorted((tuple(r) for r in got), key=str) == expected(rows, 0)
+
+
 def test_files_are_the_same_again_in_order_and_as_the_manifest_says(spark):
     def write():
         m = W.write_warc(pages(spark, sample()), shard_bytes=1_000, roll_bytes=2_000).orderBy("uri").collect()

@@ -29,6 +29,13 @@ has it twice, so copies are combined before the shuffle; the answer is a bit
 per name.  Matches never cross documents.  A task holds one block or one
 bucket; a block is at least one document, so memory follows the longest text.
 
+Buckets grow in number with the data, and a block has only so many names.  With more
+than ``MESSAGES`` buckets, names travel in two steps: a block sends its names by
+ranges of buckets, a message each, and a task that has the messages of
+``SLICE_BLOCKS`` blocks for one range combines equal names and sends them on by bucket,
+as if it were one block.  So a block sends a bounded number of messages, and a name
+that nearly every block has (a licence line) reaches its bucket once a slice.
+
 Null text: empty.  Repeated rows are copies of each other like any two texts.
 Null ids are kept.  Empty table: empty result.  Columns other than id and text
 are ignored.
@@ -49,6 +56,8 @@ by_value(__name__)
 SIZE = 400
 BLOCK_BYTES = 2 << 20
 BUCKET_NAMES = 500_000
+MESSAGES = 4_096
+SLICE_BLOCKS = 20_000
 #: Perfect difference sets (fixed values): all differences modulo the key occur once.
 COVERS = {
     3: (0, 1),
@@ -113,23 +122,32 @@ class Names:
         self.first = np.minimum.reduceat(order, runs) if len(n) else order  # first occurrences
         self.wide = wide
 
-    def rows(self):
-        """(bucket, packed names, packed twice) for every bucket."""
-        ids, starts = np.unique(self.bucket, return_index=True)
-        for k, a, e in zip(ids.tolist(), starts, np.append(starts[1:], len(self.bucket))):
+    def _ranges(self, width: int):
+        """(range of buckets, first and last position + 1 of its names)."""
+        ids, starts = np.unique(self.bucket // width, return_index=True)
+        return zip(ids.tolist(), starts, np.append(starts[1:], len(self.bucket)))
+
+    def rows(self, width: int = 1):
+        """(range, packed names, packed twice, buckets of the names) for every
+        range of ``width`` buckets."""
+        for k, a, e in self._ranges(width):
             part = self.name[a:e].astype("<u8" if self.wide else "<u4")
-            yield k, part.tobytes(), np.packbits(self.twice[a:e]).tobytes()
+            of = self.bucket[a:e].astype("<u4").tobytes() if width > 1 else None
+            yield k, part.tobytes(), np.packbits(self.twice[a:e]).tobytes(), of
 
-    def read(self, answers: dict, which: int) -> np.ndarray:
+    def read(self, answers: dict, which: int, width: int = 1) -> np.ndarray:
         """A bit of the answers, for every occurrence."""
         out = np.zeros(len(self.name), bool)
-        ids, starts = np.unique(self.bucket, return_index=True)
-        for k, a, e in zip(ids.tolist(), starts, np.append(starts[1:], len(self.bucket))):
+        for k, a, e in self._ranges(width):
             if k in answers:
-                out[a:e] = np.unpackbits(np.frombuffer(answers[k][which], np.uint8), count=e - a)
+                out[a:e] = _bits(answers[k][which], e - a)
         return out[self.slot]
 
 
+def _bits(packed: bytes, n: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(packed, np.uint8), count=n).astype(bool)
+
+
 def _cover(lo: np.ndarray, hi: np.ndarray, n: int) -> np.ndarray:
     """Mask of the positions in any closed interval [lo, hi]; both ascend."""
     step = np.zeros(n + 1, np.int8)
@@ -144,8 +162,8 @@ class Block:
     """One block's rounds; each is worked out again from the text and the
     answers so far."""
 
-    def __init__(self, raw: np.ndarray, sizes: np.ndarray, size: int, buckets: int):
-        self.raw, self.size, self.buckets, n = raw, size, buckets, len(raw)
+    def __init__(self, raw: np.ndarray, sizes: np.ndarray, size: int, buckets: int, width: int = 1):
+        self.raw, self.size, self.buckets, self.width, n = raw, size, buckets, width, len(raw)
         self.v = period(size)
         self.ends = np.cumsum(sizes)
         self.hash, self._second = Hashes(raw, 1), None
@@ -173,13 +191,13 @@ class Block:
         first = self._names(self.sampled, self.short, False)
         if k == 0:
             return first
-        hit = first.read(answers[0], 0)
+        hit = first.read(answers[0], 0, self.width)
         again, start, end = self.sampled[hit], self.start[hit], self.end[hit]
         long = again[end - again >= 2 * self.size]
         second = self._names(long, 2 * self.size, True)
         if k == 1:
             return second
-        said, own = second.read(answers[1], 0), second.read(answers[1], 1)
+        said, own = second.read(answers[1], 0, self.width), second.read(answers[1], 1, self.width)
         is_first = np.zeros(len(long), bool)
         is_first[second.first] = True
         self.settled = _cover(long[said], long[said] + self.size, self.n)
@@ -196,7 +214,7 @@ class Block:
         """Mask of the bytes to remove."""
         third = self.round(2, answers)
         starts = self.settled
-        starts[self.rest[third.read(answers[2], 0)]] = True
+        starts[self.rest[third.read(answers[2], 0, self.width)]] = True
         at = np.flatnonzero(starts)
         return _cover(at, at + self.size - 1, self.n)
 
@@ -226,6 +244,48 @@ def solve_bucket(blocks: list[int], names: list[bytes], twice: list[bytes], widt
     return out
 
 
+class Slice:
+    """The names that some blocks sent for one range of buckets, as of one
+    block."""
+
+    def __init__(self, blocks: list[int], names: list[bytes], twice: list[bytes], of: list[bytes], width: int):
+        parts = [np.frombuffer(n, f"<u{width}") for n in names]
+        self.sizes, self.width = [len(p) for p in parts], width
+        holder = np.repeat(np.array(blocks, np.int64), self.sizes)
+        name, bucket = np.concatenate(parts), np.concatenate([np.frombuffer(o, "<u4") for o in of])
+        both = np.concatenate([_bits(t, n) for t, n in zip(twice, self.sizes)])
+        order = np.lexsort((holder, name, bucket))
+        b, n = bucket[order], name[order]
+        new = np.ones(len(n), bool)
+        new[1:] = (n[1:] != n[:-1]) | (b[1:] != b[:-1])
+        runs = np.flatnonzero(new)
+        self.slot = np.empty(len(n), np.int64)  # of every sent name
+        self.slot[order] = np.cumsum(new) - 1
+        self.bucket, self.name = b[new], n[new]
+        self.twice = (np.diff(np.append(runs, len(n))) > 1) | np.logical_or.reduceat(both[order], runs)
+        self.owner = np.zeros(len(n), bool)
+        self.owner[order[runs]] = True  # the smallest block
+
+    def _buckets(self):
+        ids, starts = np.unique(self.bucket, return_index=True)
+        return zip(ids.tolist(), starts, np.append(starts[1:], len(self.bucket)))
+
+    def rows(self):
+        for k, a, e in self._buckets():
+            yield k, self.name[a:e].astype(f"<u{self.width}").tobytes(), np.packbits(self.twice[a:e]).tobytes()
+
+    def answers(self, said: dict):
+        """Per block in the order given: packed bits as of ``solve_bucket``."""
+        again, first = np.zeros(len(self.name), bool), np.zeros(len(self.name), bool)
+        for k, a, e in self._buckets():
+            again[a:e], first[a:e] = (_bits(x, e - a) for x in said[k])
+        again, first = again[self.slot], first[self.slot] & self.owner
+        at = 0
+        for n in self.sizes:
+            yield np.packbits(again[at:at + n]).tobytes(), np.packbits(first[at:at + n]).tobytes()
+            at += n
+
+
 def _lay_out(rows: DataFrame, name: str, n: int, block_bytes: int) -> None:
     """Write (id, text) as blocks into table ``name``, bucketed by block."""
     def run(batches):
@@ -262,10 +322,10 @@ def _lay_out(rows: DataFrame, name: str, n: int, block_bytes: int) -> None:
      .saveAsTable(name))
 
 
-def _load(r: dict, size: int, buckets: int) -> Block:
+def _load(r: dict, size: int, buckets: int, width: int) -> Block:
     import zstandard
     raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(r["data"]), np.uint8)
-    return Block(raw, np.array(r["sizes"], np.int64), size, buckets)
+    return Block(raw, np.array(r["sizes"], np.int64), size, buckets, width)
 
 
 def _answers(r: dict) -> list[dict]:
@@ -274,62 +334,103 @@ def _answers(r: dict) -> list[dict]:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
-                   block_bytes: int = BLOCK_BYTES, with_kept: bool = False) -> DataFrame:
+                   block_bytes: int = BLOCK_BYTES, with_kept: bool = False, bucket_names: int = BUCKET_NAMES,
+                   messages: int = MESSAGES, slice_blocks: int = SLICE_BLOCKS) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked
     for, the kept bytes.  The result is a landed table; the blocks and answers it
     was made from are removed."""
     spark = docs.sparkSession
     path = scratch(spark, "suffix-result")
     with temporary(spark):
-        return _removed(docs, id_col, text_col, size, block_bytes, with_kept, path)
+        return _removed(docs, id_col, text_col, block_bytes, path, size=size, with_kept=with_kept,
+                        bucket_names=bucket_names, messages=messages, slice_blocks=slice_blocks)
 
 
-def _removed(docs: DataFrame, id_col: str, text_col: str, size: int, block_bytes: int, with_kept: bool,
-             path: str) -> DataFrame:
+def _removed(docs: DataFrame, id_col: str, text_col: str, block_bytes: int, path: str, **how) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text"))
     table = f"suffix_blocks_{uuid.uuid4().hex[:12]}"
     try:
         _lay_out(rows, table, int(spark.conf.get("spark.sql.shuffle.partitions")), block_bytes)
-        return _solved(spark, spark.table(table), rows, size, with_kept, path)
+        return _solved(spark, spark.table(table), rows, path, **how)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
-def _solved(spark: SparkSession, blocks: DataFrame, rows: DataFrame, size: int, with_kept: bool, path: str) -> DataFrame:
-    total = blocks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
+def _solved(spark: SparkSession, blocks: DataFrame, rows: DataFrame, path: str, size: int, with_kept: bool,
+            bucket_names: int, messages: int, slice_blocks: int) -> DataFrame:
+    total, n_blocks = blocks.agg(
+        F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x)), F.count("*")).first()
     v = period(size)
-    buckets = 1 << max(3, (int(total * len(COVERS[v]) / v) // BUCKET_NAMES).bit_length())
+    buckets = 1 << max(3, (int((total or 0) * len(COVERS[v]) / v) // bucket_names).bit_length())
+    width = -(-buckets // messages)
 
     def sender(k: int):
         def run(batches):
             import pyarrow as pa
             for b in batches:
                 for r in b.to_pylist():
-                    sent = list(_load(r, size, buckets).round(k, _answers(r)).rows())
+                    sent = list(_load(r, size, buckets, width).round(k, _answers(r)).rows(width))
                     if sent:
                         yield pa.RecordBatch.from_arrays(
                             [pa.array([x[0] for x in sent], pa.int32()),
                              pa.array([r["block"]] * len(sent), pa.int64()),
                              pa.array([x[1] for x in sent], pa.binary()),
-                             pa.array([x[2] for x in sent], pa.binary())],
-                            names=["bucket", "block", "names", "twice"])
+                             pa.array([x[2] for x in sent], pa.binary()),
+                             pa.array([x[3] for x in sent], pa.binary())],
+                            names=["bucket", "block", "names", "twice", "of"])
         return run
 
-    def solver(width: int):
+    def solver(bytes_a_name: int, sender_col: str):
         def solve(t):
             import pyarrow as pa
-            out = solve_bucket(t.column("block").to_pylist(), t.column("names").to_pylist(),
-                               t.column("twice").to_pylist(), width)
-            return pa.table({"block": t.column("block"), "bucket": t.column("bucket"),
+            out = solve_bucket(t.column(sender_col).to_pylist(), t.column("names").to_pylist(),
+                               t.column("twice").to_pylist(), bytes_a_name)
+            return pa.table({sender_col: t.column(sender_col), "bucket": t.column("bucket"),
                              "again": pa.array([x[0] for x in out], pa.binary()),
                              "first": pa.array([x[1] for x in out], pa.binary())})
         return solve
 
+    def gathered(t, bytes_a_name: int) -> Slice:
+        return Slice(*[t.column(c).to_pylist() for c in ("block", "names", "twice", "of")], bytes_a_name)
+
+    def relay(bytes_a_name: int):
+        def run(t):
+            import pyarrow as pa
+            out = list(gathered(t, bytes_a_name).rows())
+            return pa.table({"bucket": pa.array([x[0] for x in out], pa.int32()),
+                             "slice": pa.array([t.column("slice")[0].as_py()] * len(out), pa.int32()),
+                             "names": pa.array([x[1] for x in out], pa.binary()),
+                             "twice": pa.array([x[2] for x in out], pa.binary())})
+        return run
+
+    def give_back(bytes_a_name: int):
+        def run(t, said):
+            import pyarrow as pa
+            columns = [said.column(c).to_pylist() for c in ("bucket", "again", "first")]
+            out = list(gathered(t, bytes_a_name).answers({k: (a, f) for k, a, f in zip(*columns)}))
+            return pa.table({"block": t.column("block"), "bucket": t.column("bucket"),
+                             "again": pa.array([x[0] for x in out], pa.binary()),
+                             "first": pa.array([x[1] for x in out], pa.binary())})
+        return run
+
+    def answered(sent: DataFrame, k: int) -> DataFrame:
+        """(block, bucket or range of buckets, again, first)."""
+        schema, bytes_a_name = "bucket int, again binary, first binary", 8 if k else 4
+        if width == 1:
+            return sent.groupBy("bucket").applyInArrow(solver(bytes_a_name, "block"), f"block bigint, {schema}")
+        sent = land(sent.withColumn("slice", F.pmod(F.xxhash64("block"), F.lit(-(-n_blocks // slice_blocks))).cast("int")),
+                    f"suffix-sent-{k}")
+        relayed = sent.groupBy("bucket", "slice").applyInArrow(
+            relay(bytes_a_name), "bucket int, slice int, names binary, twice binary")
+        solved = relayed.groupBy("bucket").applyInArrow(solver(bytes_a_name, "slice"), f"slice int, {schema}")
+        return (sent.groupBy("bucket", "slice")
+                .cogroup(solved.withColumn("range", F.floor(F.col("bucket") / width).cast("int")).groupBy("range", "slice"))
+                .applyInArrow(give_back(bytes_a_name), f"block bigint, {schema}"))
+
     met = blocks
     for k in range(3):
-        found = (met.mapInArrow(sender(k), "bucket int, block bigint, names binary, twice binary")
-                 .groupBy("bucket").applyInArrow(solver(8 if k else 4), "block bigint, bucket int, again binary, first binary"))
+        found = answered(met.mapInArrow(sender(k), "bucket int, block bigint, names binary, twice binary, of binary"), k)
         answer = land(found.groupBy("block").agg(
             F.collect_list(F.struct("bucket", "again", "first")).alias(f"a{k}")), f"suffix-answers-{k}")
         met = met.join(answer, "block", "left")
@@ -342,7 +443,7 @@ def _solved(spark: SparkSession, blocks: DataFrame, rows: DataFrame, size: int,
         for b in batches:
             kind = b.schema.field("ids").type.value_type
             for r in b.to_pylist():
-                block = _load(r, size, buckets)
+                block = _load(r, size, buckets, width)
                 gone = block.removed(_answers(r))
                 out, at = [], 0
                 for end in block.ends.tolist():

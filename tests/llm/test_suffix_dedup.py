@@ -29,8 +29,12 @@ def test_covers_hold_every_difference():
     assert X.period(400) == 133 and X.period(8) == 3
 
 
-@pytest.mark.parametrize("size", [8, 20, 40])
-def test_matches_brute_force(spark, size):
+#: Names sent bucket by bucket, and in two steps by ranges of buckets.
+DIRECT, STEPS = {}, {"bucket_names": 20, "messages": 4, "slice_blocks": 3}
+
+
+@pytest.mark.parametrize("size,sent", [(8, DIRECT), (20, DIRECT), (40, DIRECT), (8, STEPS), (40, STEPS)])
+def test_matches_brute_force(spark, size, sent):
     rng = random.Random(size)
     base = "".join(rng.choice("abcd é") for _ in range(600))
     texts = [None, "", base, base, "x" * 150, base[:size], base[3:3 + size - 1]]
@@ -40,7 +44,7 @@ def test_matches_brute_force(spark, size):
                      + "".join(rng.choice("xyz") for _ in range(rng.randrange(50))))
     docs = documents(spark, list(enumerate(texts)), CLASHING)
     got = {r[0]: (*r[1:5], bytes(r[5])) for r in
-           X.remove_repeats(docs, size=size, block_bytes=700, with_kept=True).collect()}
+           X.remove_repeats(docs, size=size, block_bytes=700, with_kept=True, **sent).collect()}
     assert [got[i] for i in range(len(texts))] == brute(texts, size)
 
 
@@ -91,3 +95,31 @@ def test_the_query_returns_the_kept_text(spark, tmp_path):
     for (i, t), (_, n, _, _, kept) in zip(rows, brute([t for _, t in rows], 400)):
         assert got[i].text == kept.decode("utf-8", "replace") and got[i].n_removed == n
     assert got[1].n_removed > 400 and got[4].text == "plain text"
+
+
+def test_messages_of_a_block_are_bounded():
+    """2^25 buckets, as of 100 TB: a block sends a message per range, not per bucket."""
+    rng = np.random.default_rng(3)
+    raw = rng.integers(97, 123, 400_000).astype(np.uint8)
+    buckets, width = 1 << 25, (1 << 25) // X.MESSAGES
+    names = X.Block(raw, np.array([len(raw)], np.int64), 400, buckets, width).round(0, [])
+    assert len(names.name) > 30_000 and len(list(names.rows())) > 30_000
+    rows = list(names.rows(width))
+    assert len(rows) <= X.MESSAGES and sum(len(r[1]) for r in rows) == 4 * len(names.name)
+
+
+def test_a_slice_answers_like_its_blocks():
+    """Names of three blocks combined, against the blocks themselves."""
+    rng = np.random.default_rng(4)
+    sent = []
+    for block in (30, 10, 20):
+        names = np.sort(rng.choice(40, 25, replace=False)).astype("<u8")
+        sent.append((block, names, names % 5 == 0, (names // 10).astype("<u4")))
+    part = X.Slice([x[0] for x in sent], [x[1].tobytes() for x in sent], [np.packbits(x[2]).tobytes() for x in sent],
+                   [x[3].tobytes() for x in sent], 8)
+    said = {k: X.solve_bucket([0], [n], [t], 8)[0] for k, n, t in part.rows()}
+    got = [(X._bits(a, 25), X._bits(f, 25)) for a, f in part.answers(said)]
+    for (block, names, twice, _), (again, first) in zip(sent, got):
+        for n, t, a, f in zip(names, twice, again, first):
+            holders = [x for x in sent if n in x[1]]
+            assert a == (len(holders) > 1 or t) and f == (block == min(x[0] for x in holders))

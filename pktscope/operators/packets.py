@@ -50,7 +50,8 @@ def _distinct_count(col: str, mode: str):
         # row per task and group, without an Expand.
         c = F.col(col)
         port = (c >= 0) & (c < 65_536) & (c == F.floor(c))
-        return F.size(F.collect_set(F.when(port, c.cast("int")))) + F.size(F.collect_set(F.when(~port, c)))
+        sizes = F.size(F.collect_set(F.when(port, c.cast("int")))) + F.size(F.collect_set(F.when(~port, c)))
+        return sizes.cast("bigint")
     if mode == "exact":
         return F.count_distinct(col)
     if mode == "approx":

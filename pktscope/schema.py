@@ -88,6 +88,28 @@ def window_csv_schema(header: list[str]) -> T.StructType:
     return T.StructType([T.StructField(h, kind(dotted_to_canonical(h)), True) for h in header])
 
 
+_TABLE_TEXTS = {*TEXT_COLUMNS, DECODED_URI, "prediction_label", "status", "status_export", "split"}
+_TABLE_LONGS = _WINDOW_LONGS | {"special_char_count", "keyword_count", "payload_length", "param_count"}
+_TABLE_INTS = {LABEL, "prediction", "fold", *[f for f in HTTP_FEATURES if f.startswith("has_")]}
+_TABLE_DOUBLES = {*NUMERIC_COLUMNS, *NETWORK_FEATURES, *HTTP_FEATURES, "min_time_delta", "max_time_delta",
+                  "window_start", "window_end", "window_duration", "attack_probability"}
+
+
+def stored_csv_schema(header: list[str]) -> T.StructType | None:
+    """Read schema of a processed CSV (windows, requests, predictions) for its
+    header, so no pass over the data infers types; None if it has a column that is
+    none of theirs."""
+    kinds = ((_TABLE_TEXTS, T.StringType()), (_TABLE_LONGS, T.LongType()), (_TABLE_INTS, T.IntegerType()),
+             (_TABLE_DOUBLES, T.DoubleType()))
+    fields = []
+    for h in header:
+        kind = next((k for names, k in kinds if dotted_to_canonical(h) in names), None)
+        if kind is None:
+            return None
+        fields.append(T.StructField(h, kind, True))
+    return T.StructType(fields)
+
+
 def capture_read_schema(header: list[str], corrupt_col: str | None = None) -> T.StructType:
     """All-string read schema for a capture CSV header (typing happens in
     cleaning), plus the optional corrupt-record column."""

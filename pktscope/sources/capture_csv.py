@@ -116,12 +116,15 @@ def _restore(spark: SparkSession, path: str) -> None:
 
 def read_table(spark: SparkSession, path: str, schema=None, fmt: str | None = None) -> DataFrame:
     """A processed table (windows, requests).  Parquet by default; CSV
-    with a header and an explicit schema when ``fmt='csv'`` or the path
-    ends in ``.csv``."""
+    with a header when ``fmt='csv'`` or the path ends in ``.csv``.  Without a
+    schema, the columns of windows, requests and predictions have their known
+    types; only a table with others has its types inferred, by another pass."""
     _restore(spark, path)
     fmt = fmt or ("csv" if path.rstrip("/").endswith(".csv") else "parquet")
     if fmt == "csv":
         reader = spark.read.option("header", True).option("escape", '"')
+        if schema is None:
+            schema = S.stored_csv_schema(read_header(spark, path))
         reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
         return reader.csv(path)
     return spark.read.parquet(path) if schema is None else spark.read.schema(schema).parquet(path)

@@ -221,3 +221,21 @@ def test_a_field_over_many_splits(spark, tmp_path):
 def test_split_reading_of_an_empty_capture(spark, tmp_path):
     (tmp_path / "c.csv").write_text("ip.src,ip.dst\n")
     assert read_capture_csv(spark, str(tmp_path / "c.csv"), multi_line="split").count() == 0
+
+
+def test_stored_tables_need_no_type_inference(spark, tmp_path):
+    from pktscope.operators.labels import label_syn_scan
+    from pktscope.plans.catalog import WINDOW_SECONDS
+    from pktscope.plans.http import labelled_requests
+    from pktscope.plans.network import preprocess_windows
+    from pktscope.sources.derived import packets_raw
+    raw = packets_raw(spark, "/root/testdata/sf0.001")
+    for name, table in (("w", label_syn_scan(preprocess_windows(raw, WINDOW_SECONDS))),
+                        ("r", labelled_requests(raw).drop(S.ROW_ID, S.TCP_LEN))):
+        path = str(tmp_path / f"{name}.csv")
+        CSV.write_table(table, path, "csv")
+        back = CSV.read_table(spark, path)
+        assert back.dtypes == table.dtypes
+        assert back.exceptAll(table).count() == 0 and back.count() == table.count()
+    (tmp_path / "other.csv").write_text("ip.src,mine\na,7\n")
+    assert CSV.read_table(spark, str(tmp_path / "other.csv")).dtypes == [("ip.src", "string"), ("mine", "int")]

@@ -193,9 +193,9 @@ def manifest(docs: DataFrame, fields: Sequence[str] = FIELDS, key_col: str = "do
     groups, roots = forest(home.land(tops.select(
         F.lit("").alias("tree"), F.col("tree").alias("key"), F.col("top").alias("hash"),
         F.struct(F.col("tree").alias("of"), F.col("n").alias("of_n")).alias("own")), "subroots"), home, stride, block_bits)
-    root = roots.select(F.col("top").alias("root"))
+    root = roots.select("tree", F.col("top").alias("root"))
     last_block = F.shiftright(F.col("own.of_n") - 1, block_bits)
-    every = home.land(groups.join(F.broadcast(root)).select(  # one row
+    every = home.land(groups.join(F.broadcast(root), "tree").select(  # one row
         F.col("own.of").alias("tree"), F.explode(F.sequence(F.lit(0).cast("long"), last_block)).alias("block"),
         F.col("idx").alias("group_idx"), F.col("n").alias("n_groups"), F.col("hash").alias("subroot"),
         F.col("seg").alias("above"), "root"), "groups")

@@ -164,12 +164,11 @@ def _cuts(narrow: DataFrame, coarse, rows: int, shards: int) -> DataFrame:
     sample = (narrow.filter(F.pmod(F.xxhash64("id", "digest", F.lit(1)), F.lit(every)) == 0)
               .groupBy("id", "digest").agg(F.sum(F.col("size") + 1).alias("size"))
               .withColumn("coarse", coarse))
-    share = sample.agg(F.sum("size").alias("all"))
+    total = sample.agg(F.sum("size")).first()[0] or 1
     along = Window.partitionBy("coarse").orderBy("id", "digest")
     # the number of shard-sized steps before each key
-    step = F.floor((F.sum("size").over(along) - F.col("size")) * shards / F.col("all"))
-    placed = sample.join(F.broadcast(share)).withColumn("step", step)  # one row
-    first = placed.withColumn("new", F.col("step") > F.coalesce(F.lag("step").over(along), F.lit(0)))
+    step = F.floor((F.sum("size").over(along) - F.col("size")) * shards / F.lit(total))
+    first = sample.withColumn("step", step).withColumn("new", F.col("step") > F.coalesce(F.lag("step").over(along), F.lit(0)))
     inner = first.filter("new").groupBy("coarse").agg(F.sort_array(F.collect_list(F.struct("id", "digest"))).alias("inner"))
     every_coarse = narrow.sparkSession.range(COARSE_SHARDS + 1).select(F.col("id").cast("int").alias("coarse"))
     empty = F.array().cast("array<struct<id: bigint, digest: string>>")

@@ -10,8 +10,8 @@ leaves is compared letter by letter.
 
 The top of the trie is made by Spark: words and searches are dealt to cells, named
 by their first counts.  A cell with more than ``cell_words`` words is split by the
-next group's count, and so on, until all are small or all groups are used; a cell
-of anagrams that stays too large is cut by hash, and a cell that very many searches
+next group's count, and so on, until all are small or no group tells their words
+apart; a cell of anagrams that stays too large is cut by hash, and a cell that very many searches
 reach gets several copies.  So what one task holds is bounded whatever the words
 are.  Of two words only the one that is smaller (by counts, then by itself) looks
 for the other, so each pair is found once.
@@ -214,13 +214,25 @@ def _cells(words: DataFrame, home: Scratch, cell_words: int, start_levels: int):
             break
         if n_full <= 100_000:
             full = F.broadcast(full)
+        # the next level that tells some full cell's words apart
+        counts = range(level, len(GROUPS) + 1)
+        apart = (homes.join(full, "cell", "left_semi").groupBy("cell")
+                 .agg(*[(F.max(_count(k)) > F.min(_count(k))).alias(f"k{k}") for k in counts])
+                 .agg(*[F.max(f"k{k}").alias(f"k{k}") for k in counts]).first())
+        upto = next((k for k in counts if apart[f"k{k}"]), None)
+        if upto is None:  # anagrams
+            break
         marked = homes.join(full, "cell", "left")
-        deeper = F.concat_ws(".", "cell", _count(level).cast("string"))
+        deeper = F.concat_ws(".", "cell", *[_count(k).cast("string") for k in range(level, upto + 1)])
         homes = home.land(marked.select("word", "n", F.when(F.col("full"), deeper).otherwise(F.col("cell")).alias("cell")),
-                          f"homes-{level}")
+                          f"homes-{upto}")
         marked = searches.join(full, "cell", "left")
+        down = marked.filter("full").drop("full")
+        for k in range(level, upto + 1):
+            down = _down(down, k)
         searches = home.land(marked.filter("full is null").drop("full").select(*searches.columns).unionAll(
-            _down(marked.filter("full").drop("full"), level).select(*searches.columns)), f"searches-{level}")
+            down.select(*searches.columns)), f"searches-{upto}")
+        level = upto
         sizes = home.land(homes.groupBy("cell").agg(F.count("*").alias("words")), f"cells-{level}")
         level += 1
     return homes, searches, sizes

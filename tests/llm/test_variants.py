@@ -97,11 +97,11 @@ def test_tries_meet_in_all_near_words(monkeypatch, leaf_pairs):
     assert got == sorted((w, x) for _, w in entries[::2] for x in edits(w) if x in words and (V.vector(x), x) > (V.vector(w), w))
 
 
-@pytest.mark.parametrize("limits", [{}, {"cell_words": 5, "cell_searches": 7, "start_levels": 1}])
+@pytest.mark.parametrize("limits", [{}, {"cell_words": 9, "cell_searches": 20, "start_levels": 2}])
 def test_spellings_equal_the_definition(spark, limits):
-    words = vocabulary(500, letters="abcde") | {"a" * 5_000: 3, "a" * 5_001: 9}
+    words = vocabulary(300, letters="abcde") | {"a" * 5_000: 3, "a" * 5_001: 9}
     if limits:
-        words |= {w: 5 for w in vocabulary(150, 3, "ab")}  # cells that stay full
+        words |= {w: 5 for w in vocabulary(60, 3, "ab")}  # cells that stay full
     table = spark.createDataFrame(list(words.items()), "word string, n long")
     got = sorted((tuple(r) for r in V.spellings(table, **limits).collect()), key=str)
     assert got == spelled_out(words)

@@ -381,7 +381,7 @@ def save_model(model: PipelineModel, path: str, model_type: str | None = None) -
     beside the stages."""
     model.write().overwrite().save(path)
     if model_type:
-        spark = SparkSession.getActiveSession()
+        spark = SparkSession.active()
         spark.createDataFrame([(model_type, ",".join(model_features(model)))],
                               "model_type string, features string").coalesce(1).write.json(f"{path}/tag")
 

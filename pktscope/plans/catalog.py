@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +19,7 @@ from pktscope import schema as S
 from pktscope.operators import evaluation as EV
 from pktscope.operators import modeling as M
 from pktscope.operators import scoring as SC
-from pktscope.operators.labels import label_distribution, label_syn_scan
+from pktscope.operators.labels import label_distribution, label_sqli, label_syn_scan
 from pktscope.operators.packets import WINDOW_OUTPUT_COLUMNS, add_time_windows, clean_packets
 from pktscope.functions.lexical import add_lexical_features, decode_uri
 from pktscope.operators.requests import dedupe_keep_first, extract_http_requests, preprocess_requests
@@ -27,7 +29,7 @@ from pktscope.plans import training as TR
 from pktscope.plans.http import labelled_requests
 from pktscope.plans.network import preprocess_windows
 from pktscope.plans.relabel import relabel_stored_windows as _relabel_job
-from pktscope.session import materialize, scratch_path
+from pktscope.session import Scratch, materialize, scratch_path
 from pktscope.sources.capture_csv import (labelled_request_projection, read_capture_csv, read_table,
                                           store_by_key, write_capture_csv, write_table)
 from pktscope.sources.derived import documents_as_requests, packets_raw
@@ -501,11 +503,18 @@ def feature_importance(spark, sf_dir):
 
 
 def _score_capture(spark, sf_dir):
+    """The capture is prepared once, for the training of both detectors (at the same
+    time: each fit is a row of jobs with a wait after each) and for their scores."""
     net_path, http_path = _model_dir(spark, "syn_scan_detector"), _model_dir(spark, "sqli_detector")
-    TR.train_network(spark, _windows(spark, sf_dir), model_path=net_path, cv_folds=0)["scratch"].remove()
-    TR.train_http(spark, _labelled_requests(spark, sf_dir), model_path=http_path, cv_folds=0)["scratch"].remove()
-    return SCJ.predict_all(spark, packets_raw(spark, sf_dir), net_path, http_path,
-                           output_dir=_fresh_dir(spark, "predictions"), window_seconds=WINDOW_SECONDS)
+    raw = packets_raw(spark, sf_dir)
+    with Scratch(spark, "prepared") as scratch:
+        prepared = SCJ.prepare_capture(raw, scratch, WINDOW_SECONDS)
+        jobs = [lambda: TR.train_network(spark, prepared["windows"], model_path=net_path, cv_folds=0),
+                lambda: TR.train_http(spark, label_sqli(prepared["requests"]), model_path=http_path, cv_folds=0)]
+        with ThreadPool(len(jobs)) as pool:
+            pool.map(inheritable_thread_target(spark)(lambda job: job()["scratch"].remove()), jobs)
+        return SCJ.predict_all(spark, raw, net_path, http_path, output_dir=_fresh_dir(spark, "predictions"),
+                               window_seconds=WINDOW_SECONDS, prepared=prepared)
 
 
 @register

@@ -57,13 +57,13 @@ def _suffix(event_id: Column) -> Column:
 
 def packets_from_events(events: DataFrame) -> DataFrame:
     """``events`` -> raw capture rows (canonical column names)."""
-    e = events.select(*EVENT_COLUMNS)
     eid = F.col("event_id")
     etype = F.col("event_type")
-    k = F.get_json_object("props", "$.k")
-    uri = F.when(etype != "error",
-                 F.concat(F.lit("/item?id="), (k.cast("int") % 10).cast("string"), _suffix(eid)))
-    value = F.col("value")
+    k, uri, value = F.col("_k"), F.col("_uri"), F.col("value")
+    # Used by several columns: projections of their own work them out once a row.
+    e = events.select(*EVENT_COLUMNS, F.get_json_object("props", "$.k").alias("_k"))
+    e = e.select("*", F.when(etype != "error", F.concat(
+        F.lit("/item?id="), (k.cast("int") % 10).cast("string"), _suffix(eid))).alias("_uri"))
     frame_len = (
         F.when(eid % 97 == 0, F.lit("bad"))
         .when(eid % 89 == 0, F.lit("12d"))

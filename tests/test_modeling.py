@@ -207,6 +207,35 @@ def test_predict_all_isolates_its_detectors(spark, tmp_path):
     assert empty["syn_scan"].count() == 0
 
 
+def test_a_prepared_capture_scores_like_the_raw_one(spark, tmp_path):
+    from pktscope.plans.scoring import predict_all, prepare_capture
+    from pktscope.session import Scratch
+    from pktscope.sources.derived import packets_raw
+    raw = packets_raw(spark, "/root/testdata/sf0.001")
+    net, http, seconds = _trained(spark, tmp_path, raw)
+    own = predict_all(spark, raw, net, http, str(tmp_path / "own"), seconds)
+    with Scratch(spark, "test") as scratch:
+        prepared = prepare_capture(raw, scratch, seconds)
+        shared = predict_all(spark, raw, net, http, str(tmp_path / "shared"), seconds, prepared=prepared)
+    for name in ("syn_scan", "sqli", "summary"):  # results do not read the scratch folder
+        assert shared[name].columns == own[name].columns
+        assert sorted(map(str, shared[name].collect())) == sorted(map(str, own[name].collect()))
+
+
+@pytest.mark.parametrize("query", ["score_capture", "score_capture_totals"])
+def test_score_capture_prepares_the_capture_once(spark, monkeypatch, query):
+    from pktscope.plans import catalog, scoring
+    calls = []
+    for module in (catalog, scoring):
+        for name in ("preprocess_windows", "preprocess_requests"):
+            real = getattr(module, name)
+            monkeypatch.setattr(module, name, lambda *a, _n=name, _f=real, **k: (calls.append(_n), _f(*a, **k))[1])
+    real_http = catalog.labelled_requests
+    monkeypatch.setattr(catalog, "labelled_requests", lambda *a: (calls.append("preprocess_requests"), real_http(*a))[1])
+    assert catalog.QUERIES[query](spark, "/root/testdata/sf0.001").count() == 2
+    assert sorted(calls) == ["preprocess_requests", "preprocess_windows"]
+
+
 def test_model_paths_are_read_through_hadoop(spark, tmp_path):
     from pktscope.session import path_exists
     (tmp_path / "there").mkdir()

@@ -239,3 +239,9 @@ def test_stored_tables_need_no_type_inference(spark, tmp_path):
         assert back.exceptAll(table).count() == 0 and back.count() == table.count()
     (tmp_path / "other.csv").write_text("ip.src,mine\na,7\n")
     assert CSV.read_table(spark, str(tmp_path / "other.csv")).dtypes == [("ip.src", "string"), ("mine", "int")]
+
+
+def test_a_derived_capture_reads_a_row_s_properties_once(spark):
+    from pktscope.sources.derived import packets_raw
+    plan = packets_raw(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("get_json_object") == 1

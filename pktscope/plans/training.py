@@ -3,6 +3,9 @@ save)."""
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,17 +30,21 @@ def train_detector(spark: SparkSession, labelled: DataFrame, features: list[str]
                    test_size: float, model_type: str = "random_forest", model_path: str | None = None,
                    cv_folds: int = 0, tag: str | None = None, **params) -> dict:
     """The returned ``train``, ``test`` and ``balance`` read a scratch folder
-    (``scratch``), which the caller removes when it needs them no more."""
+    (``scratch``), which the caller removes when it needs them no more.  The
+    detector and the folds are fitted at the same time."""
     scratch = Scratch(spark, "training")
     split = prepare_split(labelled, features, key_cols, test_size, scratch=scratch)
     feats = M.select_features(split, features)
     train = split.where(F.col(M.SPLIT_COL) == "train")
     test = split.where(F.col(M.SPLIT_COL) == "test")
-    model = M.train_model(train, feats, model_type, **params)
-    out = {"model": model, "features": feats, "train": train, "test": test, "scratch": scratch,
-           "balance": M.balance_of(spark, scratch.seen["split"]), "importance": M.feature_importance(spark, model)}
+    jobs = {"model": lambda: M.train_model(train, feats, model_type, **params)}
     if cv_folds:
-        out["cv"] = M.cross_validate(train, feats, key_cols, cv_folds, model_type, **params)
+        jobs["cv"] = lambda: M.cross_validate(train, feats, key_cols, cv_folds, model_type, landed=True, **params)
+    with ThreadPool(len(jobs)) as pool:
+        done = dict(zip(jobs, pool.map(inheritable_thread_target(spark)(lambda job: job()), jobs.values())))
+    model = done["model"]
+    out = {**done, "features": feats, "train": train, "test": test, "scratch": scratch,
+           "balance": M.balance_of(spark, scratch.seen["split"]), "importance": M.feature_importance(spark, model)}
     if model_path:
         M.save_model(model, model_path, tag)
     return out

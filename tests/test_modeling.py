@@ -122,6 +122,25 @@ def test_concurrent_folds_equal_one_after_the_other(spark, params):
         assert [x.w for x in w] == [r.class_weight]
 
 
+def test_the_detector_and_its_folds_are_fitted_at_the_same_time(spark, monkeypatch):
+    from threading import Barrier
+    from pktscope.plans.training import train_detector
+    from pktscope.session import Scratch
+    both, landed, land = Barrier(2, timeout=120), [], Scratch.land
+    for name in ("train_model", "cross_validate"):
+        real = getattr(M, name)
+        monkeypatch.setattr(M, name, lambda *a, _f=real, **k: (both.wait(), _f(*a, **k))[1])
+    monkeypatch.setattr(Scratch, "land", lambda self, df, name, *a: (landed.append(name), land(self, df, name, *a))[1])
+    out = train_detector(spark, _labelled(spark, 60, 40), ["x"], ["k"], 0.2, cv_folds=2, n_estimators=3, max_depth=3)
+    monkeypatch.undo()
+    assert "input" not in landed  # the folds read the landed split
+    params = dict(folds=2, n_estimators=3, max_depth=3)
+    alone = {r.fold: r.f1 for r in M.cross_validate(out["train"], ["x"], ["k"], **params).collect()}
+    assert {r.fold: r.f1 for r in out["cv"].collect()} == alone
+    assert out["model"].stages[-1].getNumTrees == 3
+    out["scratch"].remove()
+
+
 def test_split_balance_is_counted_by_the_write(spark):
     from pktscope.plans.training import prepare_split
     from pktscope.session import Scratch

@@ -35,6 +35,8 @@ from .tokens import END_ID, vocabulary_path, worker_encoder
 by_value(__name__)
 
 BLOCK = 65_536
+#: Text encoded at once; words of more text repeat more, and memory grows with it.
+ENCODED_BYTES = 9_000_000
 MAGIC, TAIL = b"BPLN0001", b"BPLNEND1"
 LEVEL = 3
 
@@ -175,7 +177,7 @@ def write_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         encoder, end = worker_encoder(path), end_id.to_bytes(4, "little")
         first = None
         for b in (b.slice(at, 2048) for b in batches for at in range(0, b.num_rows, 2048)):
-            for doc_id, ids in zip(b.column(0).to_pylist(), encoder.encode(b.column(1))):
+            for doc_id, ids in zip(b.column(0).to_pylist(), encoder.encode(b.column(1), ENCODED_BYTES)):
                 if writer is None:
                     fs, root = open_fs(folder)
                     fs.create_dir(f"{root}/_temporary", recursive=True)

@@ -76,16 +76,20 @@ class Encoder:
         raw = ids.tobytes()
         return ((p, raw[4 * a:4 * e]) for p, a, e in zip(pieces, starts, ends))
 
-    def _learn(self, known: dict[str, bytes], new: list[str], space: bool) -> None:
+    def _learn(self, known: dict[str, bytes], new: list[str], space: bool) -> dict[str, bytes]:
         """Encode pieces.  Punctuation behind a word's last letter is a token
-        of its own, so words and their endings are learned apart.  Pieces that
-        are empty or hold white space or an added token are left out."""
+        of its own, so words and their endings are learned apart; words with
+        endings are returned and not kept.  Pieces that are empty or hold white
+        space or an added token are left out."""
         made, plain = [], []
+        text = "\n".join(new)
+        added = [x for x in self.added if x in text]  # nearly always none
+        special = {p for p in new if any(x in p for x in added)} if added else ()
         for p in new:
             word = p.rstrip(_MARKS)
-            if not word.isalpha() and (p.split() != [p] or any(x in p for x in self.added)):
+            if not word.isalpha() and (p in special or p.split() != [p]):
                 continue
-            if len(word) < len(p) and word[-1:].isalpha() and not any(x in p for x in self.added):
+            if len(word) < len(p) and word[-1:].isalpha() and p not in special:
                 made.append((p, word, p[len(word):]))
             else:
                 plain.append(p)
@@ -95,8 +99,7 @@ class Encoder:
             todo = [p for p in pieces if p not in to]
             for k in range(0, len(todo), 4_000):
                 to.update(self._split(todo[k:k + 4_000], spaced))
-        for p, word, end in made:
-            known[p] = known[word] + self.heads[end]
+        return {p: known[word] + self.heads[end] for p, word, end in made}
 
     def _loose(self, text: str) -> bytes:
         """A text with other white space than the quick way takes."""
@@ -130,7 +133,7 @@ class Encoder:
             return []
         split = pc.split_pattern(pc.replace_substring(texts, "\n", " \n "), " ")
         coded = split.flatten().dictionary_encode()
-        codes, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        codes, words = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         ends = split.offsets.to_numpy()[1:] - split.offsets.to_numpy()[0]
         starts = np.append(0, ends[:-1])
         number = {w: i for i, w in enumerate(words) if w == "" or w == "\n"}
@@ -165,15 +168,15 @@ class Encoder:
             ids = list(map(known.get, here))
             new = [w for w, x in zip(here, ids) if x is None]
             if new:
-                self._learn(known, new, not shift)
-                ids = list(map(known.get, here))
+                made = self._learn(known, new, not shift)
+                ids = [x or known.get(w) or made.get(w) for w, x in zip(here, ids)]
             got += ids
         for w, ids in (("\n", self.line), ("", b"")):
             if w in number:
                 for i in slot[[number[w], number[w] + n]].tolist():
                     if i >= 0:
                         got[i] = ids
-        unknown = np.fromiter((x is None for x in got), bool, len(got))
+        unknown = np.array([x is None for x in got], bool)
         got = [x or b"" for x in got] if unknown.any() else got
         sizes = np.fromiter(map(len, got), np.int64, len(got)) // 4
         pool, first = np.frombuffer(b"".join(got), "<u4"), np.cumsum(sizes) - sizes

@@ -29,6 +29,14 @@ def test_encoder_equals_whole_text_encoding(tokenizer):
         assert encoder.ids(text) + b"\0" * 4 == ids_of(tokenizer, text)
 
 
+def test_words_are_kept_without_their_endings(tokenizer):
+    encoder = Encoder(vocabulary_path())
+    text = "word, word. word!\n(word) word; <|endoftext|>. 1,"
+    for _ in range(2):
+        assert encoder.ids(text) + b"\0" * 4 == ids_of(tokenizer, text)
+    assert "word" in encoder.tails and not {"word,", "word.", "word!", "word;"} & set(encoder.tails)
+
+
 def test_level_choice_minimises_the_sum_of_squares():
     rng = np.random.default_rng(1)
     packer, size = K.Packer(16), 16
